@@ -133,7 +133,7 @@ def missing_report(df: DataFrame, columns: list[str] | None = None, section: str
     sums = [F.sum(F.when(F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == ""), 1).otherwise(0))
             .cast("bigint").alias(c) for c in columns]
     wide = df.agg(F.count(F.lit(1)).alias("__n"), *sums)
-    long = wide.unpivot(["__n"], columns, "column", "n_missing").withColumnRenamed("__n", "n_rows")
+    long = wide.unpivot(["__n"], columns, "field", "n_missing").withColumnRenamed("__n", "n_rows")
     if section is not None:
         long = long.withColumn("section", F.lit(section))
     return long

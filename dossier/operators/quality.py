@@ -37,7 +37,7 @@ def schema_drift(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Q4: expected vs actual field types, plus per field how many values do not fit.
 
     Returns one row per contract field and per unexpected field:
-    column, expected, actual, problem, n_bad (rows whose non-null value
+    field, expected, actual, problem, n_bad (rows whose non-null value
     cannot be cast to the expected type; computed in one aggregate pass).
     """
     actual = {f.name: f.dataType for f in df.schema.fields}
@@ -57,9 +57,9 @@ def schema_drift(df: DataFrame, contract: T.StructType) -> DataFrame:
         if name not in known:
             meta.append((name, None, dt.simpleString(), "unexpected"))
     spark = df.sparkSession
-    info = spark.createDataFrame(meta, "column string, expected string, actual string, problem string")
+    info = spark.createDataFrame(meta, "field string, expected string, actual string, problem string")
     if not checks:
         return info.withColumn("n_bad", F.lit(0).cast("bigint"))
     counted = [m[0] for m in meta if m[3] in ("ok", "type")]
-    bad = df.agg(*checks).unpivot([], counted, "column", "n_bad")
-    return info.join(F.broadcast(bad), "column", "left").withColumn("n_bad", F.coalesce("n_bad", F.lit(0).cast("bigint")))
+    bad = df.agg(*checks).unpivot([], counted, "field", "n_bad")
+    return info.join(F.broadcast(bad), "field", "left").withColumn("n_bad", F.coalesce("n_bad", F.lit(0).cast("bigint")))
