@@ -9,6 +9,8 @@ the number of events.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,18 +98,23 @@ def bot_filter(assigned: DataFrame, depth: str, user: str = "user_id", ts: str =
     return assigned.join(bots, [user, "session_start"], "left_anti")
 
 
+def _cutoff(as_of: str, days: int) -> Column:
+    """``as_of - days`` as a TIMESTAMP_NTZ literal, so the comparison is pushed into the scan."""
+    t = _dt.datetime.fromisoformat(as_of) - _dt.timedelta(days=days)
+    return F.lit(t).cast("timestamp_ntz")
+
+
 def retention(events: DataFrame, as_of: str, days: int = 90, ts: str = "ts") -> DataFrame:
     """keep raw events newer than ``as_of - days``; pushed down to the scan / partition filter."""
-    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.make_interval(days=F.lit(days))
-    return events.filter(F.col(ts) >= cutoff)
+    return events.filter(F.col(ts) >= _cutoff(as_of, days))
 
 
 def suggestion_expiry(df: DataFrame, as_of: str, days: int = 30, status: str = "status",
                       created: str = "created_at") -> DataFrame:
     """pending items older than ``days`` become 'archived'."""
-    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.make_interval(days=F.lit(days))
     st = F.col(status)
-    return df.withColumn(status, F.when((st == "pending") & (F.col(created) < cutoff), F.lit("archived")).otherwise(st))
+    return df.withColumn(status, F.when((st == "pending") & (F.col(created) < _cutoff(as_of, days)),
+                                        F.lit("archived")).otherwise(st))
 
 
 def known_values(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:

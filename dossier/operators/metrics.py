@@ -67,13 +67,18 @@ DEFAULT_KINDS = {"view": "view", "interaction": "click", "positive": "purchase",
 
 
 def section_engagement(events: DataFrame, group: list[str], kind: str = "event_type", value: str = "value",
-                       kinds: dict[str, str] | None = None) -> DataFrame:
-    """A4: views, view time, interactions and net feedback per group, in one pass."""
+                       kinds: dict[str, str] | None = None, scale: int = 2) -> DataFrame:
+    """A4: views, view time, interactions and net feedback per group, in one pass.
+
+    View time is summed as decimal(18, ``scale``) so the total does not depend
+    on the order partial sums are combined in.
+    """
     k = {**DEFAULT_KINDS, **(kinds or {})}
     kc = F.col(kind)
+    vt = F.sum(F.when(kc == k["view"], F.col(value).cast(f"decimal(18,{scale})")))
     return events.groupBy(*group).agg(
         F.count_if(kc == k["view"]).alias("views"),
-        F.round(F.coalesce(F.sum(F.when(kc == k["view"], F.col(value))), F.lit(0.0)), 2).alias("view_time"),
+        F.coalesce(vt.cast("double"), F.lit(0.0)).alias("view_time"),
         F.count_if(kc == k["interaction"]).alias("interactions"),
         F.sum(F.when(kc == k["positive"], 1).when(kc == k["negative"], -1).otherwise(0)).cast("bigint").alias("feedback"),
     )
@@ -83,7 +88,7 @@ def weighted_score(engagement: DataFrame, w_time: float = 1.0, w_interactions: f
                    w_feedback: float = 1.0, out: str = "score") -> DataFrame:
     """A5: weighted sum of view time, interactions and feedback (weights are parameters)."""
     s = (F.col("view_time") * w_time + F.col("interactions") * w_interactions + F.col("feedback") * w_feedback)
-    return engagement.withColumn(out, F.round(s, 2))
+    return engagement.withColumn(out, s)
 
 
 SCROLL_MILESTONES = (25, 50, 75, 100)
@@ -99,17 +104,17 @@ def scroll_depth(df: DataFrame, group: list[str], depth: str) -> DataFrame:
 
 
 def session_stats(sessions: DataFrame, period: str = "week", start: str = "session_start",
-                  duration: str = "duration_sec") -> DataFrame:
-    """Sessions per period and their average duration."""
+                  duration: str = "duration_ms") -> DataFrame:
+    """Sessions per period and their average duration (same unit as ``duration``)."""
     return (sessions.groupBy(F.date_trunc(period, F.col(start)).cast("timestamp_ntz").alias("period"))
-            .agg(F.count(F.lit(1)).alias("n_sessions"), F.round(F.avg(duration), 2).alias("avg_duration_sec")))
+            .agg(F.count(F.lit(1)).alias("n_sessions"), F.avg(duration).alias(f"avg_{duration}")))
 
 
 def section_heatmap(df: DataFrame, period_col: Column, section: str, value: Column,
                     sections: list[str]) -> DataFrame:
     """Value per period x section with an explicit section list (no extra pass to find pivot values)."""
     return (df.groupBy(period_col.alias("period")).pivot(section, sections)
-            .agg(F.round(F.sum(value), 2)).na.fill(0.0, subset=sections))
+            .agg(F.sum(value.cast("decimal(18,2)")).cast("double")).na.fill(0.0, subset=sections))
 
 
 def cold_start_gate(df: DataFrame, group: list[str], session: list[str], threshold: int = 50) -> DataFrame:
@@ -124,7 +129,7 @@ def acceptance_rate(df: DataFrame, group: list[Column], status: str, alarm_below
     agg = df.groupBy(*group).agg(F.count_if(st == "accepted").alias("accepted"),
                                  F.count(F.lit(1)).alias("total"))
     rate = F.try_divide(F.col("accepted").cast("double"), F.col("total").cast("double"))
-    return agg.withColumn("rate", F.round(rate, 4)).withColumn("alarm", F.col("rate") < alarm_below)
+    return agg.withColumn("rate", rate).withColumn("alarm", F.col("rate") < alarm_below)
 
 
 def missing_report(df: DataFrame, columns: list[str] | None = None, section: str | None = None) -> DataFrame:
