@@ -1 +1,82 @@
-"""placeholder"""
+"""Extraction queries: S3 header and S4 items over ``pages``; S2 nested JSON built from ``lineitem``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..sources import extract as XT
+from .base import register, table
+
+_DECODE = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")]
+
+
+def d_inner_text(x: str) -> str:
+    s = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for ent, ch in _DECODE:
+        s = f"replace({s}, '{ent}', '{ch}')"
+    return rf"coalesce(regexp_replace({s}, '^\s+|\s+$', '', 'g'), '')"
+
+
+def d_first(tag: str) -> str:
+    return d_inner_text(rf"regexp_extract(html, '(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>', 1)")
+
+
+_LOC = r"""regexp_extract(html, '(?is)<[a-z0-9]+[^>]*class="[^"]*\blocation\b[^"]*"[^>]*>(.*?)</', 1)"""
+
+
+@register("extract_header", f"SELECT page_id AS profile_id, {d_first('h1')} AS full_name, {d_first('title')} AS headline, "
+                            f"{d_inner_text(_LOC)} AS location FROM pages")
+def q_extract_header(spark, d):
+    return XT.extract_header(table(spark, d, "pages"))
+
+
+ITEMS_DUCK = f"""
+WITH x AS (SELECT page_id, regexp_extract_all(html, '{XT.ITEM_PATTERN}', 1) AS items FROM pages),
+u AS (SELECT page_id, unnest(range(len(items))) AS pos, unnest(items) AS item FROM x)
+SELECT page_id, pos, regexp_extract(item, 'href="([^"]*)"', 1) AS href, {d_inner_text('item')} AS text FROM u"""
+
+
+@register("extract_items", ITEMS_DUCK)
+def q_extract_items(spark, d):
+    return XT.extract_items(table(spark, d, "pages"))
+
+
+# ----------------------------------------------------------------- S2: one nested profile document per lineitem row
+def _profile_docs(spark, d):
+    li = table(spark, d, "lineitem")
+    ym = lambda y, m: F.struct(y.cast("int").alias("year"), m.cast("int").alias("month"))
+    y, m = F.year("l_shipdate"), F.month("l_shipdate")
+    e0 = F.struct(F.col("l_returnflag").alias("companyName"), F.col("l_linestatus").alias("title"),
+                  F.struct(ym(y, m).alias("startDate"),
+                           F.when(F.col("l_linenumber") % 3 == 0, F.lit(None))
+                           .otherwise(ym(y + 1, F.lit(None))).alias("endDate")).alias("timePeriod"))
+    e1 = F.struct(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("companyName"),
+                  F.lit(None).cast("string").alias("title"),
+                  F.struct(ym(y, m).alias("startDate"), ym(y + 2, m).alias("endDate")).alias("timePeriod"))
+    full = F.array(e0, e1)
+    exp = F.when(F.col("l_quantity") > 48, F.slice(full, 1, 0)).otherwise(full)
+    doc = F.to_json(F.struct(F.concat(F.lit("Order "), F.col("l_orderkey").cast("string")).alias("firstName"),
+                             F.lit("Line").alias("lastName"), exp.alias("experience")))
+    pid = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    return li.select(pid.alias("doc_id"), doc.alias("doc"))
+
+
+FLATTEN_DUCK = """
+SELECT concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS profile_id, 0 AS pos,
+       l_returnflag AS company_name, l_linestatus AS title,
+       make_timestamp(year(l_shipdate), month(l_shipdate), 1, 0, 0, 0) AS start_date,
+       CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE make_timestamp(year(l_shipdate) + 1, 1, 1, 0, 0, 0) END AS end_date,
+       l_linenumber % 3 = 0 AS is_current
+FROM lineitem WHERE NOT l_quantity > 48
+UNION ALL
+SELECT concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)), 1,
+       'S' || CAST(l_suppkey AS VARCHAR), CAST(NULL AS VARCHAR),
+       make_timestamp(year(l_shipdate), month(l_shipdate), 1, 0, 0, 0),
+       make_timestamp(year(l_shipdate) + 2, month(l_shipdate), 1, 0, 0, 0), false
+FROM lineitem WHERE NOT l_quantity > 48"""
+
+
+@register("flatten_json", FLATTEN_DUCK)
+def q_flatten_json(spark, d):
+    exp = XT.flatten_profile(_profile_docs(spark, d), "doc_id", "doc")["experience"]
+    return exp.select("profile_id", "pos", "company_name", "title", "start_date", "end_date", "is_current")

@@ -46,7 +46,7 @@ def extract_header(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
                    location_class: str = "location") -> DataFrame:
     """S3: one header row per page (full_name, headline, location); a missing element gives ''."""
     html = F.col(html_col)
-    loc = F.regexp_extract(html, rf'(?is)<(\w+)[^>]*class="[^"]*\b{location_class}\b[^"]*"[^>]*>(.*?)</\1>', 2)
+    loc = F.regexp_extract(html, rf'(?is)<[a-z0-9]+[^>]*class="[^"]*\b{location_class}\b[^"]*"[^>]*>(.*?)</', 1)
     return pages.select(
         F.col(id_col).alias("profile_id"),
         first_element_text(html, name_tag).alias("full_name"),
