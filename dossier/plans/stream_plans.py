@@ -1 +1,147 @@
-"""placeholder"""
+"""Streaming queries (ST1-ST6).
+
+Each query writes its input files with Spark from the driver's tables into a
+fresh folder under ``spark.checkpoint.dir``, runs the stream to completion
+with an ``availableNow`` trigger, and returns the sink read back as a batch
+DataFrame.  Where the closed stream equals a batch query, the oracle is that
+batch SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import scratch_path
+from ..sources.store import KeyedTable
+from ..streaming import events as SE
+from .base import register, table
+from .events_plans import K_SPARK, SECTION_OF_K, SESS_CTE, EV_CTE
+from .keyed_plans import CHANGES
+
+_DAY = F.date_format("ts", "yyyy-MM-dd")
+
+
+def _write_event_files(spark: SparkSession, d: str, root: str, copies: int = 1) -> str:
+    """Events as one folder of files per day, written in time order (a file buffer)."""
+    ev = table(spark, d, "events")
+    src = f"{root}/source"
+    for c in range(copies):
+        (ev.withColumn("__day", _DAY).repartition("__day").write.mode("append")
+         .partitionBy("__day").parquet(src))
+    return src
+
+
+def _read_stream(spark, src, schema_df: DataFrame, max_files: int | None = None) -> DataFrame:
+    schema = schema_df.schema
+    r = spark.readStream.schema(schema)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.option("recursiveFileLookup", "true").parquet(src).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _events_back(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "ts" else F.col(c) for c in cols])
+
+
+@register("event_ingest", "SELECT * FROM events")
+def q_event_ingest(spark, d):
+    root = scratch_path(spark, "ingest")
+    src = _write_event_files(spark, d, root)
+    ev = table(spark, d, "events")
+    q = SE.ingest(_read_stream(spark, src, ev), f"{root}/sink", f"{root}/ckpt")
+    q.awaitTermination()
+    return _events_back(spark.read.parquet(f"{root}/sink"), ev.columns)
+
+
+@register("micro_batch_flush", "SELECT * FROM events")
+def q_micro_batch_flush(spark, d):
+    """ST2: bounded micro-batches (at most a few files each); the sink equals the input."""
+    root = scratch_path(spark, "flush")
+    src = _write_event_files(spark, d, root)
+    ev = table(spark, d, "events")
+    q = SE.ingest(_read_stream(spark, src, ev, max_files=8), f"{root}/sink", f"{root}/ckpt")
+    q.awaitTermination()
+    return _events_back(spark.read.parquet(f"{root}/sink"), ev.columns)
+
+
+@register("stream_dedup", "SELECT * FROM events")
+def q_stream_dedup(spark, d):
+    """ST4: every event delivered twice (client retries); the stream keeps one of each."""
+    root = scratch_path(spark, "dedup")
+    src = _write_event_files(spark, d, root, copies=2)
+    ev = table(spark, d, "events")
+    dedup = SE.stream_dedup(_read_stream(spark, src, ev), ["event_id"], "ts", "1 hour")
+    q = SE.ingest(dedup, f"{root}/sink", f"{root}/ckpt")
+    q.awaitTermination()
+    return _events_back(spark.read.parquet(f"{root}/sink"), ev.columns)
+
+
+@register("windowed_engagement", f"""WITH {EV_CTE}
+SELECT date_trunc('day', ts) AS window_start, section, count_if(event_type = 'view') AS views,
+  CAST(coalesce(sum(CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS view_time,
+  count_if(event_type = 'click') AS interactions,
+  CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END) AS BIGINT) AS feedback
+FROM ev2 GROUP BY 1, 2""")
+def q_windowed_engagement(spark, d):
+    """ST5: daily engagement per section; update mode, merged by (window, section) into a keyed table."""
+    root = scratch_path(spark, "engagement")
+    src = _write_event_files(spark, d, root)
+    ev = table(spark, d, "events")
+    stream = _read_stream(spark, src, ev).withColumn("k", F.expr(K_SPARK)).withColumn("section", F.expr(SECTION_OF_K))
+    agg = SE.windowed_engagement(stream, ["section"], "ts", "1 day", "1 hour")
+    sink = KeyedTable(spark, f"{root}/table")
+    q = SE.run_foreach_batch(agg, SE.upsert_sink(sink, ["window_start", "section"]), f"{root}/ckpt")
+    q.awaitTermination()
+    return sink.read()
+
+
+@register("stream_sessions", f"WITH {SESS_CTE} SELECT user_id, session_start, max(ts) AS session_end, count(*) AS n_events, "
+                             "date_sub('millisecond', session_start, max(ts)) AS duration_ms FROM a "
+                             "GROUP BY user_id, session_start")
+def q_stream_sessions(spark, d):
+    """ST3 (stream): session windows in append mode.
+
+    A session is emitted once the watermark passes its end.  After the input
+    files are consumed, end-of-input marker events (user -1, days after the
+    last real event) are appended and the same checkpointed query is
+    restarted; they move the watermark past every real session.
+    """
+    root = scratch_path(spark, "sessions")
+    src = _write_event_files(spark, d, root)
+    ev = table(spark, d, "events")
+
+    def run():
+        sess = SE.stream_sessions(_read_stream(spark, src, ev), "user_id", "ts", "30 minutes", "1 hour")
+        SE.ingest(sess, f"{root}/sink", f"{root}/ckpt").awaitTermination()
+
+    run()
+    last = ev.agg(F.max("ts").alias("m"))
+    # the watermark a batch uses is the one reached by the batch before it, so two markers
+    for days in (2, 4):
+        marker = last.select(
+            F.lit(-1).cast("bigint").alias("event_id"), (F.col("m") + F.expr(f"INTERVAL {days} DAYS")).alias("ts"),
+            F.lit(-1).cast("bigint").alias("user_id"), F.lit("end-of-input").alias("event_type"),
+            F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
+        marker.select(*ev.columns).write.mode("append").parquet(f"{src}/end-marker-{days}")
+        run()
+    return spark.read.parquet(f"{root}/sink").filter(F.col("user_id") != -1)
+
+
+@register("stream_upsert", f"""
+WITH src AS ({CHANGES})
+SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.o_orderkey = o.o_orderkey)
+UNION ALL SELECT * FROM src""")
+def q_stream_upsert(spark, d):
+    """ST6: refreshed rows arrive as a stream and are upserted batch by batch (idempotent per batch id)."""
+    root = scratch_path(spark, "upsert")
+    orders = table(spark, d, "orders")
+    target = KeyedTable(spark, f"{root}/table", orders.schema)
+    target.overwrite(orders)
+    orders.createOrReplaceTempView("orders")
+    changes = spark.sql(CHANGES)
+    changes.write.parquet(f"{root}/changes")
+    stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/changes")
+    q = SE.run_foreach_batch(stream, SE.upsert_sink(target, ["o_orderkey"]), f"{root}/ckpt", output_mode="append")
+    q.awaitTermination()
+    return target.read()

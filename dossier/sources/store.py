@@ -65,64 +65,107 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str] | str = "id") ->
     return append_by_name(keep, source)
 
 
-class SectionStore:
-    """A folder of versioned Parquet section tables."""
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def __init__(self, spark: SparkSession, root: str):
+
+class KeyedTable:
+    """A keyed Parquet table kept as immutable versions ``<path>/v=<n>``.
+
+    ``upsert`` writes version n+1 completely (``_SUCCESS``) before readers
+    can pick it; an optional ``batch_id`` makes a replayed micro-batch a no-op.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None):
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.path = path.rstrip("/")
+        self.schema = schema
 
-    # ---- versions
-    def _versions(self, section: str) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{section}")
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
+    def versions(self) -> list[int]:
+        jvm, p, fs = _fs(self.spark, self.path)
+        if not fs.exists(p):
             return []
         out = []
-        for st in fs.listStatus(path):
+        for st in fs.listStatus(p):
             name = st.getPath().getName()
-            ok = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-            if name.startswith("v=") and fs.exists(ok):
+            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 out.append(int(name[2:]))
         return sorted(out)
 
-    def _path(self, section: str, version: int) -> str:
-        return f"{self.root}/{section}/v={version}"
+    def _vpath(self, v: int) -> str:
+        return f"{self.path}/v={v}"
+
+    def read(self) -> DataFrame:
+        vs = self.versions()
+        if not vs:
+            if self.schema is None:
+                raise FileNotFoundError(self.path)
+            return empty_frame(self.spark, self.schema)
+        r = self.spark.read
+        if self.schema is not None:
+            r = r.schema(self.schema)
+        return r.parquet(self._vpath(vs[-1]))
+
+    def _committed(self, batch_id: int) -> bool:
+        _, p, fs = _fs(self.spark, f"{self.path}/_commits/batch={batch_id}")
+        return fs.exists(p)
+
+    def _commit(self, batch_id: int) -> None:
+        _, p, fs = _fs(self.spark, f"{self.path}/_commits/batch={batch_id}")
+        fs.create(p, True).close()
+
+    def overwrite(self, df: DataFrame) -> int:
+        vs = self.versions()
+        v = (vs[-1] + 1) if vs else 0
+        df.write.mode("overwrite").parquet(self._vpath(v))
+        return v
+
+    def upsert(self, source: DataFrame, key: list[str] | str = "id", batch_id: int | None = None) -> int:
+        from ..operators.dedup import dedup_keep
+        key = [key] if isinstance(key, str) else list(key)
+        if batch_id is not None and self._committed(batch_id):
+            return self.versions()[-1]
+        if self.schema is not None:
+            source = conform(source, self.schema)
+        if source.isEmpty():
+            v = self.versions()
+        else:
+            src = dedup_keep(source, key, [], keep="last")
+            merged = upsert(self.read(), src, key) if self.versions() else src
+            self.overwrite(merged)
+            v = self.versions()
+        if batch_id is not None:
+            self._commit(batch_id)
+        return v[-1] if v else -1
+
+
+class SectionStore:
+    """Versioned keyed section tables under one root."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def table(self, section: str) -> KeyedTable:
+        validate_section(section)
+        return KeyedTable(self.spark, f"{self.root}/{section}", STORED[section])
 
     def create_sections(self, sections=None) -> None:
-        """Idempotent - create an empty version 0 for each missing section."""
+        """Idempotent - an empty version 0 for each section that has none."""
         for s in sections or sorted(STORED):
-            validate_section(s)
-            if not self._versions(s):
-                empty_frame(self.spark, STORED[s]).write.mode("overwrite").parquet(self._path(s, 0))
+            t = self.table(s)
+            if not t.versions():
+                t.overwrite(empty_frame(self.spark, STORED[s]))
 
     def read(self, section: str) -> DataFrame:
-        validate_section(section)
-        vs = self._versions(section)
-        if not vs:
-            return empty_frame(self.spark, STORED[section])
-        return self.spark.read.schema(STORED[section]).parquet(self._path(section, vs[-1]))
+        return self.table(section).read()
 
     def upsert(self, section: str, source: DataFrame, key: list[str] | str = "id") -> int:
-        """S6 persisted: write version n+1 = upsert(current, source); returns the new version.
+        """S6 persisted: an empty source changes nothing."""
+        return self.table(section).upsert(source, key)
 
-        The result is fully written (``_SUCCESS``) before it becomes visible,
-        so a failed job leaves the previous version current.
-        """
-        validate_section(section)
-        src = conform(source, STORED[section])
-        if src.isEmpty():
-            vs = self._versions(section)
-            return vs[-1] if vs else -1
-        vs = self._versions(section)
-        new_v = (vs[-1] + 1) if vs else 0
-        merged = upsert(self.read(section), src, key) if vs else src
-        merged.write.mode("overwrite").parquet(self._path(section, new_v))
-        return new_v
-
-    # ---- reads
     def query(self, section: str, filters: dict | None = None) -> DataFrame:
         """F1 over a stored section."""
         return filter_eq(self.read(section), filters)
