@@ -14,13 +14,11 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since 1970 for a TIMESTAMP_NTZ (``unix_micros`` rejects NTZ)."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MICROSECOND", _EPOCH, c.cast("timestamp_ntz"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
 
 
 def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,

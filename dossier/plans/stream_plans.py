@@ -19,15 +19,12 @@ from .base import register, table
 from .events_plans import K_SPARK, SECTION_OF_K, SESS_CTE, EV_CTE
 from .keyed_plans import CHANGES
 
-_DAY = F.date_format("ts", "yyyy-MM-dd")
-
-
 def _write_event_files(spark: SparkSession, d: str, root: str, copies: int = 1) -> str:
     """Events as one folder of files per day, written in time order (a file buffer)."""
     ev = table(spark, d, "events")
     src = f"{root}/source"
     for c in range(copies):
-        (ev.withColumn("__day", _DAY).repartition("__day").write.mode("append")
+        (ev.withColumn("__day", F.date_format("ts", "yyyy-MM-dd")).repartition("__day").write.mode("append")
          .partitionBy("__day").parquet(src))
     return src
 
