@@ -428,6 +428,12 @@ def q_load_profile(spark, d):
     return ST.load_profile(df)
 
 
+@register("first_row", "SELECT * FROM orders ORDER BY o_orderdate DESC NULLS LAST, o_orderkey ASC NULLS LAST LIMIT 1")
+def q_first_row(spark, d):
+    return ST.first_row(table(spark, d, "orders"), [F.col("o_orderdate").desc_nulls_last(),
+                                                     F.col("o_orderkey").asc_nulls_last()])
+
+
 @register("raw_snapshot", "SELECT *, '2024-01-02' AS scrape_date FROM orders")
 def q_raw_snapshot(spark, d):
     root = scratch_path(spark, "snapshots")

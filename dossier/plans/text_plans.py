@@ -307,7 +307,7 @@ def q_tenure(spark, d):
 
 
 # ----------------------------------------------------------------- E19, E20, E21, K1, E22
-@register("normalize_encoding", r"""
+@register("normalize_text_encoding", r"""
 SELECT doc_id, length(c) AS n_clean_chars, sha256(c) AS clean_sha256
 FROM (SELECT doc_id, regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g') AS c FROM documents)""")
 def q_normalize_encoding(spark, d):
