@@ -26,6 +26,27 @@ DEFAULT_DATE_FORMATS: tuple[str, ...] = (
 )
 
 
+# Cheap shape checks for the built-in formats: a failed parse is an exception
+# inside the formatter, so only values of the right shape are handed to it.
+_SHAPES = {
+    "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
+    "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$",
+    "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}$",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{6}$",
+    "yyyy-MM": r"^\d{4}-\d{2}$",
+    "MMM yyyy": r"^[A-Za-z]{3} \d{4}$",
+    "MMMM yyyy": r"^[A-Za-z]{3,9} \d{4}$",
+    "yyyy": r"^\d{4}$",
+}
+
+
+def _try_format(txt: Column, f: str) -> Column:
+    parsed = F.try_to_timestamp(txt, F.lit(f))
+    shape = _SHAPES.get(f)
+    return F.when(txt.rlike(shape), parsed) if shape else parsed
+
+
 def parse_date(c: Column | str, formats: tuple[str, ...] | list[str] | str | None = None,
                utc_from: str | None = None) -> Column:
     """Text -> TIMESTAMP_NTZ; every value is tried against every format, bad -> null.
@@ -37,7 +58,7 @@ def parse_date(c: Column | str, formats: tuple[str, ...] | list[str] | str | Non
     elif isinstance(formats, str):
         formats = (formats,)
     txt = strip(_c(c).cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(txt, F.lit(f)) for f in formats])
+    parsed = F.coalesce(*[_try_format(txt, f) for f in formats])
     if utc_from:
         parsed = F.to_utc_timestamp(parsed, utc_from)
     return parsed.cast("timestamp_ntz")
@@ -51,7 +72,7 @@ def extract_year(c: Column | str, formats=None) -> Column:
 def month_label(c: Column | str) -> Column:
     """First 7 characters read as a date -> 'Mon YYYY'; null -> ''; else raw text."""
     head = F.substring(_c(c).cast("string"), 1, 7)
-    ts = F.coalesce(F.try_to_timestamp(head, F.lit("yyyy-MM")), F.try_to_timestamp(head, F.lit("yyyy")))
+    ts = F.coalesce(_try_format(head, "yyyy-MM"), _try_format(head, "yyyy"))
     return F.when(_c(c).isNull(), F.lit("")).otherwise(F.coalesce(F.date_format(ts, "MMM yyyy"), head))
 
 

@@ -1,14 +1,14 @@
 """Aggregations (A1-A11) and the ordered reads around them (O1-O3).
 
-Global maxima are computed as scalar subqueries (``DataFrame.scalar()``):
-Spark runs the one-row aggregate once and inlines the value, so nothing is
-joined back and nothing pairwise is formed.  Every multi-column report is a
-single pass with conditional aggregates.
+A global maximum over a big frame is a scalar subquery (``DataFrame.scalar()``,
+referenced once): Spark runs the one-row aggregate and inlines the value, so
+nothing is joined back and nothing pairwise is formed.  Every multi-column
+report is a single pass with conditional aggregates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import to_int_or_zero
@@ -33,7 +33,8 @@ def share_of_max(df: DataFrame, value: str, k: int = 10, tie: list[str] | None =
     """
     top = top_k(df, value, k, tie)
     cnt = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
-    m = top.select(F.max(F.col(value)).cast("double").alias("m")).scalar()
+    # the top-k result is at most k rows in one partition, so a frame-wide window is free here
+    m = F.max(F.col(value).cast("double")).over(Window.partitionBy())
     m = F.when(m.isNull() | (m == 0), F.lit(1.0)).otherwise(m)
     return top.withColumn(out, ((cnt / m) * factor).cast("int"))
 
@@ -42,9 +43,8 @@ def scale_to_width(df: DataFrame, value: str, width: int = 280, out: str = "bar_
     """A2 (after F3): ``int(v / max * width)`` with the max over all kept rows; ascending order (O3)."""
     kept = positive_only(df, value)
     v = F.col(value).cast("double")
-    m = kept.select(F.max(v).alias("m")).scalar()
-    return (kept.withColumn(out, F.when(m.isNull() | (m == 0), F.lit(0))
-                            .otherwise(((v / m) * width).cast("int")))
+    m = kept.select(F.max(v).alias("m")).scalar()  # referenced once: one subquery run
+    return (kept.withColumn(out, F.coalesce((F.try_divide(v, m) * width).cast("int"), F.lit(0)))
             .orderBy(F.col(value).asc_nulls_last()))
 
 
