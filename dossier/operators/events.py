@@ -21,20 +21,9 @@ def epoch_micros(ts: Column | str) -> Column:
     return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
 
 
-def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
-                    bucket_seconds: int = 6 * 3600, tie: str | None = "event_id") -> DataFrame:
-    """ST3 (batch): add ``session_start`` to every event - a new session starts after a gap > ``gap_seconds``.
-
-    1. window over (user, bucket): a fragment starts at the bucket's first
-       event or after a gap; fragments are numbered within the bucket;
-    2. per (user, bucket): first start, last end, number of fragments;
-    3. over those bucket rows per user: the first fragment of a bucket
-       continues the previous bucket's last fragment when the gap is small;
-       a chain runs on through buckets that hold a single continuing
-       fragment, so the head is the nearest earlier bucket that is not such
-       a pass-through;
-    4. each fragment gets its head's start time as the session key.
-    """
+def _fragments(events: DataFrame, user: str, ts: str, gap_seconds: int, bucket_seconds: int,
+               tie: str | None) -> tuple[DataFrame, DataFrame]:
+    """Events numbered into fragments per (user, bucket), and the fragment summary."""
     if bucket_seconds < gap_seconds:
         raise ValueError("bucket_seconds must be >= gap_seconds")
     gap = gap_seconds * 1_000_000
@@ -45,26 +34,66 @@ def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", ga
     prev = F.lag("__us").over(w)
     ev = ev.withColumn("__new", F.when(prev.isNull() | ((F.col("__us") - prev) > gap), 1).otherwise(0))
     ev = ev.withColumn("__f", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    frags = ev.groupBy(user, "__b", "__f").agg(F.min("__us").alias("__fs"), F.max("__us").alias("__fe"),
+                                              F.count(F.lit(1)).alias("__n"))
+    return ev, frags
+
+
+def _heads(frags: DataFrame, user: str, gap_seconds: int) -> DataFrame:
+    """Per fragment, the start (micros) of the session it belongs to (``__head``).
 
-    frags = ev.groupBy(user, "__b", "__f").agg(F.min("__us").alias("__fs"), F.max("__us").alias("__fe"))
+    Over the per-(user, bucket) summary: the first fragment of a bucket
+    continues the previous bucket's last fragment when the gap is small; a
+    chain runs on through buckets holding a single continuing fragment, so
+    the head is the last fragment of the nearest earlier bucket that is not
+    such a pass-through.
+    """
+    gap = gap_seconds * 1_000_000
     buckets = frags.groupBy(user, "__b").agg(
-        F.min("__fs").alias("__first"), F.max("__fe").alias("__last"), F.count(F.lit(1)).alias("__n"),
+        F.min("__fs").alias("__first"), F.max("__fe").alias("__last"), F.count(F.lit(1)).alias("__nf"),
         F.max_by("__fs", "__f").alias("__tail_start"))
     wb = Window.partitionBy(user).orderBy("__b")
-    prev_last = F.lag("__last").over(wb)
-    cont = F.coalesce((F.col("__first") - prev_last) <= gap, F.lit(False))
+    cont = F.coalesce((F.col("__first") - F.lag("__last").over(wb)) <= gap, F.lit(False))
     buckets = buckets.withColumn("__cont", cont)
-    # a bucket whose only fragment continues the previous one passes the chain through
-    buckets = buckets.withColumn("__origin", ~((F.col("__n") == 1) & F.col("__cont")))
+    buckets = buckets.withColumn("__origin", ~((F.col("__nf") == 1) & F.col("__cont")))
     origin_tail = F.last(F.when(F.col("__origin"), F.col("__tail_start")), ignorenulls=True).over(
         wb.rowsBetween(Window.unboundedPreceding, -1))
     buckets = buckets.withColumn("__carry", F.when(F.col("__cont"), origin_tail))
     heads = frags.join(buckets.select(user, "__b", "__carry"), [user, "__b"])
-    heads = heads.withColumn("__head", F.when((F.col("__f") == 0) & F.col("__carry").isNotNull(), F.col("__carry"))
-                             .otherwise(F.col("__fs")))
-    out = ev.join(heads.select(user, "__b", "__f", "__head"), [user, "__b", "__f"])
-    start = F.timestamp_micros(F.col("__head")).cast("timestamp_ntz")
-    return out.withColumn("session_start", start).drop("__us", "__b", "__new", "__f", "__head")
+    return heads.withColumn("__head", F.when((F.col("__f") == 0) & F.col("__carry").isNotNull(), F.col("__carry"))
+                            .otherwise(F.col("__fs")))
+
+
+def micros_to_ntz(us: Column | str) -> Column:
+    """Microseconds since 1970 -> TIMESTAMP_NTZ (UTC wall clock), independent of the session time zone."""
+    c = F.col(us) if isinstance(us, str) else us
+    return F.timestamp_add("MICROSECOND", c, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def ntz_to_instant(ts: Column | str) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP read as UTC, independent of the session time zone."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def instant_to_ntz(ts: Column | str) -> Column:
+    """TIMESTAMP -> its UTC wall-clock time as TIMESTAMP_NTZ, independent of the session time zone."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return micros_to_ntz(F.unix_micros(c))
+
+
+def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
+                    bucket_seconds: int = 6 * 3600, tie: str | None = "event_id") -> DataFrame:
+    """ST3 (batch): add ``session_start`` to every event - a new session starts after a gap > ``gap_seconds``.
+
+    The per-event window runs over (user, time bucket), so a user with a
+    third of all events is still spread over many tasks; sessions crossing
+    bucket edges are stitched on per-bucket summaries (see ``_heads``), and
+    each event is joined back to its fragment's head.
+    """
+    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie)
+    heads = _heads(frags, user, gap_seconds).select(user, "__b", "__f", "__head")
+    out = ev.join(heads, [user, "__b", "__f"])
+    return out.withColumn("session_start", micros_to_ntz("__head")).drop("__us", "__b", "__new", "__f", "__head")
 
 
 def sessions_from_events(assigned: DataFrame, user: str = "user_id", ts: str = "ts") -> DataFrame:
@@ -76,8 +105,17 @@ def sessions_from_events(assigned: DataFrame, user: str = "user_id", ts: str = "
 
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
                bucket_seconds: int = 6 * 3600, tie: str | None = "event_id") -> DataFrame:
-    """ST3 (batch): one row per session - user, start, end, event count, duration in ms."""
-    return sessions_from_events(assign_sessions(events, user, ts, gap_seconds, bucket_seconds, tie), user, ts)
+    """ST3 (batch): one row per session - user, start, end, event count, duration in ms.
+
+    Built from the fragment summary alone: events are never joined back.
+    """
+    _, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie)
+    heads = _heads(frags, user, gap_seconds)
+    s = heads.groupBy(user, "__head").agg(F.max("__fe").alias("__end"), F.sum("__n").alias("n_events"))
+    start = micros_to_ntz("__head")
+    end = micros_to_ntz("__end")
+    return s.select(user, start.alias("session_start"), end.alias("session_end"), "n_events",
+                    F.timestamp_diff("MILLISECOND", start, end).alias("duration_ms"))
 
 
 def consent_filter(events: DataFrame, consent: DataFrame, on: list[str] | str) -> DataFrame:
@@ -99,7 +137,7 @@ def bot_filter(assigned: DataFrame, depth: str, user: str = "user_id", ts: str =
 def _cutoff(as_of: str, days: int) -> Column:
     """``as_of - days`` as a TIMESTAMP_NTZ literal, so the comparison is pushed into the scan."""
     t = _dt.datetime.fromisoformat(as_of) - _dt.timedelta(days=days)
-    return F.lit(t).cast("timestamp_ntz")
+    return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def retention(events: DataFrame, as_of: str, days: int = 90, ts: str = "ts") -> DataFrame:

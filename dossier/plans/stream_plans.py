@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.events import instant_to_ntz, ntz_to_instant
 from ..session import scratch_path
 from ..sources.store import KeyedTable
 from ..streaming import events as SE
@@ -34,11 +35,11 @@ def _read_stream(spark, src, schema_df: DataFrame, max_files: int | None = None)
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.option("recursiveFileLookup", "true").parquet(src).withColumn("ts", F.col("ts").cast("timestamp"))
+    return r.option("recursiveFileLookup", "true").parquet(src).withColumn("ts", ntz_to_instant("ts"))
 
 
 def _events_back(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "ts" else F.col(c) for c in cols])
+    return df.select(*[instant_to_ntz(c).alias(c) if c == "ts" else F.col(c) for c in cols])
 
 
 @register("event_ingest", "SELECT * FROM events")

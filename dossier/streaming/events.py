@@ -1,7 +1,8 @@
 """Structured Streaming versions of the event operators (ST1-ST6).
 
 Event time in files is TIMESTAMP_NTZ; ``withWatermark`` needs TIMESTAMP, so
-streams cast on the way in (session time zone UTC) and back on the way out.
+streams convert on the way in and back on the way out through epoch
+microseconds (UTC), never through the session time zone.
 Every sink has a checkpoint under the shared ``spark.checkpoint.dir`` so a
 restarted query (lost executor, lost driver) resumes where it stopped.
 """
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics as M
+from ..operators.events import instant_to_ntz, ntz_to_instant
 from ..sources.store import KeyedTable
 
 
@@ -25,7 +27,7 @@ def event_source(spark: SparkSession, path: str, schema: T.StructType, max_files
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
+    return r.parquet(path).withColumn(ts, ntz_to_instant(ts))
 
 
 def _trigger(w, trigger: str | None):
@@ -54,7 +56,7 @@ def windowed_engagement(stream: DataFrame, group: list[str], ts: str = "ts", win
     w = stream.withWatermark(ts, delay)
     keyed = w.withColumn("__w", F.window(ts, window))
     agg = M.section_engagement(keyed, ["__w", *group])
-    return agg.select(F.col("__w.start").cast("timestamp_ntz").alias("window_start"), *group,
+    return agg.select(instant_to_ntz(F.col("__w.start")).alias("window_start"), *group,
                       "views", "view_time", "interactions", "feedback")
 
 
@@ -63,8 +65,8 @@ def stream_sessions(stream: DataFrame, user: str = "user_id", ts: str = "ts", ga
     """ST3 (stream): session windows per user; duration from first to last event."""
     s = (stream.withWatermark(ts, delay).groupBy(user, F.session_window(ts, gap).alias("__s"))
          .agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.count(F.lit(1)).alias("n_events")))
-    return s.select(user, F.col("__first").cast("timestamp_ntz").alias("session_start"),
-                    F.col("__last").cast("timestamp_ntz").alias("session_end"), "n_events",
+    return s.select(user, instant_to_ntz("__first").alias("session_start"),
+                    instant_to_ntz("__last").alias("session_end"), "n_events",
                     F.timestamp_diff("MILLISECOND", F.col("__first"), F.col("__last")).alias("duration_ms"))
 
 

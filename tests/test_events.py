@@ -77,3 +77,14 @@ def test_filters(spark):
                                 ("accepted", dt.datetime(2019, 1, 1))], "status string, created_at timestamp_ntz")
     got = [r[0] for r in EV.suggestion_expiry(df, "2020-03-15", 30).collect()]
     assert got == ["archived", "pending", "accepted"]
+
+
+def test_sessions_do_not_depend_on_session_time_zone(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    utc = spark_sessions(ev, 6 * 3600)
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        other = spark_sessions(ev, 6 * 3600)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert other == utc
