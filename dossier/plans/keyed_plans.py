@@ -507,3 +507,30 @@ _MISSING_COLS = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]
 def q_missing_report(spark, d):
     table(spark, d, "customer").createOrReplaceTempView("customer")
     return missing_report(spark.sql(MISSING_INPUT), _MISSING_COLS)
+
+
+# ----------------------------------------------------------------- S7 (+ S6, S11): build the keyed section tables
+_NORM_SQL = {
+    "experience": _norm_dates_sql("experience", "start_date", "end_date", "start_date"),
+    "education": _norm_dates_sql("education", "start_date", "end_date", "start_date"),
+    "certifications": _norm_dates_sql("certifications", "issued_date", "expiry_date", "issued_date"),
+    "skills": f"SELECT * FROM ({_SKILLS_CANON}) QUALIFY row_number() OVER (PARTITION BY profile_id, skill_name "
+              f"ORDER BY endorsement_count DESC NULLS LAST, id ASC NULLS LAST) = 1",
+    "summary": f"SELECT * FROM ({CLEAN_DUCK['summary']}) QUALIFY row_number() OVER "
+               f"(PARTITION BY profile_id, id ORDER BY last_updated DESC NULLS LAST, text ASC NULLS LAST) = 1",
+}
+_ALL_SECTIONS = sorted(ST.STORED)
+
+
+@register("create_sections", "WITH c AS (" + " UNION ALL ".join(
+    f"SELECT '{s}' AS section, count(*) AS n_rows FROM ({q})" for s, q in _NORM_SQL.items())
+    + "), s AS (SELECT * FROM (VALUES " + ", ".join(f"('{s}')" for s in _ALL_SECTIONS) + ") v(section)) "
+    "SELECT s.section, coalesce(c.n_rows, 0) AS n_rows, CASE WHEN coalesce(c.n_rows, 0) > 0 "
+    "THEN CAST(coalesce(c.n_rows, 0) AS VARCHAR) || ' rows' ELSE 'no data' END AS status "
+    "FROM s LEFT JOIN c ON s.section = c.section")
+def q_create_sections(spark, d):
+    store = ST.SectionStore(spark, scratch_path(spark, "sections"))
+    store.create_sections()
+    for section in _NORM_SQL:
+        store.upsert(section, TR.prepare_section(raw_frame(spark, d, section), section), "id")
+    return ST.run_report({s: store.read(s) for s in _ALL_SECTIONS}, _ALL_SECTIONS)
