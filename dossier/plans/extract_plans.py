@@ -41,6 +41,12 @@ def q_extract_items(spark, d):
     return XT.extract_items(table(spark, d, "pages"))
 
 
+@register("extract_items_nested", ITEMS_DUCK)
+def q_extract_items_nested(spark, d):
+    """S4 through the nested-markup parser (mapInPandas); on flat lists it equals the regex path."""
+    return XT.extract_items_nested(table(spark, d, "pages"))
+
+
 # ----------------------------------------------------------------- S2: one nested profile document per lineitem row
 def _profile_docs(spark, d):
     li = table(spark, d, "lineitem")

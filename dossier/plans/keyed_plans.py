@@ -9,14 +9,14 @@ from pyspark.sql import types as T
 from ..functions.dates import DEFAULT_DATE_FORMATS
 from ..functions.numbers import NUMBER_RE
 from ..operators import transform as TR
-from ..operators.dedup import _sort_cols, dedup_keep, latest_per_key
+from ..operators.dedup import dedup_keep, latest_per_key
 from ..operators.lookup import canonicalize
 from ..operators.metrics import count_rows, missing_report, positive_only, scale_to_width, share_of_max, top_k
 from ..operators.quality import check_key, schema_drift
 from ..session import scratch_path
 from ..sources import store as ST
 from .base import register, table
-from .text_plans import CANON_SQL, raw_skills, sql_normalize_name, sql_title, _values_sql, RAW_SKILL_SQL
+from .text_plans import CANON_SQL, RAW_SKILL_SQL, _values_sql, raw_skills, sql_normalize_name, sql_title
 
 # ----------------------------------------------------------------- dialect helpers for raw frames
 _FMT = {"ymd": ("yyyy-MM-dd", "%Y-%m-%d"), "mony": ("MMM yyyy", "%b %Y"), "ym": ("yyyy-MM", "%Y-%m"),
