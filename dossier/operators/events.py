@@ -14,6 +14,8 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since 1970 for a TIMESTAMP_NTZ (``unix_micros`` rejects NTZ)."""
     c = F.col(ts) if isinstance(ts, str) else ts
@@ -21,9 +23,29 @@ def epoch_micros(ts: Column | str) -> Column:
     return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
 
 
+def micros_to_ntz(us: Column | str) -> Column:
+    """Microseconds since 1970 -> TIMESTAMP_NTZ (UTC wall clock), independent of the session time zone."""
+    c = F.col(us) if isinstance(us, str) else us
+    return F.timestamp_add("MICROSECOND", c, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
+def ntz_to_instant(ts: Column | str) -> Column:
+    """TIMESTAMP_NTZ -> TIMESTAMP read as UTC, independent of the session time zone."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def instant_to_ntz(ts: Column | str) -> Column:
+    """TIMESTAMP -> its UTC wall-clock time as TIMESTAMP_NTZ, independent of the session time zone."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    return micros_to_ntz(F.unix_micros(c))
+
+
 def _fragments(events: DataFrame, user: str, ts: str, gap_seconds: int, bucket_seconds: int,
-               tie: str | None) -> tuple[DataFrame, DataFrame]:
-    """Events numbered into fragments per (user, bucket), and the fragment summary."""
+               tie: str | None, frag_aggs: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Events numbered into fragments per (user, bucket), and the fragment summary.
+
+    ``frag_aggs`` adds per-fragment aggregates (merged to sessions by the caller).
+    """
     if bucket_seconds < gap_seconds:
         raise ValueError("bucket_seconds must be >= gap_seconds")
     gap = gap_seconds * 1_000_000
@@ -34,9 +56,14 @@ def _fragments(events: DataFrame, user: str, ts: str, gap_seconds: int, bucket_s
     prev = F.lag("__us").over(w)
     ev = ev.withColumn("__new", F.when(prev.isNull() | ((F.col("__us") - prev) > gap), 1).otherwise(0))
     ev = ev.withColumn("__f", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    frags = ev.groupBy(user, "__b", "__f").agg(F.min("__us").alias("__fs"), F.max("__us").alias("__fe"),
-                                              F.count(F.lit(1)).alias("__n"))
-    return ev, frags
+    aggs = [F.min("__us").alias("__fs"), F.max("__us").alias("__fe"), F.count(F.lit(1)).alias("__n")]
+    aggs += [c.alias(n) for n, c in (frag_aggs or {}).items()]
+    frags = ev.groupBy(user, "__b", "__f").agg(*aggs)
+    # The fragment table is read twice (bucket summary and per-fragment heads).  It is
+    # small next to the events (about one row per session piece), so it is written to
+    # the shared checkpoint folder once instead of re-sorting the events for each read.
+    ensure_checkpoint_dir(events.sparkSession)
+    return ev, frags.checkpoint(eager=True)
 
 
 def _heads(frags: DataFrame, user: str, gap_seconds: int) -> DataFrame:
@@ -46,12 +73,15 @@ def _heads(frags: DataFrame, user: str, gap_seconds: int) -> DataFrame:
     continues the previous bucket's last fragment when the gap is small; a
     chain runs on through buckets holding a single continuing fragment, so
     the head is the last fragment of the nearest earlier bucket that is not
-    such a pass-through.
+    such a pass-through.  The bucket summary reads every fragment column so
+    both uses of ``frags`` plan identically and AQE runs that stage once.
     """
     gap = gap_seconds * 1_000_000
+    extra = [c for c in frags.columns if c not in (user, "__b", "__f", "__fs", "__fe", "__n")]
     buckets = frags.groupBy(user, "__b").agg(
         F.min("__fs").alias("__first"), F.max("__fe").alias("__last"), F.count(F.lit(1)).alias("__nf"),
-        F.max_by("__fs", "__f").alias("__tail_start"))
+        F.max_by("__fs", "__f").alias("__tail_start"), F.sum("__n").alias("__bn"),
+        *[F.max(c).alias(f"__bx{i}") for i, c in enumerate(extra)])
     wb = Window.partitionBy(user).orderBy("__b")
     cont = F.coalesce((F.col("__first") - F.lag("__last").over(wb)) <= gap, F.lit(False))
     buckets = buckets.withColumn("__cont", cont)
@@ -61,24 +91,13 @@ def _heads(frags: DataFrame, user: str, gap_seconds: int) -> DataFrame:
     buckets = buckets.withColumn("__carry", F.when(F.col("__cont"), origin_tail))
     heads = frags.join(buckets.select(user, "__b", "__carry"), [user, "__b"])
     return heads.withColumn("__head", F.when((F.col("__f") == 0) & F.col("__carry").isNotNull(), F.col("__carry"))
-                            .otherwise(F.col("__fs")))
+                            .otherwise(F.col("__fs"))).drop("__carry")
 
 
-def micros_to_ntz(us: Column | str) -> Column:
-    """Microseconds since 1970 -> TIMESTAMP_NTZ (UTC wall clock), independent of the session time zone."""
-    c = F.col(us) if isinstance(us, str) else us
-    return F.timestamp_add("MICROSECOND", c, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
-
-
-def ntz_to_instant(ts: Column | str) -> Column:
-    """TIMESTAMP_NTZ -> TIMESTAMP read as UTC, independent of the session time zone."""
-    return F.timestamp_micros(epoch_micros(ts))
-
-
-def instant_to_ntz(ts: Column | str) -> Column:
-    """TIMESTAMP -> its UTC wall-clock time as TIMESTAMP_NTZ, independent of the session time zone."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return micros_to_ntz(F.unix_micros(c))
+def _label(ev: DataFrame, heads: DataFrame, user: str) -> DataFrame:
+    """Join each event to its fragment's head: the one pass that labels events."""
+    out = ev.join(heads.select(user, "__b", "__f", "__head"), [user, "__b", "__f"])
+    return out.withColumn("session_start", micros_to_ntz("__head")).drop("__us", "__b", "__new", "__f", "__head")
 
 
 def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
@@ -91,9 +110,7 @@ def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", ga
     each event is joined back to its fragment's head.
     """
     ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie)
-    heads = _heads(frags, user, gap_seconds).select(user, "__b", "__f", "__head")
-    out = ev.join(heads, [user, "__b", "__f"])
-    return out.withColumn("session_start", micros_to_ntz("__head")).drop("__us", "__b", "__new", "__f", "__head")
+    return _label(ev, _heads(frags, user, gap_seconds), user)
 
 
 def sessions_from_events(assigned: DataFrame, user: str = "user_id", ts: str = "ts") -> DataFrame:
@@ -123,15 +140,22 @@ def consent_filter(events: DataFrame, consent: DataFrame, on: list[str] | str) -
     return events.join(consent, on, "left_semi")
 
 
-def bot_filter(assigned: DataFrame, depth: str, user: str = "user_id", ts: str = "ts",
-               min_duration_ms: int = 2000) -> DataFrame:
-    """drop events of sessions shorter than ``min_duration_ms`` whose deepest scroll is 0."""
-    bots = (assigned.groupBy(user, "session_start")
-            .agg(F.max(ts).alias("__end"), F.max(depth).alias("__depth"))
-            .filter((F.timestamp_diff("MILLISECOND", F.col("session_start"), F.col("__end")) < min_duration_ms)
-                    & (F.coalesce(F.col("__depth"), F.lit(0)) == 0))
-            .select(user, "session_start"))
-    return assigned.join(bots, [user, "session_start"], "left_anti")
+def bot_filter(events: DataFrame, depth: str, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
+               min_duration_ms: int = 2000, bucket_seconds: int = 6 * 3600, tie: str | None = "event_id") -> DataFrame:
+    """sessionise, then drop events of sessions shorter than ``min_duration_ms`` whose deepest scroll is 0.
+
+    The bot test runs on fragments: a window over (user, session head) merges
+    fragment end times and depths into session values (a session spans few
+    fragments, however many events it has), bot fragments are dropped, and
+    events are joined back once.  Returns the kept events with ``session_start``.
+    """
+    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, {"__dmax": F.max(depth)})
+    heads = _heads(frags, user, gap_seconds)
+    ws = Window.partitionBy(user, "__head")
+    end = F.max("__fe").over(ws)
+    dmax = F.coalesce(F.max("__dmax").over(ws), F.lit(0))
+    flagged = heads.withColumn("__bot", ((end - F.col("__head")) < min_duration_ms * 1000) & (dmax == 0))
+    return _label(ev, flagged.filter(~F.col("__bot")), user)
 
 
 def _cutoff(as_of: str, days: int) -> Column:

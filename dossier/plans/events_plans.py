@@ -69,8 +69,8 @@ bots AS (SELECT user_id, session_start FROM a GROUP BY user_id, session_start
 SELECT event_id, user_id, session_start FROM a
 WHERE NOT EXISTS (SELECT 1 FROM bots b WHERE b.user_id = a.user_id AND b.session_start = a.session_start)""")
 def q_bot_filter(spark, d):
-    a = assigned(spark, d).withColumn("depth", F.expr(MILESTONE_OF_K))
-    return EV.bot_filter(a, "depth").select("event_id", "user_id", "session_start")
+    ev = events_k(spark, d).withColumn("depth", F.expr(MILESTONE_OF_K))
+    return EV.bot_filter(ev, "depth", gap_seconds=1800).select("event_id", "user_id", "session_start")
 
 
 ENGAGEMENT_DUCK = """SELECT {g}, count_if(event_type = 'view') AS views,
