@@ -73,9 +73,9 @@ def q_bot_filter(spark, d):
     return EV.bot_filter(ev, "depth", gap_seconds=1800).select("event_id", "user_id", "session_start")
 
 
-ENGAGEMENT_DUCK = """SELECT {g}, count_if(event_type = 'view') AS views,
+ENGAGEMENT_DUCK = """SELECT {g}, CAST(count_if(event_type = 'view') AS BIGINT) AS views,
   CAST(coalesce(sum(CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS view_time,
-  count_if(event_type = 'click') AS interactions,
+  CAST(count_if(event_type = 'click') AS BIGINT) AS interactions,
   CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END) AS BIGINT) AS feedback
 FROM ev2 GROUP BY {g}"""
 EV_CTE = f"ev AS (SELECT *, {K_DUCK} AS k FROM events), ev2 AS (SELECT *, {SECTION_OF_K} AS section FROM ev)"
@@ -94,10 +94,10 @@ def q_weighted_score(spark, d):
 
 @register("top_bottom_n", f"""WITH {EV_CTE}, e AS ({ENGAGEMENT_DUCK.format(g='section, user_id')}),
 s AS (SELECT section, user_id, view_time * 1.0 + interactions * 1.0 + feedback * 1.0 AS score FROM e)
-SELECT * FROM (SELECT section, user_id, score, row_number() OVER (PARTITION BY section ORDER BY score DESC NULLS LAST, user_id) AS rank,
+SELECT * FROM (SELECT section, user_id, score, CAST(row_number() OVER (PARTITION BY section ORDER BY score DESC NULLS LAST, user_id) AS INTEGER) AS rank,
                'top' AS side FROM s) WHERE rank <= 3
 UNION ALL
-SELECT * FROM (SELECT section, user_id, score, row_number() OVER (PARTITION BY section ORDER BY score ASC NULLS LAST, user_id) AS rank,
+SELECT * FROM (SELECT section, user_id, score, CAST(row_number() OVER (PARTITION BY section ORDER BY score ASC NULLS LAST, user_id) AS INTEGER) AS rank,
                'bottom' AS side FROM s) WHERE rank <= 3""")
 def q_top_bottom_n(spark, d):
     s = M.weighted_score(M.section_engagement(events_k(spark, d), ["section", "user_id"]))
@@ -166,7 +166,7 @@ PERIOD_SPARK = "CAST(floor(datediff(CAST(o_orderdate AS DATE), DATE '1970-01-01'
 PERIOD_DUCK = "CAST(floor(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) / 28) AS BIGINT)"
 
 
-@register("acceptance_rate", f"""SELECT period, count_if(status = 'accepted') AS accepted, count(*) AS total,
+@register("acceptance_rate", f"""SELECT period, CAST(count_if(status = 'accepted') AS BIGINT) AS accepted, count(*) AS total,
   CAST(count_if(status = 'accepted') AS DOUBLE) / CAST(count(*) AS DOUBLE) AS rate,
   CAST(count_if(status = 'accepted') AS DOUBLE) / CAST(count(*) AS DOUBLE) < 0.3 AS alarm
 FROM (SELECT {PERIOD_DUCK} AS period, {STATUS} AS status FROM orders) GROUP BY period""")

@@ -76,9 +76,9 @@ def q_stream_dedup(spark, d):
 
 
 @register("windowed_engagement", f"""WITH {EV_CTE}
-SELECT date_trunc('day', ts) AS window_start, section, count_if(event_type = 'view') AS views,
+SELECT date_trunc('day', ts) AS window_start, section, CAST(count_if(event_type = 'view') AS BIGINT) AS views,
   CAST(coalesce(sum(CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS view_time,
-  count_if(event_type = 'click') AS interactions,
+  CAST(count_if(event_type = 'click') AS BIGINT) AS interactions,
   CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END) AS BIGINT) AS feedback
 FROM ev2 GROUP BY 1, 2""")
 def q_windowed_engagement(spark, d):

@@ -13,6 +13,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 SQL = E.oracle_sql()
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",
+                 "TIMESTAMP": "timestamp_ntz", "DATE": "date"}
+
+
 def norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return "NULL"
@@ -51,5 +55,8 @@ def test_query_matches_oracle(spark, duck, name):
     res = E.queries()[name](spark, SF)
     cur = duck.execute(SQL[name])
     dcols = [c[0] for c in cur.description]
+    drows = cur.fetchall()
     assert sorted(res.columns) == sorted(dcols)
-    assert canon(res.columns, [tuple(r) for r in res.collect()]) == canon(dcols, cur.fetchall())
+    dtypes = {r[0]: DUCK_TO_SPARK.get(r[1], r[1]) for r in duck.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert {c: t for c, t in res.dtypes} == dtypes
+    assert canon(res.columns, [tuple(r) for r in res.collect()]) == canon(dcols, drows)
