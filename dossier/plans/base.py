@@ -8,6 +8,7 @@ from the data by SQL expressions shared verbatim by both sides.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -37,6 +38,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_TABLE_REF = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations".split()) + r")\b")
+
+
+def sql_on_tables(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """Run Spark SQL text whose FROM/JOIN names are driver tables, binding each name to its
+    Parquet DataFrame as a query argument (no session-wide temp views)."""
+    names = sorted({m.group(2) for m in _TABLE_REF.finditer(text)})
+    bound = _TABLE_REF.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}", text)
+    return spark.sql(bound, **{n: table(spark, sf_dir, n) for n in names})
+
+
 def load_all() -> dict[str, Query]:
     from . import events_plans, extract_plans, keyed_plans, stream_plans, text_plans  # noqa: F401
     return REGISTRY

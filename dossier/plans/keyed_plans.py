@@ -15,7 +15,7 @@ from ..operators.metrics import count_rows, missing_report, positive_only, scale
 from ..operators.quality import check_key, schema_drift
 from ..session import scratch_path
 from ..sources import store as ST
-from .base import register, table
+from .base import register, sql_on_tables, table
 from .text_plans import CANON_SQL, RAW_SKILL_SQL, _values_sql, raw_skills, sql_normalize_name, sql_title
 
 # ----------------------------------------------------------------- dialect helpers for raw frames
@@ -144,14 +144,10 @@ def raw_summary(dialect: str) -> str:
 
 RAW = {"experience": raw_experience, "education": raw_education, "skills": raw_skills_section,
        "certifications": raw_certifications, "summary": raw_summary}
-_TABLES = {"experience": ["orders"], "education": ["part"], "skills": ["part"], "certifications": ["orders"],
-           "summary": ["customer"]}
 
 
 def raw_frame(spark, d, section: str):
-    for t in _TABLES[section]:
-        table(spark, d, t).createOrReplaceTempView(t)
-    return spark.sql(RAW[section]("spark"))
+    return sql_on_tables(spark, d, RAW[section]("spark"))
 
 
 # DuckDB cleaned sections (column order = Spark's withColumns order on the raw frame)
@@ -294,8 +290,7 @@ SKILL_SECTION = "SELECT CAST(p_partkey AS STRING) AS id, p_name AS skill_name, p
 
 @register("section_order", SKILL_SECTION + " ORDER BY endorsement_count DESC NULLS LAST, id ASC NULLS LAST")
 def q_section_order(spark, d):
-    table(spark, d, "part").createOrReplaceTempView("part")
-    return ST.section_order(spark.sql(SKILL_SECTION), "skills")
+    return ST.section_order(sql_on_tables(spark, d, SKILL_SECTION), "skills")
 
 
 ENDORSE_PARTS = f"SELECT p_partkey, {RAW_ENDORSE} AS endorsement_count FROM part"
@@ -369,8 +364,7 @@ CHANGES = ("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o
 
 
 def _changes(spark, d):
-    table(spark, d, "orders").createOrReplaceTempView("orders")
-    return spark.sql(CHANGES)
+    return sql_on_tables(spark, d, CHANGES)
 
 
 @register("upsert", f"""
@@ -408,8 +402,7 @@ EDU_SECTION = ("SELECT CAST(o_orderkey AS STRING) AS id, CAST(o_custkey AS STRIN
                           "coalesce(CAST(year(end_date) AS VARCHAR), '') AS end_year FROM (" + EDU_SECTION + ") "
                           "ORDER BY end_date DESC NULLS LAST, id")
 def q_load_section(spark, d):
-    table(spark, d, "orders").createOrReplaceTempView("orders")
-    df = spark.sql(EDU_SECTION.replace("INTERVAL 4 YEAR", "INTERVAL 4 YEARS"))
+    df = sql_on_tables(spark, d, EDU_SECTION.replace("INTERVAL 4 YEAR", "INTERVAL 4 YEARS"))
     return ST.load_section(df, "education", defaults=None)
 
 
@@ -505,8 +498,7 @@ _MISSING_COLS = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]
     f"SELECT '{c}' AS field, count(*) AS n_rows, CAST(sum(CASE WHEN {c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '' "
     f"THEN 1 ELSE 0 END) AS BIGINT) AS n_missing FROM m" for c in _MISSING_COLS))
 def q_missing_report(spark, d):
-    table(spark, d, "customer").createOrReplaceTempView("customer")
-    return missing_report(spark.sql(MISSING_INPUT), _MISSING_COLS)
+    return missing_report(sql_on_tables(spark, d, MISSING_INPUT), _MISSING_COLS)
 
 
 # ----------------------------------------------------------------- S7 (+ S6, S11): build the keyed section tables

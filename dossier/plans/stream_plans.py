@@ -16,7 +16,7 @@ from ..operators.events import instant_to_ntz, ntz_to_instant
 from ..session import scratch_path
 from ..sources.store import KeyedTable
 from ..streaming import events as SE
-from .base import register, table
+from .base import register, sql_on_tables, table
 from .events_plans import K_SPARK, SECTION_OF_K, SESS_CTE, EV_CTE
 from .keyed_plans import CHANGES
 
@@ -136,8 +136,7 @@ def q_stream_upsert(spark, d):
     orders = table(spark, d, "orders")
     target = KeyedTable(spark, f"{root}/table", orders.schema)
     target.overwrite(orders)
-    orders.createOrReplaceTempView("orders")
-    changes = spark.sql(CHANGES)
+    changes = sql_on_tables(spark, d, CHANGES)
     changes.write.parquet(f"{root}/changes")
     stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/changes")
     q = SE.run_foreach_batch(stream, SE.upsert_sink(target, ["o_orderkey"]), f"{root}/ckpt", output_mode="append")
