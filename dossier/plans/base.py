@@ -38,17 +38,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table for heavy per-row work (regex, JSON, hashing) before any shuffle:
+    spread over the session's cores when its scan is a single split (see ``session.spread``)."""
+    from ..session import spread
+    return spread(table(spark, sf_dir, name))
+
+
 _TABLE_REF = re.compile(r"\b(FROM|JOIN)\s+(" + "|".join(
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations".split()) + r")\b")
 
 
-def sql_on_tables(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def sql_on_tables(spark: SparkSession, sf_dir: str, text: str, spread: bool = False) -> DataFrame:
     """Run Spark SQL text whose FROM/JOIN names are driver tables, binding each name to its
     Parquet DataFrame as a query argument (no session-wide temp views)."""
     names = sorted({m.group(2) for m in _TABLE_REF.finditer(text)})
     bound = _TABLE_REF.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}", text)
-    return spark.sql(bound, **{n: table(spark, sf_dir, n) for n in names})
+    load = wide if spread else table
+    return spark.sql(bound, **{n: load(spark, sf_dir, n) for n in names})
 
 
 def load_all() -> dict[str, Query]:

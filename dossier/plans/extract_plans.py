@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import extract as XT
-from .base import register, table
+from .base import register, wide
 
 _DECODE = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")]
 
@@ -27,7 +27,7 @@ _LOC = r"""regexp_extract(html, '(?is)<[a-z0-9]+[^>]*class="[^"]*\blocation\b[^"
 @register("extract_header", f"SELECT page_id AS profile_id, {d_first('h1')} AS full_name, {d_first('title')} AS headline, "
                             f"{d_inner_text(_LOC)} AS location FROM pages")
 def q_extract_header(spark, d):
-    return XT.extract_header(table(spark, d, "pages"))
+    return XT.extract_header(wide(spark, d, "pages"))
 
 
 ITEMS_DUCK = f"""
@@ -38,18 +38,18 @@ SELECT page_id, pos, regexp_extract(item, 'href="([^"]*)"', 1) AS href, {d_inner
 
 @register("extract_items", ITEMS_DUCK)
 def q_extract_items(spark, d):
-    return XT.extract_items(table(spark, d, "pages"))
+    return XT.extract_items(wide(spark, d, "pages"))
 
 
 @register("extract_items_nested", ITEMS_DUCK)
 def q_extract_items_nested(spark, d):
     """S4 through the nested-markup parser (mapInPandas); on flat lists it equals the regex path."""
-    return XT.extract_items_nested(table(spark, d, "pages"))
+    return XT.extract_items_nested(wide(spark, d, "pages"))
 
 
 # ----------------------------------------------------------------- S2: one nested profile document per lineitem row
 def _profile_docs(spark, d):
-    li = table(spark, d, "lineitem")
+    li = wide(spark, d, "lineitem")
     ym = lambda y, m: F.struct(y.cast("int").alias("year"), m.cast("int").alias("month"))
     y, m = F.year("l_shipdate"), F.month("l_shipdate")
     e0 = F.struct(F.col("l_returnflag").alias("companyName"), F.col("l_linestatus").alias("title"),

@@ -147,7 +147,7 @@ RAW = {"experience": raw_experience, "education": raw_education, "skills": raw_s
 
 
 def raw_frame(spark, d, section: str):
-    return sql_on_tables(spark, d, RAW[section]("spark"))
+    return sql_on_tables(spark, d, RAW[section]("spark"), spread=True)
 
 
 # DuckDB cleaned sections (column order = Spark's withColumns order on the raw frame)

@@ -9,7 +9,7 @@ from ..functions import numbers as N
 from ..functions import text as X
 from ..functions.numbers import NUMBER_RE
 from ..operators.lookup import canonicalize, lookup_frame, skill_lookup_rows
-from .base import register, table
+from .base import register, table, wide
 
 # ----------------------------------------------------------------- shared SQL (Spark SQL and DuckDB alike)
 DIRTY_SUPPLIER = (
@@ -41,7 +41,7 @@ def sql_normalize_name(x: str) -> str:
 
 
 def _supplier(spark, d):
-    return table(spark, d, "supplier").select("s_suppkey", F.expr(DIRTY_SUPPLIER).alias("raw_name"))
+    return wide(spark, d, "supplier").select("s_suppkey", F.expr(DIRTY_SUPPLIER).alias("raw_name"))
 
 
 _CLEANED = sql_strip("coalesce(raw_name, '')")
@@ -83,7 +83,7 @@ PARSE_DUCK = "try_strptime(raw_date, ['%Y-%m-%d', '%b %Y', '%Y'])"
 
 
 def _raw_dates(spark, d):
-    return table(spark, d, "orders").select("o_orderkey", F.expr(RAW_DATE_SPARK).alias("raw_date"))
+    return wide(spark, d, "orders").select("o_orderkey", F.expr(RAW_DATE_SPARK).alias("raw_date"))
 
 
 @register("parse_date", f"SELECT o_orderkey, raw_date, {PARSE_DUCK} AS parsed "
@@ -110,7 +110,7 @@ TO_DOUBLE_DUCK = f"CASE WHEN regexp_full_match(raw_number, '{NUMBER_RE}') THEN T
 
 
 def _raw_numbers(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.expr(RAW_NUMBER).alias("raw_number"))
+    return wide(spark, d, "part").select("p_partkey", F.expr(RAW_NUMBER).alias("raw_number"))
 
 
 @register("to_double", f"SELECT p_partkey, raw_number, {TO_DOUBLE_DUCK} AS value "
@@ -132,7 +132,7 @@ RAW_BOOL = ("CASE CAST(c_custkey % 4 AS INT) WHEN 0 THEN 'true' WHEN 1 THEN 'fal
 @register("to_bool", f"SELECT c_custkey, raw_flag, coalesce(TRY_CAST(raw_flag AS BOOLEAN), false) AS flag "
                      f"FROM (SELECT c_custkey, {RAW_BOOL} AS raw_flag FROM customer)")
 def q_to_bool(spark, d):
-    df = table(spark, d, "customer").select("c_custkey", F.expr(RAW_BOOL).alias("raw_flag"))
+    df = wide(spark, d, "customer").select("c_custkey", F.expr(RAW_BOOL).alias("raw_flag"))
     return df.withColumn("flag", N.to_bool("raw_flag"))
 
 
@@ -144,7 +144,7 @@ RAW_CAPTION = ("CASE CAST(c_custkey % 3 AS INT) WHEN 0 THEN 'no endorsements' "
 @register("digits_to_int", "SELECT c_custkey, caption, TRY_CAST(nullif(regexp_replace(caption, '[^0-9]', '', 'g'), '') AS BIGINT) "
                            f"AS endorsements FROM (SELECT c_custkey, {RAW_CAPTION} AS caption FROM customer)")
 def q_digits_to_int(spark, d):
-    df = table(spark, d, "customer").select("c_custkey", F.expr(RAW_CAPTION).alias("caption"))
+    df = wide(spark, d, "customer").select("c_custkey", F.expr(RAW_CAPTION).alias("caption"))
     return df.withColumn("endorsements", X.digits_to_int("caption"))
 
 
@@ -170,7 +170,7 @@ SELECT o_orderkey, range_text, start_text,
        contains(lower(end_raw), 'present') AS is_current
 FROM h""")
 def q_split_date_range(spark, d):
-    df = table(spark, d, "orders").select("o_orderkey", F.expr(RANGE_SPARK).alias("range_text"))
+    df = wide(spark, d, "orders").select("o_orderkey", F.expr(RANGE_SPARK).alias("range_text"))
     r = X.split_date_range("range_text")
     return df.select("o_orderkey", "range_text", r.start.alias("start_text"), r.end.alias("end_text"),
                      r.is_current.alias("is_current"))
@@ -182,7 +182,7 @@ START_OR_NULL = "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate END"
 @register("month_label", f"SELECT o_orderkey, CASE WHEN s IS NULL THEN '' ELSE strftime(s, '%b %Y') END AS label "
                          f"FROM (SELECT o_orderkey, {START_OR_NULL} AS s FROM orders)")
 def q_month_label(spark, d):
-    df = table(spark, d, "orders").select("o_orderkey", F.expr(START_OR_NULL).alias("s"))
+    df = wide(spark, d, "orders").select("o_orderkey", F.expr(START_OR_NULL).alias("s"))
     return df.select("o_orderkey", D.month_label("s").alias("label"))
 
 
@@ -193,7 +193,7 @@ FROM (SELECT o_orderkey, {START_OR_NULL} AS s,
         CASE WHEN o_orderkey % 3 = 0 THEN 'Present' ELSE strftime(o_orderdate + INTERVAL 400 DAY, '%b %Y') END AS el
       FROM orders)""")
 def q_date_range_label(spark, d):
-    df = table(spark, d, "orders").select(
+    df = wide(spark, d, "orders").select(
         "o_orderkey", F.expr(START_OR_NULL).alias("s"), F.expr("o_orderdate + INTERVAL 400 DAYS").alias("e"),
         F.expr("o_orderkey % 3 = 0").alias("cur"))
     return df.select("o_orderkey", D.date_range_label("s", "e", "cur").alias("label"))
@@ -207,7 +207,7 @@ YEARS = ["CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE CAST(year(o_orderdate) AS ST
                               "regexp_replace(sy || ' – ' || ey, '^[ –]+|[ –]+$', '', 'g') END AS label "
                               f"FROM (SELECT o_orderkey, {', '.join(YEARS)} FROM orders)")
 def q_year_range_label(spark, d):
-    df = table(spark, d, "orders").selectExpr("o_orderkey", *YEARS)
+    df = wide(spark, d, "orders").selectExpr("o_orderkey", *YEARS)
     return df.select("o_orderkey", D.year_range_label("sy", "ey").alias("label"))
 
 
@@ -219,7 +219,7 @@ ALIASES = ["CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_brand END AS company",
 @register("coalesce_alias", "SELECT p_partkey, coalesce(nullif(company, ''), nullif(company_name, ''), '') AS company "
                             f"FROM (SELECT p_partkey, {', '.join(ALIASES)} FROM part)")
 def q_coalesce_alias(spark, d):
-    df = table(spark, d, "part").selectExpr("p_partkey", *ALIASES)
+    df = wide(spark, d, "part").selectExpr("p_partkey", *ALIASES)
     return df.select("p_partkey", X.coalesce_alias(df, ["company", "company_name"]).alias("company"))
 
 
@@ -240,7 +240,7 @@ def _vendor_sql() -> str:
 @register("classify_vendor", f"SELECT p_partkey, issuer, cert_name, {_vendor_sql()} AS vendor "
                              f"FROM (SELECT p_partkey, {ISSUER} AS issuer, {CERT_NAME} AS cert_name FROM part)")
 def q_classify_vendor(spark, d):
-    df = table(spark, d, "part").select("p_partkey", F.expr(ISSUER).alias("issuer"), F.expr(CERT_NAME).alias("cert_name"))
+    df = wide(spark, d, "part").select("p_partkey", F.expr(ISSUER).alias("issuer"), F.expr(CERT_NAME).alias("cert_name"))
     return df.withColumn("vendor", X.classify_vendor("issuer", "cert_name"))
 
 
@@ -251,7 +251,7 @@ DEGREE = ["CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_type END AS degree",
 @register("degree_line", "SELECT p_partkey, concat_ws(', ', nullif(degree, ''), nullif(field, '')) AS degree_line "
                          f"FROM (SELECT p_partkey, {', '.join(DEGREE)} FROM part)")
 def q_degree_line(spark, d):
-    df = table(spark, d, "part").selectExpr("p_partkey", *DEGREE)
+    df = wide(spark, d, "part").selectExpr("p_partkey", *DEGREE)
     return df.select("p_partkey", X.degree_line("degree", "field").alias("degree_line"))
 
 
@@ -262,7 +262,7 @@ CERT_AS_OF = "2001-01-01"
                          "THEN 'active' ELSE 'expired' END AS status FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 "
                          "THEN NULL ELSE o_orderdate + INTERVAL 3 YEAR END AS expiry FROM orders)")
 def q_cert_status(spark, d):
-    df = table(spark, d, "orders").select(
+    df = wide(spark, d, "orders").select(
         "o_orderkey", F.expr("CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate + INTERVAL 3 YEARS END").alias("expiry"))
     return df.withColumn("status", D.cert_status("expiry", CERT_AS_OF))
 
@@ -312,7 +312,7 @@ SELECT doc_id, length(c) AS n_clean_chars, sha256(c) AS clean_sha256
 FROM (SELECT doc_id, regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g') AS c FROM documents)""")
 def q_normalize_encoding(spark, d):
     c = X.normalize_encoding("text")
-    return table(spark, d, "documents").select("doc_id", F.length(c).cast("bigint").alias("n_clean_chars"),
+    return wide(spark, d, "documents").select("doc_id", F.length(c).cast("bigint").alias("n_clean_chars"),
                                                F.sha2(c, 256).alias("clean_sha256"))
 
 
@@ -321,14 +321,14 @@ SELECT c_custkey, array_to_string(list_transform(list_filter(string_split_regex(
          lambda w: w <> ''), lambda w: upper(w[1]) || '.'), ' ') AS initials
 FROM (SELECT c_custkey, concat(c_mktsegment, ' ', c_name) AS person FROM customer)""")
 def q_mask_person(spark, d):
-    df = table(spark, d, "customer").select("c_custkey", F.concat("c_mktsegment", F.lit(" "), "c_name").alias("person"))
+    df = wide(spark, d, "customer").select("c_custkey", F.concat("c_mktsegment", F.lit(" "), "c_name").alias("person"))
     return df.select("c_custkey", X.mask_person("person").alias("initials"))
 
 
 @register("session_hash", "SELECT event_id, sha256(concat_ws('|', CAST(user_id AS VARCHAR), event_type, "
                           "CAST(CAST(ts AS DATE) AS VARCHAR))) AS session_hash FROM events")
 def q_session_hash(spark, d):
-    ev = table(spark, d, "events")
+    ev = wide(spark, d, "events")
     return ev.select("event_id", X.session_hash("user_id", "event_type", F.to_date("ts")).alias("session_hash"))
 
 
@@ -339,13 +339,13 @@ NK_TYPE = "CASE WHEN event_id % 10 = 0 THEN NULL ELSE event_type END"
                          "coalesce(lower(et), chr(0)), coalesce(lower(props), chr(0)))) AS id "
                          f"FROM (SELECT event_id, user_id, {NK_TYPE} AS et, props FROM events)")
 def q_natural_key(spark, d):
-    ev = table(spark, d, "events").select("event_id", "user_id", F.expr(NK_TYPE).alias("et"), "props")
+    ev = wide(spark, d, "events").select("event_id", "user_id", F.expr(NK_TYPE).alias("et"), "props")
     return ev.select("event_id", X.natural_key("user_id", "et", "props").alias("id"))
 
 
 @register("json_fields", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def q_json_fields(spark, d):
-    return table(spark, d, "events").select("event_id", X.json_field("props", "$.k").alias("k"))
+    return wide(spark, d, "events").select("event_id", X.json_field("props", "$.k").alias("k"))
 
 
 # ----------------------------------------------------------------- J1, E23
@@ -365,7 +365,7 @@ SKILL_CATEGORIES = {
 
 
 def raw_skills(spark, d):
-    return table(spark, d, "part").selectExpr("p_partkey", f"{SKILL_VARIANT} AS v").selectExpr(
+    return wide(spark, d, "part").selectExpr("p_partkey", f"{SKILL_VARIANT} AS v").selectExpr(
         "p_partkey", f"{RAW_SKILL} AS raw_skill")
 
 

@@ -59,3 +59,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one job's outputs."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_bytes: int = 1 << 20):
+    """Repartition a frame whose scan lands in fewer tasks than the session's parallelism.
+
+    A small file with one row group is read by one task, so per-row work on it
+    (regex, JSON, hashing) would use one core.  Such inputs are spread round-robin
+    over ``defaultParallelism`` tasks; a scan that already has enough splits - any
+    real table at scale - is returned unchanged, as are inputs under ``min_bytes``.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < min_bytes:
+        return df
+    return df.repartition(target)
