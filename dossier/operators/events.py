@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import broadcast_if_small, ensure_checkpoint_dir
 
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since 1970 for a TIMESTAMP_NTZ (``unix_micros`` rejects NTZ)."""
@@ -178,6 +178,6 @@ def suggestion_expiry(df: DataFrame, as_of: str, days: int = 30, status: str = "
 
 
 def known_values(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:
-    """Keep rows whose value is in a fixed allow-list (semi join to a broadcast constant)."""
+    """Keep rows whose value is in an allow-list (semi join; the list is broadcast when small)."""
     allow = df.sparkSession.createDataFrame([(v,) for v in allowed], "__v string")
-    return df.join(F.broadcast(allow), F.col(column) == F.col("__v"), "left_semi")
+    return df.join(broadcast_if_small(allow, known_rows=len(allowed)), F.col(column) == F.col("__v"), "left_semi")

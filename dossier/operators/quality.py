@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import validate_section  # noqa: F401  (Q1, re-exported)
+from ..session import broadcast_if_small
 
 
 def safe_column(df: DataFrame, column: str) -> str:
@@ -62,4 +63,6 @@ def schema_drift(df: DataFrame, contract: T.StructType) -> DataFrame:
         return info.withColumn("n_bad", F.lit(0).cast("bigint"))
     counted = [m[0] for m in meta if m[3] in ("ok", "type")]
     bad = df.agg(*checks).unpivot([], counted, "field", "n_bad")
-    return info.join(F.broadcast(bad), "field", "left").withColumn("n_bad", F.coalesce("n_bad", F.lit(0).cast("bigint")))
+    # one row per contract field: bounded by the contract, not by the data
+    bad = broadcast_if_small(bad, known_rows=len(counted))
+    return info.join(bad, "field", "left").withColumn("n_bad", F.coalesce("n_bad", F.lit(0).cast("bigint")))

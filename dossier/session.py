@@ -72,7 +72,31 @@ def spread(df, min_bytes: int = 1 << 20):
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) < min_bytes:
+    if planned_bytes(df) < min_bytes:
         return df
     return df.repartition(target)
+
+
+def planned_bytes(df) -> int:
+    """Catalyst's size estimate of a frame (exact for local and file relations)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+MAX_CONSTANT_ROWS = 100_000
+
+
+def broadcast_if_small(df, max_bytes: int | None = None, known_rows: int | None = None):
+    """Mark ``df`` for broadcast only when its size is known to be small; otherwise leave
+    the join strategy to Catalyst / AQE (which still broadcasts after measuring).
+
+    ``known_rows`` is for frames built on the driver from a Python list, whose row
+    count is the bound (Spark has no statistics for them); other frames are checked
+    against their planned size and ``max_bytes`` (default: the session's
+    ``spark.sql.autoBroadcastJoinThreshold``)."""
+    from pyspark.sql import functions as F
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= MAX_CONSTANT_ROWS else df
+    if max_bytes is None:
+        conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        max_bytes = int(str(conf).lower().replace("b", "")) if str(conf).lower().rstrip("b").isdigit() else 10 << 20
+    return F.broadcast(df) if 0 <= planned_bytes(df) <= max_bytes else df

@@ -116,6 +116,14 @@ class KeyedTable:
         _, p, fs = _fs(self.spark, f"{self.path}/_commits/batch={batch_id}")
         fs.create(p, True).close()
 
+    def vacuum(self, retain: int = 2) -> list[int]:
+        """Delete all but the newest ``retain`` versions (readers of older versions must be done)."""
+        jvm, _, fs = _fs(self.spark, self.path)
+        gone = self.versions()[:-retain] if retain > 0 else []
+        for v in gone:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._vpath(v)), True)
+        return gone
+
     def overwrite(self, df: DataFrame) -> int:
         vs = self.versions()
         v = (vs[-1] + 1) if vs else 0
@@ -124,11 +132,16 @@ class KeyedTable:
 
     def upsert(self, source: DataFrame, key: list[str] | str = "id", batch_id: int | None = None) -> int:
         from ..operators.dedup import dedup_keep
+        from ..session import ensure_checkpoint_dir
         key = [key] if isinstance(key, str) else list(key)
         if batch_id is not None and self._committed(batch_id):
             return self.versions()[-1]
         if self.schema is not None:
             source = conform(source, self.schema)
+        # the change set is computed once and kept in the shared checkpoint folder: the
+        # emptiness probe and the rewrite both read it, and a retry does not recompute it
+        ensure_checkpoint_dir(self.spark)
+        source = source.checkpoint(eager=True)
         if source.isEmpty():
             v = self.versions()
         else:
@@ -243,15 +256,29 @@ def stamp_batch(df: DataFrame, run_ts: str | _dt.datetime, col: str = "scraped_a
 
 
 def write_snapshot(df: DataFrame, root: str, scrape_date: str) -> None:
-    """Append a dated raw snapshot; existing dates are never rewritten."""
-    df.withColumn("scrape_date", F.lit(scrape_date)).write.mode("append").partitionBy("scrape_date").parquet(root)
+    """Write one dated raw snapshot.  Only that date's partition is (re)written, so
+    re-running a date is idempotent and other dates are never touched."""
+    (df.withColumn("scrape_date", F.lit(scrape_date)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("scrape_date").parquet(root))
+
+
+def snapshot_dates(spark: SparkSession, root: str) -> list[str]:
+    """Dates present under a snapshot root, from the partition folder names (metadata only)."""
+    _, p, fs = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("scrape_date="))
 
 
 def read_latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest snapshot; the max is found from partition values and pruned on read."""
-    snap = spark.read.parquet(root)
-    latest = snap.select(F.max("scrape_date")).scalar()
-    return snap.filter(F.col("scrape_date") == latest)
+    """The newest snapshot, read from its partition folder only."""
+    dates = snapshot_dates(spark, root)
+    if not dates:
+        raise FileNotFoundError(f"no snapshots under {root}")
+    latest = dates[-1]
+    return (spark.read.option("basePath", root).parquet(f"{root}/scrape_date={latest}")
+            .withColumn("scrape_date", F.lit(latest)))
 
 
 def run_report(frames: dict[str, DataFrame], sections: list[str]) -> DataFrame:
