@@ -110,6 +110,19 @@ def session_stats(sessions: DataFrame, period: str = "week", start: str = "sessi
             .agg(F.count(F.lit(1)).alias("n_sessions"), F.avg(duration).alias(f"avg_{duration}")))
 
 
+def top_referrers(assigned: DataFrame, referrer: str, k: int = 10, user: str = "user_id", ts: str = "ts",
+                  tie: str = "event_id") -> DataFrame:
+    """The k referrers that opened the most sessions (a session's referrer is that of its first event).
+
+    The first event per session is a hash aggregate (``min_by`` with map-side
+    combine), so a huge session costs one partial row per task.
+    """
+    first = (assigned.groupBy(user, "session_start")
+             .agg(F.min_by(F.col(referrer), F.struct(F.col(ts), F.col(tie))).alias("referrer")))
+    counts = first.groupBy("referrer").agg(F.count(F.lit(1)).alias("n_sessions"))
+    return top_k(counts, "n_sessions", k, ["referrer"])
+
+
 def section_heatmap(df: DataFrame, period_col: Column, section: str, value: Column,
                     sections: list[str]) -> DataFrame:
     """Value per period x section with an explicit section list (no extra pass to find pivot values)."""

@@ -63,6 +63,20 @@ def q_session_stats(spark, d):
     return M.session_stats(s, "week", "session_start", "duration_ms")
 
 
+REFERRER_OF_K = ("CASE CAST(k % 4 AS INT) WHEN 0 THEN 'search' WHEN 1 THEN 'social' WHEN 2 THEN 'direct' "
+                 "ELSE 'email' END")
+
+
+@register("top_referrers", f"""WITH {SESS_CTE},
+f AS (SELECT user_id, session_start, arg_min({REFERRER_OF_K}, (ts, event_id)) AS referrer FROM a
+      GROUP BY user_id, session_start)
+SELECT referrer, count(*) AS n_sessions FROM f GROUP BY referrer
+ORDER BY n_sessions DESC NULLS LAST, referrer ASC NULLS LAST LIMIT 10""")
+def q_top_referrers(spark, d):
+    a = assigned(spark, d).withColumn("referrer", F.expr(REFERRER_OF_K))
+    return M.top_referrers(a, "referrer", 10)
+
+
 @register("bot_filter", f"""WITH {SESS_CTE},
 bots AS (SELECT user_id, session_start FROM a GROUP BY user_id, session_start
          HAVING date_sub('millisecond', session_start, max(ts)) < 2000 AND max({MILESTONE_OF_K}) = 0)
