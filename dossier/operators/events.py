@@ -40,17 +40,42 @@ def instant_to_ntz(ts: Column | str) -> Column:
     return micros_to_ntz(F.unix_micros(c))
 
 
+# sub-bucket slots per bucket: bucket ids are coarse * _SPLIT + sub, so they stay in time order
+_SPLIT = 1 << 20
+# a (user, bucket) holding more events than this is split into finer time slices
+MAX_BUCKET_ROWS = 2_000_000
+
+
+def _bucketed(events: DataFrame, user: str, us: Column, bucket_us: int, max_bucket_rows: int | None) -> DataFrame:
+    """Add ``__us`` and the time-ordered bucket id ``__b``.
+
+    A user who owns a third of all events is spread over many buckets; a
+    single (user, bucket) that is itself too big is cut into equal time
+    slices, as many as its count requires.  The counts are a hash aggregate;
+    the list of hot buckets is at most ``rows / max_bucket_rows`` long and is
+    joined back with the strategy AQE picks after measuring it.
+    """
+    ev = events.withColumns({"__us": us, "__cb": F.floor(us / bucket_us)})
+    sub = F.lit(0).cast("bigint")
+    if max_bucket_rows:
+        hot = (ev.groupBy(user, "__cb").agg(F.count(F.lit(1)).alias("__cnt"))
+               .filter(F.col("__cnt") > max_bucket_rows)
+               .select(user, "__cb", F.least(F.ceil(F.col("__cnt") / max_bucket_rows), F.lit(_SPLIT)).alias("__ns")))
+        ev = ev.join(hot, [user, "__cb"], "left")
+        offset = F.col("__us") - F.col("__cb") * bucket_us
+        sub = F.coalesce(F.floor(offset * F.col("__ns") / bucket_us), sub)
+    return ev.withColumn("__b", F.col("__cb") * _SPLIT + sub).drop("__cb", "__ns")
+
+
 def _fragments(events: DataFrame, user: str, ts: str, gap_seconds: int, bucket_seconds: int,
-               tie: str | None, frag_aggs: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+               tie: str | None, frag_aggs: dict[str, Column] | None = None,
+               max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
     """Events numbered into fragments per (user, bucket), and the fragment summary.
 
     ``frag_aggs`` adds per-fragment aggregates (merged to sessions by the caller).
     """
-    if bucket_seconds < gap_seconds:
-        raise ValueError("bucket_seconds must be >= gap_seconds")
     gap = gap_seconds * 1_000_000
-    us = epoch_micros(ts)
-    ev = events.withColumns({"__us": us, "__b": F.floor(us / (bucket_seconds * 1_000_000))})
+    ev = _bucketed(events, user, epoch_micros(ts), bucket_seconds * 1_000_000, max_bucket_rows)
     order = [F.col("__us")] + ([F.col(tie)] if tie and tie in events.columns else [])
     w = Window.partitionBy(user, "__b").orderBy(*order)
     prev = F.lag("__us").over(w)
@@ -101,7 +126,8 @@ def _label(ev: DataFrame, heads: DataFrame, user: str) -> DataFrame:
 
 
 def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
-                    bucket_seconds: int = 6 * 3600, tie: str | None = "event_id") -> DataFrame:
+                    bucket_seconds: int = 6 * 3600, tie: str | None = "event_id",
+                    max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """ST3 (batch): add ``session_start`` to every event - a new session starts after a gap > ``gap_seconds``.
 
     The per-event window runs over (user, time bucket), so a user with a
@@ -109,7 +135,7 @@ def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", ga
     bucket edges are stitched on per-bucket summaries (see ``_heads``), and
     each event is joined back to its fragment's head.
     """
-    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie)
+    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, max_bucket_rows=max_bucket_rows)
     return _label(ev, _heads(frags, user, gap_seconds), user)
 
 
@@ -121,12 +147,13 @@ def sessions_from_events(assigned: DataFrame, user: str = "user_id", ts: str = "
 
 
 def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
-               bucket_seconds: int = 6 * 3600, tie: str | None = "event_id") -> DataFrame:
+               bucket_seconds: int = 6 * 3600, tie: str | None = "event_id",
+               max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """ST3 (batch): one row per session - user, start, end, event count, duration in ms.
 
     Built from the fragment summary alone: events are never joined back.
     """
-    _, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie)
+    _, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, max_bucket_rows=max_bucket_rows)
     heads = _heads(frags, user, gap_seconds)
     s = heads.groupBy(user, "__head").agg(F.max("__fe").alias("__end"), F.sum("__n").alias("n_events"))
     start = micros_to_ntz("__head")
@@ -141,7 +168,8 @@ def consent_filter(events: DataFrame, consent: DataFrame, on: list[str] | str) -
 
 
 def bot_filter(events: DataFrame, depth: str, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
-               min_duration_ms: int = 2000, bucket_seconds: int = 6 * 3600, tie: str | None = "event_id") -> DataFrame:
+               min_duration_ms: int = 2000, bucket_seconds: int = 6 * 3600, tie: str | None = "event_id",
+               max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
     """sessionise, then drop events of sessions shorter than ``min_duration_ms`` whose deepest scroll is 0.
 
     The bot test runs on fragments: a window over (user, session head) merges
@@ -149,7 +177,8 @@ def bot_filter(events: DataFrame, depth: str, user: str = "user_id", ts: str = "
     fragments, however many events it has), bot fragments are dropped, and
     events are joined back once.  Returns the kept events with ``session_start``.
     """
-    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, {"__dmax": F.max(depth)})
+    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, {"__dmax": F.max(depth)},
+                           max_bucket_rows)
     heads = _heads(frags, user, gap_seconds)
     ws = Window.partitionBy(user, "__head")
     end = F.max("__fe").over(ws)

@@ -44,8 +44,11 @@ def scale_to_width(df: DataFrame, value: str, width: int = 280, out: str = "bar_
     kept = positive_only(df, value)
     v = F.col(value).cast("double")
     m = kept.select(F.max(v).alias("m")).scalar()  # referenced once: one subquery run
+    # ties on the value are broken on the other columns, so equal values can be split
+    # across range partitions by the global sort
+    tie = [F.col(c).asc_nulls_last() for c in kept.columns if c != value]
     return (kept.withColumn(out, F.coalesce((F.try_divide(v, m) * width).cast("int"), F.lit(0)))
-            .orderBy(F.col(value).asc_nulls_last()))
+            .orderBy(F.col(value).asc_nulls_last(), *tie))
 
 
 def positive_only(df: DataFrame, value: str) -> DataFrame:

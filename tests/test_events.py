@@ -27,16 +27,17 @@ def brute_sessions(pdf: pd.DataFrame) -> set:
     return out
 
 
-def spark_sessions(df, bucket):
-    s = EV.sessionize(df, gap_seconds=GAP, bucket_seconds=bucket)
+def spark_sessions(df, bucket, max_bucket_rows=EV.MAX_BUCKET_ROWS):
+    s = EV.sessionize(df, gap_seconds=GAP, bucket_seconds=bucket, max_bucket_rows=max_bucket_rows)
     return {(r["user_id"], pd.Timestamp(r["session_start"]), pd.Timestamp(r["session_end"]), r["n_events"])
             for r in s.collect()}
 
 
-@pytest.mark.parametrize("bucket", [1800, 3 * 3600, 6 * 3600])
-def test_sessionize_matches_brute_force_on_events(spark, bucket):
+@pytest.mark.parametrize("bucket,max_rows", [(1800, None), (3 * 3600, 3), (6 * 3600, EV.MAX_BUCKET_ROWS),
+                                             (7 * 24 * 3600, 2)])
+def test_sessionize_matches_brute_force_on_events(spark, bucket, max_rows):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    assert spark_sessions(ev, bucket) == brute_sessions(ev.select("event_id", "user_id", "ts").toPandas())
+    assert spark_sessions(ev, bucket, max_rows) == brute_sessions(ev.select("event_id", "user_id", "ts").toPandas())
 
 
 def test_long_chain_and_hot_user(spark):
@@ -55,8 +56,10 @@ def test_long_chain_and_hot_user(spark):
     rows += [(eid, base, 3), (eid + 1, base, 3)]
     df = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint").repartition(7)
     expected = brute_sessions(df.toPandas())
-    for bucket in (1800, 7200):
+    for bucket in (1800, 7200, 24 * 3600):
         assert spark_sessions(df, bucket) == expected
+        # hot (user, bucket) pairs cut into finer slices give the same sessions
+        assert spark_sessions(df, bucket, max_bucket_rows=5) == expected
     assert len([s for s in expected if s[0] == 1]) == 1
 
 
