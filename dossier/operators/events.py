@@ -10,6 +10,7 @@ the number of events.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -139,6 +140,26 @@ def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", ga
     return _label(ev, _heads(frags, user, gap_seconds), user)
 
 
+def session_groups(events: DataFrame, keys: list[str], aggs: dict[str, tuple[Column, Callable[[Column], Column]]],
+                   user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800, bucket_seconds: int = 6 * 3600,
+                   tie: str | None = "event_id", max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
+    """Aggregates per (user, session, *keys) without joining events to sessions.
+
+    ``aggs`` maps an output name to (aggregate over events, merge over fragments),
+    e.g. ``{"max_depth": (F.max("depth"), F.max)}``.  Events are aggregated per
+    (user, bucket, fragment, *keys) where the window's shuffle already placed
+    them, and only those partial rows are joined to the fragment -> session map.
+    """
+    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, max_bucket_rows=max_bucket_rows)
+    heads = _heads(frags, user, gap_seconds).select(user, "__b", "__f", "__head")
+    part = ev.groupBy(user, "__b", "__f", *keys).agg(F.count(F.lit(1)).alias("__cnt"),
+                                                     *[a.alias(n) for n, (a, _) in aggs.items()])
+    merged = (part.join(heads, [user, "__b", "__f"])
+              .groupBy(user, "__head", *keys)
+              .agg(F.sum("__cnt").alias("n_events"), *[m(F.col(n)).alias(n) for n, (_, m) in aggs.items()]))
+    return merged.withColumn("session_start", micros_to_ntz("__head")).drop("__head")
+
+
 def sessions_from_events(assigned: DataFrame, user: str = "user_id", ts: str = "ts") -> DataFrame:
     """Per-session summary of events that carry ``session_start``."""
     return (assigned.groupBy(user, "session_start")

@@ -41,10 +41,6 @@ def events_k(spark, d):
     return ev.withColumn("section", F.expr(SECTION_OF_K))
 
 
-def assigned(spark, d):
-    return EV.assign_sessions(events_k(spark, d), "user_id", "ts", gap_seconds=1800)
-
-
 @register("sessionize", SESSIONS_DUCK)
 def q_sessionize(spark, d):
     return EV.sessionize(table(spark, d, "events"), "user_id", "ts", gap_seconds=1800)
@@ -53,7 +49,10 @@ def q_sessionize(spark, d):
 @register("scroll_depth", f"WITH {SESS_CTE} SELECT user_id, session_start, section, max({MILESTONE_OF_K}) AS max_depth "
                           "FROM a GROUP BY user_id, session_start, section")
 def q_scroll_depth(spark, d):
-    return M.scroll_depth(assigned(spark, d), ["user_id", "session_start", "section"], "k")
+    """A6 merged at fragment level: the deepest milestone per fragment, then per session."""
+    ev = events_k(spark, d).withColumn("milestone", F.expr(MILESTONE_OF_K))
+    g = EV.session_groups(ev, ["section"], {"max_depth": (F.max("milestone"), F.max)}, gap_seconds=1800)
+    return g.select("user_id", "session_start", "section", "max_depth")
 
 
 @register("session_stats", f"WITH s AS ({SESSIONS_DUCK}) SELECT date_trunc('week', session_start) AS period, "
@@ -73,8 +72,12 @@ f AS (SELECT user_id, session_start, arg_min({REFERRER_OF_K}, (ts, event_id)) AS
 SELECT referrer, count(*) AS n_sessions FROM f GROUP BY referrer
 ORDER BY n_sessions DESC NULLS LAST, referrer ASC NULLS LAST LIMIT 10""")
 def q_top_referrers(spark, d):
-    a = assigned(spark, d).withColumn("referrer", F.expr(REFERRER_OF_K))
-    return M.top_referrers(a, "referrer", 10)
+    """Each session's entry referrer (earliest event, merged over fragments), then the top 10."""
+    ev = events_k(spark, d).withColumn("referrer", F.expr(REFERRER_OF_K))
+    first = F.min(F.struct("ts", "event_id", "referrer"))
+    g = EV.session_groups(ev, [], {"first": (first, F.min)}, gap_seconds=1800)
+    return M.top_k(g.groupBy(F.col("first.referrer").alias("referrer")).agg(F.count(F.lit(1)).alias("n_sessions")),
+                   "n_sessions", 10, ["referrer"])
 
 
 @register("bot_filter", f"""WITH {SESS_CTE},
@@ -141,7 +144,9 @@ def q_retention(spark, d):
 @register("cold_start_gate", f"WITH {SESS_CTE} SELECT section, count(DISTINCT (user_id, session_start)) AS n_sessions, "
                              "count(DISTINCT (user_id, session_start)) >= 50 AS ready FROM a GROUP BY section")
 def q_cold_start_gate(spark, d):
-    return M.cold_start_gate(assigned(spark, d), ["section"], ["user_id", "session_start"], 50)
+    """Distinct sessions per section from the (user, session, section) groups, no per-event join."""
+    g = EV.session_groups(events_k(spark, d), ["section"], {}, gap_seconds=1800)
+    return M.cold_start_gate(g, ["section"], ["user_id", "session_start"], 50)
 
 
 @register("consent_filter", "SELECT * FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")

@@ -91,3 +91,13 @@ def test_sessions_do_not_depend_on_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert other == utc
+
+
+def test_session_groups_match_labelled_events(spark):
+    from pyspark.sql import functions as F
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    g = EV.session_groups(ev, ["event_type"], {"vmax": (F.max("value"), F.max)}, max_bucket_rows=3)
+    a = EV.assign_sessions(ev).groupBy("user_id", "session_start", "event_type").agg(
+        F.count(F.lit(1)).alias("n_events"), F.max("value").alias("vmax"))
+    cols = ["user_id", "session_start", "event_type", "n_events", "vmax"]
+    assert sorted(map(tuple, g.select(*cols).collect())) == sorted(map(tuple, a.select(*cols).collect()))
