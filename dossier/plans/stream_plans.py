@@ -20,13 +20,14 @@ from .base import register, sql_on_tables, table
 from .events_plans import K_SPARK, SECTION_OF_K, SESS_CTE, EV_CTE
 from .keyed_plans import CHANGES
 
-def _write_event_files(spark: SparkSession, d: str, root: str, copies: int = 1) -> str:
-    """Events as one folder of files per day, written in time order (a file buffer)."""
+def _write_event_files(spark: SparkSession, d: str, root: str, copies: int = 1,
+                       max_events_per_file: int = 1000) -> str:
+    """Events as a file buffer: one folder per day, files of at most ``max_events_per_file`` events."""
     ev = table(spark, d, "events")
     src = f"{root}/source"
     for c in range(copies):
-        (ev.withColumn("__day", F.date_format("ts", "yyyy-MM-dd")).repartition("__day").write.mode("append")
-         .partitionBy("__day").parquet(src))
+        day = ev.withColumn("__day", F.date_format("ts", "yyyy-MM-dd")).repartition("__day")
+        SE.write_buffer(day, src, max_events_per_file, ["__day"])
     return src
 
 
@@ -54,11 +55,12 @@ def q_event_ingest(spark, d):
 
 @register("micro_batch_flush", "SELECT * FROM events")
 def q_micro_batch_flush(spark, d):
-    """ST2: bounded micro-batches (at most a few files each); the sink equals the input."""
+    """ST2: flushes of at most 1000 events (buffer files hold at most 1000, one file per trigger);
+    the sink equals the input.  In production the trigger is ``processingTime='60 seconds'``."""
     root = scratch_path(spark, "flush")
-    src = _write_event_files(spark, d, root)
+    src = _write_event_files(spark, d, root, max_events_per_file=1000)
     ev = table(spark, d, "events")
-    q = SE.ingest(_read_stream(spark, src, ev, max_files=8), f"{root}/sink", f"{root}/ckpt")
+    q = SE.ingest(_read_stream(spark, src, ev, max_files=1), f"{root}/sink", f"{root}/ckpt")
     q.awaitTermination()
     return _events_back(spark.read.parquet(f"{root}/sink"), ev.columns)
 

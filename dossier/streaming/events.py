@@ -22,14 +22,29 @@ from ..sources.store import KeyedTable
 
 
 def event_source(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None,
-                 ts: str = "ts") -> DataFrame:
-    """ST1/ST2: a file-buffer event stream with a declared schema; ``ts`` becomes TIMESTAMP."""
+                 ts: str = "ts", max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """ST1/ST2: a file-buffer event stream with a declared schema; ``ts`` becomes TIMESTAMP.
+
+    A micro-batch takes at most ``max_files_per_trigger`` files / ``max_bytes_per_trigger``
+    bytes; with buffer files written at most N events each (``write_buffer``), one file
+    per trigger bounds a flush to N events.
+    """
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return r.parquet(path).withColumn(ts, ntz_to_instant(ts))
 
 
+def write_buffer(events: DataFrame, path: str, max_events_per_file: int = 1000, partition_by: list[str] | None = None):
+    """Append events to the file buffer, at most ``max_events_per_file`` per file."""
+    w = events.write.mode("append").option("maxRecordsPerFile", max_events_per_file)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+
+
 def _trigger(w, trigger: str | None):
     if trigger is None or trigger == "availableNow":
         return w.trigger(availableNow=True)

@@ -56,3 +56,13 @@ def test_windowed_engagement_stream(spark):
     got = sorted((r["window_start"].day, r["views"], r["view_time"], r["interactions"], r["feedback"])
                  for r in sink.read().collect())
     assert got == [(1, 1, 2.5, 1, 0), (2, 0, 0.0, 0, 1)]
+
+
+def test_flush_bounded_to_1000_events(spark):
+    root = scratch_path(spark, "t-flush")
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    SE.write_buffer(ev.repartition(3), f"{root}/src", max_events_per_file=1000)
+    q = SE.ingest(SE.event_source(spark, f"{root}/src", ev.schema, max_files_per_trigger=1), f"{root}/sink", f"{root}/ckpt")
+    q.awaitTermination()
+    sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
+    assert sum(sizes) == ev.count() and max(sizes) <= 1000 and len(sizes) >= 10
