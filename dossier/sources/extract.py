@@ -71,6 +71,23 @@ def extract_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     )
 
 
+def element_with_class(fragment: Column | str, css_class: str) -> Column:
+    """Inner text of the first element whose class list contains ``css_class``; missing -> ''."""
+    pat = rf'(?is)<([a-z0-9]+)[^>]*\bclass="[^"]*\b{css_class}\b[^"]*"[^>]*>(.*?)</\1>'
+    return inner_text(F.regexp_extract(_c(fragment), pat, 2))
+
+
+def section_items(pages: DataFrame, section_id: str, fields: dict[str, str], id_col: str = "page_id",
+                  html_col: str = "html", item_pattern: str = r"(?is)<li\b[^>]*>(.*?)</li>") -> DataFrame:
+    """Rows of one page section - the ``<section id=...>`` block, one row per list item,
+    one column per field (``{column: css class}``), each the text of the first element with that class."""
+    block = F.regexp_extract(F.col(html_col), rf'(?is)<section\b[^>]*\bid="{section_id}"[^>]*>(.*?)</section>', 1)
+    items = pages.select(F.col(id_col).alias("profile_id"),
+                         F.posexplode(F.regexp_extract_all(block, F.lit(item_pattern), 1)).alias("pos", "__item"))
+    return items.select("profile_id", F.col("pos").cast("bigint").alias("pos"),
+                        *[element_with_class("__item", cls).alias(name) for name, cls in fields.items()])
+
+
 class _ItemParser(HTMLParser):
     """Collects (depth-aware) text and first link of each outermost <li>."""
 

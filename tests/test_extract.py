@@ -57,3 +57,32 @@ def test_flatten_lists(spark):
     assert c["issued_date"] == dt.datetime(2022, 3, 1) and c["credential_url"] is None
     r = XT.flatten_recommendations(raw, "pid", "r").collect()
     assert len(r) == 1 and r[0]["recommender_name"] == "Al Bo" and r[0]["recommendation_date"] == dt.datetime(2021, 5, 1)
+
+
+PROFILE_PAGE = """<html><body><h1>Ann Lee</h1>
+<section id="experience"><ul>
+ <li class="item"><span class="title">Data Engineer</span><span class="subtitle">Acme Inc.</span>
+   <span class="caption">Jan 2022 – Present · 2 yrs</span></li>
+ <li class="item"><span class="title">Analyst</span><span class="subtitle">Globex</span>
+   <span class="caption">Jun 2018 - Dec 2021</span></li>
+</ul></section>
+<section id="skills"><ul>
+ <li class="item"><span class="title">python</span><span class="caption">42 endorsements</span></li>
+ <li class="item"><span class="title"></span></li>
+ <li class="item"><span class="title">SQL</span></li>
+</ul></section></body></html>"""
+
+
+def test_section_items_with_captions(spark):
+    from dossier.functions.text import digits_to_int, split_date_range
+    from dossier.sources.store import drop_unnamed
+    pages = spark.createDataFrame([(7, PROFILE_PAGE)], "page_id bigint, html string")
+    exp = XT.section_items(pages, "experience", {"title": "title", "company_name": "subtitle", "caption": "caption"})
+    r = split_date_range("caption")
+    got = sorted((x["title"], x["company_name"], x["s"], x["e"], x["c"]) for x in
+                 exp.select("title", "company_name", r.start.alias("s"), r.end.alias("e"), r.is_current.alias("c")).collect())
+    assert got == [("Analyst", "Globex", "Jun 2018", "Dec 2021", False),
+                   ("Data Engineer", "Acme Inc.", "Jan 2022", None, True)]
+    sk = XT.section_items(pages, "skills", {"skill_name": "title", "caption": "caption"})
+    sk = drop_unnamed(sk, "skill_name").withColumn("endorsement_count", digits_to_int("caption"))
+    assert sorted((x["skill_name"], x["endorsement_count"]) for x in sk.collect()) == [("SQL", None), ("python", 42)]

@@ -123,3 +123,10 @@ def test_canonicalize(spark):
     got = [r[0] for r in canonicalize(df, "skill").orderBy("i").select("skill").collect()]
     assert got == ["Python", "Scikit-Learn", "Natural Language Processing", "Obscure-Tool", " Apache Spark", None,
                    "TensorFlow"]
+
+
+def test_parse_date_formats_and_utc(spark):
+    assert col(spark, ["03/15/2022", "2022-03-15"], lambda c: D.parse_date(c, "MM/dd/yyyy")) == \
+        [dt.datetime(2022, 3, 15), None]
+    got = col(spark, ["2022-03-15 12:00:00"], lambda c: D.parse_date(c, utc_from="America/New_York"))
+    assert got == [dt.datetime(2022, 3, 15, 16, 0)]
