@@ -128,8 +128,8 @@ def classify_vendor(issuer: Column | str, name: Column | str) -> Column:
 
 
 def degree_line(degree: Column | str, field: Column | str) -> Column:
-    """E15: 'degree, field' or whichever is present."""
-    return F.concat_ws(", ", F.nullif(_c(degree), F.lit("")), F.nullif(_c(field), F.lit("")))
+    """E15: 'degree, field' or whichever is present (each stripped first)."""
+    return F.concat_ws(", ", F.nullif(strip(_c(degree)), F.lit("")), F.nullif(strip(_c(field)), F.lit("")))
 
 
 _CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"

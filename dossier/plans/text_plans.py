@@ -248,7 +248,8 @@ DEGREE = ["CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_type END AS degree",
           "CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_brand END AS field"]
 
 
-@register("degree_line", "SELECT p_partkey, concat_ws(', ', nullif(degree, ''), nullif(field, '')) AS degree_line "
+@register("degree_line", f"SELECT p_partkey, concat_ws(', ', nullif({sql_strip('degree')}, ''), "
+                         f"nullif({sql_strip('field')}, '')) AS degree_line "
                          f"FROM (SELECT p_partkey, {', '.join(DEGREE)} FROM part)")
 def q_degree_line(spark, d):
     df = wide(spark, d, "part").selectExpr("p_partkey", *DEGREE)
