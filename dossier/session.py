@@ -41,13 +41,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this is set by the operator and points at shared storage.
-    Only when it is unset (local tests) a local folder is created and set.
+    On a cluster this is set by the operator and points at shared storage; an
+    unset value on a non-local master is an error.  Only in local mode (tests)
+    is a local folder created and set when it is unset.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster "
+                               "(checkpoints, stream state and scratch tables live there)")
         conf_dir = tempfile.mkdtemp(prefix="dossier-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if not spark.sparkContext.getCheckpointDir():
