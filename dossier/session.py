@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not conf_dir:
+        conf_dir = spark.sparkContext.getCheckpointDir()  # set with sc.setCheckpointDir
     if not conf_dir:
         master = spark.sparkContext.master or ""
         if not master.startswith("local"):
