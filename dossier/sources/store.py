@@ -9,13 +9,12 @@ reference deletes and inserts in two separate commits).
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import extract_year
+from ..functions.text import and_all
 from ..operators.quality import safe_column
 from ..schemas import SERVE_ORDER, STORED, validate_section
 
@@ -203,7 +202,7 @@ def filter_eq(df: DataFrame, filters: dict | None = None) -> DataFrame:
     for c, v in filters.items():
         safe_column(df, c)
         conds.append(F.col(c) == F.lit(v))
-    return df.filter(reduce(lambda a, b: a & b, conds))
+    return df.filter(and_all(conds))
 
 
 def drop_unnamed(df: DataFrame, name_col: str) -> DataFrame:

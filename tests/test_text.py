@@ -130,3 +130,14 @@ def test_parse_date_formats_and_utc(spark):
         [dt.datetime(2022, 3, 15), None]
     got = col(spark, ["2022-03-15 12:00:00"], lambda c: D.parse_date(c, utc_from="America/New_York"))
     assert got == [dt.datetime(2022, 3, 15, 16, 0)]
+
+
+def test_plain_range_and_summaries(spark):
+    df = spark.createDataFrame([("2020-01", ""), ("2020-01", "2021-03"), ("2020-01", None)], "s string, e string")
+    assert [r[0] for r in df.select(D.date_range_label_plain("s", "e")).collect()] == \
+        ["2020-01 – Present", "2020-01 – 2021-03", "2020-01 – Present"]
+    from dossier.operators import events as EV
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    a = EV.sessions_from_events(EV.assign_sessions(ev)).select("user_id", "session_start", "n_events", "duration_ms")
+    b = EV.sessionize(ev).select("user_id", "session_start", "n_events", "duration_ms")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
