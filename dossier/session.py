@@ -76,17 +76,21 @@ def spread(df, min_bytes: int = 1 << 20):
     over ``defaultParallelism`` tasks; a scan that already has enough splits - any
     real table at scale - is returned unchanged, as are inputs under ``min_bytes``.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    if planned_bytes(df) < min_bytes:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target or planned_bytes(df) < min_bytes:
+            return df
+    except Exception:  # noqa: BLE001 - no access to the physical plan (e.g. a remote session): leave as is
         return df
     return df.repartition(target)
 
 
 def planned_bytes(df) -> int:
-    """Catalyst's size estimate of a frame (exact for local and file relations)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate of a frame (exact for file relations); -1 when unknown."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no access to the optimised plan
+        return -1
 
 
 MAX_CONSTANT_ROWS = 100_000
