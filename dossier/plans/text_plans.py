@@ -73,13 +73,15 @@ def q_normalize_name(spark, d):
 
 
 # ----------------------------------------------------------------- dates E2, E9
-RAW_DATE_SPARK = ("CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') "
+RAW_DATE_SPARK = ("CASE CAST(o_orderkey % 7 AS INT) WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') "
                   "WHEN 1 THEN date_format(o_orderdate, 'MMM yyyy') WHEN 2 THEN date_format(o_orderdate, 'yyyy') "
-                  "ELSE 'not-a-date' END")
-RAW_DATE_DUCK = ("CASE CAST(o_orderkey % 4 AS INT) WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') "
+                  "WHEN 3 THEN date_format(o_orderdate, 'yyyy-MM') WHEN 4 THEN date_format(o_orderdate, 'MMMM yyyy') "
+                  "WHEN 5 THEN date_format(o_orderdate, 'yyyy-MM-dd''T''HH:mm:ss') ELSE 'not-a-date' END")
+RAW_DATE_DUCK = ("CASE CAST(o_orderkey % 7 AS INT) WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') "
                  "WHEN 1 THEN strftime(o_orderdate, '%b %Y') WHEN 2 THEN strftime(o_orderdate, '%Y') "
-                 "ELSE 'not-a-date' END")
-PARSE_DUCK = "try_strptime(raw_date, ['%Y-%m-%d', '%b %Y', '%Y'])"
+                 "WHEN 3 THEN strftime(o_orderdate, '%Y-%m') WHEN 4 THEN strftime(o_orderdate, '%B %Y') "
+                 "WHEN 5 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') ELSE 'not-a-date' END")
+PARSE_DUCK = "try_strptime(raw_date, ['%Y-%m-%d', '%b %Y', '%Y', '%Y-%m', '%B %Y', '%Y-%m-%dT%H:%M:%S'])"
 
 
 def _raw_dates(spark, d):
@@ -149,22 +151,43 @@ def q_digits_to_int(spark, d):
 
 
 # ----------------------------------------------------------------- ranges and labels E7, E10, E11, E12
-RANGE_SPARK = ("CASE WHEN o_orderkey % 7 = 0 THEN date_format(o_orderdate, 'yyyy') ELSE "
-               "concat(date_format(o_orderdate, 'MMM yyyy'), ' – ', CASE WHEN o_orderkey % 3 = 0 THEN 'Present' "
-               "ELSE date_format(o_orderdate + INTERVAL 400 DAYS, 'MMM yyyy') END, ' · ', "
-               "CAST(o_orderkey % 5 + 1 AS STRING), ' yrs') END")
-RANGE_DUCK = ("CASE WHEN o_orderkey % 7 = 0 THEN strftime(o_orderdate, '%Y') ELSE "
-              "concat(strftime(o_orderdate, '%b %Y'), ' – ', CASE WHEN o_orderkey % 3 = 0 THEN 'Present' "
-              "ELSE strftime(o_orderdate + INTERVAL 400 DAY, '%b %Y') END, ' · ', "
-              "CAST(o_orderkey % 5 + 1 AS STRING), ' yrs') END")
+def _range_text(fmt) -> str:
+    """Range captions in five shapes by key: en dash with duration, spaced hyphen, bare year hyphen,
+    ISO dates with an en dash, and a single ISO date (whose hyphens are not a separator)."""
+    end = f"CASE WHEN o_orderkey % 3 = 0 THEN 'Present' ELSE {fmt('o_orderdate + INTERVAL 400 DAY', 'mony')} END"
+    return (f"CASE CAST(o_orderkey % 5 AS INT) "
+            f"WHEN 0 THEN concat({fmt('o_orderdate', 'mony')}, ' – ', {end}, ' · ', CAST(o_orderkey % 5 + 1 AS STRING), ' yrs') "
+            f"WHEN 1 THEN concat({fmt('o_orderdate', 'mony')}, ' - ', {end}) "
+            f"WHEN 2 THEN concat({fmt('o_orderdate', 'y')}, '-', CASE WHEN o_orderkey % 3 = 0 THEN 'present' "
+            f"ELSE {fmt('o_orderdate + INTERVAL 800 DAY', 'y')} END) "
+            f"WHEN 3 THEN concat({fmt('o_orderdate', 'ymd')}, ' – ', CASE WHEN o_orderkey % 3 = 0 THEN 'Present' "
+            f"ELSE {fmt('o_orderdate + INTERVAL 400 DAY', 'ymd')} END) "
+            f"ELSE {fmt('o_orderdate', 'ymd')} END")
+
+
+def _fmt_spark(e, k):
+    return {"mony": f"date_format({e}, 'MMM yyyy')", "y": f"date_format({e}, 'yyyy')",
+            "ymd": f"date_format({e}, 'yyyy-MM-dd')"}[k].replace("INTERVAL 400 DAY", "INTERVAL 400 DAYS").replace(
+        "INTERVAL 800 DAY", "INTERVAL 800 DAYS")
+
+
+def _fmt_duck(e, k):
+    return {"mony": f"strftime({e}, '%b %Y')", "y": f"strftime({e}, '%Y')", "ymd": f"strftime({e}, '%Y-%m-%d')"}[k]
+
+
+RANGE_SPARK = _range_text(_fmt_spark)
+RANGE_DUCK = _range_text(_fmt_duck)
 
 
 @register("split_date_range", f"""
 WITH r AS (SELECT o_orderkey, {RANGE_DUCK} AS range_text FROM orders),
 p AS (SELECT o_orderkey, range_text, trim(split_part(range_text, '·', 1)) AS dp FROM r),
+s AS (SELECT o_orderkey, range_text, dp,
+        CASE WHEN contains(dp, '–') THEN '–' WHEN contains(dp, ' - ') THEN ' - '
+             WHEN contains(dp, '-') AND NOT regexp_matches(dp, '[0-9]{{4}}-[0-9]{{1,2}}') THEN '-' END AS sep FROM p),
 h AS (SELECT o_orderkey, range_text,
-        CASE WHEN contains(dp, '–') THEN trim(split_part(dp, '–', 1)) ELSE '' END AS start_text,
-        CASE WHEN contains(dp, '–') THEN trim(split_part(dp, '–', 2)) ELSE '' END AS end_raw FROM p)
+        CASE WHEN sep IS NULL THEN '' ELSE trim(split_part(dp, sep, 1)) END AS start_text,
+        CASE WHEN sep IS NULL THEN '' ELSE trim(split_part(dp, sep, 2)) END AS end_raw FROM s)
 SELECT o_orderkey, range_text, start_text,
        CASE WHEN contains(lower(end_raw), 'present') OR end_raw = '' THEN NULL ELSE end_raw END AS end_text,
        contains(lower(end_raw), 'present') AS is_current
