@@ -32,8 +32,8 @@ _SHAPES = {
     "yyyy-MM-dd": r"^\d{4}-\d{2}-\d{2}$",
     "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$",
     "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{6}$",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{6}$",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}$",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{1,6}$",
     "yyyy-MM": r"^\d{4}-\d{2}$",
     "MMM yyyy": r"^[A-Za-z]{3} \d{4}$",
     "MMMM yyyy": r"^[A-Za-z]{3,9} \d{4}$",

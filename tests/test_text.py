@@ -141,3 +141,11 @@ def test_plain_range_and_summaries(spark):
     a = EV.sessions_from_events(EV.assign_sessions(ev)).select("user_id", "session_start", "n_events", "duration_ms")
     b = EV.sessionize(ev).select("user_id", "session_start", "n_events", "duration_ms")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_parse_date_of_typed_and_fractional_values(spark):
+    df = spark.createDataFrame([(dt.datetime(2020, 1, 1, 10, 0, 0, 500000),), (dt.datetime(2021, 5, 6),)], "t timestamp_ntz")
+    assert [r[0] for r in df.select(D.parse_date("t")).collect()] == [dt.datetime(2020, 1, 1, 10, 0, 0, 500000),
+                                                                      dt.datetime(2021, 5, 6)]
+    assert col(spark, ["2020-01-01T10:00:00.25", "2020-01-01 10:00:00.123456"], D.parse_date) == \
+        [dt.datetime(2020, 1, 1, 10, 0, 0, 250000), dt.datetime(2020, 1, 1, 10, 0, 0, 123456)]
