@@ -63,8 +63,8 @@ def _bucketed(events: DataFrame, user: str, us: Column, bucket_us: int, max_buck
                .filter(F.col("__cnt") > max_bucket_rows)
                .select(user, "__cb", F.least(F.ceil(F.col("__cnt") / max_bucket_rows), F.lit(_SPLIT)).alias("__ns")))
         ev = ev.join(hot, [user, "__cb"], "left")
-        offset = F.col("__us") - F.col("__cb") * bucket_us
-        sub = F.coalesce(F.floor(offset * F.col("__ns") / bucket_us), sub)
+        # exact integer slice index in [0, __ns): offset < bucket_us, so no float rounding at the edges
+        sub = F.coalesce(F.expr(f"((__us - __cb * {int(bucket_us)}) * __ns) div {int(bucket_us)}"), sub)
     return ev.withColumn("__b", F.col("__cb") * _SPLIT + sub).drop("__cb", "__ns")
 
 
