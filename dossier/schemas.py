@@ -21,11 +21,11 @@ RAW: dict[str, T.StructType] = {
     "profile": _st(("profile_id", S), ("full_name", S), ("headline", S), ("summary", S),
                    ("location", S), ("industry", S), ("profile_picture_url", S),
                    ("connection_count", T.LongType()), ("scraped_at", S)),
-    "experience": _st(("id", S), ("profile_id", S), ("company_name", S), ("company_linkedin_url", S),
+    "experience": _st(("id", S), ("profile_id", S), ("company_name", S), ("company_url", S),
                       ("company_logo_url", S), ("title", S), ("employment_type", S), ("location", S),
                       ("start_date", S), ("end_date", S), ("is_current", T.BooleanType()),
                       ("description", S), ("scraped_at", S)),
-    "education": _st(("id", S), ("profile_id", S), ("school_name", S), ("school_linkedin_url", S),
+    "education": _st(("id", S), ("profile_id", S), ("school_name", S), ("school_url", S),
                      ("degree", S), ("field_of_study", S), ("start_date", S), ("end_date", S),
                      ("grade", S), ("activities", S), ("description", S), ("scraped_at", S)),
     "skills": _st(("id", S), ("profile_id", S), ("skill_name", S), ("endorsement_count", S),
