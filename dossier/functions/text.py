@@ -89,8 +89,8 @@ def split_date_range(c: Column | str, variant: str = "experience") -> Column:
     """
     raw = F.coalesce(_c(c).cast("string"), F.lit(""))
     if variant == "experience":
-        parts = F.filter(F.transform(F.split(raw, "·"), lambda p: strip(p)), lambda p: p != "")
-        part = F.coalesce(F.get(parts, 0), F.lit(""))
+        # the first non-blank '·'-separated part: skip leading blank parts, take up to the next '·'
+        part = strip(F.regexp_extract(raw, r"(?U)^(?:\s*·)*\s*([^·]*)", 1))
     else:
         part = strip(raw)
     en = part.contains("–")

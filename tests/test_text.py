@@ -149,3 +149,10 @@ def test_parse_date_of_typed_and_fractional_values(spark):
                                                                       dt.datetime(2021, 5, 6)]
     assert col(spark, ["2020-01-01T10:00:00.25", "2020-01-01 10:00:00.123456"], D.parse_date) == \
         [dt.datetime(2020, 1, 1, 10, 0, 0, 250000), dt.datetime(2020, 1, 1, 10, 0, 0, 123456)]
+
+
+def test_split_date_range_leading_blank_parts(spark):
+    df = spark.createDataFrame([(" · · Jan 2020 – Mar 2021 · 1 yr",), ("·",), ("",)], "v string")
+    r = X.split_date_range("v")
+    assert [tuple(x) for x in df.select(r.start, r.end, r.is_current).collect()] == \
+        [("Jan 2020", "Mar 2021", False), ("", None, False), ("", None, False)]
