@@ -66,3 +66,30 @@ def test_flush_bounded_to_1000_events(spark):
     q.awaitTermination()
     sizes = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
     assert sum(sizes) == ev.count() and max(sizes) <= 1000 and len(sizes) >= 10
+
+
+def test_restart_from_checkpoint_is_exactly_once(spark):
+    root = scratch_path(spark, "t-restart")
+    t0 = dt.datetime(2024, 1, 1)
+    _files(spark, root, [[(i, t0 + dt.timedelta(minutes=i), 1, "view", 1.0, "{}") for i in range(5)]])
+    src = spark.createDataFrame([], SCHEMA).schema
+    SE.ingest(SE.event_source(spark, f"{root}/src/*", src), f"{root}/sink", f"{root}/ckpt").awaitTermination()
+    # more files arrive; the restarted query (same checkpoint) reads only the new ones
+    spark.createDataFrame([(i, t0 + dt.timedelta(minutes=i), 1, "view", 1.0, "{}") for i in range(5, 9)], SCHEMA) \
+        .coalesce(1).write.parquet(f"{root}/src/b9")
+    SE.ingest(SE.event_source(spark, f"{root}/src/*", src), f"{root}/sink", f"{root}/ckpt").awaitTermination()
+    ids = sorted(r[0] for r in spark.read.parquet(f"{root}/sink").select("event_id").collect())
+    assert ids == list(range(9))
+
+
+def test_half_written_version_is_ignored(spark):
+    root = scratch_path(spark, "t-partial")
+    t = KeyedTable(spark, f"{root}/t")
+    t.upsert(spark.createDataFrame([(1, "a")], "id int, v string"), "id")
+    # a job that died while writing version 1: data files but no _SUCCESS marker
+    spark.createDataFrame([(9, "zz")], "id int, v string").write.parquet(f"{root}/t/v=1")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root}/t/v=1/_SUCCESS")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+    assert t.versions() == [0]
+    assert [tuple(r) for r in t.read().collect()] == [(1, "a")]
