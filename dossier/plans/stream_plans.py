@@ -84,40 +84,36 @@ SELECT date_trunc('day', ts) AS window_start, section, CAST(count_if(event_type
   CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END) AS BIGINT) AS feedback
 FROM ev2 GROUP BY 1, 2""")
 def q_windowed_engagement(spark, d):
-    """ST5: daily engagement per section; update mode, merged by (window, section) into a keyed table."""
+    """ST5: daily engagement per section in append mode: each (day, section) is written once, when the
+    watermark passes the day; the input is closed with end-of-input markers (see ``_close``)."""
     root = scratch_path(spark, "engagement")
     src = _write_event_files(spark, d, root)
     ev = table(spark, d, "events")
-    stream = _read_stream(spark, src, ev).withColumn("k", F.expr(K_SPARK)).withColumn("section", F.expr(SECTION_OF_K))
-    agg = SE.windowed_engagement(stream, ["section"], "ts", "1 day", "1 hour")
-    sink = KeyedTable(spark, f"{root}/table")
-    q = SE.run_foreach_batch(agg, SE.upsert_sink(sink, ["window_start", "section"]), f"{root}/ckpt")
-    q.awaitTermination()
-    return sink.read()
 
+    def run():
+        stream = _read_stream(spark, src, ev).withColumn("k", F.expr(K_SPARK)).withColumn(
+            "section", F.when(F.col("user_id") == -1, F.lit(_MARKER)).otherwise(F.expr(SECTION_OF_K)))
+        agg = SE.windowed_engagement(stream, ["section"], "ts", "1 day", "1 hour")
+        SE.ingest(agg, f"{root}/sink", f"{root}/ckpt").awaitTermination()
 
-@register("stream_sessions", f"WITH {SESS_CTE} SELECT user_id, session_start, max(ts) AS session_end, count(*) AS n_events, "
-                             "date_sub('millisecond', session_start, max(ts)) AS duration_ms FROM a "
-                             "GROUP BY user_id, session_start")
-def q_stream_sessions(spark, d):
-    """ST3 (stream): session windows in append mode.
+    _close(run, ev, src)
+    return spark.read.parquet(f"{root}/sink").filter(F.col("section") != _MARKER)
 
-    A session is emitted once the watermark passes its end.  After the input
-    files are consumed, end-of-input marker events (user -1, days after the
-    last real event) are appended and the same checkpointed query is
-    restarted; they move the watermark past every real session.
-    """
-    root = scratch_path(spark, "sessions")
-    src = _write_event_files(spark, d, root)
-    ev = table(spark, d, "events")
 
-    def run():
-        sess = SE.stream_sessions(_read_stream(spark, src, ev), "user_id", "ts", "30 minutes", "1 hour")
-        SE.ingest(sess, f"{root}/sink", f"{root}/ckpt").awaitTermination()
+_MARKER = "end-of-input"
+
+
+def _close(run, ev: DataFrame, src: str) -> None:
+    """Run a checkpointed stream to the end of its input files, then close it.
 
+    Append-mode windows are emitted once the watermark passes them, and the
+    watermark a batch uses is the one reached by the batch before.  So after
+    the real files, two end-of-input marker events (user -1, two and four days
+    after the last real event) are appended, restarting the same checkpointed
+    query after each; the markers are not part of any result.
+    """
     run()
     last = ev.agg(F.max("ts").alias("m"))
-    # the watermark a batch uses is the one reached by the batch before it, so two markers
     for days in (2, 4):
         marker = last.select(
             F.lit(-1).cast("bigint").alias("event_id"), (F.col("m") + F.expr(f"INTERVAL {days} DAYS")).alias("ts"),
@@ -125,6 +121,23 @@ def q_stream_sessions(spark, d):
             F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
         marker.select(*ev.columns).write.mode("append").parquet(f"{src}/end-marker-{days}")
         run()
+
+
+@register("stream_sessions", f"WITH {SESS_CTE} SELECT user_id, session_start, max(ts) AS session_end, count(*) AS n_events, "
+                             "date_sub('millisecond', session_start, max(ts)) AS duration_ms FROM a "
+                             "GROUP BY user_id, session_start")
+def q_stream_sessions(spark, d):
+    """ST3 (stream): session windows in append mode; a session is emitted once the watermark passes
+    its end, and the input is closed with end-of-input markers (see ``_close``)."""
+    root = scratch_path(spark, "sessions")
+    src = _write_event_files(spark, d, root)
+    ev = table(spark, d, "events")
+
+    def run():
+        sess = SE.stream_sessions(_read_stream(spark, src, ev), "user_id", "ts", "30 minutes", "1 hour")
+        SE.ingest(sess, f"{root}/sink", f"{root}/ckpt").awaitTermination()
+
+    _close(run, ev, src)
     return spark.read.parquet(f"{root}/sink").filter(F.col("user_id") != -1)
 
 

@@ -67,7 +67,13 @@ def stream_dedup(stream: DataFrame, keys: list[str], ts: str = "ts", delay: str
 
 def windowed_engagement(stream: DataFrame, group: list[str], ts: str = "ts", window: str = "1 day",
                         delay: str = "1 hour") -> DataFrame:
-    """ST5: A4 per tumbling window and group; state is dropped once the watermark passes a window."""
+    """ST5: A4 per tumbling window and group.
+
+    In append mode each window is emitted once, when the watermark passes its
+    end, and its state is dropped; the sink is append-only.  (Filter rows out
+    after this, not before: Spark pushes a filter that does not touch the event
+    time below the watermark, so removed rows would not advance it.)
+    """
     w = stream.withWatermark(ts, delay)
     keyed = w.withColumn("__w", F.window(ts, window))
     agg = M.section_engagement(keyed, ["__w", *group])
