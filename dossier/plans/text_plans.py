@@ -72,6 +72,19 @@ def q_normalize_name(spark, d):
     return _supplier(spark, d).withColumn("normalized", X.normalize_name("raw_name"))
 
 
+def sql_normalize_name_ci(x: str) -> str:
+    s = sql_strip(f"coalesce({x}, '')")
+    s = rf"regexp_replace({s}, '\s+', ' ', 'g')"
+    return sql_strip(f"regexp_replace({sql_title(s)}, '{X.LEGAL_SUFFIX_PATTERN}', '', 'i')")
+
+
+@register("normalize_name_ignore_case", f"SELECT s_suppkey, raw_name, {sql_normalize_name_ci('raw_name')} AS normalized "
+                                        f"FROM (SELECT s_suppkey, {DIRTY_SUPPLIER} AS raw_name FROM supplier)")
+def q_normalize_name_ignore_case(spark, d):
+    """E3 with suffix_ignore_case=True: 'Llc', 'Gmbh', 'Plc' are removed as well."""
+    return _supplier(spark, d).withColumn("normalized", X.normalize_name("raw_name", suffix_ignore_case=True))
+
+
 # ----------------------------------------------------------------- dates E2, E9
 RAW_DATE_SPARK = ("CASE CAST(o_orderkey % 7 AS INT) WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') "
                   "WHEN 1 THEN date_format(o_orderdate, 'MMM yyyy') WHEN 2 THEN date_format(o_orderdate, 'yyyy') "
@@ -234,6 +247,29 @@ def q_year_range_label(spark, d):
     return df.select("o_orderkey", D.year_range_label("sy", "ey").alias("label"))
 
 
+PLAIN_RANGE = ["CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(year(o_orderdate) AS STRING) END AS s",
+               "CASE WHEN o_orderkey % 3 = 0 THEN '' WHEN o_orderkey % 7 = 0 THEN NULL "
+               "ELSE CAST(year(o_orderdate) + 2 AS STRING) END AS e"]
+
+
+@register("date_range_label_plain", "SELECT o_orderkey, coalesce(s, '') || ' – ' || CASE WHEN trim(coalesce(e, '')) = '' "
+                                    "THEN 'Present' ELSE e END AS label "
+                                    f"FROM (SELECT o_orderkey, {', '.join(PLAIN_RANGE)} FROM orders)")
+def q_date_range_label_plain(spark, d):
+    """E11 component variant: blank end -> 'Present', values used as given."""
+    df = wide(spark, d, "orders").selectExpr("o_orderkey", *PLAIN_RANGE)
+    return df.select("o_orderkey", D.date_range_label_plain("s", "e").alias("label"))
+
+
+@register("year_range_label_open", "SELECT o_orderkey, CASE WHEN sy <> '' AND ey <> '' THEN sy || ' – ' || ey "
+                                   "WHEN sy <> '' THEN sy || ' – Present' ELSE ey END AS label "
+                                   f"FROM (SELECT o_orderkey, {', '.join(YEARS)} FROM orders)")
+def q_year_range_label_open(spark, d):
+    """E12 component variant: a start without an end reads 's – Present'."""
+    df = wide(spark, d, "orders").selectExpr("o_orderkey", *YEARS)
+    return df.select("o_orderkey", D.year_range_label_open("sy", "ey").alias("label"))
+
+
 # ----------------------------------------------------------------- E13, E14, E15, E18
 ALIASES = ["CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_brand END AS company",
            "CASE WHEN p_partkey % 2 = 0 THEN NULL ELSE p_type END AS company_name"]
@@ -349,6 +385,17 @@ def q_mask_person(spark, d):
     return df.select("c_custkey", X.mask_person("person").alias("initials"))
 
 
+MASK_SALT = "2024-06-01"
+
+
+@register("mask_person_hash", f"SELECT c_custkey, sha256(coalesce(concat(c_mktsegment, ' ', c_name), '') || '{MASK_SALT}') "
+                              "AS masked FROM customer")
+def q_mask_person_hash(spark, d):
+    """E20 hashed variant: SHA-256 of name and salt."""
+    df = wide(spark, d, "customer").select("c_custkey", F.concat("c_mktsegment", F.lit(" "), "c_name").alias("person"))
+    return df.select("c_custkey", X.mask_person("person", salt=MASK_SALT).alias("masked"))
+
+
 @register("session_hash", "SELECT event_id, sha256(concat_ws('|', CAST(user_id AS VARCHAR), event_type, "
                           "CAST(CAST(ts AS DATE) AS VARCHAR))) AS session_hash FROM events")
 def q_session_hash(spark, d):
