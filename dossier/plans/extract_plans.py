@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 from ..sources import extract as XT
 from .base import register, wide
 
-_DECODE = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")]
-
-
 def d_inner_text(x: str) -> str:
     s = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    for ent, ch in _DECODE:
-        s = f"replace({s}, '{ent}', '{ch}')"
+    for ent, ch in XT.ENTITIES:
+        s = f"replace({s}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
     return rf"coalesce(regexp_replace({s}, '^\s+|\s+$', '', 'g'), '')"
 
 

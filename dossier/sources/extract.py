@@ -18,13 +18,19 @@ from pyspark.sql import types as T
 from ..functions.text import _c, strip
 
 # --------------------------------------------------------------------------- markup helpers
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+# Named character references decoded in extracted text ('&amp;' last, so '&amp;lt;' stays '&lt;').
+ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
+    ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&copy;", "©"),
+    ("&reg;", "®"), ("&trade;", "™"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
+    ("&laquo;", "«"), ("&raquo;", "»"), ("&amp;", "&"),
+)
 
 
 def decode_entities(c: Column | str) -> Column:
-    """The common named entities; '&amp;' last so '&amp;lt;' stays '&lt;'."""
+    """Decode the named character references of ``ENTITIES``."""
     x = _c(c)
-    for ent, ch in _ENTITIES:
+    for ent, ch in ENTITIES:
         x = F.replace(x, F.lit(ent), F.lit(ch))
     return x
 

@@ -86,3 +86,14 @@ def test_section_items_with_captions(spark):
     sk = XT.section_items(pages, "skills", {"skill_name": "title", "caption": "caption"})
     sk = drop_unnamed(sk, "skill_name").withColumn("endorsement_count", digits_to_int("caption"))
     assert sorted((x["skill_name"], x["endorsement_count"]) for x in sk.collect()) == [("SQL", None), ("python", 42)]
+
+
+def test_entity_captions_split(spark):
+    from dossier.functions.text import split_date_range
+    html = ('<section id="experience"><ul><li><span class="title">Eng &amp; Ops</span>'
+            '<span class="caption">Jan 2022 &ndash; Present &middot; 2 yrs</span></li></ul></section>')
+    pages = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    rows = XT.section_items(pages, "experience", {"title": "title", "caption": "caption"})
+    r = split_date_range("caption")
+    got = [tuple(x) for x in rows.select("title", r.start, r.end, r.is_current).collect()]
+    assert got == [("Eng & Ops", "Jan 2022", None, True)]
