@@ -58,8 +58,9 @@ def q_micro_batch_flush(spark, d):
     """ST2: flushes of at most 1000 events (buffer files hold at most 1000, one file per trigger);
     the sink equals the input.  In production the trigger is ``processingTime='60 seconds'``."""
     root = scratch_path(spark, "flush")
-    src = _write_event_files(spark, d, root, max_events_per_file=1000)
     ev = table(spark, d, "events")
+    src = f"{root}/source"
+    SE.write_buffer(ev.repartition(8), src, max_events_per_file=1000)
     q = SE.ingest(_read_stream(spark, src, ev, max_files=1), f"{root}/sink", f"{root}/ckpt")
     q.awaitTermination()
     return _events_back(spark.read.parquet(f"{root}/sink"), ev.columns)
