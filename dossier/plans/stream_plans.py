@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.events import instant_to_ntz, ntz_to_instant
+from ..operators.events import instant_to_ntz
 from ..session import scratch_path
 from ..sources.store import KeyedTable
 from ..streaming import events as SE
@@ -20,6 +20,7 @@ from .base import register, sql_on_tables, table
 from .events_plans import K_SPARK, SECTION_OF_K, SESS_CTE, EV_CTE
 from .keyed_plans import CHANGES
 
+
 def _write_event_files(spark: SparkSession, d: str, root: str, copies: int = 1,
                        max_events_per_file: int = 1000) -> str:
     """Events as a file buffer: one folder per day, files of at most ``max_events_per_file`` events."""
@@ -32,11 +33,7 @@ def _write_event_files(spark: SparkSession, d: str, root: str, copies: int = 1,
 
 
 def _read_stream(spark, src, schema_df: DataFrame, max_files: int | None = None) -> DataFrame:
-    schema = schema_df.schema
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.option("recursiveFileLookup", "true").parquet(src).withColumn("ts", ntz_to_instant("ts"))
+    return SE.event_source(spark, src, schema_df.schema, max_files_per_trigger=max_files, recursive=True)
 
 
 def _events_back(df: DataFrame, cols: list[str]) -> DataFrame:

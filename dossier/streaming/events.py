@@ -22,7 +22,7 @@ from ..sources.store import KeyedTable
 
 
 def event_source(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None,
-                 ts: str = "ts", max_bytes_per_trigger: int | None = None) -> DataFrame:
+                 ts: str = "ts", max_bytes_per_trigger: int | None = None, recursive: bool = False) -> DataFrame:
     """ST1/ST2: a file-buffer event stream with a declared schema; ``ts`` becomes TIMESTAMP.
 
     A micro-batch takes at most ``max_files_per_trigger`` files / ``max_bytes_per_trigger``
@@ -34,6 +34,8 @@ def event_source(spark: SparkSession, path: str, schema: T.StructType, max_files
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
         r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    if recursive:
+        r = r.option("recursiveFileLookup", "true")
     return r.parquet(path).withColumn(ts, ntz_to_instant(ts))
 
 
