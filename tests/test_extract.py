@@ -97,3 +97,15 @@ def test_entity_captions_split(spark):
     r = split_date_range("caption")
     got = [tuple(x) for x in rows.select("title", r.start, r.end, r.is_current).collect()]
     assert got == [("Eng & Ops", "Jan 2022", None, True)]
+
+
+def test_extractors_on_bad_input(spark):
+    raw = spark.createDataFrame([("p1", "{not json"), ("p2", None), ("p3", '{"experience": []}')], "pid string, doc string")
+    out = XT.flatten_profile(raw, "pid", "doc")
+    assert out["profile"].count() == 3 and out["experience"].count() == 0 and out["education"].count() == 0
+    pages = spark.createDataFrame([(1, None), (2, "<html><body>no sections</body></html>")], "page_id bigint, html string")
+    h = [tuple(r) for r in XT.extract_header(pages).orderBy("profile_id").collect()]
+    assert h == [(1, "", "", ""), (2, "", "", "")]
+    assert XT.extract_items(pages).count() == 0
+    assert XT.section_items(pages, "experience", {"title": "title"}).count() == 0
+    assert XT.extract_items_nested(pages).count() == 0
