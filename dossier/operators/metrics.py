@@ -133,9 +133,17 @@ def section_heatmap(df: DataFrame, period_col: Column, section: str, value: Colu
             .agg(F.sum(value.cast("decimal(18,2)")).cast("double")).na.fill(0.0, subset=sections))
 
 
-def cold_start_gate(df: DataFrame, group: list[str], session: list[str], threshold: int = 50) -> DataFrame:
-    """Exact distinct sessions per group and whether the threshold is reached."""
-    return (df.groupBy(*group).agg(F.count_distinct(*[F.col(s) for s in session]).alias("n_sessions"))
+def cold_start_gate(df: DataFrame, group: list[str], session: list[str], threshold: int = 50,
+                    approx: float | None = None) -> DataFrame:
+    """Distinct sessions per group and whether the threshold is reached.
+
+    Exact by default; ``approx=rsd`` uses HyperLogLog++ (``approx_count_distinct``
+    with that relative standard deviation), a fixed-size sketch per group
+    instead of a shuffle of every distinct session.
+    """
+    key = F.struct(*[F.col(s) for s in session]) if len(session) > 1 else F.col(session[0])
+    n = F.approx_count_distinct(key, approx) if approx else F.count_distinct(*[F.col(s) for s in session])
+    return (df.groupBy(*group).agg(n.alias("n_sessions"))
             .withColumn("ready", F.col("n_sessions") >= threshold))
 
 

@@ -101,3 +101,14 @@ def test_session_groups_match_labelled_events(spark):
         F.count(F.lit(1)).alias("n_events"), F.max("value").alias("vmax"))
     cols = ["user_id", "session_start", "event_type", "n_events", "vmax"]
     assert sorted(map(tuple, g.select(*cols).collect())) == sorted(map(tuple, a.select(*cols).collect()))
+
+
+def test_cold_start_gate_approx_close_to_exact(spark):
+    from dossier.operators.metrics import cold_start_gate
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    g = EV.session_groups(ev, ["event_type"], {})
+    exact = {r["event_type"]: r["n_sessions"] for r in cold_start_gate(g, ["event_type"], ["user_id", "session_start"]).collect()}
+    approx = {r["event_type"]: r["n_sessions"] for r in
+              cold_start_gate(g, ["event_type"], ["user_id", "session_start"], approx=0.01).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= 0.05 * exact[k] for k in exact)
