@@ -7,10 +7,23 @@ from pyspark.sql import functions as F
 from ..sources import extract as XT
 from .base import register, wide
 
+def d_numeric_refs(x: str) -> str:
+    ref = ("CASE WHEN regexp_full_match(t, '&#[0-9]+;') THEN TRY_CAST(regexp_extract(t, '&#([0-9]+);', 1) AS INTEGER) "
+           "WHEN regexp_full_match(t, '&#[xX][0-9a-fA-F]+;') THEN TRY_CAST('0x' || regexp_extract(t, '&#[xX]([0-9a-fA-F]+);', 1) "
+           "AS INTEGER) END")
+    dec = (f"CASE WHEN ({ref}) > 0 AND ({ref}) <= 1114111 AND NOT (({ref}) BETWEEN 55296 AND 57343) "
+           f"THEN chr({ref}) ELSE t END")
+    return (f"CASE WHEN contains({x}, '&#') THEN array_to_string(list_transform("
+            f"regexp_extract_all({x}, '{XT._TOKENS}', 1), lambda t: {dec}), '') ELSE {x} END")
+
+
 def d_inner_text(x: str) -> str:
     s = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    for ent, ch in XT.ENTITIES:
+    for ent, ch in XT.ENTITIES[:-1]:
         s = f"replace({s}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    s = d_numeric_refs(s)
+    for ent, ch in XT.ENTITIES[-1:]:
+        s = f"replace({s}, '{ent}', '{ch}')"
     return rf"coalesce(regexp_replace({s}, '^\s+|\s+$', '', 'g'), '')"
 
 

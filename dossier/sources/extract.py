@@ -27,12 +27,47 @@ ENTITIES = (
 )
 
 
+_TOKENS = r"(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});|[^&]+|&)"
+
+
+def _hex_byte(v: Column) -> Column:
+    return F.lpad(F.hex(v), 2, "0")
+
+
+def _utf8_hex(cp: Column) -> Column:
+    """Hex of the UTF-8 encoding of a code point (1 to 4 bytes)."""
+    cont = lambda shift: _hex_byte(F.lit(0x80).bitwiseOR(F.shiftright(cp, shift).bitwiseAND(0x3F)))
+    return (F.when(cp < 0x80, _hex_byte(cp))
+            .when(cp < 0x800, F.concat(_hex_byte(F.lit(0xC0).bitwiseOR(F.shiftright(cp, 6))), cont(0)))
+            .when(cp < 0x10000, F.concat(_hex_byte(F.lit(0xE0).bitwiseOR(F.shiftright(cp, 12))), cont(6), cont(0)))
+            .otherwise(F.concat(_hex_byte(F.lit(0xF0).bitwiseOR(F.shiftright(cp, 18))), cont(12), cont(6), cont(0))))
+
+
+def _decode_ref(t: Column) -> Column:
+    dec = F.regexp_extract(t, r"^&#([0-9]+);$", 1)
+    hx = F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]+);$", 1)
+    cp = F.coalesce(F.nullif(dec, F.lit("")).try_cast("int"),
+                    F.conv(F.nullif(hx, F.lit("")), 16, 10).try_cast("int"))
+    valid = cp.isNotNull() & (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(_utf8_hex(cp)), "UTF-8")).otherwise(t)
+
+
+def decode_numeric_refs(c: Column | str) -> Column:
+    """Decode '&#233;' and '&#xE9;' references; invalid ones (0, surrogates, > U+10FFFF) stay as written."""
+    x = _c(c)
+    tokens = F.regexp_extract_all(x, F.lit(_TOKENS), 1)
+    return F.when(x.contains("&#"), F.array_join(F.transform(tokens, _decode_ref), "")).otherwise(x)
+
+
 def decode_entities(c: Column | str) -> Column:
-    """Decode the named character references of ``ENTITIES``."""
+    """Decode the named references of ``ENTITIES`` and numeric references; '&amp;' goes last, so
+    '&amp;#65;' and '&amp;lt;' come out as the literal text '&#65;' and '&lt;'."""
     x = _c(c)
-    for ent, ch in ENTITIES:
+    for ent, ch in ENTITIES[:-1]:
         x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    x = decode_numeric_refs(x)
+    ent, ch = ENTITIES[-1]
+    return F.replace(x, F.lit(ent), F.lit(ch))
 
 
 def inner_text(c: Column | str) -> Column:

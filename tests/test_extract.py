@@ -109,3 +109,11 @@ def test_extractors_on_bad_input(spark):
     assert XT.extract_items(pages).count() == 0
     assert XT.section_items(pages, "experience", {"title": "title"}).count() == 0
     assert XT.extract_items_nested(pages).count() == 0
+
+
+def test_numeric_character_references(spark):
+    vals = ["caf&#233; &#x2014; it&#8217;s", "&#128512;", "bad &#0; &#xD800; &#1114112; kept", "&amp;#65; stays",
+            "x &#65;&#66; y &lt;b&gt;"]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
+    got = [r[0] for r in df.orderBy("i").select(XT.inner_text("v")).collect()]
+    assert got == ["café — it’s", "😀", "bad &#0; &#xD800; &#1114112; kept", "&#65; stays", "x AB y <b>"]
