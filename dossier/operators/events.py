@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, ensure_checkpoint_dir
+from ..session import broadcast_if_small, materialize
 
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since 1970 for a TIMESTAMP_NTZ (``unix_micros`` rejects NTZ)."""
@@ -86,10 +86,9 @@ def _fragments(events: DataFrame, user: str, ts: str, gap_seconds: int, bucket_s
     aggs += [c.alias(n) for n, c in (frag_aggs or {}).items()]
     frags = ev.groupBy(user, "__b", "__f").agg(*aggs)
     # The fragment table is read twice (bucket summary and per-fragment heads).  It is
-    # small next to the events (about one row per session piece), so it is written to
-    # the shared checkpoint folder once instead of re-sorting the events for each read.
-    ensure_checkpoint_dir(events.sparkSession)
-    return ev, frags.checkpoint(eager=True)
+    # small next to the events (about one row per session piece), so it is written once
+    # as a table in the shared checkpoint folder instead of re-sorting the events per read.
+    return ev, materialize(frags, "fragments")
 
 
 def _heads(frags: DataFrame, user: str, gap_seconds: int) -> DataFrame:

@@ -111,3 +111,15 @@ def broadcast_if_small(df, max_bytes: int | None = None, known_rows: int | None
         conf = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
         max_bytes = int(str(conf).lower().replace("b", "")) if str(conf).lower().rstrip("b").isdigit() else 10 << 20
     return F.broadcast(df) if 0 <= planned_bytes(df) <= max_bytes else df
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint folder and reading it back.
+
+    Columnar and compressed, and the read-back carries file statistics the planner
+    uses (e.g. to broadcast a small result); a lost executor re-reads the files
+    instead of recomputing the plan.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -139,16 +139,15 @@ class KeyedTable:
 
     def upsert(self, source: DataFrame, key: list[str] | str = "id", batch_id: int | None = None) -> int:
         from ..operators.dedup import dedup_keep
-        from ..session import ensure_checkpoint_dir
+        from ..session import materialize
         key = [key] if isinstance(key, str) else list(key)
         if batch_id is not None and self._committed(batch_id):
             return self.versions()[-1]
         if self.schema is not None:
             source = conform(source, self.schema)
-        # the change set is computed once and kept in the shared checkpoint folder: the
-        # emptiness probe and the rewrite both read it, and a retry does not recompute it
-        ensure_checkpoint_dir(self.spark)
-        source = source.checkpoint(eager=True)
+        # the change set is computed once and kept as a table in the shared checkpoint folder:
+        # the emptiness probe and the rewrite both read it, and a retry does not recompute it
+        source = materialize(source, "changes")
         if source.isEmpty():
             v = self.versions()
         else:
