@@ -16,7 +16,7 @@ from ..operators.quality import check_key, schema_drift
 from ..session import scratch_path
 from ..sources import store as ST
 from .base import register, sql_on_tables, table
-from .text_plans import CANON_SQL, RAW_SKILL_SQL, _values_sql, raw_skills, sql_normalize_name, sql_title
+from .text_plans import CANON_SQL, RAW_SKILL_SQL, _values_sql, raw_skills, sql_normalize_name, sql_strip, sql_title
 
 # ----------------------------------------------------------------- dialect helpers for raw frames
 _FMT = {"ymd": ("yyyy-MM-dd", "%Y-%m-%d"), "mony": ("MMM yyyy", "%b %Y"), "ym": ("yyyy-MM", "%Y-%m"),
@@ -526,3 +526,42 @@ def q_create_sections(spark, d):
     for section in _NORM_SQL:
         store.upsert(section, TR.prepare_section(raw_frame(spark, d, section), section), "id")
     return ST.run_report({s: store.read(s) for s in _ALL_SECTIONS}, _ALL_SECTIONS)
+
+
+# ----------------------------------------------------------------- serving views (S8 + E9-E15, E17) end to end
+SERVE_AS_OF = "2002-01-01"
+
+
+def d_month(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '' ELSE strftime({x}, '%b %Y') END"
+
+
+@register("serve_experience", f"""
+WITH n AS ({_NORM_SQL['experience']}),
+l AS (SELECT *, {d_month('start_date')} AS sl,
+             CASE WHEN is_current THEN 'Present' ELSE {d_month('end_date')} END AS el,
+             coalesce(end_date, TIMESTAMP '{SERVE_AS_OF}') AS e FROM n)
+SELECT id, profile_id, company_name, title, location, start_date, end_date, description, is_current,
+       coalesce(nullif(company_name, ''), '') AS company,
+       CASE WHEN sl <> '' THEN sl || ' – ' || el ELSE el END AS date_range,
+       CAST((year(e) - year(start_date)) * 12 + (month(e) - month(start_date))
+            - CASE WHEN day(e) < day(start_date) THEN 1 ELSE 0 END AS INTEGER) AS tenure_months
+FROM l""")
+def q_serve_experience(spark, d):
+    from ..operators.views import section_view
+    return section_view(TR.normalize_experience(TR.clean_experience(raw_frame(spark, d, "experience"))),
+                        "experience", SERVE_AS_OF)
+
+
+@register("serve_education", f"""
+WITH n AS ({_NORM_SQL['education']}),
+y AS (SELECT *, coalesce(CAST(year(start_date) AS VARCHAR), '') AS start_year,
+             coalesce(CAST(year(end_date) AS VARCHAR), '') AS end_year FROM n)
+SELECT *, coalesce(nullif(school_name, ''), '') AS school,
+       CASE WHEN start_year = '' AND end_year = '' THEN ''
+            ELSE regexp_replace(start_year || ' – ' || end_year, '^[ –]+|[ –]+$', '', 'g') END AS years,
+       concat_ws(', ', nullif({sql_strip('degree')}, ''), nullif({sql_strip('field_of_study')}, '')) AS degree_line
+FROM y""")
+def q_serve_education(spark, d):
+    from ..operators.views import section_view
+    return section_view(TR.normalize_education(TR.clean_education(raw_frame(spark, d, "education"))), "education")
