@@ -46,7 +46,8 @@ def section_view(df: DataFrame, section: str, as_of: str | None = None, top: int
     elif section == "skills":
         base = df.withColumns({"name": coalesce_alias(df, ["name", "skill_name"]),
                                "endorsements": to_int_or_zero(coalesce_alias(df, ["endorsements", "endorsement_count"]))})
-        return share_of_max(base, "endorsements", k=top, tie=["name"])
+        tie = ["name"] + [c for c in ("id", "profile_id") if c in base.columns]  # a total order: no arbitrary cut
+        return share_of_max(base, "endorsements", k=top, tie=tie)
     else:
         out = df
     if section in SERVE_ORDER and SERVE_ORDER[section] in out.columns:

@@ -565,3 +565,37 @@ FROM y""")
 def q_serve_education(spark, d):
     from ..operators.views import section_view
     return section_view(TR.normalize_education(TR.clean_education(raw_frame(spark, d, "education"))), "education")
+
+
+def _vendor_case(issuer: str, name: str) -> str:
+    from ..functions.text import VENDOR_DEFAULT, VENDOR_KEYWORDS
+    parts = [f"WHEN lower({issuer}) LIKE '%{k}%' OR lower({name}) LIKE '%{k}%' THEN '{v}'" for k, v in VENDOR_KEYWORDS]
+    return "CASE " + " ".join(parts) + f" ELSE '{VENDOR_DEFAULT}' END"
+
+
+@register("serve_certifications", f"""
+WITH n AS ({_NORM_SQL['certifications']}),
+a AS (SELECT *, coalesce(nullif(cert_name, ''), '') AS name, coalesce(nullif(authority, ''), '') AS issuer,
+             coalesce(nullif(CAST(issued_date AS VARCHAR), ''), '') AS issued FROM n)
+SELECT *, {_vendor_case('issuer', 'name')} AS vendor,
+       CASE WHEN expiry_date IS NULL OR expiry_date >= TIMESTAMP '{SERVE_AS_OF}' THEN 'active' ELSE 'expired' END AS status
+FROM a""")
+def q_serve_certifications(spark, d):
+    from ..operators.views import section_view
+    return section_view(TR.normalize_certifications(TR.clean_certifications(raw_frame(spark, d, "certifications"))),
+                        "certifications", SERVE_AS_OF)
+
+
+@register("serve_skills", f"""
+WITH n AS ({_NORM_SQL['skills']}),
+b AS (SELECT *, coalesce(nullif(skill_name, ''), '') AS name,
+             coalesce(CAST(trunc(CASE WHEN regexp_full_match(CAST(endorsement_count AS VARCHAR), '{NUMBER_RE}')
+                 THEN TRY_CAST(trim(CAST(endorsement_count AS VARCHAR)) AS DOUBLE) END) AS BIGINT), 0) AS endorsements FROM n),
+t AS (SELECT * FROM b ORDER BY endorsements DESC NULLS LAST, name ASC NULLS LAST, id ASC NULLS LAST,
+             profile_id ASC NULLS LAST LIMIT 10),
+m AS (SELECT CASE WHEN max(endorsements) IS NULL OR max(endorsements) = 0 THEN 1.0
+                  ELSE CAST(max(endorsements) AS DOUBLE) END AS m FROM t)
+SELECT t.*, CAST(trunc(CAST(coalesce(endorsements, 0) AS DOUBLE) / m * 100) AS INTEGER) AS pct FROM t, m""")
+def q_serve_skills(spark, d):
+    from ..operators.views import section_view
+    return section_view(TR.normalize_skills(TR.clean_skills(raw_frame(spark, d, "skills"))), "skills")
