@@ -97,7 +97,7 @@ def extract_header(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
 
 
 # --------------------------------------------------------------------------- S4
-ITEM_PATTERN = r"(?s)<li>(.*?)</li>"
+ITEM_PATTERN = r"(?is)<li\b[^>]*>(.*?)</li>"
 
 
 def extract_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",

@@ -117,3 +117,9 @@ def test_numeric_character_references(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v string")
     got = [r[0] for r in df.orderBy("i").select(XT.inner_text("v")).collect()]
     assert got == ["café — it’s", "😀", "bad &#0; &#xD800; &#1114112; kept", "&#65; stays", "x AB y <b>"]
+
+
+def test_items_with_attributes(spark):
+    html = '<link rel="x"><ul><li class="a"><a href="/1">One</a></li><LI>Two</LI></ul>'
+    pages = spark.createDataFrame([(3, html)], "page_id bigint, html string")
+    assert sorted(tuple(r) for r in XT.extract_items(pages).collect()) == [(3, 0, "/1", "One"), (3, 1, "", "Two")]
