@@ -30,8 +30,14 @@ def canon(cols, rows):
     return sorted("|".join(norm(r[i]) for i in order) for r in rows)
 
 
+WATCHED = ["spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.ansi.enabled",
+           "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.checkpoint.dir"]
+_CONF_BEFORE = {}
+
+
 @pytest.fixture(scope="module")
-def duck():
+def duck(spark):
+    _CONF_BEFORE.update({k: spark.conf.get(k, None) for k in WATCHED})
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
     for t in TABLES:
@@ -60,3 +66,7 @@ def test_query_matches_oracle(spark, duck, name):
     dtypes = {r[0]: DUCK_TO_SPARK.get(r[1], r[1]) for r in duck.execute(f"DESCRIBE {SQL[name]}").fetchall()}
     assert {c: t for c, t in res.dtypes} == dtypes
     assert canon(res.columns, [tuple(r) for r in res.collect()]) == canon(dcols, drows)
+
+
+def test_queries_leave_session_conf_unchanged(spark, duck):
+    assert _CONF_BEFORE and {k: spark.conf.get(k, None) for k in WATCHED} == _CONF_BEFORE
