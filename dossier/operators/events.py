@@ -2,9 +2,12 @@
 
 Sessionisation is written to survive a user who owns a third of all events:
 the per-event window is partitioned by (user, time bucket), never by user
-alone.  Sessions that cross a bucket edge are stitched afterwards on a
+alone, and a (user, bucket) that is itself hot is cut into finer time
+slices.  Sessions that cross a bucket edge are stitched afterwards on a
 per-(user, bucket) summary whose size is bounded by the time span, not by
-the number of events.
+the number of events.  The fragment table is written once to the shared
+checkpoint folder; per-session aggregates are merged from fragment-level
+partials (``session_groups``) so events are not joined back to sessions.
 """
 
 from __future__ import annotations
