@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.numbers import try_cast_fast
 from ..schemas import validate_section  # noqa: F401  (Q1, re-exported)
 from ..session import broadcast_if_small
 
@@ -50,7 +51,9 @@ def schema_drift(df: DataFrame, contract: T.StructType) -> DataFrame:
             continue
         act = actual[f.name].simpleString()
         c = F.col(f.name)
-        bad = F.sum(F.when(c.isNotNull() & c.try_cast(f.dataType).isNull(), 1).otherwise(0)).cast("bigint")
+        # try_cast_fast skips the cast for digit-free text (slow failure path on a drifted column)
+        fails = try_cast_fast(c, f.dataType, actual[f.name]).isNull()
+        bad = F.sum(F.when(c.isNotNull() & fails, 1).otherwise(0)).cast("bigint")
         checks.append(bad.alias(f.name))
         meta.append((f.name, exp, act, "ok" if exp == act else "type"))
     known = {f.name for f in contract.fields}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import extract_year
+from ..functions.numbers import try_cast_fast
 from ..functions.text import and_all
 from ..operators.quality import safe_column
 from ..schemas import SERVE_ORDER, STORED, validate_section
@@ -28,10 +29,11 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select the contract's fields in order, ``try_cast`` each, add missing ones as typed nulls."""
     cols = []
+    source = {fld.name: fld.dataType for fld in df.schema.fields}
     for f in schema.fields:
         if f.name in df.columns:
-            src = dict(df.dtypes)[f.name]
-            c = F.col(f.name) if src == f.dataType.simpleString() else F.col(f.name).try_cast(f.dataType)
+            src = source[f.name]
+            c = F.col(f.name) if src == f.dataType else try_cast_fast(f.name, f.dataType, src)
         else:
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))
