@@ -67,3 +67,13 @@ def test_section_views(spark):
                                   "cert_name string, authority string, issued_date timestamp_ntz, expiry_date timestamp_ntz")
     r = section_view(certs, "certifications", "2026-01-01").collect()[0]
     assert (r["vendor"], r["status"]) == ("cloud", "expired")
+
+
+def test_cli_lists_and_runs(spark, capsys):
+    from dossier.plans.__main__ import main
+    main([])
+    listing = capsys.readouterr().out
+    assert "share_of_max" in listing and "oracle" in listing
+    main(["top_k", "/root/testdata/sf0.001", "--rows", "2"])
+    out = capsys.readouterr().out
+    assert "c_custkey" in out and "only showing top 2 rows" in out
