@@ -73,7 +73,7 @@ def normalize_name(c: Column | str, suffix_ignore_case: bool = False) -> Column:
 
 
 def digits_to_int(c: Column | str) -> Column:
-    """Keep the digits of a caption; none -> null ('3 from 2' -> 32)."""
+    """Keep the digits of a caption; none -> null ('3 from 2' -> 32); beyond bigint -> null."""
     d = F.nullif(F.regexp_replace(_c(c), r"[^0-9]", ""), F.lit(""))
     return d.try_cast("bigint")
 

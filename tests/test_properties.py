@@ -79,3 +79,46 @@ def test_sessions_match_brute_force(spark, evs, bucket, max_rows):
     got = {(r["user_id"], pd.Timestamp(r["session_start"]), pd.Timestamp(r["session_end"]), r["n_events"])
            for r in EV.sessionize(df, gap_seconds=1800, bucket_seconds=bucket, max_bucket_rows=max_rows).collect()}
     assert got == brute_sessions(df.toPandas())
+
+
+from dossier.functions import numbers as N  # noqa: E402
+
+NUMS = st.floats(min_value=-1e6, max_value=1e6, allow_nan=False, allow_infinity=False)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(NUMS, st.sampled_from(["{:.3f}", "{:.0f}", "{:e}", " {:.2f} ", "{:.1f}x"])),
+                min_size=1, max_size=20))
+def test_to_double_on_formatted_numbers(spark, items):
+    texts = [fmt.format(x) for x, fmt in items]
+    want = [None if t.strip().endswith("x") else float(t) for t in texts]
+    assert _eval(spark, texts, N.to_double) == want
+
+
+CAPTIONS = st.text(alphabet=st.sampled_from(list("ab 12·-–+")), max_size=18)  # <= 18 digits fit a bigint
+
+
+@SETTINGS
+@given(st.lists(CAPTIONS, min_size=1, max_size=25))
+def test_digits_to_int_is_joined_digits(spark, texts):
+    want = [int(d) if (d := "".join(ch for ch in t if ch.isdigit())) else None for t in texts]
+    assert _eval(spark, texts, X.digits_to_int) == want
+
+
+MONTHS = st.sampled_from(["Jan", "Feb", "Mar", "Oct", "Dec"])
+YEARS = st.integers(1990, 2030)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(MONTHS, YEARS, st.one_of(st.none(), st.tuples(MONTHS, YEARS)), st.integers(0, 9)),
+                min_size=1, max_size=20))
+def test_split_date_range_on_generated_captions(spark, items):
+    texts, want = [], []
+    for m1, y1, end, yrs in items:
+        end_txt = "Present" if end is None else f"{end[0]} {end[1]}"
+        texts.append(f"{m1} {y1} – {end_txt} · {yrs} yrs")
+        want.append((f"{m1} {y1}", None if end is None else end_txt, end is None))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    r = X.split_date_range("v")
+    got = [tuple(x) for x in df.orderBy("i").select(r.start, r.end, r.is_current).collect()]
+    assert got == want
