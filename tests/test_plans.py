@@ -56,3 +56,15 @@ def test_narrow_projections(spark):
     assert re.search(r"PushedFilters: \[.*EqualTo\(c_mktsegment,BUILDING\)", p)
     p = plan(spark, "json_fields")
     assert re.search(r"ReadSchema: struct<event_id:bigint,props:string>", p)
+
+
+def test_large_caller_lookup_is_not_broadcast(spark):
+    from pyspark.sql import functions as F
+    from dossier.operators.lookup import canonicalize
+    big = spark.range(3_000_000).select(F.col("id").cast("string").alias("key"),
+                                        F.concat(F.lit("v"), F.col("id").cast("string")).alias("canonical"))
+    df = spark.createDataFrame([("1",), ("x",)], "skill string")
+    plan_text = canonicalize(df, "skill", big)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan_text  # no hint on a lookup of unproven size
+    small = canonicalize(df, "skill")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in small
