@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from dossier.functions import dates as D
@@ -156,3 +158,15 @@ def test_split_date_range_leading_blank_parts(spark):
     r = X.split_date_range("v")
     assert [tuple(x) for x in df.select(r.start, r.end, r.is_current).collect()] == \
         [("Jan 2020", "Mar 2021", False), ("", None, False), ("", None, False)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Kolkata"])
+def test_parse_date_independent_of_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = col(spark, ["2022-03-15 12:00:00", "Mar 2022"], D.parse_date)
+        utc = col(spark, ["2022-03-15 12:00:00"], lambda c: D.parse_date(c, utc_from="America/New_York"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [dt.datetime(2022, 3, 15, 12, 0), dt.datetime(2022, 3, 1)]
+    assert utc == [dt.datetime(2022, 3, 15, 16, 0)]
