@@ -57,22 +57,25 @@ SKILL_ALIASES = {
 DEFAULT_CATEGORY = "other"
 
 
+def _bare_key(name: str) -> str:
+    """Lower-case name with everything but letters, digits and spaces removed."""
+    return re.sub(r"[^a-z0-9 ]", "", name.lower()).strip()
+
+
 def skill_lookup_rows() -> list[tuple[str, str]]:
-    """(key, canonical) rows.
+    """(key, canonical) rows of the canonical-term lookup.
 
-    Each canonical name is keyed by its lower-case form; its lower-case form
-    with everything but [a-z0-9 ] removed is added as a second key unless
-    that key is already taken; the hand aliases then override.
+    Keys: every canonical name in lower case; its punctuation-free form where that
+    key is not a canonical key already (for two names with the same form, the
+    first listed wins); then the hand aliases, which override both.
     """
-    table: dict[str, str] = {}
+    exact = {name.lower(): name for name in CANONICAL_SKILLS}
+    bare: dict[str, str] = {}
     for name in CANONICAL_SKILLS:
-        low = name.lower()
-        table[low] = name
-        bare = re.sub(r"[^a-z0-9 ]", "", low).strip()
-        if bare:
-            table.setdefault(bare, name)
-    table.update(SKILL_ALIASES)
-    return sorted(table.items())
+        key = _bare_key(name)
+        if key and key not in exact and key not in bare:
+            bare[key] = name
+    return sorted({**bare, **exact, **SKILL_ALIASES}.items())
 
 
 def lookup_frame(spark: SparkSession, rows: list[tuple[str, str]] | None = None,
