@@ -67,20 +67,25 @@ def _valid(kind: str, found: Column) -> Column:
 _CHUNK = 256
 
 
-def _starts(between: Column, found: Column) -> Column:
-    """Start of each match: sums over the pieces before it, chunk by chunk so that many matches stay cheap."""
-    lengths = F.zip_with(between, found, lambda b, f: F.length(b) + F.coalesce(F.length(f), F.lit(0)))
+def _with_starts(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the start of each match: sums over the pieces before it, in chunks so that many matches stay
+    cheap.  Each array that a lambda reads is a column of its own, so that it is computed once per row."""
+    found, between, lengths, chunks, before = (F.col(f"_{p}_{name}") for p in "fblcp")
     add = lambda a, x: a + x
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _CHUNK).cast("int")),
-                         lambda j: F.aggregate(F.slice(lengths, j * _CHUNK + 1, _CHUNK), F.lit(0), add))
-    before = F.transform(chunks, lambda _, j: F.aggregate(F.slice(chunks, F.lit(1), j), F.lit(0), add))
+    some = F.size(found) > 0
+    df = df.withColumn(f"_l_{name}", F.when(some, F.zip_with(between, found, lambda b, f: F.length(b) + F.coalesce(F.length(f), F.lit(0)))))
+    df = df.withColumn(f"_c_{name}", F.when(some, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(found) - 1) / _CHUNK).cast("int")),
+        lambda j: F.aggregate(F.slice(lengths, j * _CHUNK + 1, _CHUNK), F.lit(0), add))))
+    df = df.withColumn(f"_p_{name}", F.when(some, F.transform(chunks, lambda _, j: F.when(
+        F.size(chunks) > 1, F.aggregate(F.slice(chunks, F.lit(1), j), F.lit(0), add)).otherwise(0))))
 
     def start(f, i):
         j = F.floor(i / _CHUNK).cast("int")
-        return (F.element_at(before, j + 1) + F.aggregate(F.slice(lengths, j * _CHUNK + 1, i - j * _CHUNK), F.lit(0), add)
-                + F.length(F.element_at(between, i + 1)))
+        earlier = F.when(F.size(before) > 1, F.element_at(before, j + 1)).otherwise(0)
+        return earlier + F.aggregate(F.slice(lengths, j * _CHUNK + 1, i - j * _CHUNK), F.lit(0), add) + F.length(F.element_at(between, i + 1))
 
-    return F.transform(found, start)
+    return df.withColumn(f"_s_{name}", F.when(some, F.transform(found, start)).otherwise(F.array().cast("array<int>")))
 
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,score:double>>"
@@ -110,10 +115,10 @@ def with_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataF
     for k in KINDS:
         found, starts = F.col(f"_f_{k.name}"), F.col(f"_s_{k.name}")
         df = df.withColumn(f"_b_{k.name}", F.when(F.size(found) > 0, F.split(body, k.pattern, -1)).otherwise(none))
-        df = df.withColumn(f"_s_{k.name}", F.when(F.size(found) > 0, _starts(F.col(f"_b_{k.name}"), found)).otherwise(F.array().cast("array<int>")))
+        df = _with_starts(df, k.name)
         df = df.withColumn(f"_s_{k.name}", F.when(F.size(found) > 0, _confirmed(k, body, starts, found)).otherwise(F.array().cast(SPAN)))
     df = df.withColumn(out, F.array_sort(F.concat(*[F.col(f"_s_{k.name}") for k in KINDS])))
-    return df.drop(*[f"_{p}_{k.name}" for p in "fbs" for k in KINDS])
+    return df.drop(*[f"_{p}_{k.name}" for p in "fblcps" for k in KINDS])
 
 
 def listed(spans: Column) -> Column:
