@@ -49,10 +49,19 @@ def script(word: str) -> str:
     return SCRIPTS[bisect_right(_FIRST, ord(word[0])) - 1][1]
 
 
-def features(word: str) -> list[int]:
-    """Buckets of the word's boundary-marked trigrams and of the word itself (its first 40 letters)."""
-    w = f"<{word[:40]}>"
-    return [crc32(w[i:i + 3].encode()) % BUCKETS for i in range(len(w) - 2)] + [crc32(w.encode()) % BUCKETS]
+def features(found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the byte trigrams of all words (marked at both ends, at most 40 letters of each), the place where
+    each word's trigrams start, and the bucket of each word itself."""
+    marked = [f"<{w[:40]}>".encode() for w in found]
+    sizes = np.array([len(m) for m in marked])
+    flat = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+    codes = (flat[:-2] << np.uint64(16)) | (flat[1:-1] << np.uint64(8)) | flat[2:]
+    inside = np.ones(len(flat), bool)
+    ends = np.cumsum(sizes)
+    inside[ends - 1] = inside[ends - 2] = False
+    cells = ((codes[inside[:-2]] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(BUCKETS)
+    starts = np.concatenate([[0], np.cumsum(sizes - 2)[:-1]])
+    return cells.astype(np.int64), starts, np.array([crc32(m) % BUCKETS for m in marked])
 
 
 def learning_rows(docs: DataFrame, text: str = "text", per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
@@ -74,13 +83,14 @@ class Model:
         self.logs = np.log(share).astype(np.float32)
         self.uses = {s: np.array([s in scripts.get(lang, ()) for lang in langs]) for s in {x for _, x in SCRIPTS}}
 
-    def word_scores(self, word: str) -> np.ndarray:
-        """Score per language, 0 for the best candidate, never below FLOOR; all 0 if no language uses the script."""
-        uses = self.uses[script(word)]
-        if not uses.any():
-            return np.zeros(len(self.langs), np.float32)
-        s = np.where(uses, self.logs[features(word)].sum(0), -np.inf)
-        return np.maximum(s - s.max(), FLOOR)
+    def word_scores(self, found: list[str]) -> np.ndarray:
+        """A row per word: 0 for the best candidate, never below FLOOR; all 0 if no language uses the script."""
+        cells, starts, own = features(found)
+        s = np.add.reduceat(self.logs[cells], starts, axis=0) + self.logs[own]
+        uses = np.array([self.uses[script(w)] for w in found])
+        s = np.where(uses, s, -np.inf)
+        best = s.max(axis=1, keepdims=True)
+        return np.where(uses.any(1, keepdims=True), np.maximum(s - np.where(np.isfinite(best), best, 0), FLOOR), 0).astype(np.float32)
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model | None:
@@ -89,8 +99,13 @@ def fit(docs: DataFrame, text: str = "text") -> Model | None:
         for batch in batches:
             for t, lang in zip(batch["text"], batch["lang"], strict=True):
                 cells = grams.setdefault(lang, np.zeros(BUCKETS))
-                for w, n in Counter(_WORD.findall(t.lower())).items():
-                    np.add.at(cells, features(w), n)
+                words = Counter(map(str.lower, _WORD.findall(t)))
+                if not words:
+                    continue
+                times = np.fromiter(words.values(), float, len(words))
+                at, starts, own = features(list(words))
+                cells += np.bincount(at, np.repeat(times, np.diff([*starts, len(at)])), BUCKETS) + np.bincount(own, times, BUCKETS)
+                for w, n in words.items():
                     used[lang, script(w)] += n * len(w)
         for lang, cells in grams.items():
             at = np.flatnonzero(cells)
@@ -149,35 +164,35 @@ class Scorer:
         self.table = np.empty((self.LIMIT, len(model.langs)), np.float32)
 
     def rows(self, found: list[str]) -> np.ndarray:
-        out = np.empty(len(found), np.int64)
-        index, table = self.index, self.table
-        if len(index) + len(found) > self.LIMIT:
+        if len(found) > self.LIMIT // 2:  # a very long text: in parts
+            half = len(found) // 2
+            return np.vstack([self.rows(found[:half]), self.rows(found[half:])])
+        index = self.index
+        new = [w for w in set(found) if w not in index]
+        if len(index) + len(new) > self.LIMIT:
             index.clear()
-            if len(found) > self.LIMIT:  # a very long text: in parts
-                half = len(found) // 2
-                return np.vstack([self.rows(found[:half]), self.rows(found[half:])])
-        for i, w in enumerate(found):
-            k = index.get(w)
-            if k is None:
-                k = index[w] = len(index)
-                table[k] = self.model.word_scores(w)
-            out[i] = k
-        return table[out]
+            new = list(set(found))
+        if new:
+            self.table[len(index):len(index) + len(new)] = self.model.word_scores(new)
+            index.update(zip(new, range(len(index), len(index) + len(new)), strict=True))
+        return self.table[np.fromiter(map(index.__getitem__, found), np.int64, len(found))]
 
     def label(self, text: str | None) -> tuple[str, float, list[tuple[int, int, str]]]:
         """(language, score, [(start, end, language)]) of a text; starts and ends are characters."""
-        found = list(_WORD.finditer(text)) if text else []
+        found = _WORD.findall(text) if text else []
         if not found:
             return "und", 0.0, []
-        words = [m.group().lower() or m.group() for m in found]
-        path = spans(self.rows(words))
-        sizes = np.array([m.end() - m.start() for m in found])
-        letters = np.bincount(path, sizes, len(self.model.langs))
+        langs = self.model.langs
+        path = spans(self.rows(list(map(str.lower, found))))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        letters = np.bincount(path, sizes, len(langs))
         best = int(letters.argmax())
         cut = np.flatnonzero(np.diff(path)) + 1
-        ends = [(a, b) for a, b in zip([0, *cut], [*cut, len(path)], strict=True)]
-        return (self.model.langs[best], float(letters[best] / sizes.sum()),
-                [(found[a].start(), found[b - 1].end(), self.model.langs[int(path[a])]) for a, b in ends])
+        if not len(cut):
+            return langs[best], 1.0, [(_WORD.search(text).start(), text.rfind(found[-1]) + len(found[-1]), langs[best])]
+        at = [m.span() for m in _WORD.finditer(text)]
+        ends = zip([0, *cut], [*cut, len(path)], strict=True)
+        return langs[best], float(letters[best] / sizes.sum()), [(at[a][0], at[b - 1][1], langs[int(path[a])]) for a, b in ends]
 
 
 def identify(docs: DataFrame, text: str = "text") -> DataFrame:
