@@ -119,7 +119,21 @@ def non_negative_fit(rows: np.ndarray, counts: np.ndarray, rounds: int = 600) ->
 
 def packing_plan(histogram: dict[int, int], size: int = SIZE) -> pd.DataFrame:
     """length, first (rank), times, sequence, offset: the pieces of ``length`` ranked first .. first + times - 1 go to
-    the sequences from ``sequence`` on, one each, at ``offset``."""
+    the sequences from ``sequence`` on, one each, at ``offset``.  Of three ways to round the fit (carrying fractions
+    on, to the nearest, down) the one that needs the fewest sequences is taken."""
+    rows = patterns(sorted(n for n, c in histogram.items() if c), size)
+    if not len(rows):
+        return _packed(histogram, rows, np.empty(0, int), size)
+    counts = np.zeros(size + 1)
+    for n, c in histogram.items():
+        counts[n] = c
+    x = non_negative_fit(rows, counts)
+    rounded = (np.diff(np.floor(np.cumsum(x) + 0.5), prepend=0), np.floor(x + 0.5), np.floor(x))
+    return min((_packed(histogram, rows, r.astype(int), size) for r in rounded), key=lambda p: (p["sequence"] + p["times"]).max())
+
+
+def _packed(histogram: dict[int, int], rows: np.ndarray, repeats: np.ndarray, size: int) -> pd.DataFrame:
+    """The slots of the repeated patterns, as far as the histogram allows, and of the rest packed by best fit."""
     left = {n: c for n, c in histogram.items() if c > 0}
     taken = dict.fromkeys(left, 0)
     slots, sequence = [], 0
@@ -134,18 +148,11 @@ def packing_plan(histogram: dict[int, int], size: int = SIZE) -> pd.DataFrame:
             offset += n
         sequence += times
 
-    rows = patterns(sorted(left), size)
-    if len(rows):
-        counts = np.zeros(size + 1)
-        for n, c in left.items():
-            counts[n] = c
-        x = non_negative_fit(rows, counts)
-        rounded = np.diff(np.floor(np.cumsum(x) + 0.5), prepend=0).astype(int)
-        for i in np.argsort(-rounded, kind="stable"):
-            parts = [int(n) for n in rows[i] if n]
-            times = min([int(rounded[i])] + [left[n] // parts.count(n) for n in parts])
-            if times > 0:
-                place(parts, times)
+    for i in np.argsort(-repeats, kind="stable"):
+        parts = [int(n) for n in rows[i] if n]
+        times = min([int(repeats[i])] + [left[n] // parts.count(n) for n in parts])
+        if times > 0:
+            place(parts, times)
     order = sorted(n for n, c in left.items() if c)
     while order:
         parts, room, used = [], size, {}

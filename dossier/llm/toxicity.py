@@ -40,7 +40,7 @@ _CLASS = np.zeros(256, np.int64)
 _CLASS[ord("a"):ord("z") + 1] = np.arange(1, 27)
 _CLASS[ord("A"):ord("Z") + 1] = np.arange(1, 27)
 _CLASS[128:] = 27
-_APART = re.compile(r"(?<!\S)[a-z0-9@$!](?:[ .*_-][a-z0-9@$!]){2,}(?!\S)")
+_APART = re.compile(r"(?<!\S)[a-z0-9@$!]([ .*_-])[a-z0-9@$!](?:\1[a-z0-9@$!])+(?!\S)")
 _STRETCHED = re.compile(r"(.)\1\1")
 
 
@@ -134,8 +134,7 @@ def tokens(text: str) -> set[str]:
     found = set(low.split())
     if len(found) > 2:
         for m in _APART.finditer(low):
-            joined = re.sub(r"[ .*_-]", "", m.group())
-            found.add(joined)
+            found.add(m.group().replace(m.group(1), ""))
     return found
 
 
