@@ -6,12 +6,14 @@
 2. Equal sets are one group, represented by its smallest id; all later steps work on representatives.
 3. ``ROWS`` registers make a band.  Two sets of Jaccard similarity 0.85 agree in at least one of the
    ``REGISTERS / ROWS`` bands but for a probability below 1e-6, and more similar ones all the more.
-4. Members of a band bucket are paired with two of its members, not with one another.  A pair goes on if the
-   similarity estimated from both sketches by maximum likelihood is within six standard deviations of the limit
-   (bound below 1e-8), and becomes a link if the full shingle sets confirm it.
-5. Links give components.  Buckets that still hold several components have their members paired across
-   components, estimated and confirmed likewise: a large group of copies is one component by then and is not
-   paired within, and no link that would join two components is left out.
+4. A candidate pair goes on if its sizes allow the limit and the similarity estimated from both sketches by
+   maximum likelihood is within six standard deviations of it (bound below 1e-8); it becomes a link if the full
+   shingle sets confirm it.  Links give components.
+5. Candidates come in three rounds.  First each document meets one other, the smallest id of its buckets.  Then
+   the members of buckets that still hold several components meet two fixed members of other components.  Last,
+   buckets that are still divided (near misses) are compared on their full sets in tiles of bounded size, which
+   give back only links that join components.  A large group of copies is one component by then, no round emits
+   all pairs of a group, and no link that would join two components is left out.
 
 Edge cases: texts without words (or null) have an empty set and link with nothing; fewer words than a shingle
 make one shingle of the whole sequence; repeated rows get the same result each (where one id has several texts,
@@ -35,7 +37,9 @@ from .graph import components
 
 SHINGLE = 5
 LIMIT = 0.85
-REGISTERS, ROWS = 80, 4
+REGISTERS, ROWS = 180, 6
+#: Shingles and documents of one chunk of a divided bucket; a tile compares two chunks (a size of work, not a limit).
+TILE_SHINGLES, TILE_ROWS = 2_000_000, 2_000
 BASE, RATE, TOP = 1.001, 20.0, 65534
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -142,65 +146,121 @@ def likely(pairs: DataFrame, reps: DataFrame, limit: float) -> DataFrame:
     return sized.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInPandas(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, limit: float, text: str = "text") -> DataFrame:
-    """The (a, b) pairs whose full shingle sets reach ``limit`` (exact in integers for hundredths)."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+def shingle_sets(docs: DataFrame, ids: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, set) for the documents of ``ids``, written once."""
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo = word_memo()
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "set": [shingle_hashes(t or b"", memo).view(np.int64) for t in batch["text"]]})
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at:at + 500]
+                yield pd.DataFrame({"doc_id": part["doc_id"], "set": [shingle_hashes(t or b"", memo).view(np.int64) for t in part["text"]]})
 
     chosen = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    found = materialize(chosen.join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc_id long, set array<long>")
-                        .dropDuplicates(["doc_id"]), "neardup-sets")
-    a = found.select(F.col("doc_id").alias("a"), F.col("set").alias("s_a"))
-    b = found.select(F.col("doc_id").alias("b"), F.col("set").alias("s_b"))
+    # the ids grow with the documents: one plan, a shuffled join, at every size
+    return materialize(chosen.hint("merge").join(ids, "doc_id", "left_semi").mapInPandas(sets, "doc_id long, set array<long>")
+                       .dropDuplicates(["doc_id"]), "neardup-sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, limit: float) -> DataFrame:
+    """The (a, b) pairs whose full shingle sets reach ``limit`` (exact in integers for hundredths)."""
+    a = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("s_a"))
+    b = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("s_b"))
     both = F.size(F.array_intersect("s_a", "s_b"))
-    return pairs.join(a, "a").join(b, "b").withColumn("both", both).where(
-        100 * F.col("both") >= round(100 * limit) * (F.size("s_a") + F.size("s_b") - F.col("both"))).select("a", "b")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", both.alias("both"), (F.size("s_a") + F.size("s_b")).alias("sizes")).where(
+        100 * F.col("both") >= round(100 * limit) * (F.col("sizes") - F.col("both"))).select("a", "b")
+
+
+def tile_links(tile: pd.DataFrame, limit: float) -> pd.DataFrame:
+    """Links between documents of different labels, as many as join the labels that have any (exact, on full sets)."""
+    sets, labels, ids = tile["set"].tolist(), tile["label"].to_numpy(), tile["doc_id"].to_numpy()
+    sizes = np.array([len(x) for x in sets])
+    _, cell, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[cell] > 1
+    column = (np.cumsum(times > 1) - 1)[cell[shared]]
+    row = np.repeat(np.arange(len(sets)), sizes)[shared]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int((times > 1).sum()), 2048):
+        lo, hi = np.searchsorted(column, [at, at + 2048])
+        part = np.zeros((len(sets), 2048), np.float32)
+        part[row[lo:hi], column[lo:hi] - at] = 1
+        both += part @ part.T
+    linked = 100 * both >= round(100 * limit) * (sizes[:, None] + sizes[None, :] - both)
+    linked &= labels[:, None] != labels[None, :]
+    root: dict = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+        x, y = find(labels[i]), find(labels[j])
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def near_duplicates(docs: DataFrame, limit: float = LIMIT, text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``; ``limit`` in hundredths, 0.8 or more."""
     sketched = materialize(sketch(docs, text), "neardup-sketch")
-    firsts = sketched.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    firsts = materialize(firsts, "neardup-firsts")
+    firsts = materialize(sketched.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "neardup-firsts")
     reps = sketched.where("n > 0").join(firsts.select(F.col("rep").alias("doc_id"), "k1", "k2"), ["doc_id", "k1", "k2"], "left_semi")
     reps = materialize(reps.dropDuplicates(["doc_id"]), "neardup-reps")
 
-    banded = reps.select("doc_id", F.explode("bands").alias("band"))
+    banded = reps.select("doc_id", "n", F.explode("bands").alias("band"))
     ends = banded.groupBy("band").agg(F.count("*").alias("m"), F.min("doc_id").alias("lo"),
                                       F.min_by("doc_id", F.xxhash64("doc_id", "band")).alias("any")).where("m > 1")
     ends = materialize(ends.select("band", "lo", "any"), "neardup-buckets")
     members = materialize(banded.join(ends, "band"), "neardup-members")
-    star = members.select("doc_id", F.explode(F.array("lo", "any")).alias("end")).where("doc_id <> end").select(
-        F.least("doc_id", "end").alias("a"), F.greatest("doc_id", "end").alias("b")).distinct()
-    links = materialize(confirmed(materialize(likely(star, reps, limit), "neardup-star"), docs, limit, text), "neardup-links")
+    sets = shingle_sets(docs, members.select("doc_id").distinct(), text)
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        return materialize(confirmed(materialize(likely(pairs, reps, limit), "neardup-likely"), sets, limit), "neardup-links")
+
+    def pair(x: str, y: str) -> list:
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+    def marked(labels: DataFrame, rows: DataFrame, doc_id: str, label: str) -> DataFrame:
+        known = labels.select(F.col("id").alias("_id"), F.col("label").alias("_label"))
+        return rows.join(known, rows[doc_id] == known["_id"], "left").withColumn(label, F.coalesce("_label", doc_id)).drop("_id", "_label")
+
+    # one pair for each document
+    first = materialize(members.groupBy("doc_id").agg(F.min("lo").alias("lo")).where("lo < doc_id").select(*pair("doc_id", "lo")), "neardup-first")
+    links = links_of(first)
+    labels = components(links)
+
+    # two pairs for each member that is not yet in the component of its bucket's two
+    ends_marked = materialize(marked(labels, marked(labels, ends, "lo", "lo_label"), "any", "any_label"), "neardup-ends")
+    open_ = marked(labels, members.select("band", "doc_id", "n"), "doc_id", "label").join(ends_marked, "band")
+    others = F.filter(F.array(F.struct(F.col("lo").alias("id"), F.col("lo_label").alias("l")), F.struct(F.col("any").alias("id"), F.col("any_label").alias("l"))),
+                      lambda e: e["l"] != F.col("label"))
+    second = open_.select("doc_id", F.explode(others).alias("e")).select("doc_id", F.col("e.id").alias("other")).select(*pair("doc_id", "other")).distinct()
+    second = materialize(second.join(first, ["a", "b"], "left_anti"), "neardup-second")
+    links = materialize(links.union(links_of(second)), "neardup-links")
     labels = components(links)
 
-    # members of buckets that still hold more than one component
-    marked = materialize(members.join(labels, members["doc_id"] == labels["id"], "left").select(
-        "band", "doc_id", F.coalesce("label", "doc_id").alias("label")), "neardup-marked")
-    groups = materialize(marked.select("band", "label").distinct(), "neardup-groups")
-    split = groups.groupBy("band").agg(F.count("*").alias("m")).where("m > 1").select("band")
-    open_ = materialize(marked.join(materialize(split, "neardup-split"), "band"), "neardup-open")
-    other = groups.select("band", F.col("label").alias("other"))
-    across = open_.join(other, "band").where(F.col("label") < F.col("other"))
-    partner = open_.select("band", F.col("label").alias("other"), F.col("doc_id").alias("p"))
-    cross = across.join(partner, ["band", "other"]).select(
-        F.least("doc_id", "p").alias("a"), F.greatest("doc_id", "p").alias("b")).distinct()
-    cross = cross.join(star, ["a", "b"], "left_anti")
-    more = materialize(likely(cross, reps, limit), "neardup-cross")
+    # buckets that are still divided, tile by tile on the full sets
+    rows = materialize(marked(labels, members.select("band", "doc_id", "n"), "doc_id", "label"), "neardup-marked")
+    groups = rows.groupBy("band", "label").agg(F.sum("n").alias("n"), F.count("*").alias("m"))
+    chunks = F.ceil(F.greatest(F.sum("n") / TILE_SHINGLES, F.sum("m") / TILE_ROWS)).cast("int")
+    divided = materialize(groups.groupBy("band").agg(F.count("*").alias("k"), chunks.alias("chunks")).where("k > 1").drop("k"), "neardup-divided")
+    own = F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int")
+    tiles = rows.join(divided, "band").select("band", "doc_id", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("with"))
+    tiles = tiles.select("band", "doc_id", "label", F.least("own", "with").alias("t1"), F.greatest("own", "with").alias("t2"))
+    found = tiles.join(sets.hint("merge"), "doc_id").groupBy("band", "t1", "t2").applyInPandas(lambda t: tile_links(t, limit), "a long, b long")
+    more = materialize(found.distinct(), "neardup-more")
     if more.limit(1).count():
-        joined = materialize(confirmed(more, docs, limit, text), "neardup-more")
-        if joined.limit(1).count():
-            labels = components(links.union(joined))
+        labels = components(links.union(more))
 
-    sets = firsts.join(labels, firsts["rep"] == labels["id"], "left").select(
+    classes = firsts.join(labels, firsts["rep"] == labels["id"], "left").select(
         "k1", "k2", F.coalesce("label", "rep").alias("component"))
-    sets = materialize(sets, "neardup-classes")
-    rows = sketched.select("doc_id", "n", "k1", "k2").join(sets, ["k1", "k2"], "left").select(
+    classes = materialize(classes, "neardup-classes")
+    rows = sketched.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     out = rows.withColumn("kept", F.col("doc_id") == F.col("component_id"))
     blank = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_shingles"),
