@@ -52,7 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = spark.sparkContext.getCheckpointDir()  # set with sc.setCheckpointDir
     if not conf_dir:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster "
                                "(checkpoints, stream state and scratch tables live there)")
         conf_dir = tempfile.mkdtemp(prefix="dossier-ckpt-")
@@ -68,23 +68,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, min_bytes: int = 1 << 20):
-    """Repartition a frame whose scan lands in fewer tasks than the session's parallelism.
-
-    A small file with one row group is read by one task, so per-row work on it
-    (regex, JSON, hashing) would use one core.  Such inputs are spread round-robin
-    over ``defaultParallelism`` tasks; a scan that already has enough splits - any
-    real table at scale - is returned unchanged, as are inputs under ``min_bytes``.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target or planned_bytes(df) < min_bytes:
-            return df
-    except Exception:  # noqa: BLE001 - no access to the physical plan (e.g. a remote session): leave as is
-        return df
-    return df.repartition(target)
-
-
 def planned_bytes(df) -> int:
     """Catalyst's size estimate of a frame (exact for file relations); -1 when unknown."""
     try:

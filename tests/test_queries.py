@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from dossier.plans import load_all
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-SQL = E.oracle_sql()
+SQL = {name: q.oracle for name, q in load_all().items() if q.oracle}
 
 
 DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean",

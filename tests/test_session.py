@@ -1,8 +1,8 @@
-"""Session helpers: shared checkpoint folder policy and the narrow-scan spread."""
+"""Session helpers: shared checkpoint folder policy."""
 
 import pytest
 
-from dossier.session import ensure_checkpoint_dir, spread
+from dossier.session import ensure_checkpoint_dir
 
 
 class _Conf:
@@ -41,20 +41,11 @@ class _Session:
 def test_cluster_requires_shared_checkpoint_folder():
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(_Session("yarn"))
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session("local-cluster[2,1,1024]"))
     assert ensure_checkpoint_dir(_Session("yarn", sql_conf={"spark.checkpoint.dir": "hdfs:///ck"})) == "hdfs:///ck"
     assert ensure_checkpoint_dir(_Session("k8s://x", ctx_conf={"spark.checkpoint.dir": "s3a://b/ck"})) == "s3a://b/ck"
     assert ensure_checkpoint_dir(_Session("yarn", ckpt="hdfs:///set/by/context")) == "hdfs:///set/by/context"
     local = _Session("local[2]")
     d = ensure_checkpoint_dir(local)
     assert d and local.conf.get("spark.checkpoint.dir") == d
-
-
-def test_spread_policy(spark):
-    target = spark.sparkContext.defaultParallelism
-    tiny = spark.read.parquet("/root/testdata/sf0.01/region.parquet")
-    assert spread(tiny) is tiny                                   # under the size floor
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")  # one split, > 1 MB
-    assert docs.rdd.getNumPartitions() < target
-    assert spread(docs).rdd.getNumPartitions() == target
-    wide = spark.range(0, 1000, numPartitions=target * 2)
-    assert spread(wide) is wide                                   # already spread
