@@ -133,9 +133,12 @@ def spans(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     n, width = scores.shape
     total = scores.sum(0)
     main = int(total.argmax())
-    # if no run of words gains more than half a switch in any other language, staying is the best path
-    gain = np.vstack([np.zeros((1, width)), np.cumsum(scores.astype(float) - scores[:, main:main + 1], axis=0)])
-    if (gain - np.minimum.accumulate(gain, axis=0)).max() <= switch / 2:
+    # Staying is the best path if no run of words gains more than a switch in any one other language (each piece of a
+    # detour costs a switch at least) and the best of the others, word by word, does not gain over the whole text.
+    over = scores.astype(float) - scores[:, main:main + 1]
+    gain = np.vstack([np.zeros((1, width)), np.cumsum(over, axis=0)])
+    over[:, main] = -np.inf
+    if (gain - np.minimum.accumulate(gain, axis=0)).max() <= switch and over.max(axis=1).sum() <= 0:
         return np.full(n, main)
     back = np.empty((n, width), np.int32)
     rows = scores.tolist()
