@@ -26,6 +26,18 @@ DEFAULT_DATE_FORMATS: tuple[str, ...] = (
 )
 
 
+# Times with an offset (``Z`` or ``+hh:mm``) name an instant; they become its UTC time.
+_OFFSET_FORMATS = {
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$",
+    "yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$",
+}
+
+
+def _try_offset(txt: Column, f: str, shape: str) -> Column:
+    micros = F.unix_micros(F.try_to_timestamp(txt, F.lit(f)))
+    return F.when(txt.rlike(shape), F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")))
+
+
 # Cheap shape checks for the built-in formats: a failed parse is an exception
 # inside the formatter, so only values of the right shape are handed to it.
 _SHAPES = {
@@ -51,8 +63,10 @@ def parse_date(c: Column | str, formats: tuple[str, ...] | list[str] | str | Non
                utc_from: str | None = None) -> Column:
     """Text -> TIMESTAMP_NTZ; every value is tried against every format, bad -> null.
 
+    Times with an offset become their UTC time (unless ``formats`` says what to try).
     ``utc_from`` names a source zone to convert from (pandas ``utc=True``).
     """
+    offsets = _OFFSET_FORMATS if formats is None else {}
     if formats is None:
         formats = DEFAULT_DATE_FORMATS
     elif isinstance(formats, str):
@@ -61,7 +75,7 @@ def parse_date(c: Column | str, formats: tuple[str, ...] | list[str] | str | Non
     parsed = F.coalesce(*[_try_format(txt, f) for f in formats])
     if utc_from:
         parsed = F.to_utc_timestamp(parsed, utc_from)
-    return parsed.cast("timestamp_ntz")
+    return F.coalesce(parsed.cast("timestamp_ntz"), *[_try_offset(txt, f, shape) for f, shape in offsets.items()])
 
 
 def extract_year(c: Column | str, formats=None) -> Column:

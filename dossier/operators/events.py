@@ -1,13 +1,12 @@
 """Behavioural-event operators in batch form (ST3 batch, F4-F7, J3).
 
-Sessionisation is written to survive a user who owns a third of all events:
-the per-event window is partitioned by (user, time bucket), never by user
-alone, and a (user, bucket) that is itself hot is cut into finer time
-slices.  Sessions that cross a bucket edge are stitched afterwards on a
-per-(user, bucket) summary whose size is bounded by the time span, not by
-the number of events.  The fragment table is written once to the shared
-checkpoint folder; per-session aggregates are merged from fragment-level
-partials (``session_groups``) so events are not joined back to sessions.
+Sessionisation never sorts the events of a user.  Time is cut into slices as
+wide as the session gap, so all events of one (user, slice) belong to one
+session, and a hash aggregate with map-side combine reduces them to one
+summary row, however many there are.  Sessions are then found on the
+summaries, whose number per user is bounded by the time span.  A missing
+user is a visitor of its own (null keys compare equal); an event without a
+time belongs to no session.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small, materialize
+from ..session import broadcast_if_small
 
 def epoch_micros(ts: Column | str) -> Column:
     """Microseconds since 1970 for a TIMESTAMP_NTZ (``unix_micros`` rejects NTZ)."""
@@ -44,122 +43,55 @@ def instant_to_ntz(ts: Column | str) -> Column:
     return micros_to_ntz(F.unix_micros(c))
 
 
-# sub-bucket slots per bucket: bucket ids are coarse * _SPLIT + sub, so they stay in time order
-_SPLIT = 1 << 20
-# a (user, bucket) holding more events than this is split into finer time slices
-MAX_BUCKET_ROWS = 2_000_000
+def _sliced(events: DataFrame, user: str, ts: str, gap_seconds: int) -> DataFrame:
+    """Add ``__u`` (the user as a struct, so null users compare equal in joins too), ``__us`` and the slice ``__b``."""
+    width = max(gap_seconds * 1_000_000, 1)
+    ev = events.withColumns({"__u": F.struct(F.col(user).alias("id")), "__us": epoch_micros(ts)})
+    return ev.withColumn("__b", F.col("__us") - F.pmod(F.col("__us"), F.lit(width)))
 
 
-def _bucketed(events: DataFrame, user: str, us: Column, bucket_us: int, max_bucket_rows: int | None) -> DataFrame:
-    """Add ``__us`` and the time-ordered bucket id ``__b``.
+def _summaries(ev: DataFrame, gap_seconds: int, keys: list[str], aggs: dict[str, Column]) -> DataFrame:
+    """One row per (user, slice, *keys) with its first and last time, its count, ``aggs`` and the start of its session.
 
-    A user who owns a third of all events is spread over many buckets; a
-    single (user, bucket) that is itself too big is cut into equal time
-    slices, as many as its count requires.  The counts are a hash aggregate;
-    the list of hot buckets is at most ``rows / max_bucket_rows`` long and is
-    joined back with the strategy AQE picks after measuring it.
+    A row lies in one session, so a session starts where a row's first time is more than the gap after the
+    latest time of all earlier rows.
     """
-    ev = events.withColumns({"__us": us, "__cb": F.floor(us / bucket_us)})
-    sub = F.lit(0).cast("bigint")
-    if max_bucket_rows:
-        hot = (ev.groupBy(user, "__cb").agg(F.count(F.lit(1)).alias("__cnt"))
-               .filter(F.col("__cnt") > max_bucket_rows)
-               .select(user, "__cb", F.least(F.ceil(F.col("__cnt") / max_bucket_rows), F.lit(_SPLIT)).alias("__ns")))
-        ev = ev.join(hot, [user, "__cb"], "left")
-        # exact integer slice index in [0, __ns): offset < bucket_us, so no float rounding at the edges
-        sub = F.coalesce(F.expr(f"((__us - __cb * {int(bucket_us)}) * __ns) div {int(bucket_us)}"), sub)
-    return ev.withColumn("__b", F.col("__cb") * _SPLIT + sub).drop("__cb", "__ns")
-
-
-def _fragments(events: DataFrame, user: str, ts: str, gap_seconds: int, bucket_seconds: int,
-               tie: str | None, frag_aggs: dict[str, Column] | None = None,
-               max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Events numbered into fragments per (user, bucket), and the fragment summary.
-
-    ``frag_aggs`` adds per-fragment aggregates (merged to sessions by the caller).
-    """
-    gap = gap_seconds * 1_000_000
-    ev = _bucketed(events, user, epoch_micros(ts), bucket_seconds * 1_000_000, max_bucket_rows)
-    order = [F.col("__us")] + ([F.col(tie)] if tie and tie in events.columns else [])
-    w = Window.partitionBy(user, "__b").orderBy(*order)
-    prev = F.lag("__us").over(w)
-    ev = ev.withColumn("__new", F.when(prev.isNull() | ((F.col("__us") - prev) > gap), 1).otherwise(0))
-    ev = ev.withColumn("__f", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)
-    aggs = [F.min("__us").alias("__fs"), F.max("__us").alias("__fe"), F.count(F.lit(1)).alias("__n")]
-    aggs += [c.alias(n) for n, c in (frag_aggs or {}).items()]
-    frags = ev.groupBy(user, "__b", "__f").agg(*aggs)
-    # The fragment table is read twice (bucket summary and per-fragment heads).  It is
-    # small next to the events (about one row per session piece), so it is written once
-    # as a table in the shared checkpoint folder instead of re-sorting the events per read.
-    return ev, materialize(frags, "fragments")
-
-
-def _heads(frags: DataFrame, user: str, gap_seconds: int) -> DataFrame:
-    """Per fragment, the start (micros) of the session it belongs to (``__head``).
-
-    Over the per-(user, bucket) summary: the first fragment of a bucket
-    continues the previous bucket's last fragment when the gap is small; a
-    chain runs on through buckets holding a single continuing fragment, so
-    the head is the last fragment of the nearest earlier bucket that is not
-    such a pass-through.  The bucket summary reads every fragment column so
-    both uses of ``frags`` plan identically and AQE runs that stage once.
-    """
-    gap = gap_seconds * 1_000_000
-    extra = [c for c in frags.columns if c not in (user, "__b", "__f", "__fs", "__fe", "__n")]
-    buckets = frags.groupBy(user, "__b").agg(
-        F.min("__fs").alias("__first"), F.max("__fe").alias("__last"), F.count(F.lit(1)).alias("__nf"),
-        F.max_by("__fs", "__f").alias("__tail_start"), F.sum("__n").alias("__bn"),
-        *[F.max(c).alias(f"__bx{i}") for i, c in enumerate(extra)])
-    wb = Window.partitionBy(user).orderBy("__b")
-    cont = F.coalesce((F.col("__first") - F.lag("__last").over(wb)) <= gap, F.lit(False))
-    buckets = buckets.withColumn("__cont", cont)
-    buckets = buckets.withColumn("__origin", ~((F.col("__nf") == 1) & F.col("__cont")))
-    origin_tail = F.last(F.when(F.col("__origin"), F.col("__tail_start")), ignorenulls=True).over(
-        wb.rowsBetween(Window.unboundedPreceding, -1))
-    buckets = buckets.withColumn("__carry", F.when(F.col("__cont"), origin_tail))
-    heads = frags.join(buckets.select(user, "__b", "__carry"), [user, "__b"])
-    return heads.withColumn("__head", F.when((F.col("__f") == 0) & F.col("__carry").isNotNull(), F.col("__carry"))
-                            .otherwise(F.col("__fs"))).drop("__carry")
-
-
-def _label(ev: DataFrame, heads: DataFrame, user: str) -> DataFrame:
-    """Join each event to its fragment's head: the one pass that labels events."""
-    out = ev.join(heads.select(user, "__b", "__f", "__head"), [user, "__b", "__f"])
-    return out.withColumn("session_start", micros_to_ntz("__head")).drop("__us", "__b", "__new", "__f", "__head")
-
-
-def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
-                    bucket_seconds: int = 6 * 3600, tie: str | None = "event_id",
-                    max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
-    """ST3 (batch): add ``session_start`` to every event - a new session starts after a gap > ``gap_seconds``.
-
-    The per-event window runs over (user, time bucket), so a user with a
-    third of all events is still spread over many tasks; sessions crossing
-    bucket edges are stitched on per-bucket summaries (see ``_heads``), and
-    each event is joined back to its fragment's head.
-    """
-    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, max_bucket_rows=max_bucket_rows)
-    return _label(ev, _heads(frags, user, gap_seconds), user)
+    part = ev.where(F.col("__us").isNotNull()).groupBy("__u", "__b", *keys).agg(
+        F.min("__us").alias("__fs"), F.max("__us").alias("__fe"), F.count(F.lit(1)).alias("__n"),
+        *[c.alias(n) for n, c in aggs.items()])
+    w = Window.partitionBy("__u").orderBy("__fs")
+    before = F.max("__fe").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = before.isNull() | ((F.col("__fs") - before) > gap_seconds * 1_000_000)
+    part = part.withColumn("__open", F.when(opens, F.col("__fs")))
+    head = F.last("__open", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return part.withColumn("__head", head).drop("__open")
+
+
+def _label(ev: DataFrame, summaries: DataFrame, *extra: str) -> DataFrame:
+    """Join each event to the start of its session (null for an event without a time)."""
+    out = ev.join(summaries.select("__u", "__b", "__head", *extra), ["__u", "__b"], "left")
+    return out.withColumn("session_start", micros_to_ntz("__head")).drop("__u", "__us", "__b", "__head")
+
+
+def assign_sessions(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800) -> DataFrame:
+    """ST3 (batch): add ``session_start`` to every event - a new session starts after a gap > ``gap_seconds``."""
+    ev = _sliced(events, user, ts, gap_seconds)
+    out = _label(ev, _summaries(ev, gap_seconds, [], {}))
+    return out.select(*events.columns, "session_start")
 
 
 def session_groups(events: DataFrame, keys: list[str], aggs: dict[str, tuple[Column, Callable[[Column], Column]]],
-                   user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800, bucket_seconds: int = 6 * 3600,
-                   tie: str | None = "event_id", max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
-    """Aggregates per (user, session, *keys) without joining events to sessions.
-
-    ``aggs`` maps an output name to (aggregate over events, merge over fragments),
-    e.g. ``{"max_depth": (F.max("depth"), F.max)}``.  Events are aggregated per
-    (user, bucket, fragment, *keys) where the window's shuffle already placed
-    them, and only those partial rows are joined to the fragment -> session map.
+                   user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800) -> DataFrame:
+    """Aggregates per (user, session, *keys) in one pass over the events, without a join.
+
+    ``aggs`` maps an output name to (aggregate over events, merge over slices),
+    e.g. ``{"max_depth": (F.max("depth"), F.max)}``.  Events without a time are in no session.
     """
-    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, max_bucket_rows=max_bucket_rows)
-    heads = _heads(frags, user, gap_seconds).select(user, "__b", "__f", "__head")
-    part = ev.groupBy(user, "__b", "__f", *keys).agg(F.count(F.lit(1)).alias("__cnt"),
-                                                     *[a.alias(n) for n, (a, _) in aggs.items()])
-    merged = (part.join(heads, [user, "__b", "__f"])
-              .groupBy(user, "__head", *keys)
-              .agg(F.sum("__cnt").alias("n_events"), *[m(F.col(n)).alias(n) for n, (_, m) in aggs.items()]))
-    return merged.withColumn("session_start", micros_to_ntz("__head")).drop("__head")
+    part = _summaries(_sliced(events, user, ts, gap_seconds), gap_seconds, keys, {n: a for n, (a, _) in aggs.items()})
+    merged = part.groupBy("__u", "__head", *keys).agg(
+        F.max("__fe").alias("__end"), F.sum("__n").alias("n_events"), *[m(F.col(n)).alias(n) for n, (_, m) in aggs.items()])
+    return merged.select(F.col("__u.id").alias(user), *keys, micros_to_ntz("__head").alias("session_start"),
+                         micros_to_ntz("__end").alias("session_end"), "n_events", *aggs)
 
 
 def sessions_from_events(assigned: DataFrame, user: str = "user_id", ts: str = "ts") -> DataFrame:
@@ -169,20 +101,10 @@ def sessions_from_events(assigned: DataFrame, user: str = "user_id", ts: str = "
             .withColumn("duration_ms", F.timestamp_diff("MILLISECOND", F.col("session_start"), F.col("session_end"))))
 
 
-def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
-               bucket_seconds: int = 6 * 3600, tie: str | None = "event_id",
-               max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
-    """ST3 (batch): one row per session - user, start, end, event count, duration in ms.
-
-    Built from the fragment summary alone: events are never joined back.
-    """
-    _, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, max_bucket_rows=max_bucket_rows)
-    heads = _heads(frags, user, gap_seconds)
-    s = heads.groupBy(user, "__head").agg(F.max("__fe").alias("__end"), F.sum("__n").alias("n_events"))
-    start = micros_to_ntz("__head")
-    end = micros_to_ntz("__end")
-    return s.select(user, start.alias("session_start"), end.alias("session_end"), "n_events",
-                    F.timestamp_diff("MILLISECOND", start, end).alias("duration_ms"))
+def sessionize(events: DataFrame, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800) -> DataFrame:
+    """ST3 (batch): one row per session - user, start, end, event count, duration in ms."""
+    s = session_groups(events, [], {}, user, ts, gap_seconds)
+    return s.withColumn("duration_ms", F.timestamp_diff("MILLISECOND", F.col("session_start"), F.col("session_end")))
 
 
 def consent_filter(events: DataFrame, consent: DataFrame, on: list[str] | str) -> DataFrame:
@@ -191,23 +113,18 @@ def consent_filter(events: DataFrame, consent: DataFrame, on: list[str] | str) -
 
 
 def bot_filter(events: DataFrame, depth: str, user: str = "user_id", ts: str = "ts", gap_seconds: int = 1800,
-               min_duration_ms: int = 2000, bucket_seconds: int = 6 * 3600, tie: str | None = "event_id",
-               max_bucket_rows: int | None = MAX_BUCKET_ROWS) -> DataFrame:
+               min_duration_ms: int = 2000) -> DataFrame:
     """sessionise, then drop events of sessions shorter than ``min_duration_ms`` whose deepest scroll is 0.
 
-    The bot test runs on fragments: a window over (user, session head) merges
-    fragment end times and depths into session values (a session spans few
-    fragments, however many events it has), bot fragments are dropped, and
-    events are joined back once.  Returns the kept events with ``session_start``.
+    Sessions are judged on the summaries and events are joined to the verdict once.  Returns the kept
+    events with ``session_start``; an event without a time is in no session and is kept.
     """
-    ev, frags = _fragments(events, user, ts, gap_seconds, bucket_seconds, tie, {"__dmax": F.max(depth)},
-                           max_bucket_rows)
-    heads = _heads(frags, user, gap_seconds)
-    ws = Window.partitionBy(user, "__head")
-    end = F.max("__fe").over(ws)
-    dmax = F.coalesce(F.max("__dmax").over(ws), F.lit(0))
-    flagged = heads.withColumn("__bot", ((end - F.col("__head")) < min_duration_ms * 1000) & (dmax == 0))
-    return _label(ev, flagged.filter(~F.col("__bot")), user)
+    ev = _sliced(events, user, ts, gap_seconds)
+    ws = Window.partitionBy("__u", "__head")
+    end, deepest = F.max("__fe").over(ws), F.coalesce(F.max("__dmax").over(ws), F.lit(0))
+    judged = _summaries(ev, gap_seconds, [], {"__dmax": F.max(depth)}).withColumn(
+        "__bot", ((end - F.col("__head")) < min_duration_ms * 1000) & (deepest == 0))
+    return _label(ev, judged, "__bot").where(~F.coalesce("__bot", F.lit(False))).select(*events.columns, "session_start")
 
 
 def _cutoff(as_of: str, days: int) -> Column:

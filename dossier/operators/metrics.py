@@ -65,20 +65,23 @@ def count_rows(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+# Values are summed in this type: exact to ten decimals whatever the order of the sums.
+EXACT = "decimal(28,10)"
+
 # Event kinds used by the engagement aggregate (parameters, with defaults).
 DEFAULT_KINDS = {"view": "view", "interaction": "click", "positive": "purchase", "negative": "error"}
 
 
 def section_engagement(events: DataFrame, group: list[str], kind: str = "event_type", value: str = "value",
-                       kinds: dict[str, str] | None = None, scale: int = 2) -> DataFrame:
+                       kinds: dict[str, str] | None = None) -> DataFrame:
     """A4: views, view time, interactions and net feedback per group, in one pass.
 
-    View time is summed as decimal(18, ``scale``) so the total does not depend
-    on the order partial sums are combined in.
+    View time is summed as a wide decimal, so the total does not depend on the
+    order partial sums are combined in and small values are not rounded away.
     """
     k = {**DEFAULT_KINDS, **(kinds or {})}
     kc = F.col(kind)
-    vt = F.sum(F.when(kc == k["view"], F.col(value).cast(f"decimal(18,{scale})")))
+    vt = F.sum(F.when(kc == k["view"], F.col(value).cast(EXACT)))
     return events.groupBy(*group).agg(
         F.count_if(kc == k["view"]).alias("views"),
         F.coalesce(vt.cast("double"), F.lit(0.0)).alias("view_time"),
@@ -130,19 +133,25 @@ def section_heatmap(df: DataFrame, period_col: Column, section: str, value: Colu
                     sections: list[str]) -> DataFrame:
     """Value per period x section with an explicit section list (no extra pass to find pivot values)."""
     return (df.groupBy(period_col.alias("period")).pivot(section, sections)
-            .agg(F.sum(value.cast("decimal(18,2)")).cast("double")).na.fill(0.0, subset=sections))
+            .agg(F.sum(value.cast(EXACT)).cast("double")).na.fill(0.0, subset=sections))
 
 
-def cold_start_gate(df: DataFrame, group: list[str], session: list[str], threshold: int = 50,
+def cold_start_gate(df: DataFrame, group: list[str], session: list[str] | None = None, threshold: int = 50,
                     approx: float | None = None) -> DataFrame:
     """Distinct sessions per group and whether the threshold is reached.
 
-    Exact by default; ``approx=rsd`` uses HyperLogLog++ (``approx_count_distinct``
-    with that relative standard deviation), a fixed-size sketch per group
+    Without ``session`` every row is a session of its group (as ``session_groups`` yields them) and rows are
+    counted.  With ``session`` columns the count is exact by default; ``approx=rsd`` uses HyperLogLog++
+    (``approx_count_distinct`` with that relative standard deviation), a fixed-size sketch per group
     instead of a shuffle of every distinct session.
     """
-    key = F.struct(*[F.col(s) for s in session]) if len(session) > 1 else F.col(session[0])
-    n = F.approx_count_distinct(key, approx) if approx else F.count_distinct(*[F.col(s) for s in session])
+    if session is None:
+        n = F.count(F.lit(1))
+    elif approx:
+        n = F.approx_count_distinct(F.struct(*[F.col(s) for s in session]), approx)
+    else:
+        # one struct per session: count_distinct over several columns would skip rows with a null in any of them
+        n = F.count_distinct(F.struct(*[F.col(s) for s in session]))
     return (df.groupBy(*group).agg(n.alias("n_sessions"))
             .withColumn("ready", F.col("n_sessions") >= threshold))
 

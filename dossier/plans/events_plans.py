@@ -49,7 +49,7 @@ def q_sessionize(spark, d):
 @register("scroll_depth", f"WITH {SESS_CTE} SELECT user_id, session_start, section, max({MILESTONE_OF_K}) AS max_depth "
                           "FROM a GROUP BY user_id, session_start, section")
 def q_scroll_depth(spark, d):
-    """A6 merged at fragment level: the deepest milestone per fragment, then per session."""
+    """A6 merged from slices: the deepest milestone per slice, then per session."""
     ev = events_k(spark, d).withColumn("milestone", F.expr(MILESTONE_OF_K))
     g = EV.session_groups(ev, ["section"], {"max_depth": (F.max("milestone"), F.max)}, gap_seconds=1800)
     return g.select("user_id", "session_start", "section", "max_depth")
@@ -72,7 +72,7 @@ f AS (SELECT user_id, session_start, arg_min({REFERRER_OF_K}, (ts, event_id)) AS
 SELECT referrer, count(*) AS n_sessions FROM f GROUP BY referrer
 ORDER BY n_sessions DESC NULLS LAST, referrer ASC NULLS LAST LIMIT 10""")
 def q_top_referrers(spark, d):
-    """Each session's entry referrer (earliest event, merged over fragments), then the top 10."""
+    """Each session's entry referrer (earliest event, merged over slices), then the top 10."""
     ev = events_k(spark, d).withColumn("referrer", F.expr(REFERRER_OF_K))
     first = F.min(F.struct("ts", "event_id", "referrer"))
     g = EV.session_groups(ev, [], {"first": (first, F.min)}, gap_seconds=1800)
@@ -84,14 +84,14 @@ def q_top_referrers(spark, d):
 bots AS (SELECT user_id, session_start FROM a GROUP BY user_id, session_start
          HAVING date_sub('millisecond', session_start, max(ts)) < 2000 AND max({MILESTONE_OF_K}) = 0)
 SELECT event_id, user_id, session_start FROM a
-WHERE NOT EXISTS (SELECT 1 FROM bots b WHERE b.user_id = a.user_id AND b.session_start = a.session_start)""")
+WHERE NOT EXISTS (SELECT 1 FROM bots b WHERE b.user_id IS NOT DISTINCT FROM a.user_id AND b.session_start = a.session_start)""")
 def q_bot_filter(spark, d):
     ev = events_k(spark, d).withColumn("depth", F.expr(MILESTONE_OF_K))
     return EV.bot_filter(ev, "depth", gap_seconds=1800).select("event_id", "user_id", "session_start")
 
 
 ENGAGEMENT_DUCK = """SELECT {g}, CAST(count_if(event_type = 'view') AS BIGINT) AS views,
-  CAST(coalesce(sum(CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS view_time,
+  CAST(coalesce(sum(CASE WHEN event_type = 'view' THEN CAST(value AS DECIMAL(28,10)) END), 0) AS DOUBLE) AS view_time,
   CAST(count_if(event_type = 'click') AS BIGINT) AS interactions,
   CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END) AS BIGINT) AS feedback
 FROM ev2 GROUP BY {g}"""
@@ -122,7 +122,7 @@ def q_top_bottom_n(spark, d):
 
 
 _HEAT_COLS = ", ".join(
-    f"CAST(coalesce(sum(CASE WHEN section = '{s}' THEN CAST(value AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS {s}"
+    f"CAST(coalesce(sum(CASE WHEN section = '{s}' THEN CAST(value AS DECIMAL(28,10)) END), 0) AS DOUBLE) AS {s}"
     for s in SECTIONS)
 
 
@@ -146,7 +146,7 @@ def q_retention(spark, d):
 def q_cold_start_gate(spark, d):
     """Distinct sessions per section from the (user, session, section) groups, no per-event join."""
     g = EV.session_groups(events_k(spark, d), ["section"], {}, gap_seconds=1800)
-    return M.cold_start_gate(g, ["section"], ["user_id", "session_start"], 50)
+    return M.cold_start_gate(g, ["section"])
 
 
 @register("consent_filter", "SELECT * FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")

@@ -170,3 +170,9 @@ def test_parse_date_independent_of_session_zone(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [dt.datetime(2022, 3, 15, 12, 0), dt.datetime(2022, 3, 1)]
     assert utc == [dt.datetime(2022, 3, 15, 16, 0)]
+
+
+def test_parse_date_with_offset_is_utc(spark):
+    got = col(spark, ["2024-06-01T10:00:00.123456+00:00", "2024-06-01T10:00:00Z", "2024-06-01 10:00:00+05:30", "2024-06-01T10:00:00+99:00"],
+              D.parse_date)
+    assert got == [dt.datetime(2024, 6, 1, 10, 0, 0, 123456), dt.datetime(2024, 6, 1, 10), dt.datetime(2024, 6, 1, 4, 30), None]
