@@ -1,6 +1,6 @@
 """Spark job: raw profile pages -> keyed section tables -> run report (the reference's collect-and-store flow).
 
-    spark-submit dossier/jobs.py --pages <parquet of (page_id, html)> --store <root> --run-ts "2024-06-01 00:00:00"
+    python -m dossier.jobs --pages <parquet of (page_id, html)> --store <root> --run-ts "2024-06-01 00:00:00"
 
 Steps: S3 header and S4 section items from the pages, E7/E8 on the captions,
 S5 stamp, S1 conform, T1-T5 clean, K1 ids, T6-T10 normalise, S6 upsert into the
@@ -37,7 +37,7 @@ def section_rows(pages: DataFrame, section: str, fields: dict[str, str] | None =
         r = split_date_range("caption")
         items = items.withColumns({"start_date": r.start, "end_date": r.end, "is_current": r.is_current})
     elif section == "education":
-        r = split_date_range("caption", variant="education")
+        r = split_date_range("caption")
         items = items.withColumns({"start_date": r.start, "end_date": r.end})
     elif section == "skills":
         items = ST.drop_unnamed(items, "skill_name").withColumn(
@@ -56,7 +56,7 @@ def build_sections(spark: SparkSession, pages: DataFrame, store_root: str, run_t
     for section in SECTION_FIELDS:
         raw = ST.stamp_batch(section_rows(pages, section), run_ts)
         raw = ST.conform(raw.withColumn("scraped_at", F.col("scraped_at").cast("string")), RAW[section])
-        store.upsert(section, prepare_section(raw, section), "id")
+        store.upsert(section, prepare_section(raw, section))
     sections = sorted(ST.STORED)
     return ST.run_report({s: store.read(s) for s in sections}, sections)
 

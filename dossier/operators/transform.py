@@ -130,7 +130,12 @@ NORMALIZERS = {
 
 
 def prepare_section(df: DataFrame, section: str) -> DataFrame:
-    """clean -> natural ids -> normalise, as one lazy plan."""
+    """clean -> natural ids -> normalise, as one lazy plan.
+
+    Skills get their canonical name before the id: the id is a hash of it.
+    """
     out = CLEANERS[section](df)
+    if section == "skills":
+        out = canonicalize(out, "skill_name")
     out = with_ids(out, section)
     return NORMALIZERS[section](out)

@@ -524,7 +524,7 @@ def q_create_sections(spark, d):
     store = ST.SectionStore(spark, scratch_path(spark, "sections"))
     store.create_sections()
     for section in _NORM_SQL:
-        store.upsert(section, TR.prepare_section(raw_frame(spark, d, section), section), "id")
+        store.upsert(section, TR.prepare_section(raw_frame(spark, d, section), section))
     return ST.run_report({s: store.read(s) for s in _ALL_SECTIONS}, _ALL_SECTIONS)
 
 

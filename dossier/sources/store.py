@@ -139,7 +139,13 @@ class KeyedTable:
         df.write.mode("overwrite").parquet(self._vpath(v))
         return v
 
-    def upsert(self, source: DataFrame, key: list[str] | str = "id", batch_id: int | None = None) -> int:
+    def upsert(self, source: DataFrame, key: list[str] | str = "id", batch_id: int | None = None,
+               order: str | None = None) -> int:
+        """Write ``source`` over the rows of its keys; a null key is an error.
+
+        With ``order`` the newest row of a key wins, in the batch and against the stored row (the new row
+        on a tie); without it the batch replaces what is stored.
+        """
         from ..operators.dedup import dedup_keep
         from ..session import materialize
         key = [key] if isinstance(key, str) else list(key)
@@ -153,8 +159,19 @@ class KeyedTable:
         if source.isEmpty():
             v = self.versions()
         else:
-            src = dedup_keep(source, key, [], keep="last")
-            merged = upsert(self.read(), src, key) if self.versions() else src
+            nulls = source.where(~and_all([F.col(k).isNotNull() for k in key])).limit(1).count()
+            if nulls:
+                raise ValueError(f"rows without a value in the key ({', '.join(key)})")
+            src = dedup_keep(source, key, [F.col(order).desc_nulls_last()] if order else [], keep="last")
+            merged = src
+            if self.versions():
+                stored = self.read()
+                if order:
+                    held = stored.select(*key, F.col(order).alias("__held"))
+                    newer = src.join(held, key, "left").where(
+                        F.col("__held").isNull() | (F.col(order) >= F.col("__held"))).drop("__held")
+                    src = newer.select(*src.columns)
+                merged = upsert(stored, src, key)
             self.overwrite(merged)
             v = self.versions()
         if batch_id is not None:
@@ -183,9 +200,11 @@ class SectionStore:
     def read(self, section: str) -> DataFrame:
         return self.table(section).read()
 
-    def upsert(self, section: str, source: DataFrame, key: list[str] | str = "id") -> int:
-        """S6 persisted: an empty source changes nothing."""
-        return self.table(section).upsert(source, key)
+    def upsert(self, section: str, source: DataFrame, key: list[str] | str | None = None, order: str | None = None) -> int:
+        """S6 persisted, by default on (profile_id, id): an id may repeat across profiles.  An empty source changes nothing."""
+        if key is None:
+            key = [c for c in ("profile_id", "id") if c in STORED[validate_section(section)].names]
+        return self.table(section).upsert(source, key, order=order)
 
     def query(self, section: str, filters: dict | None = None) -> DataFrame:
         """F1 over a stored section."""

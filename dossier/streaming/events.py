@@ -93,15 +93,15 @@ def stream_sessions(stream: DataFrame, user: str = "user_id", ts: str = "ts", ga
                     F.timestamp_diff("MILLISECOND", F.col("__first"), F.col("__last")).alias("duration_ms"))
 
 
-def upsert_sink(table: KeyedTable, key: list[str]) -> Callable[[DataFrame, int], None]:
+def upsert_sink(table: KeyedTable, key: list[str], order: str | None = None) -> Callable[[DataFrame, int], None]:
     """ST6: ``foreachBatch`` body - upsert each micro-batch into a versioned keyed table.
 
     Idempotent per batch id: a batch replayed after a failure finds its id
-    already committed and is skipped.  Rows repeated inside one batch keep
-    the last by key (stream order is not defined, so ties break on all columns).
+    already committed and is skipped.  With ``order`` the newest row of a key wins, whichever batch brings it;
+    without it a batch replaces what is stored (ties inside a batch break on all columns).
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, key, batch_id=batch_id)
+        table.upsert(batch, key, batch_id=batch_id, order=order)
     return apply
 
 
