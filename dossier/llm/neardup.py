@@ -241,7 +241,7 @@ def near_duplicates(docs: DataFrame, limit: float = LIMIT, text: str = "text") -
                       lambda e: e["l"] != F.col("label"))
     second = open_.select("doc_id", F.explode(others).alias("e")).select("doc_id", F.col("e.id").alias("other")).select(*pair("doc_id", "other")).distinct()
     second = materialize(second.join(first, ["a", "b"], "left_anti"), "neardup-second")
-    links = materialize(links.union(links_of(second)), "neardup-links")
+    links = links.union(links_of(second))
     labels = components(links)
 
     # buckets that are still divided, tile by tile on the full sets
@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame, limit: float = LIMIT, text: str = "text") -
     tiles = tiles.select("band", "doc_id", "label", F.least("own", "with").alias("t1"), F.greatest("own", "with").alias("t2"))
     found = tiles.join(sets.hint("merge"), "doc_id").groupBy("band", "t1", "t2").applyInPandas(lambda t: tile_links(t, limit), "a long, b long")
     more = materialize(found.distinct(), "neardup-more")
-    if more.limit(1).count():
+    if not more.isEmpty():
         labels = components(links.union(more))
 
     classes = firsts.join(labels, firsts["rep"] == labels["id"], "left").select(
