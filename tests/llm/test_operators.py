@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm import language, licenses, mixing, neardup, packing, pii, quality, queries, repeats, topk, toxicity
 from dossier.llm.common import table
+from dossier.llm.graph import components
 
 SF = "/root/testdata/sf0.001"
 SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
@@ -360,3 +361,22 @@ def test_mixing_caps_small_sources_and_odd_rows(spark, make, odd):
     assert mixing.plan(odd).count() == 10 and mixing.mix(odd).columns == odd.columns
     assert mixing.mix(odd).groupBy().agg(F.sum(F.size(F.split("text", " ")))).collect()[0][0] <= 3 * 60_100
     assert mixing.plan(make([])).count() == 0 and mixing.mix(make([])).count() == 0
+
+
+def test_components_of_chains_stars_and_repeated_links(spark):
+    chain = [(i, i + 1) for i in range(100, 130)]
+    shuffled = [((i * 7) % 31 + 200, (i * 7 + 7) % 31 + 200) for i in range(30)]  # a chain in no order of its ids
+    links = chain + shuffled + [(300, i) for i in range(301, 340)] + [(5, 9), (9, 5), (5, 9)]
+    root = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    got = {r["id"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {x: find(x) for pair in links for x in pair}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
