@@ -1,10 +1,10 @@
 """Toxicity: noisy-channel deobfuscation, then a Bernoulli model over the restored words.
 
-A character trigram model is counted over every document.  A token that is not a plain lower-case word
-(leetspeak, stretched letters, letters set apart by spaces or dots) becomes a lattice: each written character
-may stand for itself, for the letters it imitates, or for nothing when it repeats its predecessor.  Viterbi
-finds the likeliest reading of the lattice under the character model and the channel costs; the document is
-scored on the words so restored.
+A character trigram model is counted over every document, and the frequent words of the learning documents are
+known to the decoder.  A token that is not a plain word without doubled letters becomes a lattice: each written
+character may stand for itself, for the letters it imitates, for nothing when it repeats its predecessor or
+separates letters, or for a word boundary.  Viterbi finds the likeliest reading of the lattice under the character
+model, the known words and the channel costs; the document is scored on the words so restored.
 
 Edge cases: a null or empty text has no words and gets the score of a text without marked words; a null doc_id
 is never used for learning and has ``held_out`` null; without usable labels of both kinds every score is 0.
@@ -15,33 +15,39 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import unicodedata
+from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, fold, hash_share
+from .common import Memo, fold, hash_share, materialize
 
 #: Labelled documents used for learning, at most about so many of each class (a documented bound of the fit).
 SAMPLE_PER_CLASS = 8_000
-#: Words kept in the model.
-LEXICON = 2_000
+#: Words kept in the model, and known to the decoder (the most frequent of the learning documents).
+LEXICON, KNOWN = 2_000, 20_000
 
 #: What a written character may stand for besides itself, and the cost of that reading.
 READINGS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il",
             "|": "il", "+": "t", "(": "c", "<": "c", "€": "e"}
-IMITATION_COST, SYMBOL_COST, STRETCH_COST, DOUBLE_COST = 1.0, 9.0, 0.5, 4.0
+IMITATION_COST, SYMBOL_COST, STRETCH_COST, DOUBLE_COST, MARK_COST, JOIN_COST = 1.0, 9.0, 0.5, 4.0, 2.0, 1.0
 
 EDGE = ".,;:?()[]{}\"'`#&%*<>=~^_-+/\\|!"
+PLAIN_EDGE = "".join(c for c in EDGE if c not in READINGS)
+MEMO_LENGTH = 64  # longer tokens are decoded each time, so that a worker's memory stays bounded
 LETTERS = 28  # boundary, a-z, any other letter
 _CLASS = np.zeros(256, np.int64)
 _CLASS[ord("a"):ord("z") + 1] = np.arange(1, 27)
 _CLASS[ord("A"):ord("Z") + 1] = np.arange(1, 27)
 _CLASS[128:] = 27
 _APART = re.compile(r"(?<!\S)[a-z0-9@$!]([ .*_-])[a-z0-9@$!](?:\1[a-z0-9@$!])+(?!\S)")
-_STRETCHED = re.compile(r"(.)\1\1")
+_TWICE = re.compile(r"(.)\1")
 
 
 # --- character model -------------------------------------------------------------------------------------------
@@ -79,53 +85,110 @@ def char_costs(counts: np.ndarray) -> np.ndarray:
 
 # --- decoding ------------------------------------------------------------------------------------------------
 
-def _letter(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 27 if c.isalpha() else 0
+class Words:
+    """Known words as a tree of their letters, and the cost of each: -log of its share."""
 
+    def __init__(self, counts: dict[str, int] | None = None):
+        self.child: dict[tuple[int, str], int] = {}
+        self.ends: dict[int, float] = {}
+        self.known = counts or {}
+        total = sum(self.known.values())
+        for word, n in self.known.items():
+            node = 0
+            for c in word:
+                node = self.child.setdefault((node, c), len(self.child) + 1)
+            self.ends[node] = math.log(total / n)
 
-def decode(token: str, costs: list, limit: int = 64) -> str:
-    """The likeliest reading of one written token (lower case).  Tokens over ``limit`` characters are read as
-    written: the lattice is for words, and ids, hashes or encoded data are none."""
-    if len(token) > limit:
-        return token
-    beams = {(0, 0): (0.0, "")}  # (last two letter classes) -> cost, reading
-    before = ""
+
+NO_WORDS = Words()
+
+
+def _is_letter(c: str) -> bool:
+    return c.isalpha() or (c > "\u02ff" and unicodedata.category(c)[0] == "M")
+
+
+@lru_cache(4096)
+def _channel(c: str) -> tuple[list, float | None, float | None]:
+    """What a written character may stand for: (letter, its class, cost), the cost of a word boundary, of nothing."""
+    imitated = [(r, ord(r) - 96, IMITATION_COST) for r in READINGS.get(c, "")]
+    if _is_letter(c):
+        return [*imitated, (c, ord(c) - 96 if "a" <= c <= "z" else 27, 0.0)], None, None
+    if c.isalnum() or c in "@$€":
+        return imitated, SYMBOL_COST, SYMBOL_COST
+    return imitated, MARK_COST if imitated else 0.0, DOUBLE_COST if imitated else JOIN_COST
+
+
+def decode(token: str, costs: list, words: Words = NO_WORDS) -> str:
+    """The likeliest reading of written characters (lower case), its words set apart by blanks.
+
+    A word costs what the character model or the known words ask for it, whichever is less.  The states after a
+    character are 0 (between words), nodes of the known words, and pairs of letter classes; a state keeps its cost
+    and a linked list of letters, so time and memory are linear in the length."""
+    child, ends = words.child, words.ends
+    first = costs[0][0]
+    beams: dict = {0: (0.0, None)}
+    last, n = "", len(token)
+    solid = (c for c in token if _channel(c)[1] != 0.0)
+    repeats = chain.from_iterable([k] * k for k in (sum(1 for _ in same) for _, same in groupby(solid)))
     for at, c in enumerate(token):
-        options = [(r, IMITATION_COST) for r in READINGS.get(c, "")]
-        options.append((c, 0.0 if c.isalpha() else SYMBOL_COST))
+        options, apart, nothing = _channel(c)
+        if apart == 0.0 and 1 < at < n - 2 and token[at - 2].isalnum() and token[at + 2].isalnum():
+            nothing = DOUBLE_COST  # between longer pieces a join is less likely than between single characters
+        if apart != 0.0:
+            stretch = STRETCH_COST if next(repeats) > 2 else DOUBLE_COST
+            if c == last:
+                nothing = stretch if nothing is None else min(nothing, stretch)
+            last = c
         nxt: dict = {}
-        for (a, b), (cost, read) in beams.items():
-            for r, channel in options:
-                k = _letter(r)
-                total = cost + channel + costs[a][b][k]
-                key = (b, k)
+        for state, (cost, path) in beams.items():
+            moves = []
+            if state == 0:
+                if apart is not None:
+                    moves.append((0, cost + apart, path))
+                for r, k, channel in options:
+                    moves.append(((0, k), cost + channel + first[k], (r, path)))
+                    if (0, r) in child:
+                        moves.append((child[0, r], cost + channel, (r, path)))
+            else:
+                if nothing is not None:
+                    moves.append((state, cost + nothing, path))
+                if type(state) is int:
+                    for r, _, channel in options:
+                        if (state, r) in child:
+                            moves.append((child[state, r], cost + channel, (r, path)))
+                    if apart is not None and state in ends:
+                        moves.append((0, cost + apart + ends[state], (" ", path)))
+                else:
+                    row = costs[state[0]][state[1]]
+                    for r, k, channel in options:
+                        moves.append(((state[1], k), cost + channel + row[k], (r, path)))
+                    if apart is not None:
+                        moves.append((0, cost + apart + row[0], (" ", path)))
+            for key, total, way in moves:
                 if key not in nxt or total < nxt[key][0]:
-                    nxt[key] = (total, read + r)
-            if c == before and read:
-                run = token[max(0, at - 2):at + 3].count(c) >= 3
-                total = cost + (STRETCH_COST if run else DOUBLE_COST)
-                if (a, b) not in nxt or total < nxt[(a, b)][0]:
-                    nxt[(a, b)] = (total, read)
-        beams, before = nxt, c
-    return min((cost + costs[a][b][0], read) for (a, b), (cost, read) in beams.items())[1]
-
-
-def squeeze(word: str) -> str:
-    """Runs of three or more equal letters as one letter."""
-    return re.sub(r"(.)\1{2,}", r"\1", word)
-
-
-def restore(token: str, costs: list) -> str:
-    """The word that a written token (lower case, no white space) stands for; empty if it holds no letter."""
-    token = token.strip(EDGE)
-    if token.isalpha() and not _STRETCHED.search(token):
-        return token
-    token = token.rstrip("$@")
+                    nxt[key] = (total, way)
+        beams = nxt
+    best, path = math.inf, None
+    for state, (cost, way) in beams.items():
+        if state != 0:
+            cost += ends.get(state, math.inf) if type(state) is int else costs[state[0]][state[1]][0]
+        if cost < best:
+            best, path = cost, way
+    read = []
+    while path:
+        read.append(path[0])
+        path = path[1]
+    return "".join(reversed(read)).strip()
+
+
+def restore(token: str, costs: list, words: Words = NO_WORDS) -> str:
+    """The words, set apart by blanks, that a written token (lower case) stands for; empty if it holds no letter."""
+    core, token = token.strip(EDGE), token.strip(PLAIN_EDGE)
+    if core.isalpha() and not _TWICE.search(core) and (core == token or core in words.known):
+        return core
     if not any(map(str.isalpha, token)):
         return ""
-    if token.isalpha():
-        return squeeze(token)
-    return decode(token, costs).strip(EDGE)
+    return decode(token, costs, words)
 
 
 def tokens(text: str) -> set[str]:
@@ -154,27 +217,55 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", pe
     return docs.select("doc_id", "text").join(F.broadcast(marked.where(chosen)), "doc_id").select("text", "y")
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, float], float]:
-    """Character costs, weight per marked word, and the log odds of a text without any of them."""
-    costs = char_costs(char_counts(docs))
-    sample = labelled_sample(docs, labels)
-    as_lists = costs.tolist()
+def word_counts(sample: DataFrame, reader: Callable[[], Callable[[str], list[str]]]) -> DataFrame:
+    """word, pos, neg: documents of each class that hold the word; the word '' stands for all documents."""
 
-    def restored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo = Memo(lambda t: restore(t, as_lists))
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        read = reader()
         for batch in batches:
             for at in range(0, len(batch), 200):
                 part = batch.iloc[at:at + 200]
-                found = [(w, y) for text, y in zip(part["text"], part["y"], strict=True)
-                         for w in {memo[t] for t in tokens(text or "")} | {""}]
-                yield pd.DataFrame(found, columns=["word", "y"])
+                found = Counter((w, y) for text, y in zip(part["text"], part["y"], strict=True)
+                                for w in {w for t in tokens(text or "") for w in read(t)} | {""})
+                yield pd.DataFrame([(w, n * y, n * (1 - y)) for (w, y), n in found.items()], columns=["word", "pos", "neg"])
+
+    return sample.mapInPandas(count, "word string, pos long, neg long").groupBy("word").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def known_words(sample: DataFrame) -> dict[str, int]:
+    """The words written plainly in most learning documents (two at least), both classes weighing alike."""
+
+    def plain(token: str) -> list[str]:
+        core = token.strip(EDGE)
+        return [core] if core.isalpha() else []
+
+    counted = materialize(word_counts(sample, lambda: plain), "toxicity-known")
+    total = counted.where("word = ''").collect()
+    if not total:
+        return {}
+    rate = F.col("pos") / max(1, total[0]["pos"]) + F.col("neg") / max(1, total[0]["neg"])
+    rows = counted.where("word <> '' and pos + neg >= 2").orderBy(F.desc(rate), "word").limit(KNOWN).collect()
+    return {r["word"]: r["pos"] + r["neg"] for r in rows}
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, int], dict[str, float], float]:
+    """Character costs, known words, weight per marked word, and the log odds of a text without any of them."""
+    costs = char_costs(char_counts(docs))
+    sample = labelled_sample(docs, labels)
+    as_lists = costs.tolist()
+    known = known_words(sample)
+
+    def reader() -> Callable[[str], list[str]]:
+        tree = Words(known)
+        memo = Memo(lambda t: restore(t, as_lists, tree).split())
+        return lambda t: memo[t] if len(t) <= MEMO_LENGTH else memo.compute(t)
 
-    counted = (sample.mapInPandas(restored, "word string, y int").groupBy("word")
-               .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg")))
+    counted = word_counts(sample, reader)
     counted = counted.where("pos >= 5 or word = ''")
     totals = {r["word"]: r for r in counted.where("word = ''").collect()}
     if not totals:
-        return costs, {}, -math.inf
+        return costs, known, {}, -math.inf
     n_pos, n_neg = totals[""]["pos"], totals[""]["neg"]
     p, q = F.col("pos") / n_pos, F.col("neg") / n_neg
     z = (p - q) / F.sqrt(p * (1 - p) / n_pos + (q * (1 - q) + 1.0 / n_neg) / n_neg)
@@ -185,23 +276,22 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, float
         p, q = (r["pos"] + 0.5) / (n_pos + 1), (r["neg"] + 0.5) / (n_neg + 1)
         weights[r["word"]] = math.log(p / q) - math.log((1 - p) / (1 - q))
         prior += math.log((1 - p) / (1 - q))
-    return costs, weights, prior
+    return costs, known, weights, prior
 
 
 def scorer(docs: DataFrame, labels: DataFrame):
     """A function from a text column to (score, marked), learnt from ``docs`` and ``labels``."""
-    costs, weights, prior = fit(docs, labels)
+    costs, known, weights, prior = fit(docs, labels)
     as_lists = costs.tolist()
 
     @F.pandas_udf("score double, marked string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        memo = Memo(lambda t: w if (w := restore(t, as_lists)) in weights else "")
-        get = memo.__getitem__
+        tree = Words(known)
+        memo = Memo(lambda t: [w for w in restore(t, as_lists, tree).split() if w in weights])
         for batch in batches:
             scores, marked = [], []
             for text in batch:
-                hits = set(map(get, tokens(text))) if text else set()
-                hits.discard("")
+                hits = {w for t in tokens(text or "") for w in (memo[t] if len(t) <= MEMO_LENGTH else memo.compute(t))}
                 logit = min(50.0, max(-50.0, prior + sum(weights[w] for w in sorted(hits))))
                 scores.append(1 / (1 + math.exp(-logit)) if prior > -math.inf else 0.0)
                 marked.append(",".join(sorted(hits)))

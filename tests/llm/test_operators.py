@@ -254,6 +254,32 @@ def test_toxicity_learns_and_restores(spark, make):
     assert toxicity.without_toxic(docs, marks).columns == docs.columns
 
 
+def prose(*extra):
+    """Costs of the character model and known words of a small text."""
+    known = Counter("worthless people are stupid and this idiot asks what a stupid idiot would kill for worthless trash in class".split() * 40)
+    known.update(extra)
+    codes = toxicity._CLASS[np.frombuffer(" ".join(known.elements()).encode(), np.uint8)]
+    counts = np.bincount((codes[:-2] * 28 + codes[1:-1]) * 28 + codes[2:], minlength=28 ** 3).reshape(28, 28, 28)
+    return toxicity.char_costs(counts.astype(float)).tolist(), toxicity.Words(known)
+
+
+def test_repeated_letters_long_tokens_and_joined_words_are_decoded():
+    costs, words = prose()
+    read = lambda t: toxicity.restore(t, costs, words)
+    written = ["worthlesss", "wooorthless", "stuupid", "idiiot", "killl", "1di" + "o" * 95 + "t", "i" * 50 + "diot", "w0rthle$$", "!diot", "people", "class"]
+    assert [read(t) for t in written] == ["worthless", "worthless", "stupid", "idiot", "kill", "idiot", "idiot", "worthless", "idiot", "people", "class"]
+    assert read("1d10t,stupid;tr@sh," * 20).split() == ["idiot", "stupid", "trash"] * 20
+    assert len(read("ab1" * 30_000)) > 10_000
+
+
+def test_toxicity_restores_doubled_letters_in_documents(make, spark):
+    plain = [(i, f"the class will discuss people and letters {i}", "en", "a") for i in range(200)]
+    bad = [(1000 + i, f"the class will discuss worthless people {i}", "en", "a") for i in range(100)]
+    docs = make(plain + bad + [(5000, "such worthlesss people", "en", "a"), (5001, "such woorthless people", "en", "a"), (5002, "so,w0rthless" + "s" * 90 + ",people", "en", "a")])
+    got = {r["doc_id"]: r for r in rows(toxicity.score(docs, labels_of(spark, [(i, 1, int(i >= 1000)) for i, *_ in plain + bad])))}
+    assert all(got[i]["marked"] == "worthless" and got[i]["predicted"] == 1 for i in (5000, 5001, 5002))
+
+
 # 8 personal data
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
