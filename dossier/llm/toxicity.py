@@ -17,7 +17,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import chain, groupby
 
@@ -40,13 +40,17 @@ IMITATION_COST, SYMBOL_COST, STRETCH_COST, DOUBLE_COST, MARK_COST, JOIN_COST = 1
 
 EDGE = ".,;:?()[]{}\"'`#&%*<>=~^_-+/\\|!"
 PLAIN_EDGE = "".join(c for c in EDGE if c not in READINGS)
-MEMO_LENGTH = 64  # longer tokens are decoded each time, so that a worker's memory stays bounded
+MEMO_LENGTH = 64
 LETTERS = 28  # boundary, a-z, any other letter
 _CLASS = np.zeros(256, np.int64)
 _CLASS[ord("a"):ord("z") + 1] = np.arange(1, 27)
 _CLASS[ord("A"):ord("Z") + 1] = np.arange(1, 27)
 _CLASS[128:] = 27
-_APART = re.compile(r"(?<!\S)[a-z0-9@$!]([ .*_-])[a-z0-9@$!](?:\1[a-z0-9@$!])+(?!\S)")
+_LIKE = re.escape("".join(c for c in READINGS if not c.isalnum()))
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.category(c)[0] == "M")
+_SINGLES = re.compile(rf"(?<![^\W_])(?<![{_MARKS}])[^\W_][{_MARKS}]*(?:(?:[^\w{_MARKS}]|_)+[^\W_][{_MARKS}]*(?![^\W_])){{2,}}")
+_THREE = re.compile(r"[\W_]\w[\W_]+\w[\W_]+\w[\W_]")  # a quick necessary condition for _SINGLES
+_GAP = re.compile(rf"(?:[^\w{_MARKS}{_LIKE}]|_)+")
 _TWICE = re.compile(r"(.)\1")
 
 
@@ -103,10 +107,21 @@ class Words:
 NO_WORDS = Words()
 
 
+class Readings(Memo):
+    """Keeps the readings of short tokens; longer ones are decoded each time, so a worker's memory stays bounded."""
+
+    def __missing__(self, token):
+        return super().__missing__(token) if len(token) <= MEMO_LENGTH else self.compute(token)
+
+
 def _is_letter(c: str) -> bool:
     return c.isalpha() or (c > "\u02ff" and unicodedata.category(c)[0] == "M")
 
 
+def _in_word(c: str) -> bool:
+    return c.isalnum() or _is_letter(c)
+
+
 @lru_cache(4096)
 def _channel(c: str) -> tuple[list, float | None, float | None]:
     """What a written character may stand for: (letter, its class, cost), the cost of a word boundary, of nothing."""
@@ -192,12 +207,22 @@ def restore(token: str, costs: list, words: Words = NO_WORDS) -> str:
 
 
 def tokens(text: str) -> set[str]:
-    """The distinct written tokens of a text, letters set apart joined again."""
+    """The distinct written tokens of a text, and each run of three or more single characters as one lattice, its
+    separators written as one blank (those that may stand for letters as they are, also beside the run)."""
     low = text.lower()
     found = set(low.split())
-    if len(found) > 2:
-        for m in _APART.finditer(low):
-            found.add(m.group().replace(m.group(1), ""))
+    maybe = _THREE.search(f" {low} ")
+    if not maybe:
+        return found
+    done = 0
+    for m in _SINGLES.finditer(low, max(0, maybe.start() - 1)):
+        start, end = m.span()
+        while start > done and not _in_word(low[start - 1]):
+            start -= 1
+        while end < len(low) and not _in_word(low[end]):
+            end += 1
+        found.add(_GAP.sub(" ", low[start:end]).strip())
+        done = m.end()
     return found
 
 
@@ -217,7 +242,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", pe
     return docs.select("doc_id", "text").join(F.broadcast(marked.where(chosen)), "doc_id").select("text", "y")
 
 
-def word_counts(sample: DataFrame, reader: Callable[[], Callable[[str], list[str]]]) -> DataFrame:
+def word_counts(sample: DataFrame, reader: Callable[[], Callable[[str], Iterable[str]]]) -> DataFrame:
     """word, pos, neg: documents of each class that hold the word; the word '' stands for all documents."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -226,7 +251,7 @@ def word_counts(sample: DataFrame, reader: Callable[[], Callable[[str], list[str
             for at in range(0, len(batch), 200):
                 part = batch.iloc[at:at + 200]
                 found = Counter((w, y) for text, y in zip(part["text"], part["y"], strict=True)
-                                for w in {w for t in tokens(text or "") for w in read(t)} | {""})
+                                for w in {"", *chain.from_iterable(map(read, tokens(text or "")))})
                 yield pd.DataFrame([(w, n * y, n * (1 - y)) for (w, y), n in found.items()], columns=["word", "pos", "neg"])
 
     return sample.mapInPandas(count, "word string, pos long, neg long").groupBy("word").agg(
@@ -256,10 +281,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, int],
     as_lists = costs.tolist()
     known = known_words(sample)
 
-    def reader() -> Callable[[str], list[str]]:
+    def reader() -> Callable[[str], Iterable[str]]:
         tree = Words(known)
-        memo = Memo(lambda t: restore(t, as_lists, tree).split())
-        return lambda t: memo[t] if len(t) <= MEMO_LENGTH else memo.compute(t)
+        return Readings(lambda t: tuple(restore(t, as_lists, tree).split())).__getitem__
 
     counted = word_counts(sample, reader)
     counted = counted.where("pos >= 5 or word = ''")
@@ -287,11 +311,11 @@ def scorer(docs: DataFrame, labels: DataFrame):
     @F.pandas_udf("score double, marked string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tree = Words(known)
-        memo = Memo(lambda t: [w for w in restore(t, as_lists, tree).split() if w in weights])
+        get = Readings(lambda t: tuple(w for w in restore(t, as_lists, tree).split() if w in weights)).__getitem__
         for batch in batches:
             scores, marked = [], []
             for text in batch:
-                hits = {w for t in tokens(text or "") for w in (memo[t] if len(t) <= MEMO_LENGTH else memo.compute(t))}
+                hits = set(chain.from_iterable(set(map(get, tokens(text or "")))))
                 logit = min(50.0, max(-50.0, prior + sum(weights[w] for w in sorted(hits))))
                 scores.append(1 / (1 + math.exp(-logit)) if prior > -math.inf else 0.0)
                 marked.append(",".join(sorted(hits)))

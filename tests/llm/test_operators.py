@@ -272,6 +272,17 @@ def test_repeated_letters_long_tokens_and_joined_words_are_decoded():
     assert len(read("ab1" * 30_000)) > 10_000
 
 
+def test_letters_set_apart_by_any_separator_are_decoded():
+    costs, words = prose(*["a"] * 40, *["you"] * 40, *["méchant"] * 40)
+    read = lambda text: {w for t in toxicity.tokens(text) for w in toxicity.restore(t, costs, words).split()}
+    for text in ("you i d i o t.", "(i d i o t)", "such a i d i o t", "i.d.i.o.t,", "i.d.i.o.t", "you i  d  i  o  t", "i\nd\ni\no\nt", "i/d/i/o/t",
+                 "you i,d,i,o,t !", "you: i - d - i - o - t", "i|d|i|o|t", "1 d 1 0 t", "you ! d i o t", "i d d i o t", "i_d_i_o_t s t u p i d"):
+        assert "idiot" in read(text), text
+    assert "stupid" in read("$ t u p i d") and "méchant" in read("m é c h a n t ?") and {"a", "idiot", "you"} <= read("you a i d i o t you")
+    assert toxicity.tokens("plain words in a row") == {"plain", "words", "in", "a", "row"}
+    assert len(read("a b 1 " * 20_000)) > 0 and read("1 2 3 4") == set()
+
+
 def test_toxicity_restores_doubled_letters_in_documents(make, spark):
     plain = [(i, f"the class will discuss people and letters {i}", "en", "a") for i in range(200)]
     bad = [(1000 + i, f"the class will discuss worthless people {i}", "en", "a") for i in range(100)]
