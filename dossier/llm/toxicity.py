@@ -228,18 +228,20 @@ def tokens(text: str) -> set[str]:
 
 # --- learning and scoring ------------------------------------------------------------------------------------
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """(text, y) of at most about ``per_class`` labelled documents of each class, chosen by a hash of the id."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic",
+                    per_class: int = SAMPLE_PER_CLASS) -> tuple[DataFrame, float]:
+    """(text, y) of at most about ``per_class`` labelled documents of each class, chosen by a hash of the id, and the
+    log odds of the classes over all learning labels, whatever the sample holds."""
     marked = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold(F.col("doc_id"), 5) != 0)) \
         .select("doc_id", F.col(label).cast("int").alias("y")).distinct()
     sizes = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if set(sizes) != {0, 1}:
-        return docs.select(F.col("text"), F.lit(0).alias("y")).where(F.lit(False))
+        return docs.select(F.col("text"), F.lit(0).alias("y")).where(F.lit(False)), -math.inf
     chosen = F.lit(False)
     for y, n in sizes.items():
         chosen = chosen | ((F.col("y") == y) & hash_share(F.col("doc_id"), min(1.0, per_class / n)))
     # the broadcast side holds at most about 2 * per_class rows of two numbers, whatever the input's size
-    return docs.select("doc_id", "text").join(F.broadcast(marked.where(chosen)), "doc_id").select("text", "y")
+    return docs.select("doc_id", "text").join(F.broadcast(marked.where(chosen)), "doc_id").select("text", "y"), math.log(sizes[1] / sizes[0])
 
 
 def word_counts(sample: DataFrame, reader: Callable[[], Callable[[str], Iterable[str]]]) -> DataFrame:
@@ -274,10 +276,10 @@ def known_words(sample: DataFrame) -> dict[str, int]:
     return {r["word"]: r["pos"] + r["neg"] for r in rows}
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, int], dict[str, float], float]:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[np.ndarray, dict[str, int], dict[str, float], float]:
     """Character costs, known words, weight per marked word, and the log odds of a text without any of them."""
     costs = char_costs(char_counts(docs))
-    sample = labelled_sample(docs, labels)
+    sample, prior = labelled_sample(docs, labels, per_class=per_class)
     as_lists = costs.tolist()
     known = known_words(sample)
 
@@ -288,13 +290,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, dict[str, int],
     counted = word_counts(sample, reader)
     counted = counted.where("pos >= 5 or word = ''")
     totals = {r["word"]: r for r in counted.where("word = ''").collect()}
-    if not totals:
+    if not totals or not min(totals[""]["pos"], totals[""]["neg"]):
         return costs, known, {}, -math.inf
     n_pos, n_neg = totals[""]["pos"], totals[""]["neg"]
     p, q = F.col("pos") / n_pos, F.col("neg") / n_neg
     z = (p - q) / F.sqrt(p * (1 - p) / n_pos + (q * (1 - q) + 1.0 / n_neg) / n_neg)
     rows = (counted.where("word <> ''").withColumn("z", z).where("z > 5").orderBy(F.desc("z"), "word").limit(LEXICON).collect())
-    prior = math.log(n_pos / n_neg)
     weights = {}
     for r in rows:
         p, q = (r["pos"] + 0.5) / (n_pos + 1), (r["neg"] + 0.5) / (n_neg + 1)

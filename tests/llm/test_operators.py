@@ -291,6 +291,18 @@ def test_toxicity_restores_doubled_letters_in_documents(make, spark):
     assert all(got[i]["marked"] == "worthless" and got[i]["predicted"] == 1 for i in (5000, 5001, 5002))
 
 
+def test_toxicity_threshold_does_not_move_with_the_cap(make, spark):
+    def logit_without_words(n_clean, per_class):
+        texts = [(i, f"plain words number {i} here", "en", "a") for i in range(n_clean)] + [(9000 + i, f"plain grobian here {i}", "en", "a") for i in range(150)]
+        _, _, weights, prior = toxicity.fit(make(texts), labels_of(spark, [(i, 1, int(i >= 9000)) for i, *_ in texts]), per_class)
+        assert "grobian" in weights
+        return prior
+
+    whole, capped, rarer = logit_without_words(1500, 10_000), logit_without_words(1500, 100), logit_without_words(3000, 100)
+    assert capped == pytest.approx(whole, abs=0.8)  # a prior of the capped counts would be 2.3 higher
+    assert rarer == pytest.approx(capped - np.log(2), abs=0.4)
+
+
 # 8 personal data
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
