@@ -32,6 +32,8 @@ from .common import Memo, fold, hash_share, materialize
 SAMPLE_PER_CLASS = 8_000
 #: Words kept in the model, and known to the decoder (the most frequent of the learning documents).
 LEXICON, KNOWN = 2_000, 20_000
+#: Share of words that may be marked by chance.
+FALSE_WORDS = 0.05
 
 #: What a written character may stand for besides itself, and the cost of that reading.
 READINGS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il",
@@ -276,6 +278,41 @@ def known_words(sample: DataFrame) -> dict[str, int]:
     return {r["word"]: r["pos"] + r["neg"] for r in rows}
 
 
+def _tail(k: int, n: int, share: float) -> float:
+    """P(X >= k) of a binomial X of n draws."""
+    term = total = 1.0
+    for i in range(k, n):
+        term *= (n - i) / (i + 1) * share / (1 - share)
+        total += term
+        if term < 1e-12 * total:
+            break
+    log = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log(1 - share)
+    return min(1.0, math.exp(log) * total)
+
+
+def marked_words(counted: DataFrame, n_pos: int, n_neg: int) -> list:
+    """The rows of ``counted`` (LEXICON at most) whose words are commoner in toxic documents than chance allows.
+
+    The test adapts to the number of labels: a word's chance is that of so many toxic ones among its documents, and
+    words in about equally many documents (by powers of two) are held to a false discovery rate of FALSE_WORDS."""
+    share = n_pos / (n_pos + n_neg)
+    total = F.col("pos") + F.col("neg")
+    words = counted.where("word <> ''").withColumn("level", F.floor(F.log2(total)).cast("int"))
+    tried = {r["level"]: r["n"] for r in words.groupBy("level").agg(F.count("*").alias("n")).collect()}
+    gain = F.col("pos") * F.log(F.col("pos") / (total * share)) + F.when(F.col("neg") > 0, F.col("neg") * F.log(
+        F.col("neg") / (total * (1 - share)))).otherwise(0.0)
+    best = words.where((F.col("pos") >= 2) & (F.col("pos") > total * share)).orderBy(F.desc(gain), "word").limit(LEXICON).collect()
+    levels: dict[int, list] = {}
+    for r in best:
+        levels.setdefault(r["level"], []).append((_tail(r["pos"], r["pos"] + r["neg"], share), r["word"], r))
+    kept = []
+    for level, found in sorted(levels.items()):
+        found.sort(key=lambda x: x[:2])
+        n = max((i for i, (chance, *_) in enumerate(found, 1) if chance * tried[level] <= FALSE_WORDS * i), default=0)
+        kept += [r for *_, r in found[:n]]
+    return kept
+
+
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[np.ndarray, dict[str, int], dict[str, float], float]:
     """Character costs, known words, weight per marked word, and the log odds of a text without any of them."""
     costs = char_costs(char_counts(docs))
@@ -287,15 +324,12 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
         tree = Words(known)
         return Readings(lambda t: tuple(restore(t, as_lists, tree).split())).__getitem__
 
-    counted = word_counts(sample, reader)
-    counted = counted.where("pos >= 5 or word = ''")
+    counted = materialize(word_counts(sample, reader), "toxicity-words")  # the words of a bounded sample
     totals = {r["word"]: r for r in counted.where("word = ''").collect()}
     if not totals or not min(totals[""]["pos"], totals[""]["neg"]):
         return costs, known, {}, -math.inf
     n_pos, n_neg = totals[""]["pos"], totals[""]["neg"]
-    p, q = F.col("pos") / n_pos, F.col("neg") / n_neg
-    z = (p - q) / F.sqrt(p * (1 - p) / n_pos + (q * (1 - q) + 1.0 / n_neg) / n_neg)
-    rows = (counted.where("word <> ''").withColumn("z", z).where("z > 5").orderBy(F.desc("z"), "word").limit(LEXICON).collect())
+    rows = marked_words(counted, n_pos, n_neg)
     weights = {}
     for r in rows:
         p, q = (r["pos"] + 0.5) / (n_pos + 1), (r["neg"] + 0.5) / (n_neg + 1)

@@ -303,6 +303,19 @@ def test_toxicity_threshold_does_not_move_with_the_cap(make, spark):
     assert rarer == pytest.approx(capped - np.log(2), abs=0.4)
 
 
+@pytest.mark.parametrize("sf, n_words", [("sf0.001", 4), ("sf0.01", 10)])
+def test_toxicity_recall_with_few_labels(spark, sf, n_words):
+    path = f"/root/testdata/{sf}"
+    marked = {"idiot", "stupid", "worthless", "moron", "loser", "clown", "scum", "trash", "pathetic", "disgusting"}
+    got = queries.op7_toxicity(spark, path).join(table(spark, path, "documents").select("doc_id", "text"), "doc_id").join(
+        table(spark, path, "labels").select("doc_id", "toxic"), "doc_id").collect()
+    bad = [r for r in got if marked & set(r.text.lower().split())]
+    assert len(bad) >= 5 and sum(r.predicted for r in bad) >= 0.8 * len(bad)
+    assert len(marked & {w for r in got for w in r.marked.split(",")}) >= n_words
+    clean = [r for r in got if r.toxic == 0]
+    assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
+
+
 # 8 personal data
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
