@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 K = 3
-#: Diagonals at most so far apart are one alignment.
-DRIFT = 3
+#: Diagonals are one alignment if no more words lie between them in the text than this share of the notice's k-grams.
+GAP = 0.5
 #: Share of a notice's k-grams that must vote, and of its words that must be in the span.
 MIN_VOTES, MIN_WORDS = 0.5, 0.7
 BASE_SCORE = 0.8
@@ -96,8 +96,9 @@ def alignments(rows: DataFrame, table: DataFrame) -> DataFrame:
     diagonals = votes.groupBy("doc_id", "key", "notice", "n_grams", (F.col("p") - F.col("t")).alias("d")).agg(
         F.collect_set("t").alias("ts"), F.min("p").alias("lo"), F.max("p").alias("hi"))  # a notice has few k-grams
     order = Window.partitionBy("doc_id", "key", "notice").orderBy("lo", "d")
-    near = (F.abs(F.col("d") - F.lag("d").over(order)) <= DRIFT) & (F.col("lo") - F.lag("hi").over(order) <= K + DRIFT)
-    grouped = diagonals.withColumn("new", F.when(near, 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    gap = F.col("lo") - F.max("hi").over(before)
+    grouped = diagonals.withColumn("new", F.when(gap <= K + GAP * F.col("n_grams"), 0).otherwise(1)).withColumn("run", F.sum("new").over(order))
     merged = grouped.groupBy("doc_id", "key", "notice", "n_grams", "run").agg(
         F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("ts").alias("ts"))
     voted = F.size(F.array_distinct(F.flatten("ts")))

@@ -234,6 +234,13 @@ def test_license_notices(make, odd):
     assert len(rows(licenses.scan(odd))) == 10 and licenses.scan(make([])).count() == 0
 
 
+def test_license_notices_with_insertions(make):
+    first, second = "Redistribution and use in source and binary forms, with or without modification, are permitted", "provided that the following conditions are met:"
+    docs = make([(1, f"x {first} (subject to the limitations in the disclaimer below) {second} y", None, None), (2, f"{first} (all source and binary forms alike) {second}", None, None),
+                 (3, f"{first} {'other words ' * 30} {second}", None, None), (4, f"{first} {second} {first} {second}", None, None)])
+    assert {r["doc_id"]: r["labels"] for r in rows(licenses.scan(docs))} == {1: "bsd", 2: "bsd", 3: "", 4: "bsd"}
+
+
 # 7 toxicity
 def test_restore():
     costs = np.full((28, 28, 28), 3.0).tolist()
