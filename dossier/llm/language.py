@@ -42,17 +42,32 @@ SCRIPTS = ((0x0000, "Latin"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530,
            (0x2C80, "Other"), (0x3040, "Kana"), (0x3100, "Other"), (0x3400, "Han"), (0xA000, "Other"), (0xAC00, "Hangul"),
            (0xD7B0, "Other"), (0xF900, "Han"), (0xFB00, "Latin"), (0xFB13, "Other"), (0x20000, "Han"), (0x30000, "Other"))
 _FIRST = [first for first, _ in SCRIPTS]
+#: Letters of a piece of a word, at most.
+PIECE = 40
 _WORD = re.compile(r"[^\W\d_]+")
+_BEYOND_LATIN = re.compile("[\u0370-\u1fff\u2070-\U0010ffff]")
+_LAST = [first - 1 for first in _FIRST[1:]] + [0x10FFFF]
+_RANGES = {s: "".join(f"{chr(a)}-{chr(b)}" for (a, x), b in zip(SCRIPTS, _LAST, strict=True) if x == s) for _, s in SCRIPTS}
+_RANGES["Latin"] = r"\x00-" + _RANGES["Latin"][2:]
+_PIECE = re.compile("|".join(rf"(?:(?![\W\d_])[{r}]){{1,{PIECE}}}" for r in _RANGES.values()))
 
 
 def script(word: str) -> str:
     return SCRIPTS[bisect_right(_FIRST, ord(word[0])) - 1][1]
 
 
+def pieces(text: str) -> tuple[list[str], re.Pattern]:
+    """The words of a text, cut where the script changes and after PIECE letters, and the pattern that finds them."""
+    found = _WORD.findall(text)
+    if max(map(len, found), default=0) <= PIECE and (text.isascii() or not _BEYOND_LATIN.search(text)):
+        return found, _WORD
+    return _PIECE.findall(text), _PIECE
+
+
 def features(found: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of the byte trigrams of all words (marked at both ends, at most 40 letters of each), the place where
+    """Buckets of the byte trigrams of all words (marked at both ends), the place where
     each word's trigrams start, and the bucket of each word itself."""
-    marked = [f"<{w[:40]}>".encode() for w in found]
+    marked = [f"<{w}>".encode() for w in found]
     sizes = np.array([len(m) for m in marked])
     flat = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
     codes = (flat[:-2] << np.uint64(16)) | (flat[1:-1] << np.uint64(8)) | flat[2:]
@@ -99,7 +114,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model | None:
         for batch in batches:
             for t, lang in zip(batch["text"], batch["lang"], strict=True):
                 cells = grams.setdefault(lang, np.zeros(BUCKETS))
-                words = Counter(map(str.lower, _WORD.findall(t)))
+                words = Counter(map(str.lower, pieces(t)[0]))
                 if not words:
                     continue
                 times = np.fromiter(words.values(), float, len(words))
@@ -182,7 +197,7 @@ class Scorer:
 
     def label(self, text: str | None) -> tuple[str, float, list[tuple[int, int, str]]]:
         """(language, score, [(start, end, language)]) of a text; starts and ends are characters."""
-        found = _WORD.findall(text) if text else []
+        found, pattern = pieces(text) if text else ([], _WORD)
         if not found:
             return "und", 0.0, []
         langs = self.model.langs
@@ -193,7 +208,7 @@ class Scorer:
         cut = np.flatnonzero(np.diff(path)) + 1
         if not len(cut):
             return langs[best], 1.0, [(_WORD.search(text).start(), text.rfind(found[-1]) + len(found[-1]), langs[best])]
-        at = [m.span() for m in _WORD.finditer(text)]
+        at = [m.span() for m in pattern.finditer(text)]
         ends = zip([0, *cut], [*cut, len(path)], strict=True)
         return langs[best], float(letters[best] / sizes.sum()), [(at[a][0], at[b - 1][1], langs[int(path[a])]) for a, b in ends]
 

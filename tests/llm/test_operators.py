@@ -44,6 +44,14 @@ def test_language_odd_rows(odd, make):
     assert language.identify(make([])).count() == 0
 
 
+def test_words_without_spaces_are_read_whole(make):
+    assert language.pieces("abc東京とdef " + "語" * 95 + " é")[0] == ["abc", "東京", "と", "def", "語" * 40, "語" * 40, "語" * 15, "é"]
+    assert language.pieces("plain words")[0] == ["plain", "words"] and language.pieces("1 2 _")[0] == []
+    learnt = [(i, "the house and the garden", "en", "a") for i in range(40)] + [(100 + i, "我们在花园里看书", "zh", "a") for i in range(40)]
+    got = {r["doc_id"]: r for r in rows(language.identify(make([*learnt, (500, "the" + "我们在花园里看书" * 20, None, "a")])))}
+    assert got[500]["lang_pred"] == "zh" and [(s["start"], s["end"], s["lang"]) for s in got[500]["spans"]][-1][1:] == (163, "zh")
+
+
 def test_viterbi_matches_the_full_recursion():
     rng = np.random.default_rng(5)
     for n in (1, 2, 30):
