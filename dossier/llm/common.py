@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,5 +47,19 @@ class Memo(dict):
         return value
 
 
-def crc(data: bytes) -> int:
-    return zlib.crc32(data)
+def letter_runs(data: bytes, table: bytes, piece: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The runs of kept bytes of a text after ``bytes.translate(table)``, which writes a blank for every other byte;
+    long texts come in pieces of about ``piece`` bytes, cut at blanks, so memory is bounded but for one unbroken run."""
+    at = 0
+    while at < len(data):
+        end = at + piece
+        part = data[at:end].translate(table)
+        step = 4096
+        while end < len(data) and not part.endswith(b" "):  # go on to the end of the run
+            more = data[end:end + step].translate(table)
+            cut = more.find(b" ")
+            part += more if cut < 0 else more[:cut + 1]
+            end += len(more) if cut < 0 else cut + 1
+            step = len(part)
+        yield part.split()
+        at = end

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, mixing, neardup, packing, pii, quality, repeats, topk, toxicity
+from . import divergence, language, licenses, mixing, neardup, packing, pii, quality, repeats, topk, toxicity
 from .common import table
 
 #: Words of a text, as DuckDB writes them.
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+#: The text with A-Z lower-cased.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES: dict[str, str] = {
     "op3_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -44,6 +47,29 @@ p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) A
       FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM p QUALIFY rank <= 20""",
+    "op13_source_divergence": f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+tok AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM tok GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+here AS (SELECT lang, source, term, count(*) AS c FROM tok JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+gn AS (SELECT lang, source, coalesce((SELECT sum(c) FROM here h WHERE h.lang = g.lang AND h.source = g.source), 0) AS n, v FROM g JOIN v USING (lang)),
+p AS (SELECT gn.lang, gn.source, kept.term, coalesce(c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c, 0) + 2)) // (n + 2 * v) AS p
+      FROM gn JOIN kept ON kept.lang = gn.lang LEFT JOIN here ON here.lang = gn.lang AND here.source = gn.source AND here.term = kept.term),
+whole AS (SELECT lang, term, sum(c) AS c FROM here GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 2)) // (sum(c) OVER (PARTITION BY lang) + 2 * v) AS q FROM whole JOIN v USING (lang)),
+summed AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+           FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT p.lang, p.source, 'term' AS part, p.term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+          FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE c > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }
 
 
@@ -93,6 +119,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_quality_rules, op3_substring_dedup, op4_best_fit_packing, op5_minhash_neardup, op6_license_scan,
-    op7_toxicity, op8_pii, op9_exact_topk, op10_source_mixing)}
+    op7_toxicity, op8_pii, op9_exact_topk, op10_source_mixing, op13_source_divergence)}
