@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, language, licenses, mixing, neardup, packing, pii, quality, repeats, topk, toxicity
+from . import divergence, language, licenses, mixing, neardup, packing, pii, quality, ranked, repeats, topk, toxicity
 from .common import table
 
 #: Words of a text, as DuckDB writes them.
@@ -15,6 +15,8 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 #: The text with A-Z lower-cased.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Terms of ranked search: letters and digits.
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
 
 ORACLES: dict[str, str] = {
     "op3_substring_dedup": f"""
@@ -47,6 +49,21 @@ p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) A
       FROM e q JOIN e c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM p QUALIFY rank <= 20""",
+    "op11_ranked_search": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, {_TERM}) AS w FROM documents WHERE doc_id IS NOT NULL),
+tok AS (SELECT r, unnest(w) AS term FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM tok GROUP BY ALL),
+n AS (SELECT r, sum(tf) AS n FROM tf GROUP BY r),
+whole AS (SELECT count(*) AS n_docs, sum(n) AS n_terms FROM n),
+m AS (SELECT r, 25 + (75 * n * n_docs) // n_terms AS m FROM n, whole),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+      FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), whole),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER}, {_TERM})) AS term
+      FROM (SELECT item_id, min(text) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id)) GROUP BY ALL),
+s AS (SELECT item_id, doc_id, r, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS score
+      FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) JOIN d USING (r) GROUP BY ALL HAVING score > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM s QUALIFY rank <= 10""",
     "op13_source_divergence": f"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                   regexp_extract_all({_LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
@@ -119,10 +136,15 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_quality_rules, op3_substring_dedup, op4_best_fit_packing, op5_minhash_neardup, op6_license_scan,
-    op7_toxicity, op8_pii, op9_exact_topk, op10_source_mixing, op13_source_divergence)}
+    op7_toxicity, op8_pii, op9_exact_topk, op10_source_mixing, op11_ranked_search,
+    op13_source_divergence)}
