@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, language, licenses, mixing, neardup, packing, pii, quality, ranked, repeats, topk, toxicity
+from . import divergence, jaccard, language, licenses, mixing, neardup, packing, pii, quality, ranked, repeats, topk, toxicity
 from .common import table
 
 #: Words of a text, as DuckDB writes them.
@@ -18,6 +18,21 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 #: Terms of ranked search: letters and digits.
 _TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
 
+
+def _components_sql(size: int, limit: int, columns: str) -> str:
+    """Components of documents whose sets of ``size`` words have a similarity of ``limit`` hundredths."""
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {size - 1}], ' ') AS k
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {size - 1}, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.k = y.k AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= {limit} * (na.n + nb.n - shared)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT {columns} FROM c LEFT JOIN n USING (doc_id)"""
+
+
 ORACLES: dict[str, str] = {
     "op3_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -32,16 +47,7 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS rest, count(*) AS n
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(rest, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
-    "op5_minhash_neardup": f"""
-WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
-s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k
-      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.k = y.k AND x.doc_id <> y.doc_id GROUP BY 1, 2),
-links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 85 * (na.n + nb.n - shared)),
-reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
-c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
-SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)""",
+    "op5_minhash_neardup": _components_sql(5, 85, "doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept"),
     "op9_exact_topk": """
 WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -64,6 +70,7 @@ s AS (SELECT item_id, doc_id, r, sum(times * weight * ((1000000000 * tf) // (100
       FROM q JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) JOIN d USING (r) GROUP BY ALL HAVING score > 0)
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
 FROM s QUALIFY rank <= 10""",
+    "op12_ngram_jaccard": _components_sql(3, 90, "doc_id, coalesce(n, 0) AS n_shingles, component_id"),
     "op13_source_divergence": f"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
                   regexp_extract_all({_LOWER}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
@@ -140,6 +147,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -147,4 +158,4 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_quality_rules, op3_substring_dedup, op4_best_fit_packing, op5_minhash_neardup, op6_license_scan,
     op7_toxicity, op8_pii, op9_exact_topk, op10_source_mixing, op11_ranked_search,
-    op13_source_divergence)}
+    op12_ngram_jaccard, op13_source_divergence)}
