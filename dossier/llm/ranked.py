@@ -27,7 +27,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -160,7 +159,7 @@ def search_block(docs: DataFrame, items: list, k: int) -> DataFrame:
     m = (F.lit(25) + F.call_function("div", F.lit(75).cast("decimal(3,0)") * F.col("n").cast("decimal(16,0)") * F.lit(n_docs).cast("decimal(16,0)"),
                                      F.lit(n_terms or 1).cast("decimal(18,0)"))).cast("long").alias("m")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(queries)
         held: list = []
 
@@ -186,10 +185,9 @@ def search_block(docs: DataFrame, items: list, k: int) -> DataFrame:
                     rows = postings = 0
         if held:
             read_shard()
-        ids = [item_id for item_id, _ in queries]
-        sizes = [len(x[0]) for x in best]
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), sizes)), pa.array(np.concatenate([x[0] for x in best])),
-                                          pa.array(np.concatenate([x[1] for x in best]))], names=["item_id", "doc_id", "score"])
+        ids = np.repeat(np.array([item_id for item_id, _ in queries], np.int64), np.array([len(x[0]) for x in best], np.int64))
+        columns = [np.concatenate([np.empty(0, np.int64), *(x[i] for x in best)]) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, [ids, *columns])), names=["item_id", "doc_id", "score"])
 
     return index.select("doc_id", m, "terms", "tfs").mapInArrow(run, "item_id long, doc_id long, score long")
 
