@@ -31,8 +31,9 @@ from .common import letter_runs, materialize
 MIN_DOCS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
-#: Entries held by a counting task, classes of equal terms in a chunk, sources in a tile (sizes of work, not limits).
-HELD, CHUNK, TILE = 400_000, 16_384, 64
+#: Terms held by a counting task, bytes read between two looks at them, classes of equal terms in a chunk, sources in a
+#: tile (sizes of work, not limits).
+HELD, LOOK, CHUNK, TILE = 600_000, 1 << 18, 16_384, 64
 
 #: Letters of a term: A-Z (lower-cased), a-z and every character beyond ASCII; all else sets terms apart.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -44,11 +45,13 @@ def term_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
 
-        def flush() -> pd.DataFrame:
-            rows = [(lang, source, term, n, there[term]) for (lang, source), (count, there) in held.items() for term, n in count.items()]
-            held.clear()
-            return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "d"])
+        def flush() -> Iterator[pd.DataFrame]:
+            while held:
+                (lang, source), (count, there) = held.popitem()
+                yield pd.DataFrame({"lang": lang, "source": source, "term": list(count), "n": list(count.values()),
+                                    "d": list(map(there.__getitem__, count))})
 
+        seen = 0
         for batch in batches:
             for lang, source, data in zip(batch["lang"], batch["source"], batch["text"], strict=True):
                 count, there = held.setdefault((lang, source), (Counter(), Counter()))
@@ -57,9 +60,12 @@ def term_counts(docs: DataFrame) -> DataFrame:
                     count.update(terms)
                     own.update(terms)
                 there.update(own)
-                if sum(len(c) for c, _ in held.values()) > HELD:
-                    yield flush()
-        yield flush()
+                seen += len(data)
+                if seen > LOOK:
+                    seen = 0
+                    if sum(len(c) for c, _ in held.values()) > HELD:
+                        yield from flush()
+        yield from flush()
 
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     rows = docs.select(blank("lang"), blank("source"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).mapInPandas(
@@ -70,10 +76,10 @@ def term_counts(docs: DataFrame) -> DataFrame:
 def vocabulary(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, term, sources and counts (by source, those above 0), total: the kept terms of each language."""
     by_term = term_counts(docs).groupBy("lang", "term").agg(
-        F.sort_array(F.collect_list(F.struct("source", "n"))).alias("vec"), F.sum("n").alias("total"), F.sum("d").alias("docs"))
-    return by_term.where(F.col("docs") >= min_docs).select(
-        "lang", F.col("term").cast("string").alias("term"), F.transform("vec", lambda v: v["source"]).alias("sources"),
-        F.transform("vec", lambda v: v["n"]).alias("counts"), "total")
+        F.collect_list(F.struct("source", "n")).alias("vec"), F.sum("n").alias("total"), F.sum("d").alias("docs"))
+    kept = by_term.where(F.col("docs") >= min_docs).withColumn("vec", F.sort_array("vec"))
+    return kept.select("lang", F.col("term").cast("string").alias("term"), F.transform("vec", lambda v: v["source"]).alias("sources"),
+                       F.transform("vec", lambda v: v["n"]).alias("counts"), "total")
 
 
 def _div(a: Column, b: Column) -> Column:
