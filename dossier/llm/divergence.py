@@ -7,7 +7,8 @@ a chunk each group's column is run-length encoded.  For a pair of groups the run
 two boundaries both counts are constant, so the term of the divergence is computed once and multiplied by the run
 length.  The parts of all chunks are summed.
 
-Counting is one pass over the texts with dictionaries of bounded size; the columns of a chunk are compared in tiles
+Counting is one pass over the texts with dictionaries of bounded size, whose vectors of counts by source are merged in
+the order of their terms; the columns of a chunk are compared in tiles
 of ``TILE`` by ``TILE`` sources, so no task holds more than a tile of a chunk, however many sources or terms there are.
 
 Edge cases: null text, lang or source count as ''; a group without terms is compared like any other (all its counts
@@ -19,9 +20,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,47 +43,90 @@ HELD, LOOK, CHUNK, TILE = 600_000, 1 << 18, 16_384, 64
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n (occurrences), d (documents), summed over all documents."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict = {}
-
-        def flush() -> Iterator[pd.DataFrame]:
-            while held:
-                (lang, source), (count, there) = held.popitem()
-                yield pd.DataFrame({"lang": lang, "source": source, "term": list(count), "n": list(count.values()),
-                                    "d": list(map(there.__getitem__, count))})
-
-        seen = 0
-        for batch in batches:
-            for lang, source, data in zip(batch["lang"], batch["source"], batch["text"], strict=True):
-                count, there = held.setdefault((lang, source), (Counter(), Counter()))
-                own: set = set()
-                for terms in letter_runs(data, LETTERS):
-                    count.update(terms)
-                    own.update(terms)
-                there.update(own)
-                seen += len(data)
-                if seen > LOOK:
-                    seen = 0
-                    if sum(len(c) for c, _ in held.values()) > HELD:
-                        yield from flush()
-        yield from flush()
-
-    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    rows = docs.select(blank("lang"), blank("source"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).mapInPandas(
-        run, "lang string, source string, term binary, n long, d long")
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+VECTORS = "lang string, term binary, d long, sources array<string>, counts array<long>"
+
+
+def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """VECTORS rows: for each term of a language the documents that hold it and its occurrences by source."""
+    held: dict = {}  # lang -> (documents of each term, source -> occurrences of each term)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        while held:
+            lang, (there, by_source) = held.popitem()
+            vectors: dict = {term: ([], []) for term in there}
+            while by_source:
+                source, count = by_source.popitem()
+                for term, n in count.items():
+                    sources, counts = vectors[term]
+                    sources.append(source)
+                    counts.append(n)
+            ends = np.cumsum([0, *(len(x) for x, _ in vectors.values())])
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(lang, len(there)), pa.array(list(there), pa.binary()), pa.array(list(there.values()), pa.int64()),
+                pa.ListArray.from_arrays(ends, pa.array(list(chain.from_iterable(x for x, _ in vectors.values())), pa.string())),
+                pa.ListArray.from_arrays(ends, pa.array(list(chain.from_iterable(x for _, x in vectors.values())), pa.int64()))],
+                names=["lang", "term", "d", "sources", "counts"])
+
+    seen = 0
+    for batch in batches:
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source")), batch.column("text"), strict=True):
+            there, by_source = held.setdefault(lang, (Counter(), {}))
+            count = by_source.setdefault(source, Counter())
+            data, own = text.as_py(), set()
+            for terms in letter_runs(data, LETTERS):
+                count.update(terms)
+                own.update(terms)
+            there.update(own)
+            seen += len(data)
+            if seen > LOOK:
+                seen = 0
+                if sum(len(c) for _, x in held.values() for c in x.values()) > HELD:
+                    yield from flush()
+    yield from flush()
+
+
+def merged(rows: pa.Table) -> pa.RecordBatch:
+    """One row for each (lang, term) of VECTORS rows that are sorted by them."""
+    lang, term = (rows.column(c).combine_chunks() for c in ("lang", "term"))
+    new = np.ones(len(rows), bool)
+    new[1:] = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
+    group, first = np.cumsum(new) - 1, np.flatnonzero(new)
+    sources, counts = (rows.column(c).combine_chunks() for c in ("sources", "counts"))
+    names = sources.flatten().dictionary_encode()
+    words = np.array([x.encode() for x in names.dictionary.to_pylist()], object)
+    by_name = np.argsort(words, kind="stable")
+    rank = np.empty(len(words), np.int64)
+    rank[by_name] = np.arange(len(words))
+    of = np.repeat(group, sources.value_lengths().to_numpy()) * max(1, len(words)) + rank[names.indices.to_numpy()]
+    cells, back = np.unique(of, return_inverse=True)
+    total = np.zeros(len(cells), np.int64)
+    np.add.at(total, back, counts.flatten().to_numpy())
+    ends = np.searchsorted(cells, np.arange(len(first) + 1) * max(1, len(words)))
+    named = names.dictionary.take(pa.array(by_name[cells % max(1, len(words))]))
+    return pa.RecordBatch.from_arrays([
+        lang.take(pa.array(first)), term.take(pa.array(first)), pa.array(np.add.reduceat(rows.column("d").to_numpy(), first)),
+        pa.ListArray.from_arrays(ends, named), pa.ListArray.from_arrays(ends, pa.array(total))], names=rows.column_names)
+
+
+def merge_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of sorted batches, one for each (lang, term); at most one term is held between two batches."""
+    held: list = []
+    for batch in batches:
+        for at in range(0, batch.num_rows, 4096):
+            done = merged(pa.Table.from_batches([*held, batch.slice(at, 4096)]))
+            held = [done.slice(done.num_rows - 1)]
+            yield done.slice(0, done.num_rows - 1)
+    yield from held
 
 
 def vocabulary(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """lang, term, sources and counts (by source, those above 0), total: the kept terms of each language."""
-    by_term = term_counts(docs).groupBy("lang", "term").agg(
-        F.collect_list(F.struct("source", "n")).alias("vec"), F.sum("n").alias("total"), F.sum("d").alias("docs"))
-    kept = by_term.where(F.col("docs") >= min_docs).withColumn("vec", F.sort_array("vec"))
-    return kept.select("lang", F.col("term").cast("string").alias("term"), F.transform("vec", lambda v: v["source"]).alias("sources"),
-                       F.transform("vec", lambda v: v["n"]).alias("counts"), "total")
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
+    texts = docs.select(blank("lang"), blank("source"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
+    rows = texts.mapInArrow(count_terms, VECTORS).repartition("lang", "term").sortWithinPartitions("term", "lang")
+    kept = rows.mapInArrow(merge_terms, VECTORS).where(F.col("d") >= min_docs)
+    return kept.select("lang", F.col("term").cast("string").alias("term"), "sources", "counts",
+                       F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y).alias("total"))
 
 
 def _div(a: Column, b: Column) -> Column:

@@ -236,3 +236,11 @@ def test_shares_are_exact_beyond_double_precision(spark):
         want = 1 + 10 ** 9 * (c + 2) // (n + 2 * v)
         assert divergence.shares(np.array([c]), n, v)[0] == want
         assert spark.range(1).select(divergence.share(F.lit(c).cast("long"), F.lit(n).cast("long"), F.lit(v).cast("long"))).first()[0] == want
+
+
+def test_vectors_merge_across_batches_and_flushes(make, monkeypatch):
+    docs = [(i, "a b c " * (i % 3 + 1) + f"d{i % 5}", "en", f"s{i % 4}") for i in range(60)]
+    whole = audited(divergence.audit(make(docs)))
+    monkeypatch.setattr(divergence, "HELD", 2)
+    monkeypatch.setattr(divergence, "LOOK", 5)
+    assert audited(divergence.audit(make(docs))) == whole == brute_audit([(lang, s, t) for _, t, lang, s in docs], 10, 10)
