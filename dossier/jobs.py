@@ -4,7 +4,7 @@
 
 Steps: S3 header and S4 section items from the pages, E7/E8 on the captions,
 S5 stamp, S1 conform, T1-T5 clean, K1 ids, T6-T10 normalise, S6 upsert into the
-versioned store, S11 report.  Class names of the fields are parameters.
+store, S11 report.  Class names of the fields are parameters.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def build_sections(spark: SparkSession, pages: DataFrame, store_root: str, run_t
     store.create_sections()
     header = ST.stamp_batch(XT.extract_header(pages).withColumn("profile_id", F.col("profile_id").cast("string")),
                             run_ts)
-    store.upsert("profile", header, ["profile_id"])
+    store.upsert("profile", header)
     for section in SECTION_FIELDS:
         raw = ST.stamp_batch(section_rows(pages, section), run_ts)
         raw = ST.conform(raw.withColumn("scraped_at", F.col("scraped_at").cast("string")), RAW[section])

@@ -25,9 +25,9 @@ def _sort_cols(df: DataFrame, keys: list[str], order: list[Column | str], descen
             cols.append(o)
     # tie-break on every other column so the choice never depends on input order
     for name, dtype in df.dtypes:
-        if name in named or dtype.startswith(("map", "array", "struct", "binary")):
+        if name in named:
             continue
-        c = F.col(name)
+        c = F.to_json(F.col(name)) if "map<" in dtype or "variant" in dtype else F.col(name)  # maps have no order of their own
         cols.append(c.desc_nulls_last() if descending else c.asc_nulls_last())
     return cols
 

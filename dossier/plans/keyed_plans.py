@@ -427,14 +427,37 @@ def q_first_row(spark, d):
                                                      F.col("o_orderkey").asc_nulls_last()])
 
 
-@register("raw_snapshot", "SELECT *, '2024-01-02' AS scrape_date FROM orders")
+@register("raw_snapshot", "SELECT *, '2024-01-02' AS scrape_date, '2' AS run_id, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') "
+                          "AS n_first_run FROM orders")
 def q_raw_snapshot(spark, d):
+    """The latest run of the latest date; the first run of that date still holds what it wrote."""
     root = scratch_path(spark, "snapshots")
     orders = table(spark, d, "orders")
-    ST.write_snapshot(orders.filter(F.col("o_orderstatus") != "P"), root, "2024-01-01")
-    ST.write_snapshot(orders, root, "2024-01-02")
-    out = ST.read_latest_snapshot(spark, root)
-    return out.select(*[F.col(c) for c in orders.columns], F.col("scrape_date").cast("string").alias("scrape_date"))
+    ST.write_snapshot(orders.filter(F.col("o_orderstatus") == "P"), root, "2024-01-01", "1")
+    ST.write_snapshot(orders.filter(F.col("o_orderstatus") != "P"), root, "2024-01-02", "1")
+    ST.write_snapshot(orders, root, "2024-01-02", "2")
+    first = spark.read.parquet(root).where("scrape_date = '2024-01-02' and run_id = 1").select(F.count(F.lit(1))).scalar()
+    return ST.read_latest_snapshot(spark, root).withColumn("n_first_run", first)
+
+
+# stored orders, then a batch of newer rows (each twice), then a late one that must lose
+NEWER = "SELECT * REPLACE (o_orderdate + INTERVAL 1 DAY AS o_orderdate, o_totalprice + 100 AS o_totalprice) FROM orders WHERE o_orderkey % 10 = 0"
+LATE = "SELECT * REPLACE (o_orderdate - INTERVAL 1 DAY AS o_orderdate, 0 AS o_totalprice) FROM orders WHERE o_orderkey % 15 = 0"
+
+
+@register("stored_upsert", f"""
+SELECT * EXCLUDE (b) FROM (SELECT *, 0 AS b FROM orders UNION ALL SELECT *, 1 FROM ({NEWER}) UNION ALL SELECT *, 2 FROM ({LATE}))
+QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC, b DESC) = 1""")
+def q_stored_upsert(spark, d):
+    """S6 in its stored form: three batches in a change log, the newest row of each key on reading."""
+    orders = table(spark, d, "orders")
+    moved = lambda days: F.timestamp_add("DAY", F.lit(days), "o_orderdate").cast(orders.schema["o_orderdate"].dataType)
+    newer = orders.where("o_orderkey % 10 = 0").withColumns({"o_orderdate": moved(1), "o_totalprice": F.col("o_totalprice") + 100})
+    late = orders.where("o_orderkey % 15 = 0").withColumns({"o_orderdate": moved(-1), "o_totalprice": F.lit(0.0)})
+    log = ST.ChangeLog(spark, scratch_path(spark, "stored"), "o_orderkey", orders.schema, order="o_orderdate")
+    for batch in (orders, newer.union(newer), late):
+        log.upsert(batch)
+    return log.compact(scratch_path(spark, "stored-compact")).read()
 
 
 _REPORT_TABLES = ["customer", "orders", "lineitem", "part", "supplier"]

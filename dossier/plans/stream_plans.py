@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.events import instant_to_ntz
 from ..session import scratch_path
-from ..sources.store import KeyedTable
+from ..sources.store import ChangeLog
 from ..streaming import events as SE
 from .base import register, sql_on_tables, table
 from .events_plans import K_SPARK, SECTION_OF_K, SESS_CTE, EV_CTE
@@ -144,14 +144,14 @@ WITH src AS ({CHANGES})
 SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.o_orderkey = o.o_orderkey)
 UNION ALL SELECT * FROM src""")
 def q_stream_upsert(spark, d):
-    """ST6: refreshed rows arrive as a stream and are upserted batch by batch (idempotent per batch id)."""
+    """ST6: refreshed rows arrive as a stream and are appended batch by batch; the read merges them."""
     root = scratch_path(spark, "upsert")
     orders = table(spark, d, "orders")
-    target = KeyedTable(spark, f"{root}/table", orders.schema)
-    target.overwrite(orders)
+    target = ChangeLog(spark, f"{root}/table", "o_orderkey", orders.schema)
+    target.upsert(orders, batch=-1)  # what is stored before the stream begins
     changes = sql_on_tables(spark, d, CHANGES)
     changes.write.parquet(f"{root}/changes")
     stream = spark.readStream.schema(changes.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/changes")
-    q = SE.run_foreach_batch(stream, SE.upsert_sink(target, ["o_orderkey"]), f"{root}/ckpt", output_mode="append")
+    q = SE.run_foreach_batch(stream, SE.upsert_sink(target), f"{root}/ckpt", output_mode="append")
     q.awaitTermination()
     return target.read()

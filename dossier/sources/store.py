@@ -1,23 +1,26 @@
 """Keyed section tables: conform, upsert, filtered and ordered reads, reports.
 
-Storage is plain Parquet.  A table is a folder of immutable versions
-``<root>/<section>/v=<n>``; an upsert writes version n+1 completely and only
-then is it the newest, so readers never see a half-applied change (the
-reference deletes and inserts in two separate commits).
+A stored table is a log of change rows: plain Parquet that Spark appends to, each row with the number of the batch
+that brought it.  An upsert writes its own rows and nothing else; a read takes the newest row of each key (W2).  Rows
+of a batch become visible together when Spark commits the write, a batch that is written again changes nothing, and
+``compact`` writes the merged rows as a new log when the old one has grown.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import extract_year
 from ..functions.numbers import try_cast_fast
 from ..functions.text import and_all
+from ..operators.dedup import dedup_keep
 from ..operators.quality import safe_column
 from ..schemas import SERVE_ORDER, STORED, validate_section
+from ..session import materialize
 
 
 # --------------------------------------------------------------------------- S1
@@ -74,151 +77,130 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str] | str = "id") ->
     return append_by_name(keep, source)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+BATCH = "_batch"
 
 
-class KeyedTable:
-    """A keyed Parquet table kept as immutable versions ``<path>/v=<n>``.
+class ChangeLog:
+    """A keyed table as an append-only log of change rows, merged on read.
 
-    ``upsert`` writes version n+1 completely (``_SUCCESS``) before readers
-    can pick it; an optional ``batch_id`` makes a replayed micro-batch a no-op.
+    The newest row of a key wins: the one with the largest ``order`` column where the table has one, then the one of
+    the latest batch, then the largest by its other columns.  Batches are numbered by their writer (a stream's batch
+    id) or by the largest number stored plus one; one table has one writer.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema
-
-    def versions(self) -> list[int]:
-        jvm, p, fs = _fs(self.spark, self.path)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def _vpath(self, v: int) -> str:
-        return f"{self.path}/v={v}"
+    def __init__(self, spark: SparkSession, path: str, key: list[str] | str = "id", schema: T.StructType | None = None,
+                 order: str | None = None):
+        self.spark, self.path, self.schema, self.order = spark, path.rstrip("/"), schema, order
+        self.key = [key] if isinstance(key, str) else list(key)
 
-    def read(self) -> DataFrame:
-        vs = self.versions()
-        if not vs:
-            if self.schema is None:
-                raise FileNotFoundError(self.path)
-            return empty_frame(self.spark, self.schema)
-        r = self.spark.read
+    def create(self) -> None:
+        """An empty table with its schema where there is none; an existing one is left alone."""
+        rows = empty_frame(self.spark, self.schema).withColumn(BATCH, F.lit(0).cast("long"))
+        rows.write.mode("ignore").parquet(self.path)
+
+    def changes(self) -> DataFrame | None:
+        """All change rows with their batch number; None where nothing has been written."""
+        reader = self.spark.read
         if self.schema is not None:
-            r = r.schema(self.schema)
-        return r.parquet(self._vpath(vs[-1]))
-
-    def _committed(self, batch_id: int) -> bool:
-        _, p, fs = _fs(self.spark, f"{self.path}/_commits/batch={batch_id}")
-        return fs.exists(p)
-
-    def _commit(self, batch_id: int) -> None:
-        _, p, fs = _fs(self.spark, f"{self.path}/_commits/batch={batch_id}")
-        fs.create(p, True).close()
-
-    def vacuum(self, retain: int = 2) -> list[int]:
-        """Delete all but the newest ``retain`` versions (readers of older versions must be done)."""
-        jvm, _, fs = _fs(self.spark, self.path)
-        gone = self.versions()[:-retain] if retain > 0 else []
-        for v in gone:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(self._vpath(v)), True)
-        return gone
-
-    def overwrite(self, df: DataFrame) -> int:
-        vs = self.versions()
-        v = (vs[-1] + 1) if vs else 0
-        df.write.mode("overwrite").parquet(self._vpath(v))
-        return v
-
-    def upsert(self, source: DataFrame, key: list[str] | str = "id", batch_id: int | None = None,
-               order: str | None = None) -> int:
-        """Write ``source`` over the rows of its keys; a null key is an error.
-
-        With ``order`` the newest row of a key wins, in the batch and against the stored row (the new row
-        on a tie); without it the batch replaces what is stored.
+            reader = reader.schema(T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType())]))
+        try:
+            return reader.parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def _merged(self) -> DataFrame | None:
+        rows = self.changes()
+        if rows is None:
+            return None
+        newest = [F.col(self.order).desc_nulls_last()] if self.order else []
+        return dedup_keep(rows, self.key, [*newest, F.col(BATCH).desc()], keep="last")
+
+    def read(self) -> DataFrame:
+        """The table: one row for each key.  A filter on key columns reaches the scan, below the merge."""
+        rows = self._merged()
+        if rows is not None:
+            return rows.drop(BATCH)
+        if self.schema is None:
+            raise FileNotFoundError(self.path)
+        return empty_frame(self.spark, self.schema)
+
+    def upsert(self, source: DataFrame, batch: int | None = None, reject_repeats: bool = False) -> dict[str, int]:
+        """Append the rows of ``source``, one for each of its keys; returns what was counted on the way.
+
+        The batch is written once to the shared scratch folder and counted in that same pass (Q3): rows without a
+        value in the key stop the upsert, and so do repeated keys if ``reject_repeats`` is set; else the newest row
+        of a key goes on.  An empty batch changes nothing.
         """
-        from ..operators.dedup import dedup_keep
-        from ..session import materialize
-        key = [key] if isinstance(key, str) else list(key)
-        if batch_id is not None and self._committed(batch_id):
-            return self.versions()[-1]
         if self.schema is not None:
             source = conform(source, self.schema)
-        # the change set is computed once and kept as a table in the shared checkpoint folder:
-        # the emptiness probe and the rewrite both read it, and a retry does not recompute it
-        source = materialize(source, "changes")
-        if source.isEmpty():
-            v = self.versions()
-        else:
-            nulls = source.where(~and_all([F.col(k).isNotNull() for k in key])).limit(1).count()
-            if nulls:
-                raise ValueError(f"rows without a value in the key ({', '.join(key)})")
-            src = dedup_keep(source, key, [F.col(order).desc_nulls_last()] if order else [], keep="last")
-            merged = src
-            if self.versions():
-                stored = self.read()
-                if order:
-                    held = stored.select(*key, F.col(order).alias("__held"))
-                    newer = src.join(held, key, "left").where(
-                        F.col("__held").isNull() | (F.col(order) >= F.col("__held"))).drop("__held")
-                    src = newer.select(*src.columns)
-                merged = upsert(stored, src, key)
-            self.overwrite(merged)
-            v = self.versions()
-        if batch_id is not None:
-            self._commit(batch_id)
-        return v[-1] if v else -1
+        came, went = Observation("came"), Observation("went")
+        blank = F.lit(False)
+        for k in self.key:
+            blank = blank | F.col(k).isNull()
+        counted = source.observe(came, F.count(F.lit(1)).alias("rows"), F.count_if(blank).alias("null_keys"))
+        newest = [F.col(self.order).desc_nulls_last()] if self.order else []
+        rows = dedup_keep(counted, self.key, newest, keep="last").observe(went, F.count(F.lit(1)).alias("rows"))
+        staged = materialize(rows, "changes")
+        if staged.isEmpty():  # Spark leaves the counts out of a plan it knows to be empty
+            return {"rows": 0, "null_keys": 0, "repeats": 0}
+        found = {"rows": came.get["rows"], "null_keys": came.get["null_keys"], "repeats": came.get["rows"] - went.get["rows"]}
+        if found["null_keys"]:
+            raise ValueError(f"{found['null_keys']} of {found['rows']} rows have no value in the key ({', '.join(self.key)})")
+        if reject_repeats and found["repeats"]:
+            raise ValueError(f"{found['repeats']} of {found['rows']} rows repeat a key ({', '.join(self.key)})")
+        if batch is None:
+            held = self.changes()
+            batch = 1 + ((held.agg(F.max(BATCH)).first()[0] or 0) if held is not None else 0)
+        staged.withColumn(BATCH, F.lit(batch).cast("long")).write.mode("append").parquet(self.path)
+        return found
+
+    def compact(self, path: str) -> ChangeLog:
+        """Write the merged rows as a new log at ``path`` and return it.  Every row takes the latest batch's number, so
+        later batches win over it and a batch that is delivered again does not."""
+        rows = self._merged()
+        if rows is None:
+            raise FileNotFoundError(self.path)
+        last = rows.agg(F.max(BATCH)).first()[0] or 0
+        rows.withColumn(BATCH, F.lit(last).cast("long")).write.mode("errorifexists").parquet(path)
+        return ChangeLog(self.spark, path, self.key, self.schema, self.order)
 
 
 class SectionStore:
-    """Versioned keyed section tables under one root."""
+    """Keyed section tables under one root (S6-S9, F1), by (profile_id, id): an id may repeat across profiles.
+
+    ``order`` names, by section, the column whose newest value wins, whichever batch brings it."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, order: dict[str, str] | None = None):
+        self.spark, self.root, self.order = spark, root.rstrip("/"), order or {}
 
-    def table(self, section: str) -> KeyedTable:
+    def table(self, section: str) -> ChangeLog:
         validate_section(section)
-        return KeyedTable(self.spark, f"{self.root}/{section}", STORED[section])
+        key = [c for c in ("profile_id", "id") if c in STORED[section].names]
+        return ChangeLog(self.spark, f"{self.root}/{section}", key, STORED[section], self.order.get(section))
 
     def create_sections(self, sections=None) -> None:
-        """Idempotent - an empty version 0 for each section that has none."""
+        """An empty table for each section that has none; can be run again."""
         for s in sections or sorted(STORED):
-            t = self.table(s)
-            if not t.versions():
-                t.overwrite(empty_frame(self.spark, STORED[s]))
+            self.table(s).create()
 
     def read(self, section: str) -> DataFrame:
         return self.table(section).read()
 
-    def upsert(self, section: str, source: DataFrame, key: list[str] | str | None = None, order: str | None = None) -> int:
-        """S6 persisted, by default on (profile_id, id): an id may repeat across profiles.  An empty source changes nothing."""
-        if key is None:
-            key = [c for c in ("profile_id", "id") if c in STORED[validate_section(section)].names]
-        return self.table(section).upsert(source, key, order=order)
+    def upsert(self, section: str, source: DataFrame, batch: int | None = None) -> dict[str, int]:
+        """S6 persisted.  An empty source changes nothing."""
+        return self.table(section).upsert(source, batch)
 
     def query(self, section: str, filters: dict | None = None) -> DataFrame:
         """F1 over a stored section."""
         return filter_eq(self.read(section), filters)
 
-    def load_section(self, section: str, defaults: DataFrame | None = None) -> DataFrame:
-        """S8 over a stored section; a table that cannot be read falls back to ``defaults``."""
-        try:
-            df = self.read(section)
-        except Exception:  # noqa: BLE001 - unreadable table: serve the defaults, as the reference does
-            if defaults is None:
-                raise
-            return defaults
-        return load_section(df, section, defaults)
+    def load_section(self, section: str, defaults: DataFrame | None = None, profile_id: str | None = None) -> DataFrame:
+        """S8 over a stored section, of one profile if asked; a section that was never written, or has no rows, gives
+        ``defaults``.  Any other failure is the caller's to see."""
+        rows = self.read(section)
+        return load_section(rows if profile_id is None else filter_eq(rows, {"profile_id": profile_id}), section, defaults)
 
 
 # --------------------------------------------------------------------------- F1, F2
@@ -291,30 +273,27 @@ def stamp_batch(df: DataFrame, run_ts: str | _dt.datetime, col: str = "scraped_a
     return df.withColumn(col, F.lit(ts).cast("timestamp_ntz"))
 
 
-def write_snapshot(df: DataFrame, root: str, scrape_date: str) -> None:
-    """Write one dated raw snapshot.  Only that date's partition is (re)written, so
-    re-running a date is idempotent and other dates are never touched."""
-    (df.withColumn("scrape_date", F.lit(scrape_date)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("scrape_date").parquet(root))
+def write_snapshot(df: DataFrame, root: str, scrape_date: str, run_id: str) -> None:
+    """Add one dated raw snapshot, a folder for each run.  What a run has written is never touched again: a second
+    run of a date lies beside the first, and writing one run twice is an error."""
+    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/scrape_date={scrape_date}/run_id={run_id}")
 
 
-def snapshot_dates(spark: SparkSession, root: str) -> list[str]:
-    """Dates present under a snapshot root, from the partition folder names (metadata only)."""
-    _, p, fs = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith("scrape_date="))
+def snapshot_runs(spark: SparkSession, root: str) -> DataFrame:
+    """scrape_date, run_id of the snapshots under a root (partition values only, no column is read)."""
+    return spark.read.parquet(root).select("scrape_date", "run_id").distinct()
 
 
-def read_latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    """The newest snapshot, read from its partition folder only."""
-    dates = snapshot_dates(spark, root)
-    if not dates:
-        raise FileNotFoundError(f"no snapshots under {root}")
-    latest = dates[-1]
-    return (spark.read.option("basePath", root).parquet(f"{root}/scrape_date={latest}")
-            .withColumn("scrape_date", F.lit(latest)))
+def read_latest_snapshot(spark: SparkSession, root: str, scrape_date: str | None = None) -> DataFrame:
+    """The last run of the newest date (or of ``scrape_date``), read from its own folder only."""
+    rows = spark.read.parquet(root)
+    if scrape_date is not None:
+        rows = rows.where(F.col("scrape_date").cast("string") == scrape_date)
+    last = rows.agg(F.max(F.struct("scrape_date", "run_id")).alias("last")).first()["last"]
+    if last is None:
+        raise FileNotFoundError(f"no snapshots of {scrape_date or 'any date'} under {root}")
+    rows = rows.where((F.col("scrape_date") == F.lit(last["scrape_date"])) & (F.col("run_id") == F.lit(last["run_id"])))
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("scrape_date", "run_id")})
 
 
 def run_report(frames: dict[str, DataFrame], sections: list[str]) -> DataFrame:

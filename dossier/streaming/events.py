@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics as M
 from ..operators.events import instant_to_ntz, ntz_to_instant
-from ..sources.store import KeyedTable
+from ..sources.store import ChangeLog
 
 
 def event_source(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None,
@@ -93,15 +93,14 @@ def stream_sessions(stream: DataFrame, user: str = "user_id", ts: str = "ts", ga
                     F.timestamp_diff("MILLISECOND", F.col("__first"), F.col("__last")).alias("duration_ms"))
 
 
-def upsert_sink(table: KeyedTable, key: list[str], order: str | None = None) -> Callable[[DataFrame, int], None]:
-    """ST6: ``foreachBatch`` body - upsert each micro-batch into a versioned keyed table.
+def upsert_sink(table: ChangeLog) -> Callable[[DataFrame, int], None]:
+    """ST6: ``foreachBatch`` body - append each micro-batch, and nothing else, to the change log of a keyed table.
 
-    Idempotent per batch id: a batch replayed after a failure finds its id
-    already committed and is skipped.  With ``order`` the newest row of a key wins, whichever batch brings it;
-    without it a batch replaces what is stored (ties inside a batch break on all columns).
+    The batch id numbers the change rows, so a batch that is replayed after a failure adds rows that the merge on
+    read already knows.  Late rows lose by the table's ``order`` column where it has one.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, key, batch_id=batch_id, order=order)
+        table.upsert(batch, batch_id)
     return apply
 
 

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from dossier.session import scratch_path
-from dossier.sources.store import KeyedTable
+from dossier.sources.store import ChangeLog
 from dossier.streaming import events as SE
 
 SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -31,16 +31,26 @@ def test_dedup_across_batches(spark):
     assert ids == list(range(8))
 
 
-def test_keyed_table_replay_is_noop(spark):
-    root = scratch_path(spark, "t-keyed")
-    t = KeyedTable(spark, f"{root}/t")
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    t.upsert(df, "id", batch_id=0)
-    upd = spark.createDataFrame([(2, "B"), (2, "B"), (3, "c")], "id int, v string")
-    v1 = t.upsert(upd, "id", batch_id=1)
-    v2 = t.upsert(upd, "id", batch_id=1)  # replayed batch
-    assert v1 == v2
-    assert sorted(tuple(r) for r in t.read().collect()) == [(1, "a"), (2, "B"), (3, "c")]
+def test_stream_upsert_row_by_row(spark):
+    """Late, repeated and cross-profile rows over several micro-batches; each batch adds its own rows and no more."""
+    root = scratch_path(spark, "t-upsert")
+    schema = "profile_id string, id int, v string, ts int"
+    batches = [[("p1", 1, "a", 1), ("p2", 1, "b", 1)], [("p1", 1, "a2", 3), ("p1", 1, "a2", 3), ("p1", 2, "c", 1)],
+               [("p1", 1, "late", 2), ("p2", 1, "b2", 2)]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/src/b{i}")
+    log = ChangeLog(spark, f"{root}/t", ["profile_id", "id"], order="ts")
+    sizes = []
+
+    def sink(batch, batch_id):
+        SE.upsert_sink(log)(batch, batch_id)
+        SE.upsert_sink(log)(batch, batch_id)  # a replay
+        sizes.append(log.changes().count())
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/src/*")
+    SE.run_foreach_batch(stream, sink, f"{root}/ckpt", output_mode="append").awaitTermination()
+    assert sorted(tuple(r) for r in log.read().collect()) == [("p1", 1, "a2", 3), ("p1", 2, "c", 1), ("p2", 1, "b2", 2)]
+    assert len(sizes) == 3 and sizes[-1] == 12  # twice two rows of each batch
 
 
 def test_windowed_engagement_stream(spark):
@@ -51,8 +61,8 @@ def test_windowed_engagement_stream(spark):
     src = spark.createDataFrame([], SCHEMA).schema
     stream = SE.event_source(spark, f"{root}/src/*", src).withColumn("section", F.lit("skills"))
     agg = SE.windowed_engagement(stream, ["section"])
-    sink = KeyedTable(spark, f"{root}/t")
-    SE.run_foreach_batch(agg, SE.upsert_sink(sink, ["window_start", "section"]), f"{root}/ckpt").awaitTermination()
+    sink = ChangeLog(spark, f"{root}/t", ["window_start", "section"])
+    SE.run_foreach_batch(agg, SE.upsert_sink(sink), f"{root}/ckpt").awaitTermination()
     got = sorted((r["window_start"].day, r["views"], r["view_time"], r["interactions"], r["feedback"])
                  for r in sink.read().collect())
     assert got == [(1, 1, 2.5, 1, 0), (2, 0, 0.0, 0, 1)]
@@ -80,16 +90,3 @@ def test_restart_from_checkpoint_is_exactly_once(spark):
     SE.ingest(SE.event_source(spark, f"{root}/src/*", src), f"{root}/sink", f"{root}/ckpt").awaitTermination()
     ids = sorted(r[0] for r in spark.read.parquet(f"{root}/sink").select("event_id").collect())
     assert ids == list(range(9))
-
-
-def test_half_written_version_is_ignored(spark):
-    root = scratch_path(spark, "t-partial")
-    t = KeyedTable(spark, f"{root}/t")
-    t.upsert(spark.createDataFrame([(1, "a")], "id int, v string"), "id")
-    # a job that died while writing version 1: data files but no _SUCCESS marker
-    spark.createDataFrame([(9, "zz")], "id int, v string").write.parquet(f"{root}/t/v=1")
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{root}/t/v=1/_SUCCESS")
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
-    assert t.versions() == [0]
-    assert [tuple(r) for r in t.read().collect()] == [(1, "a")]
