@@ -23,32 +23,56 @@ def top_k(df: DataFrame, by: str, k: int = 10, tie: list[str] | None = None) ->
     return df.orderBy(*_desc_order([by], tie or [])).limit(k)
 
 
+def top_k_per(df: DataFrame, group: list[str], by: str, k: int = 10, tie: list[str] | None = None,
+              position: str = "position") -> DataFrame:
+    """O2 within each group: its k largest rows, numbered.  The limit is applied before the shuffle, so a group sends
+    at most k rows from each task, however many it has."""
+    w = Window.partitionBy(*group).orderBy(*_desc_order([by], tie or []))
+    return df.withColumn(position, F.row_number().over(w)).where(F.col(position) <= k)
+
+
 def share_of_max(df: DataFrame, value: str, k: int = 10, tie: list[str] | None = None,
-                 out: str = "pct", factor: int = 100) -> DataFrame:
-    """A1: over the top k rows, ``int(count / max * factor)``.
+                 out: str = "pct", factor: int = 100, by: list[str] | None = None) -> DataFrame:
+    """A1: over the top k rows, ``int(count / max * factor)``; with ``by`` over the top k rows of each group (a
+    profile), numbered in ``position``.
 
     A null count counts as 0; a null or zero maximum is replaced by 1.
     Division happens before multiplication and the result is truncated
     (29 of 50 -> 57), as in the reference.
     """
-    top = top_k(df, value, k, tie)
+    top = top_k_per(df, by, value, k, tie) if by else top_k(df, value, k, tie)
     cnt = F.coalesce(F.col(value).cast("double"), F.lit(0.0))
-    # the top-k result is at most k rows in one partition, so a frame-wide window is free here
-    m = F.max(F.col(value).cast("double")).over(Window.partitionBy())
+    # at most k rows (of each group, on its partition) are left, so this window moves nothing
+    m = F.max(F.col(value).cast("double")).over(Window.partitionBy(*(by or [])))
     m = F.when(m.isNull() | (m == 0), F.lit(1.0)).otherwise(m)
     return top.withColumn(out, ((cnt / m) * factor).cast("int"))
 
 
-def scale_to_width(df: DataFrame, value: str, width: int = 280, out: str = "bar_width") -> DataFrame:
-    """A2 (after F3): ``int(v / max * width)`` with the max over all kept rows; ascending order (O3)."""
+def sort_asc(df: DataFrame, value: str) -> DataFrame:
+    """O3 (after F3): ascending order; ties on the value are broken on the other columns, so equal values can be split
+    across the partitions of the sort."""
     kept = positive_only(df, value)
+    return kept.orderBy(F.col(value).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in kept.columns if c != value])
+
+
+def scale_to_width(df: DataFrame, value: str, width: int = 280, out: str = "bar_width",
+                   by: list[str] | None = None) -> DataFrame:
+    """A2 (after F3): ``int(v / max * width)`` with the max over all kept rows, in ascending order (O3); with ``by``
+    the max of each group, no order.
+
+    The maxima of groups are an aggregate with map-side combine that is joined back: unlike a window it never brings
+    all rows of a group together, and a group that holds most rows can be split by the skew join.
+    """
     v = F.col(value).cast("double")
-    m = kept.select(F.max(v).alias("m")).scalar()  # referenced once: one subquery run
-    # ties on the value are broken on the other columns, so equal values can be split
-    # across range partitions by the global sort
-    tie = [F.col(c).asc_nulls_last() for c in kept.columns if c != value]
-    return (kept.withColumn(out, F.coalesce((F.try_divide(v, m) * width).cast("int"), F.lit(0)))
-            .orderBy(F.col(value).asc_nulls_last(), *tie))
+    if by:
+        kept = positive_only(df, value)
+        top = kept.groupBy(*[F.col(c).alias(f"__g_{c}") for c in by]).agg(F.max(v).alias("__m"))
+        same = [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in by]
+        scaled = kept.join(top, same).withColumn(out, F.coalesce((F.try_divide(v, F.col("__m")) * width).cast("int"), F.lit(0)))
+        return scaled.select(*kept.columns, out)
+    kept = sort_asc(df, value)
+    m = positive_only(df, value).select(F.max(v).alias("m")).scalar()  # referenced once: one subquery run
+    return kept.withColumn(out, F.coalesce((F.try_divide(v, m) * width).cast("int"), F.lit(0)))
 
 
 def positive_only(df: DataFrame, value: str) -> DataFrame:
@@ -100,13 +124,18 @@ def weighted_score(engagement: DataFrame, w_time: float = 1.0, w_interactions: f
 SCROLL_MILESTONES = (25, 50, 75, 100)
 
 
+def milestone(depth: Column | str) -> Column:
+    """The deepest of SCROLL_MILESTONES that a depth reaches; 0 below the first or without a depth."""
+    d = F.col(depth) if isinstance(depth, str) else depth
+    out = F.lit(0)
+    for m in SCROLL_MILESTONES:
+        out = F.when(d >= m, F.lit(m)).otherwise(out)
+    return out
+
+
 def scroll_depth(df: DataFrame, group: list[str], depth: str) -> DataFrame:
     """Deepest milestone (25/50/75/100) reached per group; depth is rounded down to a milestone."""
-    d = F.col(depth)
-    milestone = F.lit(0)
-    for m in SCROLL_MILESTONES:
-        milestone = F.when(d >= m, F.lit(m)).otherwise(milestone)
-    return df.groupBy(*group).agg(F.max(milestone).alias("max_depth"))
+    return df.groupBy(*group).agg(F.max(milestone(depth)).alias("max_depth"))
 
 
 def session_stats(sessions: DataFrame, period: str = "week", start: str = "session_start",
@@ -116,16 +145,10 @@ def session_stats(sessions: DataFrame, period: str = "week", start: str = "sessi
             .agg(F.count(F.lit(1)).alias("n_sessions"), F.avg(duration).alias(f"avg_{duration}")))
 
 
-def top_referrers(assigned: DataFrame, referrer: str, k: int = 10, user: str = "user_id", ts: str = "ts",
-                  tie: str = "event_id") -> DataFrame:
-    """The k referrers that opened the most sessions (a session's referrer is that of its first event).
-
-    The first event per session is a hash aggregate (``min_by`` with map-side
-    combine), so a huge session costs one partial row per task.
-    """
-    first = (assigned.groupBy(user, "session_start")
-             .agg(F.min_by(F.col(referrer), F.struct(F.col(ts), F.col(tie))).alias("referrer")))
-    counts = first.groupBy("referrer").agg(F.count(F.lit(1)).alias("n_sessions"))
+def top_referrers(sessions: DataFrame, referrer: str = "referrer", k: int = 10) -> DataFrame:
+    """The k referrers that opened the most sessions, from one row for each session with that of its first event
+    (``session_groups`` with a ``min`` of (ts, id, referrer) gives it)."""
+    counts = sessions.groupBy(F.col(referrer).alias("referrer")).agg(F.count(F.lit(1)).alias("n_sessions"))
     return top_k(counts, "n_sessions", k, ["referrer"])
 
 
@@ -156,6 +179,15 @@ def cold_start_gate(df: DataFrame, group: list[str], session: list[str] | None =
             .withColumn("ready", F.col("n_sessions") >= threshold))
 
 
+def with_seeds(suggestions: DataFrame, gate: DataFrame, rules: DataFrame, group: list[str]) -> DataFrame:
+    """A9, second half: the suggestions of groups that the gate calls ready, and the rows of the rule table for all
+    other groups, those without any session included; ``origin`` tells them apart."""
+    ready = gate.where("ready").select(*group)
+    learnt = suggestions.join(ready, group, "left_semi").withColumn("origin", F.lit("data"))
+    seeds = rules.join(ready, group, "left_anti").withColumn("origin", F.lit("rule"))
+    return learnt.unionByName(seeds, allowMissingColumns=True)
+
+
 def acceptance_rate(df: DataFrame, group: list[Column], status: str, alarm_below: float = 0.30) -> DataFrame:
     """A10: accepted / total per group, with an alarm flag under the threshold."""
     st = F.col(status)

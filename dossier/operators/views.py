@@ -8,18 +8,22 @@ are resolved with E13.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.dates import cert_status, date_range_label, extract_year, tenure_months, year_range_label
+from ..functions.dates import cert_status, date_range_label, tenure_months, year_range_label
 from ..functions.numbers import to_int_or_zero
 from ..functions.text import classify_vendor, coalesce_alias, degree_line
 from ..schemas import SERVE_ORDER, validate_section
+from ..sources.store import filter_eq, section_order, with_years
 from .metrics import share_of_max
 
 
-def section_view(df: DataFrame, section: str, as_of: str | None = None, top: int = 10) -> DataFrame:
-    """Labelled, ordered rows of one section as the profile page shows them."""
+def section_view(df: DataFrame, section: str, as_of: str | None = None, top: int = 10, profile_id: str | None = None) -> DataFrame:
+    """Labelled rows of one section as the profile page shows them: those of ``profile_id`` in order, or those of all
+    profiles with their ``position`` within each."""
     validate_section(section)
+    if profile_id is not None:
+        df = filter_eq(df, {"profile_id": profile_id})
+    by = ["profile_id"] if profile_id is None and "profile_id" in df.columns else None
     if section == "experience":
         out = df.withColumns({
             "company": coalesce_alias(df, ["company", "company_name"]),
@@ -28,10 +32,7 @@ def section_view(df: DataFrame, section: str, as_of: str | None = None, top: int
         if as_of:
             out = out.withColumn("tenure_months", tenure_months("start_date", "end_date", as_of))
     elif section == "education":
-        out = df
-        for src, dst in (("start_date", "start_year"), ("end_date", "end_year")):
-            if dst not in out.columns and src in out.columns:
-                out = out.withColumn(dst, extract_year(src))
+        out = with_years(df)
         out = out.withColumns({
             "school": coalesce_alias(out, ["school", "school_name", "institution"]),
             "years": year_range_label("start_year", "end_year"),
@@ -46,11 +47,10 @@ def section_view(df: DataFrame, section: str, as_of: str | None = None, top: int
     elif section == "skills":
         base = df.withColumns({"name": coalesce_alias(df, ["name", "skill_name"]),
                                "endorsements": to_int_or_zero(coalesce_alias(df, ["endorsements", "endorsement_count"]))})
-        tie = ["name"] + [c for c in ("id", "profile_id") if c in base.columns]  # a total order: no arbitrary cut
-        return share_of_max(base, "endorsements", k=top, tie=tie)
+        tie = ["name", *(c for c in ("id",) if c in base.columns)]  # a total order within a profile: no arbitrary cut
+        return share_of_max(base, "endorsements", k=top, tie=tie, by=by)
     else:
         out = df
     if section in SERVE_ORDER and SERVE_ORDER[section] in out.columns:
-        tie = [F.col("id").asc_nulls_last()] if "id" in out.columns else []
-        out = out.orderBy(F.col(SERVE_ORDER[section]).desc_nulls_last(), *tie)
+        out = section_order(out, section, by=by)
     return out

@@ -24,6 +24,7 @@ SECTION_OF_K = ("CASE CAST(k % 5 AS INT) WHEN 0 THEN 'experience' WHEN 1 THEN 'e
                 "WHEN 3 THEN 'certifications' ELSE 'summary' END")
 MILESTONE_OF_K = "CASE WHEN k >= 100 THEN 100 WHEN k >= 75 THEN 75 WHEN k >= 50 THEN 50 WHEN k >= 25 THEN 25 ELSE 0 END"
 GAP_US = 30 * 60 * 1_000_000
+EV_CTE = f"ev AS (SELECT *, {K_DUCK} AS k FROM events), ev2 AS (SELECT *, {SECTION_OF_K} AS section FROM ev)"
 
 SESS_CTE = f"""
 ev AS (SELECT *, {K_DUCK} AS k FROM events),
@@ -50,11 +51,15 @@ def q_sessionize(spark, d):
                           "FROM a GROUP BY user_id, session_start, section")
 def q_scroll_depth(spark, d):
     """A6 merged from slices: the deepest milestone per slice, then per session."""
-    ev = events_k(spark, d).withColumn("milestone", F.expr(MILESTONE_OF_K))
-    g = EV.session_groups(ev, ["section"], {"max_depth": (F.max("milestone"), F.max)}, gap_seconds=1800)
+    g = EV.session_groups(events_k(spark, d), ["section"], {"max_depth": (F.max(M.milestone("k")), F.max)}, gap_seconds=1800)
     return g.select("user_id", "session_start", "section", "max_depth")
 
 
+@register("scroll_depth_plain", f"WITH {EV_CTE} SELECT section, user_id, max({MILESTONE_OF_K}) AS max_depth FROM ev2 GROUP BY section, user_id")
+def q_scroll_depth_plain(spark, d):
+    return M.scroll_depth(events_k(spark, d), ["section", "user_id"], "k")
+
+
 @register("session_stats", f"WITH s AS ({SESSIONS_DUCK}) SELECT date_trunc('week', session_start) AS period, "
                            "count(*) AS n_sessions, avg(duration_ms) AS avg_duration_ms FROM s GROUP BY 1")
 def q_session_stats(spark, d):
@@ -76,8 +81,7 @@ def q_top_referrers(spark, d):
     ev = events_k(spark, d).withColumn("referrer", F.expr(REFERRER_OF_K))
     first = F.min(F.struct("ts", "event_id", "referrer"))
     g = EV.session_groups(ev, [], {"first": (first, F.min)}, gap_seconds=1800)
-    return M.top_k(g.groupBy(F.col("first.referrer").alias("referrer")).agg(F.count(F.lit(1)).alias("n_sessions")),
-                   "n_sessions", 10, ["referrer"])
+    return M.top_referrers(g.select(F.col("first.referrer").alias("referrer")), "referrer", 10)
 
 
 @register("bot_filter", f"""WITH {SESS_CTE},
@@ -95,7 +99,6 @@ ENGAGEMENT_DUCK = """SELECT {g}, CAST(count_if(event_type = 'view') AS BIGINT) A
   CAST(count_if(event_type = 'click') AS BIGINT) AS interactions,
   CAST(sum(CASE WHEN event_type = 'purchase' THEN 1 WHEN event_type = 'error' THEN -1 ELSE 0 END) AS BIGINT) AS feedback
 FROM ev2 GROUP BY {g}"""
-EV_CTE = f"ev AS (SELECT *, {K_DUCK} AS k FROM events), ev2 AS (SELECT *, {SECTION_OF_K} AS section FROM ev)"
 
 
 @register("section_engagement", f"WITH {EV_CTE} " + ENGAGEMENT_DUCK.format(g="section"))
@@ -149,6 +152,33 @@ def q_cold_start_gate(spark, d):
     return M.cold_start_gate(g, ["section"])
 
 
+# one rule for each section, and one section that has no events at all
+SEED_RULES = [("experience", "timeline"), ("education", "list"), ("skills", "bars"), ("certifications", "cards"), ("summary", "text"),
+              ("recommendations", "quotes")]
+SEED_VALUES = ", ".join(f"('{s}', '{v}')" for s, v in SEED_RULES)
+
+
+@register("cold_start_seed", f"""WITH {SESS_CTE},
+day AS (SELECT *, CAST(date_trunc('day', session_start) AS DATE) AS day FROM a),
+gate AS (SELECT section, day, count(DISTINCT (user_id, session_start)) AS n FROM day GROUP BY section, day),
+busy AS (SELECT section, day FROM gate WHERE n >= 50),
+kinds AS (SELECT section, day, event_type AS viz, CAST(count(*) AS BIGINT) AS n_events FROM day GROUP BY section, day, event_type),
+best AS (SELECT * FROM kinds QUALIFY row_number() OVER (PARTITION BY section, day ORDER BY n_events DESC, viz) = 1),
+rules AS (SELECT r.section, d.day, r.viz FROM (VALUES {SEED_VALUES}) r(section, viz), (SELECT DISTINCT day FROM day) d)
+SELECT section, day, viz, n_events, 'data' AS origin FROM best SEMI JOIN busy USING (section, day)
+UNION ALL SELECT section, day, viz, NULL, 'rule' FROM rules ANTI JOIN busy USING (section, day)""")
+def q_cold_start_seed(spark, d):
+    """A9 by section and day: where a day has 50 sessions the commonest kind of event leads, elsewhere the rule does."""
+    g = EV.session_groups(events_k(spark, d), ["section", "event_type"], {"n": (F.count(F.lit(1)), F.sum)}, gap_seconds=1800)
+    g = g.withColumn("day", F.col("session_start").cast("date"))
+    gate = M.cold_start_gate(g, ["section", "day"], session=["user_id", "session_start"])
+    kinds = g.groupBy("section", "day", F.col("event_type").alias("viz")).agg(F.sum("n").alias("n_events"))
+    best = M.top_k_per(kinds, ["section", "day"], "n_events", 1, ["viz"]).drop("position")
+    days = g.select("day").distinct()
+    rule = F.explode(F.array(*[F.struct(F.lit(s).alias("section"), F.lit(v).alias("viz")) for s, v in SEED_RULES])).alias("r")
+    return M.with_seeds(best, gate, days.select("day", rule).select("r.section", "day", "r.viz"), ["section", "day"])
+
+
 @register("consent_filter", "SELECT * FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
 def q_consent_filter(spark, d):
     consent = table(spark, d, "customer").filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("user_id"))

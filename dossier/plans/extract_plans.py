@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..sources import extract as XT
 from .base import register, table
 
+# References as the oracle reads them, written out here so that it does not lean on the code it checks.
+D_NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&nbsp;", " "), ("&middot;", "·"), ("&ndash;", "–"),
+           ("&mdash;", "—"), ("&hellip;", "…"), ("&copy;", "©"), ("&eacute;", "é"), ("&szlig;", "ß"), ("&euro;", "€"), ("&frac12;", "½"))
+
+
 def d_numeric_refs(x: str) -> str:
     ref = ("CASE WHEN regexp_full_match(t, '&#[0-9]+;') THEN TRY_CAST(regexp_extract(t, '&#([0-9]+);', 1) AS INTEGER) "
            "WHEN regexp_full_match(t, '&#[xX][0-9a-fA-F]+;') THEN TRY_CAST('0x' || regexp_extract(t, '&#[xX]([0-9a-fA-F]+);', 1) "
@@ -14,16 +20,14 @@ def d_numeric_refs(x: str) -> str:
     dec = (f"CASE WHEN ({ref}) > 0 AND ({ref}) <= 1114111 AND NOT (({ref}) BETWEEN 55296 AND 57343) "
            f"THEN chr({ref}) ELSE t END")
     return (f"CASE WHEN contains({x}, '&#') THEN array_to_string(list_transform("
-            f"regexp_extract_all({x}, '{XT._TOKENS}', 1), lambda t: {dec}), '') ELSE {x} END")
+            f"regexp_extract_all({x}, '(&#(?:[0-9]{{1,7}}|[xX][0-9a-fA-F]{{1,6}});|[^&]+|&)', 1), lambda t: {dec}), '') ELSE {x} END")
 
 
 def d_inner_text(x: str) -> str:
     s = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    for ent, ch in XT.ENTITIES[:-1]:
-        s = f"replace({s}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
-    s = d_numeric_refs(s)
-    for ent, ch in XT.ENTITIES[-1:]:
+    for ent, ch in D_NAMED:
         s = f"replace({s}, '{ent}', '{ch}')"
+    s = f"replace({d_numeric_refs(s)}, '&amp;', '&')"  # last, so '&amp;lt;' stays '&lt;'
     return rf"coalesce(regexp_replace({s}, '^\s+|\s+$', '', 'g'), '')"
 
 
@@ -40,8 +44,8 @@ def q_extract_header(spark, d):
     return XT.extract_header(table(spark, d, "pages"))
 
 
-ITEMS_DUCK = f"""
-WITH x AS (SELECT page_id, regexp_extract_all(html, '{XT.ITEM_PATTERN}', 1) AS items FROM pages),
+ITEMS_DUCK = rf"""
+WITH x AS (SELECT page_id, regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1) AS items FROM pages),
 u AS (SELECT page_id, unnest(range(len(items))) AS pos, unnest(items) AS item FROM x)
 SELECT page_id, pos, regexp_extract(item, 'href="([^"]*)"', 1) AS href, {d_inner_text('item')} AS text FROM u"""
 
@@ -57,6 +61,31 @@ def q_extract_items_nested(spark, d):
     return XT.extract_items_nested(table(spark, d, "pages"))
 
 
+# pages with a section of nested and unclosed items put into them, on both sides the page's own title in it
+def _nested_section(title: str, concat) -> str:
+    return concat(
+        "'<section id=\"experience\"><ul><li class=\"x\"><b class=\"title big\">Lead &amp;amp; '", title, "' &eacute;&#233;</b><span class=\"subtitle\">Nord&szlig;</span>"
+        "<ul><li><span class=\"title\">Deputy <i>of '", title, "'</i></span><li>plain bullet<li><span class=\"caption\">2 &frac12; yrs</span></ul>"
+        "<li><span class=\"title\">Clerk<br>at sea</span><span class=\"title\">second</span>"
+        "<li><p class=\"caption\">Jan 2020 &ndash; Present</ul></section><section id=\"skills\"><li><span class=\"title\">other</section>'")
+
+
+_NESTED_HTML = "concat(coalesce(html, ''), " + _nested_section("CAST(page_id AS STRING)", lambda *p: ", ".join(p)) + ")"
+
+
+@register("section_items_nested", """
+SELECT page_id AS profile_id, unnest(['Lead &amp; ' || page_id || ' éé', 'Deputy of ' || page_id, '', 'Clerkat sea', '']) AS title,
+       unnest(['Nordß', '', '', '', '']) AS company_name, unnest(['', '', '2 ½ yrs', '', 'Jan 2020 – Present']) AS caption,
+       unnest([0, 1, 1, 0, 0])::INTEGER AS level, unnest([NULL, 0, 0, NULL, NULL])::BIGINT AS parent_at FROM pages""")
+def q_section_items_nested(spark, d):
+    """Fields of nested, unclosed and entity-bearing items, in a section added to every page; ``parent_at`` counts
+    from the first item of the section."""
+    pages = table(spark, d, "pages").select("page_id", F.expr(_NESTED_HTML).alias("html"))
+    rows = XT.section_items(pages, "experience", {"title": "title", "company_name": "subtitle", "caption": "caption"})
+    first = F.min("pos").over(Window.partitionBy("profile_id"))
+    return rows.select("profile_id", "title", "company_name", "caption", "level", (F.col("parent") - first).alias("parent_at"))
+
+
 # ----------------------------------------------------------------- S2: one nested profile document per lineitem row
 def _profile_docs(spark, d):
     li = table(spark, d, "lineitem")

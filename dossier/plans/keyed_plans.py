@@ -11,7 +11,7 @@ from ..functions.numbers import NUMBER_RE
 from ..operators import transform as TR
 from ..operators.dedup import dedup_keep, latest_per_key
 from ..operators.lookup import canonicalize
-from ..operators.metrics import count_rows, missing_report, positive_only, scale_to_width, share_of_max, top_k
+from ..operators.metrics import count_rows, missing_report, positive_only, scale_to_width, share_of_max, sort_asc, top_k
 from ..operators.quality import check_key, schema_drift
 from ..session import scratch_path
 from ..sources import store as ST
@@ -285,12 +285,17 @@ def q_top_k(spark, d):
     return top_k(table(spark, d, "customer"), "c_acctbal", 10, ["c_custkey"])
 
 
-SKILL_SECTION = "SELECT CAST(p_partkey AS STRING) AS id, p_name AS skill_name, p_size AS endorsement_count FROM part"
+SKILL_SECTION = ("SELECT CAST(p_partkey AS STRING) AS id, CAST(p_partkey % 97 AS STRING) AS profile_id, p_name AS skill_name, "
+                 "p_size AS endorsement_count FROM part")
 
 
-@register("section_order", SKILL_SECTION + " ORDER BY endorsement_count DESC NULLS LAST, id ASC NULLS LAST")
+def d_position(order: str) -> str:
+    return f"CAST(row_number() OVER (PARTITION BY profile_id ORDER BY {order} DESC NULLS LAST, id ASC NULLS LAST) AS INTEGER) AS position"
+
+
+@register("section_order", f"SELECT *, {d_position('endorsement_count')} FROM ({SKILL_SECTION})")
 def q_section_order(spark, d):
-    return ST.section_order(sql_on_tables(spark, d, SKILL_SECTION), "skills")
+    return ST.section_order(sql_on_tables(spark, d, SKILL_SECTION), "skills", by=["profile_id"])
 
 
 ENDORSE_PARTS = f"SELECT p_partkey, {RAW_ENDORSE} AS endorsement_count FROM part"
@@ -309,7 +314,7 @@ def q_positive_only(spark, d):
 @register("sort_asc", f"SELECT * FROM ({POSITIVE_SQL}) WHERE endorsement_count > 0 "
                       f"ORDER BY endorsement_count ASC, p_partkey ASC")
 def q_sort_asc(spark, d):
-    return positive_only(_endorse_parts(spark, d), "endorsement_count").orderBy("endorsement_count", "p_partkey")
+    return sort_asc(_endorse_parts(spark, d), "endorsement_count")
 
 
 @register("scale_to_width", f"""
@@ -321,6 +326,26 @@ def q_scale_to_width(spark, d):
     return scale_to_width(_endorse_parts(spark, d), "endorsement_count", 280)
 
 
+# the same for many profiles at once: suppliers, each with the sizes of the parts it supplies
+PROFILE_SKILLS = ("SELECT l_suppkey AS profile_id, l_partkey AS id, CAST(count(*) AS BIGINT) AS endorsement_count "
+                  "FROM lineitem GROUP BY l_suppkey, l_partkey")
+
+
+@register("share_of_max_per_profile", f"""
+WITH t AS (SELECT *, CAST(row_number() OVER (PARTITION BY profile_id ORDER BY endorsement_count DESC, id) AS INTEGER) AS position
+           FROM ({PROFILE_SKILLS}) QUALIFY position <= 10)
+SELECT *, CAST(trunc(CAST(endorsement_count AS DOUBLE) / max(endorsement_count) OVER (PARTITION BY profile_id) * 100) AS INTEGER) AS pct FROM t""")
+def q_share_of_max_per_profile(spark, d):
+    return share_of_max(sql_on_tables(spark, d, PROFILE_SKILLS), "endorsement_count", 10, ["id"], by=["profile_id"])
+
+
+@register("scale_to_width_per_profile", f"""
+SELECT *, CAST(trunc(CAST(endorsement_count AS DOUBLE) / max(endorsement_count) OVER (PARTITION BY profile_id) * 280) AS INTEGER) AS bar_width
+FROM ({PROFILE_SKILLS})""")
+def q_scale_to_width_per_profile(spark, d):
+    return scale_to_width(sql_on_tables(spark, d, PROFILE_SKILLS), "endorsement_count", 280, by=["profile_id"])
+
+
 # ----------------------------------------------------------------- F1, F2
 @register("filter_eq", "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey = 10")
 def q_filter_eq(spark, d):
@@ -399,8 +424,7 @@ EDU_SECTION = ("SELECT CAST(o_orderkey AS STRING) AS id, CAST(o_custkey AS STRIN
 
 
 @register("load_section", "SELECT *, coalesce(CAST(year(start_date) AS VARCHAR), '') AS start_year, "
-                          "coalesce(CAST(year(end_date) AS VARCHAR), '') AS end_year FROM (" + EDU_SECTION + ") "
-                          "ORDER BY end_date DESC NULLS LAST, id")
+                          "coalesce(CAST(year(end_date) AS VARCHAR), '') AS end_year, " + d_position("end_date") + " FROM (" + EDU_SECTION + ")")
 def q_load_section(spark, d):
     df = sql_on_tables(spark, d, EDU_SECTION.replace("INTERVAL 4 YEAR", "INTERVAL 4 YEARS"))
     return ST.load_section(df, "education", defaults=None)
@@ -568,7 +592,7 @@ SELECT id, profile_id, company_name, title, location, start_date, end_date, desc
        coalesce(nullif(company_name, ''), '') AS company,
        CASE WHEN sl <> '' THEN sl || ' – ' || el ELSE el END AS date_range,
        CAST((year(e) - year(start_date)) * 12 + (month(e) - month(start_date))
-            - CASE WHEN day(e) < day(start_date) THEN 1 ELSE 0 END AS INTEGER) AS tenure_months
+            - CASE WHEN day(e) < day(start_date) THEN 1 ELSE 0 END AS INTEGER) AS tenure_months, {d_position('start_date')}
 FROM l""")
 def q_serve_experience(spark, d):
     from ..operators.views import section_view
@@ -583,7 +607,7 @@ y AS (SELECT *, coalesce(CAST(year(start_date) AS VARCHAR), '') AS start_year,
 SELECT *, coalesce(nullif(school_name, ''), '') AS school,
        CASE WHEN start_year = '' AND end_year = '' THEN ''
             ELSE regexp_replace(start_year || ' – ' || end_year, '^[ –]+|[ –]+$', '', 'g') END AS years,
-       concat_ws(', ', nullif({sql_strip('degree')}, ''), nullif({sql_strip('field_of_study')}, '')) AS degree_line
+       concat_ws(', ', nullif({sql_strip('degree')}, ''), nullif({sql_strip('field_of_study')}, '')) AS degree_line, {d_position('end_date')}
 FROM y""")
 def q_serve_education(spark, d):
     from ..operators.views import section_view
@@ -601,7 +625,7 @@ WITH n AS ({_NORM_SQL['certifications']}),
 a AS (SELECT *, coalesce(nullif(cert_name, ''), '') AS name, coalesce(nullif(authority, ''), '') AS issuer,
              coalesce(nullif(CAST(issued_date AS VARCHAR), ''), '') AS issued FROM n)
 SELECT *, {_vendor_case('issuer', 'name')} AS vendor,
-       CASE WHEN expiry_date IS NULL OR expiry_date >= TIMESTAMP '{SERVE_AS_OF}' THEN 'active' ELSE 'expired' END AS status
+       CASE WHEN expiry_date IS NULL OR expiry_date >= TIMESTAMP '{SERVE_AS_OF}' THEN 'active' ELSE 'expired' END AS status, {d_position('issued_date')}
 FROM a""")
 def q_serve_certifications(spark, d):
     from ..operators.views import section_view
@@ -614,11 +638,10 @@ WITH n AS ({_NORM_SQL['skills']}),
 b AS (SELECT *, coalesce(nullif(skill_name, ''), '') AS name,
              coalesce(CAST(trunc(CASE WHEN regexp_full_match(CAST(endorsement_count AS VARCHAR), '{NUMBER_RE}')
                  THEN TRY_CAST(trim(CAST(endorsement_count AS VARCHAR)) AS DOUBLE) END) AS BIGINT), 0) AS endorsements FROM n),
-t AS (SELECT * FROM b ORDER BY endorsements DESC NULLS LAST, name ASC NULLS LAST, id ASC NULLS LAST,
-             profile_id ASC NULLS LAST LIMIT 10),
-m AS (SELECT CASE WHEN max(endorsements) IS NULL OR max(endorsements) = 0 THEN 1.0
-                  ELSE CAST(max(endorsements) AS DOUBLE) END AS m FROM t)
-SELECT t.*, CAST(trunc(CAST(coalesce(endorsements, 0) AS DOUBLE) / m * 100) AS INTEGER) AS pct FROM t, m""")
+t AS (SELECT *, CAST(row_number() OVER (PARTITION BY profile_id ORDER BY endorsements DESC, name, id) AS INTEGER) AS position FROM b
+      QUALIFY position <= 10),
+m AS (SELECT profile_id, CASE WHEN max(endorsements) = 0 THEN 1.0 ELSE CAST(max(endorsements) AS DOUBLE) END AS m FROM t GROUP BY profile_id)
+SELECT t.*, CAST(trunc(CAST(endorsements AS DOUBLE) / m * 100) AS INTEGER) AS pct FROM t JOIN m USING (profile_id)""")
 def q_serve_skills(spark, d):
     from ..operators.views import section_view
     return section_view(TR.normalize_skills(TR.clean_skills(raw_frame(spark, d, "skills"))), "skills")

@@ -464,6 +464,5 @@ def q_canonicalize(spark, d):
                         f"coalesce(lk.category, 'other') AS category "
                         f"FROM ({RAW_SKILL_SQL}) r LEFT JOIN {_values_sql(True)} ON lk.key = trim(lower(r.raw_skill))")
 def q_categorize(spark, d):
-    lk = lookup_frame(spark, categories=SKILL_CATEGORIES)
-    out = canonicalize(raw_skills(spark, d).withColumnRenamed("raw_skill", "skill"), "skill", lk, category_col="category")
+    out = canonicalize(raw_skills(spark, d).withColumnRenamed("raw_skill", "skill"), "skill", category_col="category", categories=SKILL_CATEGORIES)
     return out.select("p_partkey", "skill", "category")

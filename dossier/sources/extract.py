@@ -7,67 +7,47 @@ parser, one Arrow batch at a time on the executors.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from html.entities import html5
 from html.parser import HTMLParser
-from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import _c, strip
 
 # --------------------------------------------------------------------------- markup helpers
-# Named character references decoded in extracted text ('&amp;' last, so '&amp;lt;' stays '&lt;').
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&middot;", "·"), ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&copy;", "©"),
-    ("&reg;", "®"), ("&trade;", "™"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"),
-    ("&laquo;", "«"), ("&raquo;", "»"), ("&amp;", "&"),
-)
+# All named character references of HTML, the commonest first (a lookup in a map literal reads it from the front).
+_COMMON = ("amp", "nbsp", "lt", "gt", "quot", "apos", "ndash", "mdash", "middot", "hellip", "rsquo", "lsquo", "rdquo", "ldquo")
+NAMED_REFERENCES = {f"&{n};": html5[f"{n};"] for n in _COMMON} | {f"&{n}": c for n, c in html5.items() if n.endswith(";")}
 
+_TOKENS = r"(&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&)"
 
-_TOKENS = r"(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});|[^&]+|&)"
 
-
-def _hex_byte(v: Column) -> Column:
-    return F.lpad(F.hex(v), 2, "0")
-
-
-def _utf8_hex(cp: Column) -> Column:
-    """Hex of the UTF-8 encoding of a code point (1 to 4 bytes)."""
-    cont = lambda shift: _hex_byte(F.lit(0x80).bitwiseOR(F.shiftright(cp, shift).bitwiseAND(0x3F)))
-    return (F.when(cp < 0x80, _hex_byte(cp))
-            .when(cp < 0x800, F.concat(_hex_byte(F.lit(0xC0).bitwiseOR(F.shiftright(cp, 6))), cont(0)))
-            .when(cp < 0x10000, F.concat(_hex_byte(F.lit(0xE0).bitwiseOR(F.shiftright(cp, 12))), cont(6), cont(0)))
-            .otherwise(F.concat(_hex_byte(F.lit(0xF0).bitwiseOR(F.shiftright(cp, 18))), cont(12), cont(6), cont(0))))
+def _code_point(cp: Column) -> Column:
+    """The character of a code point, from its four bytes in UTF-32."""
+    return F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
 
 
 def _decode_ref(t: Column) -> Column:
-    dec = F.regexp_extract(t, r"^&#([0-9]+);$", 1)
-    hx = F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]+);$", 1)
-    cp = F.coalesce(F.nullif(dec, F.lit("")).try_cast("int"),
-                    F.conv(F.nullif(hx, F.lit("")), 16, 10).try_cast("int"))
+    """The character that a reference stands for; unknown names and invalid numbers (0, surrogates, > U+10FFFF) stay."""
+    number = F.regexp_extract(t, r"^&#([0-9]+);$", 1).try_cast("int")
+    cp = F.coalesce(number, F.conv(F.nullif(F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]+);$", 1), F.lit("")), 16, 10).try_cast("int"))
     valid = cp.isNotNull() & (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
-    return F.when(valid, F.decode(F.unhex(_utf8_hex(cp)), "UTF-8")).otherwise(t)
-
-
-def decode_numeric_refs(c: Column | str) -> Column:
-    """Decode '&#233;' and '&#xE9;' references; invalid ones (0, surrogates, > U+10FFFF) stay as written."""
-    x = _c(c)
-    tokens = F.regexp_extract_all(x, F.lit(_TOKENS), 1)
-    return F.when(x.contains("&#"), F.array_join(F.transform(tokens, _decode_ref), "")).otherwise(x)
+    names = F.from_json(F.lit(json.dumps(NAMED_REFERENCES)), "map<string,string>")  # folded to one literal
+    return F.when(t.startswith("&#"), F.when(valid, _code_point(cp)).otherwise(t)).when(
+        t.startswith("&"), F.coalesce(F.try_element_at(names, t), t)).otherwise(t)
 
 
 def decode_entities(c: Column | str) -> Column:
-    """Decode the named references of ``ENTITIES`` and numeric references; '&amp;' goes last, so
-    '&amp;#65;' and '&amp;lt;' come out as the literal text '&#65;' and '&lt;'."""
+    """Decode named and numeric references, each once: '&amp;#65;' and '&amp;lt;' come out as the text '&#65;' and
+    '&lt;'.  No-break spaces become blanks."""
     x = _c(c)
-    for ent, ch in ENTITIES[:-1]:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    x = decode_numeric_refs(x)
-    ent, ch = ENTITIES[-1]
-    return F.replace(x, F.lit(ent), F.lit(ch))
+    tokens = F.regexp_extract_all(x, F.lit(_TOKENS), 1)
+    return F.translate(F.when(x.contains("&"), F.array_join(F.transform(tokens, _decode_ref), "")).otherwise(x), "\u00a0", " ")
 
 
 def inner_text(c: Column | str) -> Column:
@@ -112,78 +92,138 @@ def extract_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "ht
     )
 
 
-def element_with_class(fragment: Column | str, css_class: str) -> Column:
-    """Inner text of the first element whose class list contains ``css_class``; missing -> ''."""
-    pat = rf'(?is)<([a-z0-9]+)[^>]*\bclass="[^"]*\b{css_class}\b[^"]*"[^>]*>(.*?)</\1>'
-    return inner_text(F.regexp_extract(_c(fragment), pat, 2))
+#: Elements without an end tag, and elements whose text is not shown (fixed values).
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+HIDDEN = frozenset(("script", "style"))
+#: Stands for '&' while a page is parsed, so that references are decoded in one place, ``decode_entities``.
+_AMP = "\ue000"
+#: Bytes of markup whose rows are handed on together.
+PARSED_BYTES = 8 << 20
 
 
-def section_items(pages: DataFrame, section_id: str, fields: dict[str, str], id_col: str = "page_id",
-                  html_col: str = "html", item_pattern: str = r"(?is)<li\b[^>]*>(.*?)</li>") -> DataFrame:
-    """Rows of one page section - the ``<section id=...>`` block, one row per list item,
-    one column per field (``{column: css class}``), each the text of the first element with that class."""
-    block = F.regexp_extract(F.col(html_col), rf'(?is)<section\b[^>]*\bid="{section_id}"[^>]*>(.*?)</section>', 1)
-    items = pages.select(F.col(id_col).alias("profile_id"),
-                         F.posexplode(F.regexp_extract_all(block, F.lit(item_pattern), 1)).alias("pos", "__item"))
-    return items.select("profile_id", F.col("pos").cast("bigint").alias("pos"),
-                        *[element_with_class("__item", cls).alias(name) for name, cls in fields.items()])
+class _Item:
+    """One list item: where it stands, its own text and link, and the text of the first element of each class."""
 
+    def __init__(self, section: str, parent: int | None, level: int):
+        self.section, self.parent, self.level = section, parent, level
+        self.text: list[str] = []
+        self.href = ""
+        self.fields: dict[str, list[str]] = {}
 
-class _ItemParser(HTMLParser):
-    """Collects (depth-aware) text and first link of each outermost <li>."""
+
+class PageItems(HTMLParser):
+    """The list items of a page, nested and unclosed ones included, from one stack of its open elements.
+
+    A new item closes the open one of its list; an end tag closes what is open inside its element; an end tag without
+    a start tag is passed over, and the end of the page closes all.  An element belongs to its innermost item, text to
+    all items and fields around it.
+    """
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.items: list[tuple[str, str]] = []
-        self._depth = 0
-        self._buf: list[str] = []
-        self._href = ""
-        self._skip = 0
+        super().__init__(convert_charrefs=False)
+        self.items: list[_Item] = []
+        self.open: list[tuple[str, int | None, list[str] | None, str]] = []  # tag, item, field being read, section
+
+    def _item(self) -> int | None:
+        return next((i for _, i, _, _ in reversed(self.open) if i is not None), None)
 
     def handle_starttag(self, tag, attrs):
-        if tag in ("script", "style"):
-            self._skip += 1
+        named = dict(attrs)
+        if tag == "li":
+            for at in range(len(self.open) - 1, -1, -1):
+                if self.open[at][0] in ("ul", "ol", "section"):
+                    break
+                if self.open[at][0] == "li":
+                    del self.open[at:]
+                    break
+        section = (named.get("id") or "") if tag == "section" else (self.open[-1][3] if self.open else "")
+        around, item, field = self._item(), None, None
         if tag == "li":
-            if self._depth == 0:
-                self._buf, self._href = [], ""
-            self._depth += 1
-        elif tag == "a" and self._depth and not self._href:
-            self._href = dict(attrs).get("href") or ""
+            item = len(self.items)
+            self.items.append(_Item(section, around, 0 if around is None else self.items[around].level + 1))
+        elif around is not None:
+            own = self.items[around]
+            if tag == "a" and not own.href:
+                own.href = named.get("href") or ""
+            for name in (named.get("class") or "").split():
+                if name not in own.fields:
+                    field = own.fields[name] = field if field is not None else []
+        if tag not in VOID:
+            self.open.append((tag, item, field, section))
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in ("script", "style") and self._skip:
-            self._skip -= 1
-        if tag == "li" and self._depth:
-            self._depth -= 1
-            if self._depth == 0:
-                self.items.append((self._href, "".join(self._buf).strip()))
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] == tag:
+                del self.open[at:]
+                return
 
     def handle_data(self, data):
-        if self._depth and not self._skip:
-            self._buf.append(data)
+        if any(tag in HIDDEN for tag, *_ in self.open):
+            return
+        for _, item, field, _ in self.open:
+            if item is not None:
+                self.items[item].text.append(data)
+            if field is not None:
+                field.append(data)
+
+
+def page_items(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Id, section ('' outside any), pos (document order), parent, level, href, text, fields (class -> text) of all
+    list items, parsed page by page in ``mapInPandas``.  Rows of many pages are handed on by bytes, not by pages."""
+    kind = dict(pages.dtypes)[id_col]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = [id_col, "section", "pos", "parent", "level", "href", "text", "fields"]
+        back = lambda parts: "".join(parts).replace(_AMP, "&")
+        for batch in batches:
+            rows, size = [], 0
+            for page, markup in zip(batch[id_col], batch[html_col], strict=True):
+                parser = PageItems()
+                parser.feed((markup or "").replace("&", _AMP))
+                parser.close()
+                rows += [(page, back(x.section), pos, x.parent, x.level, back(x.href), back(x.text), {k: back(v) for k, v in x.fields.items()})
+                         for pos, x in enumerate(parser.items)]
+                size += len(markup or "")
+                if size > PARSED_BYTES:
+                    yield pd.DataFrame(rows, columns=columns).astype({"parent": "Int64"})
+                    rows, size = [], 0
+            yield pd.DataFrame(rows, columns=columns).astype({"parent": "Int64"})
+
+    schema = f"`{id_col}` {kind}, section string, pos long, parent long, level int, href string, text string, fields map<string,string>"
+    return pages.select(id_col, F.col(html_col).cast("string").alias(html_col)).mapInPandas(run, schema)
+
+
+def _shown(c: Column) -> Column:
+    return F.coalesce(strip(decode_entities(c)), F.lit(""))
 
 
-ITEM_SCHEMA = T.StructType([
-    T.StructField("page_id", T.LongType()), T.StructField("pos", T.LongType()),
-    T.StructField("href", T.StringType()), T.StructField("text", T.StringType()),
-])
-
-
-def _parse_batches(batches: Iterator[pd.DataFrame], id_col: str, html_col: str) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for pid, html in zip(pdf[id_col], pdf[html_col]):
-            p = _ItemParser()
-            p.feed(html or "")
-            p.close()
-            rows.extend((pid, i, h, t) for i, (h, t) in enumerate(p.items))
-        yield pd.DataFrame(rows, columns=["page_id", "pos", "href", "text"])
+def section_items(pages: DataFrame, section_id: str, fields: dict[str, str], id_col: str = "page_id",
+                  html_col: str = "html") -> DataFrame:
+    """The items of ``<section id=...>``, one row for each, one column for each field (``{column: css class}``): the
+    text of the first element of that class that belongs to the item; missing -> ''.
+
+    Items may be nested (``level``, and ``parent``: the position of the item around it) or unclosed.  An item inside
+    another counts as one of its own if it has any of the fields; plain bullet points stay text of the item around.
+    """
+    items = page_items(pages, id_col, html_col).where(F.col("section") == section_id)
+    has_any = F.lit(False)
+    for css in fields.values():
+        has_any = has_any | F.map_contains_key("fields", css)
+    return items.where((F.col("level") == 0) | has_any).select(
+        F.col(id_col).alias("profile_id"), "pos", "parent", "level",
+        *[_shown(F.try_element_at("fields", F.lit(css))).alias(name) for name, css in fields.items()])
 
 
 def extract_items_nested(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """S4 for nested markup: outermost <li> items via the stdlib parser in ``mapInPandas``."""
-    src = pages.select(F.col(id_col).cast("bigint").alias(id_col), html_col)
-    return src.mapInPandas(lambda it: _parse_batches(it, id_col, html_col), ITEM_SCHEMA)
+    """S4 for nested markup: the outermost items of a page, numbered, each with the text of all it holds."""
+    outer = page_items(pages, id_col, html_col).where("level = 0")
+    order = Window.partitionBy(id_col).orderBy("pos")
+    return outer.select(id_col, (F.row_number().over(order) - 1).cast("bigint").alias("pos"), "href", _shown(F.col("text")).alias("text"))
 
 
 # --------------------------------------------------------------------------- S2

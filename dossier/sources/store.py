@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,8 +199,7 @@ class SectionStore:
     def load_section(self, section: str, defaults: DataFrame | None = None, profile_id: str | None = None) -> DataFrame:
         """S8 over a stored section, of one profile if asked; a section that was never written, or has no rows, gives
         ``defaults``.  Any other failure is the caller's to see."""
-        rows = self.read(section)
-        return load_section(rows if profile_id is None else filter_eq(rows, {"profile_id": profile_id}), section, defaults)
+        return load_section(self.read(section), section, defaults, profile_id)
 
 
 # --------------------------------------------------------------------------- F1, F2
@@ -221,32 +220,40 @@ def drop_unnamed(df: DataFrame, name_col: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- O1, S8, S9
-def section_order(df: DataFrame, section: str, tie: list[str] | None = None) -> DataFrame:
-    """O1: serving order - newest/largest first, nulls last, ties by id."""
-    col = SERVE_ORDER[section]
+def section_order(df: DataFrame, section: str, tie: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
+    """O1: serving order - newest/largest first, nulls last, ties by id.
+
+    With ``by`` (a profile) the order is that within each group, as a ``position`` column: one exchange by the group
+    and no sort of the whole table.  Without, the rows themselves are sorted, which suits the rows of one profile.
+    """
     tie = tie if tie is not None else [c for c in ("id",) if c in df.columns]
-    return df.orderBy(F.col(col).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie])
+    order = [F.col(SERVE_ORDER[section]).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in tie]]
+    if by:
+        return df.withColumn("position", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return df.orderBy(*order)
+
 
+def with_years(df: DataFrame) -> DataFrame:
+    """E9 on a section with dates: ``start_year`` and ``end_year`` as text, where they can be had and are not there yet."""
+    years = {f"{end}_year": extract_year(f"{end}_date") for end in ("start", "end") if f"{end}_date" in df.columns}
+    return df.withColumns({name: year for name, year in years.items() if name not in df.columns})
 
-def load_section(df: DataFrame, section: str, defaults: DataFrame | None = None) -> DataFrame:
-    """Ordered section read; an empty table falls back to ``defaults``.
 
-    Education gains start_year / end_year text columns (E9).  The emptiness
-    probe reads at most one row.
+def load_section(df: DataFrame, section: str, defaults: DataFrame | None = None, profile_id: str | None = None) -> DataFrame:
+    """Section read in serving order, of one profile (the filter reaches the scan) or of all, numbered within each.
+
+    No rows at all give ``defaults`` (the probe reads at most one row).  Education gains year columns.
     """
     validate_section(section)
+    if profile_id is not None:
+        df = filter_eq(df, {"profile_id": profile_id})
     if defaults is not None and df.isEmpty():
         return defaults
     if section == "education":
-        extra = {}
-        if "start_date" in df.columns and "start_year" not in df.columns:
-            extra["start_year"] = extract_year("start_date")
-        if "end_date" in df.columns and "end_year" not in df.columns:
-            extra["end_year"] = extract_year("end_date")
-        df = df.withColumns(extra)
-    if section in SERVE_ORDER:
-        df = section_order(df, section)
-    return df
+        df = with_years(df)
+    if section not in SERVE_ORDER:
+        return df
+    return section_order(df, section, by=["profile_id"] if profile_id is None and "profile_id" in df.columns else None)
 
 
 def first_row(df: DataFrame, order: list[Column]) -> DataFrame:

@@ -123,3 +123,38 @@ def test_items_with_attributes(spark):
     html = '<link rel="x"><ul><li class="a"><a href="/1">One</a></li><LI>Two</LI></ul>'
     pages = spark.createDataFrame([(3, html)], "page_id bigint, html string")
     assert sorted(tuple(r) for r in XT.extract_items(pages).collect()) == [(3, 0, "/1", "One"), (3, 1, "", "Two")]
+
+
+NESTED = """<section id="experience"><ul>
+<li><span class="title">Lead</span><span class="subtitle">Nord &amp; S&ouml;hne</span>
+  <ul><li><span class="title">Deputy</span><span class="caption">2019 &ndash; 2020</span></li>
+      <li>plain bullet &hearts;</li><li><span class="title">Trainee</span>
+  </ul>
+<li><span class="title">Clerk<br>at sea</span></div><script>var x = "<li>";</script>
+<li><p class="caption">&notareference; &#0; &amp;lt;"""
+
+
+def test_section_items_nested_unclosed_and_entities(spark):
+    pages = spark.createDataFrame([(1, NESTED), (2, None), (3, "<ul><li>x")], "page_id bigint, html string")
+    rows = XT.section_items(pages, "experience", {"title": "title", "company_name": "subtitle", "caption": "caption"}).orderBy("pos").collect()
+    got = [(r["level"], r["parent"], r["title"], r["company_name"], r["caption"]) for r in rows]
+    assert got == [(0, None, "Lead", "Nord & Söhne", ""), (1, 0, "Deputy", "", "2019 – 2020"), (1, 0, "Trainee", "", ""),
+                   (0, None, "Clerkat sea", "", ""), (0, None, "", "", "&notareference; &#0; &lt;")]
+    outer = XT.extract_items_nested(pages).where("page_id = 1").orderBy("pos").collect()
+    assert len(outer) == 3 and "plain bullet ♥" in outer[0]["text"] and "var x" not in outer[1]["text"]
+
+
+def test_both_paths_decode_every_named_reference(spark):
+    from html.entities import html5
+    names = sorted(n for n in html5 if n.endswith(";"))
+    markup = "".join(f"<li>a&{n}b</li>" for n in names)
+    pages = spark.createDataFrame([(1, markup)], "page_id bigint, html string")
+    want = [f"a{html5[n]}b".replace("\u00a0", " ") for n in names]
+    for rows in (XT.extract_items(pages), XT.extract_items_nested(pages)):
+        assert [r["text"] for r in rows.orderBy("pos").collect()] == want
+
+
+def test_rows_are_handed_on_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(XT, "PARSED_BYTES", 10)
+    pages = spark.createDataFrame([(i, f"<li>{i}</li>") for i in range(30)], "page_id bigint, html string")
+    assert sorted(r["text"] for r in XT.extract_items_nested(pages).collect()) == sorted(map(str, range(30)))
