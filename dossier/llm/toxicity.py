@@ -1,7 +1,7 @@
 """Toxicity: noisy-channel deobfuscation, then a Bernoulli model over the restored words.
 
 A character trigram model is counted over every document, and the frequent words of the learning documents are
-known to the decoder.  A token that is not a plain word without doubled letters becomes a lattice: each written
+known to the decoder; copies among these count once.  A token that is not a plain word without doubled letters becomes a lattice: each written
 character may stand for itself, for the letters it imitates, for nothing when it repeats its predecessor or
 separates letters, or for a word boundary.  Viterbi finds the likeliest reading of the lattice under the character
 model, the known words and the channel costs; the document is scored on the words so restored.
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Memo, fold, hash_share, materialize
+from .neardup import shingle_hashes, word_memo
 
 #: Labelled documents used for learning, at most about so many of each class (a documented bound of the fit).
 SAMPLE_PER_CLASS = 8_000
@@ -34,6 +35,12 @@ SAMPLE_PER_CLASS = 8_000
 LEXICON, KNOWN = 2_000, 20_000
 #: Share of words that may be marked by chance.
 FALSE_WORDS = 0.05
+#: Copies among the learning documents are found by so many bands of so many minima of their shingles' hashes.
+BANDS, MINIMA = 4, 3
+#: Standard errors by which a word's weight is less than its estimate.
+DOUBT = 0.5
+_rng = np.random.default_rng(7)
+_MUL = _rng.integers(0, 1 << 63, BANDS * MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: What a written character may stand for besides itself, and the cost of that reading.
 READINGS = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il",
@@ -232,18 +239,44 @@ def tokens(text: str) -> set[str]:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic",
                     per_class: int = SAMPLE_PER_CLASS) -> tuple[DataFrame, float]:
-    """(text, y) of at most about ``per_class`` labelled documents of each class, chosen by a hash of the id, and the
+    """(doc_id, text, y) of at most about ``per_class`` labelled documents of each class, chosen by a hash of the id, and the
     log odds of the classes over all learning labels, whatever the sample holds."""
     marked = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & (fold(F.col("doc_id"), 5) != 0)) \
         .select("doc_id", F.col(label).cast("int").alias("y")).distinct()
     sizes = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if set(sizes) != {0, 1}:
-        return docs.select(F.col("text"), F.lit(0).alias("y")).where(F.lit(False)), -math.inf
+        return docs.select("doc_id", F.col("text"), F.lit(0).alias("y")).where(F.lit(False)), -math.inf
     chosen = F.lit(False)
     for y, n in sizes.items():
         chosen = chosen | ((F.col("y") == y) & hash_share(F.col("doc_id"), min(1.0, per_class / n)))
     # the broadcast side holds at most about 2 * per_class rows of two numbers, whatever the input's size
-    return docs.select("doc_id", "text").join(F.broadcast(marked.where(chosen)), "doc_id").select("text", "y"), math.log(sizes[1] / sizes[0])
+    return docs.select("doc_id", "text").join(F.broadcast(marked.where(chosen)), "doc_id"), math.log(sizes[1] / sizes[0])
+
+
+def first_copies(sample: DataFrame) -> DataFrame:
+    """(text, y) of the learning documents, copies and near copies of one class once: words of a text that was copied
+    a thousand times are the evidence of one document.  A document is a copy if one with a smaller id shares a band of
+    minima (that of 0.85 similar ones is missed by 2 in 100, and meets many more of its kind)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo = word_memo()
+        for batch in batches:
+            for at in range(0, len(batch), 200):
+                part = batch.iloc[at:at + 200].copy()
+                found = []
+                for text in part["text"]:
+                    h = shingle_hashes((text or "").encode(), memo)
+                    low = [int((h * m).min()) if len(h) else 0 for m in _MUL]
+                    found.append([hash((i, *low[i * MINIMA:(i + 1) * MINIMA])) for i in range(BANDS)])
+                part["bands"] = found
+                yield part[["doc_id", "text", "y", "bands"]]
+
+    rows = sample.select("doc_id", "text", "y").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    banded = materialize(rows.select("doc_id", "text", "y").mapInPandas(run, "doc_id long, text string, y int, bands array<long>"), "toxicity-bands")
+    each = banded.select("doc_id", "y", F.explode("bands").alias("band"))
+    firsts = each.groupBy("y", "band").agg(F.min("doc_id").alias("first"))
+    copies = each.join(firsts, ["y", "band"]).where("first < doc_id").select("doc_id", "y").distinct()
+    return banded.join(copies, ["doc_id", "y"], "left_anti").select("text", "y")
 
 
 def word_counts(sample: DataFrame, reader: Callable[[], Callable[[str], Iterable[str]]]) -> DataFrame:
@@ -317,6 +350,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     """Character costs, known words, weight per marked word, and the log odds of a text without any of them."""
     costs = char_costs(char_counts(docs))
     sample, prior = labelled_sample(docs, labels, per_class=per_class)
+    sample = materialize(first_copies(sample), "toxicity-sample")
     as_lists = costs.tolist()
     known = known_words(sample)
 
@@ -333,8 +367,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     weights = {}
     for r in rows:
         p, q = (r["pos"] + 0.5) / (n_pos + 1), (r["neg"] + 0.5) / (n_neg + 1)
-        weights[r["word"]] = math.log(p / q) - math.log((1 - p) / (1 - q))
-        prior += math.log((1 - p) / (1 - q))
+        doubt = math.sqrt(1 / (r["pos"] + 0.5) + 1 / (r["neg"] + 0.5))  # of the log odds: few documents weigh little
+        weight = math.log(p / q) - math.log((1 - p) / (1 - q)) - DOUBT * doubt
+        if weight > 0:
+            weights[r["word"]] = weight
+            prior += math.log((1 - p) / (1 - q))
     return costs, known, weights, prior
 
 

@@ -331,6 +331,25 @@ def test_toxicity_recall_with_few_labels(spark, sf, n_words):
     assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
 
 
+def test_the_same_words_are_marked_when_documents_repeat(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text"), table(spark, "/root/testdata/sf0.01", "labels").select("doc_id", "toxic")
+    marked = {"idiot", "stupid", "worthless", "moron", "loser", "clown", "scum", "trash", "pathetic", "disgusting"}
+    for times in (1, 5, 20):
+        copies = [1_000_000 * i for i in range(times)]
+        again = lambda df: df.withColumn("doc_id", F.explode(F.transform(F.array(*map(F.lit, copies)), lambda o: o + F.col("doc_id"))))
+        _, _, weights, _ = toxicity.fit(again(docs), again(labels))
+        assert set(weights) == marked, times
+
+
+def test_near_copies_are_one_learning_document(spark):
+    base = " ".join(f"w{i}" for i in range(200))
+    rows_ = [(i, base.replace(f"w{i} ", f"x{i} "), 1) for i in range(1, 60)] + [(100 + i, " ".join(f"d{i}w{k}" for k in range(40)), 1) for i in range(20)]
+    rows_ += [(200, base, 0), (201, None, 0), (202, "", 0), (203, "short", 0), (100, "d0w0", 1)]
+    got = toxicity.first_copies(spark.createDataFrame(rows_, "doc_id long, text string, y int")).groupBy("y").count().collect()
+    found = {r["y"]: r["count"] for r in got}
+    assert 21 <= found[1] <= 24 and found[0] == 3  # one of the copies (a few at most), twenty others; the empty ones are alike
+
+
 # 8 personal data
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
