@@ -92,7 +92,7 @@ def plan(docs: DataFrame) -> DataFrame:
     joined = queued.alias("a").join(last.alias("b"), same & (F.col("size") > 0) & (F.col("upto") == F.col("cut")), "left")
     copies = F.col("done") + F.when(F.col("cut").isNotNull(), 1).otherwise(0)
     return joined.select("doc_id", "a.source", "size", "source_size", "target", (F.col("size") * copies).alias("taken"),
-                         (F.col("upto") / F.col("target")).alias("finish"))
+                         F.try_divide("upto", "target").alias("finish"))  # null in a source without words
 
 
 def mix(docs: DataFrame) -> DataFrame:

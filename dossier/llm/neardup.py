@@ -269,7 +269,8 @@ def near_duplicates(docs: DataFrame, limit: float = LIMIT, text: str = "text") -
 
 
 def without_duplicates(docs: DataFrame, limit: float = LIMIT, text: str = "text") -> DataFrame:
-    """One document of each component (the smallest id, once), and all rows without an id; all columns kept."""
+    """One document of each component (the smallest id), and all rows without an id; all columns kept.  Of rows that
+    repeat an id, each different text stays once: a text is never dropped for another of the same id."""
     keep = near_duplicates(docs, limit, text).where("kept and doc_id is not null").select("doc_id").distinct()
     keep = materialize(keep, "neardup-keep")
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id is null"))
+    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", text]).unionByName(docs.where("doc_id is null"))

@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import bisect
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -51,6 +52,20 @@ def tokenizer(vocabulary: str = VOCABULARY) -> tiktoken.Encoding:
     return tiktoken.Encoding(vocabulary, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={MARK: len(ranks)})
 
 
+#: White space as the pattern sees it, so long and so followed that matching it back and forth would need too much stack.
+_LONG_SPACE = re.compile(r"[^\S\x1c-\x1f]{4096,}(?=[\S\x1c-\x1f])(?!" + re.escape(MARK) + ")")
+
+
+def encode(text: str, vocabulary: str = VOCABULARY) -> np.ndarray:
+    """The ids of a text.  A long run of white space before a word is cut before its last character, where the pattern
+    ends a pre-token anyway, so the ids are those of the whole text."""
+    encoding = tokenizer(vocabulary)
+    special = {"allowed_special": "all"} if MARK in text else {}
+    ends = [m.end() - 1 for m in _LONG_SPACE.finditer(text)]
+    parts = [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)], strict=True)] if ends else [text]
+    return np.concatenate([encoding.encode_to_numpy(x, **special, disallowed_special=()) for x in parts])
+
+
 def cuts(n: int, size: int = SIZE) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``n`` tokens."""
     first = (n - 1) % size + 1
@@ -62,12 +77,10 @@ def pieces(docs: DataFrame, text: str = "text", with_ids: bool = False, vocabula
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = tokenizer(vocabulary).encode_to_numpy
         for batch in batches:
             rows = []
             for doc_id, data in zip(batch["doc_id"], batch["text"], strict=True):
-                special = {"allowed_special": "all"} if data and MARK in data else {}
-                ids = encode(data, **special, disallowed_special=()) if data else np.empty(0, np.uint32)
+                ids = encode(data, vocabulary) if data else np.empty(0, np.uint32)
                 ids = np.append(ids, END).astype("<u4")
                 for k, (start, length) in enumerate(cuts(len(ids))):
                     part = ids[start:start + length]

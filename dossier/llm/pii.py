@@ -129,16 +129,18 @@ def listed(spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span of personal data in ``text`` replaced by its kind in brackets, ``n_chars`` kept in
     step where the column exists.  Overlapping spans become one, named by the first."""
-    found = with_spans(docs, text, "_spans")
-    body = F.col(text)
+    # the row travels in one column, so no name of its own can meet one of these
+    found = with_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text")), "text", "spans")
+    body = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(a, s):
         gap = F.when(s["start"] >= a["at"], F.concat(F.substr(body, a["at"] + 1, s["start"] - a["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], F.coalesce(gap, F.lit(""))).alias("out"))
 
-    clean = F.aggregate("_spans", start, step, lambda a: F.concat(a["out"], F.substr(body, a["at"] + 1)))
-    out = found.withColumn(text, F.when(F.size("_spans") > 0, clean).otherwise(body))
+    clean = F.aggregate("spans", start, step, lambda a: F.concat(a["out"], F.substr(body, a["at"] + 1)))
+    out = found.withColumn("clean", F.when(F.size("spans") > 0, clean).otherwise(body))
+    kept = {text: F.col("clean")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        kept["n_chars"] = F.when(F.size("spans") > 0, F.length("clean").cast("long")).otherwise(F.col("row.n_chars"))
+    return out.select(*[kept.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

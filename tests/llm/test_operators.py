@@ -476,3 +476,22 @@ def test_components_of_chains_stars_and_repeated_links(spark):
     got = {r["id"]: r["label"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for pair in links for x in pair}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_operators_take_rows_that_stopped_them_before(spark, make):
+    # a long run of white space before a word: the ids are those that a shorter run shows to be right
+    long = packing.encode(" " * 1_000_000 + "a\n" + "\t" * 5000 + "b " + packing.MARK)
+    assert packing.tokenizer().decode(long.tolist()) == " " * 1_000_000 + "a\n" + "\t" * 5000 + "b " + packing.MARK
+    for text in (" " * 5000 + "word", "x" + "\n" * 5000 + "  y", " " * 5000, " " * 5000 + packing.MARK, "\u00a0" * 4500 + "\x1cz"):
+        assert packing.encode(text).tolist() == packing.tokenizer().encode(text, allowed_special="all")
+    assert packing.pieces(make([(1, " " * 1_000_000 + "a", None, None)])).count() > 0
+    # a source without words has a target of 0 and takes nothing
+    got = {r["doc_id"]: r for r in rows(mixing.plan(make([(1, None, None, "a"), (2, "", None, "a"), (3, "b b", None, "b")])))}
+    assert got[1]["target"] == 0 and got[1]["taken"] == 0 and got[1]["finish"] is None and got[3]["taken"] == 2
+    # columns of any name
+    clash = spark.createDataFrame([(1, "write to a.b@cc.de now", 9, "x", "y", "z")], "doc_id long, text string, n_chars int, _f_email string, spans string, `_spans` string")
+    out = pii.redact(clash)
+    assert out.columns == clash.columns and tuple(out.first()) == (1, "write to [EMAIL] now", 20, "x", "y", "z")
+    # one id with two texts
+    both = make([(1, "a b c d e f", None, None), (1, "g h i j k l", None, None), (1, "g h i j k l", None, None), (2, "a b c d e f", None, None)])
+    assert sorted(r["text"] for r in rows(neardup.without_duplicates(both)) if r["doc_id"] == 1) == ["a b c d e f", "g h i j k l"]
