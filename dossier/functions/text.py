@@ -167,5 +167,11 @@ def json_field(c: Column | str, path: str) -> Column:
     return F.get_json_object(_c(c), path)
 
 
+def json_record(c: Column | str, schema: str, bad: str = "malformed") -> Column:
+    """A JSON text column as a struct of typed fields (``schema`` as DDL), nested ones included; text that is not
+    JSON of that schema is kept whole in the field ``bad``, which is null for all other rows."""
+    return F.from_json(_c(c), f"{schema}, {bad} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+
+
 def and_all(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)

@@ -59,6 +59,11 @@ def _summaries(ev: DataFrame, gap_seconds: int, keys: list[str], aggs: dict[str,
     part = ev.where(F.col("__us").isNotNull()).groupBy("__u", "__b", *keys).agg(
         F.min("__us").alias("__fs"), F.max("__us").alias("__fe"), F.count(F.lit(1)).alias("__n"),
         *[c.alias(n) for n, c in aggs.items()])
+    return _with_heads(part, gap_seconds)
+
+
+def _with_heads(part: DataFrame, gap_seconds: int) -> DataFrame:
+    """Slice summaries with the start of the session that each lies in."""
     w = Window.partitionBy("__u").orderBy("__fs")
     before = F.max("__fe").over(w.rowsBetween(Window.unboundedPreceding, -1))
     opens = before.isNull() | ((F.col("__fs") - before) > gap_seconds * 1_000_000)
@@ -67,6 +72,23 @@ def _summaries(ev: DataFrame, gap_seconds: int, keys: list[str], aggs: dict[str,
     return part.withColumn("__head", head).drop("__open")
 
 
+def sessions_of_slices(slices: DataFrame, user: str = "user_id", gap_seconds: int = 1800,
+                       closed_before: str | None = None) -> DataFrame:
+    """Sessions from slice summaries (user, first_ts, last_ts, n_events), as ``sessionize`` gives them from the events.
+
+    A summary covers events of one user in a slice no wider than the gap; one slice may come in several rows.  With
+    ``closed_before`` only sessions that no event at or after that time can still join.
+    """
+    part = slices.select(F.struct(F.col(user).alias("id")).alias("__u"), epoch_micros("first_ts").alias("__fs"),
+                         epoch_micros("last_ts").alias("__fe"), F.col("n_events").alias("__n"))
+    out = _with_heads(part, gap_seconds).groupBy("__u", "__head").agg(F.max("__fe").alias("__end"), F.sum("__n").alias("n_events"))
+    out = out.select(F.col("__u.id").alias(user), micros_to_ntz("__head").alias("session_start"), micros_to_ntz("__end").alias("session_end"),
+                     "n_events", F.floor((F.col("__end") - F.col("__head")) / 1000).cast("bigint").alias("duration_ms"))
+    if closed_before is not None:
+        out = out.where(F.timestamp_add("SECOND", F.lit(gap_seconds), "session_end") < F.lit(closed_before).cast("timestamp_ntz"))
+    return out
+
+
 def _label(ev: DataFrame, summaries: DataFrame, *extra: str) -> DataFrame:
     """Join each event to the start of its session (null for an event without a time)."""
     out = ev.join(summaries.select("__u", "__b", "__head", *extra), ["__u", "__b"], "left")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.events import instant_to_ntz
+from ..operators.events import instant_to_ntz, sessions_of_slices
 from ..session import scratch_path
 from ..sources.store import ChangeLog
 from ..streaming import events as SE
@@ -57,7 +57,7 @@ def q_micro_batch_flush(spark, d):
     root = scratch_path(spark, "flush")
     ev = table(spark, d, "events")
     src = f"{root}/source"
-    SE.write_buffer(ev.repartition(8), src, max_events_per_file=1000)
+    SE.write_buffer(ev, src, max_events_per_file=1000)
     q = SE.ingest(_read_stream(spark, src, ev, max_files=1), f"{root}/sink", f"{root}/ckpt")
     q.awaitTermination()
     return _events_back(spark.read.parquet(f"{root}/sink"), ev.columns)
@@ -125,18 +125,34 @@ def _close(run, ev: DataFrame, src: str) -> None:
                              "date_sub('millisecond', session_start, max(ts)) AS duration_ms FROM a "
                              "GROUP BY user_id, session_start")
 def q_stream_sessions(spark, d):
-    """ST3 (stream): session windows in append mode; a session is emitted once the watermark passes
-    its end, and the input is closed with end-of-input markers (see ``_close``)."""
+    """ST3 (stream): slices of users are summed up with bounded state and written once closed, sessions are made of the
+    slices; the input is closed with end-of-input markers (see ``_close``)."""
     root = scratch_path(spark, "sessions")
     src = _write_event_files(spark, d, root)
     ev = table(spark, d, "events")
 
     def run():
-        sess = SE.stream_sessions(_read_stream(spark, src, ev), "user_id", "ts", "30 minutes", "1 hour")
-        SE.ingest(sess, f"{root}/sink", f"{root}/ckpt").awaitTermination()
+        slices = SE.stream_slices(_read_stream(spark, src, ev), "user_id", "ts", "30 minutes", "1 hour")
+        SE.ingest(slices, f"{root}/sink", f"{root}/ckpt").awaitTermination()
 
     _close(run, ev, src)
-    return spark.read.parquet(f"{root}/sink").filter(F.col("user_id") != -1)
+    slices = spark.read.parquet(f"{root}/sink").filter(~F.col("user_id").eqNullSafe(F.lit(-1)))
+    return sessions_of_slices(slices, "user_id", 1800)
+
+
+@register("event_ingest_json", "SELECT *, (SELECT count(*) FROM events WHERE event_id % 11 = 0) AS n_quarantined FROM events WHERE event_id % 11 <> 0")
+def q_event_ingest_json(spark, d):
+    """ST1 from JSON lines, every eleventh cut short: those go to the quarantine, all others to the sink."""
+    root = scratch_path(spark, "ingest-json")
+    ev = table(spark, d, "events")
+    times = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    line = F.to_json(F.struct(*ev.columns), times)
+    cut = F.substring(line, F.lit(1), F.length(line) - 5)
+    ev.select(F.when(F.col("event_id") % 11 == 0, cut).otherwise(line).alias("value")).write.text(f"{root}/source")
+    stream = SE.event_source(spark, f"{root}/source", ev.schema, fmt="json", options=times)
+    SE.ingest_checked(stream, f"{root}/sink", f"{root}/bad", f"{root}/ckpt").awaitTermination()
+    bad = spark.read.parquet(f"{root}/bad").select(F.count(F.lit(1))).scalar()
+    return _events_back(spark.read.parquet(f"{root}/sink"), ev.columns).withColumn("n_quarantined", bad)
 
 
 @register("stream_upsert", f"""

@@ -419,6 +419,25 @@ def q_json_fields(spark, d):
     return table(spark, d, "events").select("event_id", X.json_field("props", "$.k").alias("k"))
 
 
+# event metadata with several fields, one of them nested; some rows cut short, some without any
+METADATA = ("CASE CAST(event_id % 9 AS INT) WHEN 0 THEN concat('{\"k\": ', CAST(event_id AS STRING)) WHEN 1 THEN NULL WHEN 2 THEN '{}' "
+            "ELSE concat('{\"k\": ', CAST(event_id AS STRING), ', \"kind\": \"', event_type, '\", \"by\": {\"user\": ', "
+            "coalesce(CAST(user_id AS STRING), 'null'), '}, \"tags\": [\"a\", \"', event_type, '\"]}') END")
+
+
+@register("json_record", f"""
+SELECT event_id, CAST(json_extract_string(j, '$.k') AS BIGINT) AS k, json_extract_string(j, '$.kind') AS kind,
+       CAST(json_extract_string(j, '$.by.user') AS BIGINT) AS by_user, json_extract_string(j, '$.tags[1]') AS tag,
+       CASE WHEN m IS NOT NULL AND j IS NULL THEN m END AS malformed
+FROM (SELECT event_id, m, CASE WHEN json_valid(m) THEN m END AS j FROM (SELECT event_id, {METADATA} AS m FROM events))""")
+def q_json_record(spark, d):
+    m = X.json_record("m", "k bigint, kind string, by struct<user: bigint>, tags array<string>")
+    rows = table(spark, d, "events").select("event_id", F.expr(METADATA).alias("m")).withColumn("j", m)
+    whole = F.col("j.malformed").isNull()  # fields read before a text broke off are not taken
+    return rows.select("event_id", *[F.when(whole, c).alias(n) for n, c in (
+        ("k", F.col("j.k")), ("kind", F.col("j.kind")), ("by_user", F.col("j.by.user")), ("tag", F.get("j.tags", F.lit(1))))], "j.malformed")
+
+
 # ----------------------------------------------------------------- J1, E23
 RAW_SKILL = ("CASE CAST(p_partkey % 3 AS INT) WHEN 0 THEN upper(v) WHEN 1 THEN concat(' ', v, ' ') ELSE v END")
 SKILL_VARIANT = ("CASE CAST(p_partkey % 16 AS INT) WHEN 0 THEN 'sklearn' WHEN 1 THEN 'NLP' WHEN 2 THEN 'python' "

@@ -21,22 +21,33 @@ from ..operators.events import instant_to_ntz, ntz_to_instant
 from ..sources.store import ChangeLog
 
 
+#: Column that holds a line which could not be read with the declared schema.
+BAD_LINE = "_bad_line"
+
+
 def event_source(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None,
-                 ts: str = "ts", max_bytes_per_trigger: int | None = None, recursive: bool = False) -> DataFrame:
+                 ts: str = "ts", max_bytes_per_trigger: int | None = None, recursive: bool = False,
+                 fmt: str = "parquet", options: dict | None = None) -> DataFrame:
     """ST1/ST2: a file-buffer event stream with a declared schema; ``ts`` becomes TIMESTAMP.
 
     A micro-batch takes at most ``max_files_per_trigger`` files / ``max_bytes_per_trigger``
     bytes; with buffer files written at most N events each (``write_buffer``), one file
-    per trigger bounds a flush to N events.
+    per trigger bounds a flush to N events.  Text buffers (``fmt`` json or csv) are read permissively: a line that
+    does not fit the schema comes as it is in ``BAD_LINE`` (see ``ingest_checked``), no line is lost.
     """
-    r = spark.readStream.schema(schema)
+    r = spark.readStream.options(**(options or {}))
+    if fmt == "parquet":
+        r = r.schema(schema)
+    else:
+        r = r.schema(T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])).option("mode", "PERMISSIVE").option(
+            "columnNameOfCorruptRecord", BAD_LINE)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
         r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    return r.parquet(path).withColumn(ts, ntz_to_instant(ts))
+    return r.format(fmt).load(path).withColumn(ts, ntz_to_instant(ts))
 
 
 def write_buffer(events: DataFrame, path: str, max_events_per_file: int = 1000, partition_by: list[str] | None = None):
@@ -62,6 +73,17 @@ def ingest(stream: DataFrame, sink: str, checkpoint: str, trigger: str | None =
     return _trigger(w, trigger).start(sink)
 
 
+def ingest_checked(stream: DataFrame, sink: str, quarantine: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """ST1 for text buffers: good events go to ``sink``, lines that could not be read to ``quarantine`` with what could
+    be made of them.  Both are written in a folder for each micro-batch, so a batch that is replayed replaces itself."""
+    def split(batch: DataFrame, batch_id: int) -> None:
+        good = F.col(BAD_LINE).isNull()
+        batch.where(good).drop(BAD_LINE).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        batch.where(~good).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+
+    return run_foreach_batch(stream, split, checkpoint, trigger, "append")
+
+
 def stream_dedup(stream: DataFrame, keys: list[str], ts: str = "ts", delay: str = "1 hour") -> DataFrame:
     """ST4: drop client retries - same key seen again within the watermark delay."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
@@ -83,14 +105,16 @@ def windowed_engagement(stream: DataFrame, group: list[str], ts: str = "ts", win
                       "views", "view_time", "interactions", "feedback")
 
 
-def stream_sessions(stream: DataFrame, user: str = "user_id", ts: str = "ts", gap: str = "30 minutes",
-                    delay: str = "1 hour") -> DataFrame:
-    """ST3 (stream): session windows per user; duration from first to last event."""
-    s = (stream.withWatermark(ts, delay).groupBy(user, F.session_window(ts, gap).alias("__s"))
-         .agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.count(F.lit(1)).alias("n_events")))
-    return s.select(user, instant_to_ntz("__first").alias("session_start"),
-                    instant_to_ntz("__last").alias("session_end"), "n_events",
-                    F.timestamp_diff("MILLISECOND", F.col("__first"), F.col("__last")).alias("duration_ms"))
+def stream_slices(stream: DataFrame, user: str = "user_id", ts: str = "ts", gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
+    """ST3 (stream): one summary for each user and slice of time as wide as the session gap, once the slice is closed.
+
+    State is a small row for each open (user, slice): a user with a third of all events has as many as anyone else who
+    was there as long, and they lie on as many tasks.  All events of a slice are in one session, so
+    ``operators.events.sessions_of_slices`` joins the written slices to sessions.
+    """
+    out = stream.withWatermark(ts, delay).groupBy(user, F.window(ts, gap).alias("__w")).agg(
+        F.min(ts).alias("__first"), F.max(ts).alias("__last"), F.count(F.lit(1)).alias("n_events"))
+    return out.select(user, instant_to_ntz("__first").alias("first_ts"), instant_to_ntz("__last").alias("last_ts"), "n_events")
 
 
 def upsert_sink(table: ChangeLog) -> Callable[[DataFrame, int], None]:

@@ -90,3 +90,41 @@ def test_restart_from_checkpoint_is_exactly_once(spark):
     SE.ingest(SE.event_source(spark, f"{root}/src/*", src), f"{root}/sink", f"{root}/ckpt").awaitTermination()
     ids = sorted(r[0] for r in spark.read.parquet(f"{root}/sink").select("event_id").collect())
     assert ids == list(range(9))
+
+
+def test_text_buffers_keep_every_line(spark):
+    root = scratch_path(spark, "t-text")
+    lines = {"json": ['{"event_id": 1, "user_id": 7, "value": 2.5}', '{"event_id": 2, "user_id"', '{"event_id": "x"}', "plain", '{"event_id": 3}'],
+             "csv": ["1,2024-01-01T00:00:00,7,view,2.5,{}", "x,2024-01-01T00:00:00,7,view,1,{}", "3,,,,,", "4,2024-01-01T00:00:00,7,view,1,{},more"]}
+    want = {"json": ([1, 3], 3), "csv": ([1, 3], 2)}
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for fmt, text in lines.items():
+        spark.createDataFrame([(x,) for x in text], "value string").coalesce(1).write.text(f"{root}/{fmt}")
+        stream = SE.event_source(spark, f"{root}/{fmt}", schema, fmt=fmt)
+        SE.ingest_checked(stream, f"{root}/{fmt}-good", f"{root}/{fmt}-bad", f"{root}/{fmt}-ckpt").awaitTermination()
+        good = sorted(r["event_id"] for r in spark.read.parquet(f"{root}/{fmt}-good").collect())
+        bad = [r[SE.BAD_LINE] for r in spark.read.parquet(f"{root}/{fmt}-bad").collect()]
+        assert (good, len(bad)) == want[fmt] and set(bad) <= set(text)
+
+
+def test_stream_slices_are_few_and_give_the_batch_sessions(spark):
+    import random
+    from dossier.operators.events import sessionize, sessions_of_slices
+    rng, root, t0 = random.Random(5), scratch_path(spark, "t-slices"), dt.datetime(2024, 1, 1)
+    hot = [(i, t0 + dt.timedelta(seconds=i * 3), 1, "view", 1.0, "{}") for i in range(4000)]
+    rest = [(10_000 + i, t0 + dt.timedelta(seconds=rng.randrange(20_000)), rng.choice([2, 3, None]), "view", 1.0, "{}") for i in range(300)]
+    rows = hot + rest
+    rng.shuffle(rows)
+    last = max(r[1] for r in rows)
+    _files(spark, root, [rows[:2000], rows[2000:], [(-1, last + dt.timedelta(days=2), -1, "end", 0.0, "{}")], [(-2, last + dt.timedelta(days=4), -1, "end", 0.0, "{}")]])
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for i in range(4):  # a restarted query for each delivery
+        SE.ingest(SE.stream_slices(SE.event_source(spark, f"{root}/src/b[0-{i}]", schema), delay="12 hours"), f"{root}/sink", f"{root}/ckpt").awaitTermination()
+    slices = spark.read.parquet(f"{root}/sink").where("user_id is null or user_id > 0")
+    assert slices.where("user_id = 1").count() <= 8
+    got = {tuple(r) for r in sessions_of_slices(slices).collect()}
+    events = spark.createDataFrame(rows, SCHEMA)
+    want = sessionize(events)
+    assert got == {tuple(r) for r in want.select("user_id", "session_start", "session_end", "n_events", "duration_ms").collect()}
+    closed = sessions_of_slices(slices, closed_before=str(last))
+    assert closed.count() < len(got) and closed.where(F.col("session_end") >= F.lit(str(last - dt.timedelta(minutes=30))).cast("timestamp_ntz")).count() == 0
