@@ -10,7 +10,7 @@ from dossier.plans import load_all
 
 SF = "/root/testdata/sf0.001"
 STREAMS = {"event_ingest", "micro_batch_flush", "stream_dedup", "windowed_engagement", "stream_sessions",
-           "stream_upsert", "create_sections", "raw_snapshot"}
+           "stream_upsert", "create_sections", "raw_snapshot", "stored_upsert", "event_ingest_json"}
 
 
 def plan(spark, name, mode="formatted"):
@@ -26,7 +26,7 @@ def test_no_pairwise_joins_and_no_row_python(spark, name):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     assert "RoundRobinPartitioning" not in p
-    if name != "extract_items_nested":
+    if name not in ("extract_items_nested", "section_items_nested"):
         assert "MapInPandas" not in p
 
 
@@ -52,6 +52,16 @@ def test_share_of_max_window_needs_no_shuffle(spark):
     assert len(shuffles) <= 2  # per-part aggregate and per-skill aggregate only
 
 
+@pytest.mark.parametrize("name", ["serve_experience", "serve_skills", "load_section", "section_order", "share_of_max_per_profile", "scale_to_width_per_profile"])
+def test_serving_many_profiles_sorts_no_whole_table(spark, name):
+    p = plan(spark, name)
+    assert "rangepartitioning" not in p and "SinglePartition" not in p
+
+
+def test_the_category_lookup_is_broadcast(spark):
+    assert "BroadcastHashJoin" in plan(spark, "categorize")
+
+
 def test_narrow_projections(spark):
     p = plan(spark, "filter_eq")
     assert re.search(r"PushedFilters: \[.*EqualTo\(c_mktsegment,BUILDING\)", p)
