@@ -52,5 +52,5 @@ def sql_on_tables(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 
 def load_all() -> dict[str, Query]:
-    from . import events_plans, extract_plans, keyed_plans, stream_plans, text_plans  # noqa: F401
+    from . import events_plans, extract_plans, keyed_plans, similar_plans, stream_plans, text_plans  # noqa: F401
     return REGISTRY

@@ -26,7 +26,7 @@ def test_no_pairwise_joins_and_no_row_python(spark, name):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     assert "RoundRobinPartitioning" not in p
-    if name not in ("extract_items_nested", "section_items_nested"):
+    if name not in ("extract_items_nested", "section_items_nested", "similar_pairs", "similar_classes"):
         assert "MapInPandas" not in p
 
 
