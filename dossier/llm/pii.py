@@ -2,12 +2,15 @@
 
 DataFrame operations only.  A pattern's matches come from ``regexp_extract_all`` and the text between them
 from ``split`` by the same pattern, so a match starts after all pieces before it; lengths are code points.
+A span's context is the end of the text between it and the match of its kind before it: no span walks through the
+text again, and ``redact`` takes its pieces from blocks of the text, for the same reason.
 Patterns are possessive or guarded by a lookbehind where a plain form would read a long run again from each
 of its characters, and use no repeated group that Java matches by recursion: time is linear in the text.
 
 Kinds: email, ip (parts at most 255), card (Luhn), phone (9 to 15 digits), iban (mod-97).
 
-Edge cases: null and empty texts have no spans; repeated rows are treated row by row; other columns are kept.
+Edge cases: null and empty texts have no spans; repeated rows are treated row by row; other columns are kept, whatever
+their names, but for one of the name of the result.
 """
 
 from __future__ import annotations
@@ -65,6 +68,8 @@ def _valid(kind: str, found: Column) -> Column:
 
 
 _CHUNK = 256
+#: Code points of a block of text.
+_BLOCK = 1024
 
 
 def _with_starts(df: DataFrame, name: str) -> DataFrame:
@@ -91,34 +96,44 @@ def _with_starts(df: DataFrame, name: str) -> DataFrame:
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,score:double>>"
 
 
-def _confirmed(k: Kind, body: Column, starts: Column, found: Column) -> Column:
+def _confirmed(k: Kind, starts: Column, found: Column, between: Column) -> Column:
     """The spans of one kind that pass its check, with scores."""
 
     def span(z):
-        s = z["s"]
-        near = F.lower(F.substr(body, F.greatest(s - CONTEXT_CHARS + 1, F.lit(1)), F.least(s, F.lit(CONTEXT_CHARS))))
+        near = F.lower(F.right(z["b"], F.lit(CONTEXT_CHARS)))
         gain = F.when(near.rlike(k.context), CONTEXT_GAIN).otherwise(0.0)
-        return F.struct(s.alias("start"), F.lit(KINDS.index(k)).alias("rank"), (s + F.length(z["f"])).alias("end"),
+        return F.struct(z["s"].alias("start"), F.lit(KINDS.index(k)).alias("rank"), (z["s"] + F.length(z["f"])).alias("end"),
                         F.lit(k.name).alias("kind"), F.least(F.lit(1.0), F.lit(k.score) + gain).alias("score"))
 
-    pairs = F.filter(F.arrays_zip(starts.alias("s"), found.alias("f")), lambda z: _valid(k.name, z["f"]))
-    return F.transform(pairs, span)
+    pieces = F.slice(between, F.lit(1), F.size(found))
+    matches = F.filter(F.arrays_zip(starts.alias("s"), found.alias("f"), pieces.alias("b")), lambda z: _valid(k.name, z["f"]))
+    return F.transform(matches, span)
 
 
-def with_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
-    """``docs`` with an array of (start, rank, end, kind, score), sorted by start and rank (the kind's place in ``KINDS``)."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    df = docs
+def _find(rows: DataFrame) -> DataFrame:
+    """``rows`` (row, text) with ``spans``."""
+    body = F.coalesce(F.col("text"), F.lit(""))
+    df = rows
     none = F.array().cast("array<string>")
     for k in KINDS:
         df = df.withColumn(f"_f_{k.name}", F.when(body.rlike(k.needs), F.regexp_extract_all(body, F.lit(k.pattern), 0)).otherwise(none))
     for k in KINDS:
-        found, starts = F.col(f"_f_{k.name}"), F.col(f"_s_{k.name}")
+        found, starts, between = F.col(f"_f_{k.name}"), F.col(f"_s_{k.name}"), F.col(f"_b_{k.name}")
         df = df.withColumn(f"_b_{k.name}", F.when(F.size(found) > 0, F.split(body, k.pattern, -1)).otherwise(none))
         df = _with_starts(df, k.name)
-        df = df.withColumn(f"_s_{k.name}", F.when(F.size(found) > 0, _confirmed(k, body, starts, found)).otherwise(F.array().cast(SPAN)))
-    df = df.withColumn(out, F.array_sort(F.concat(*[F.col(f"_s_{k.name}") for k in KINDS])))
-    return df.drop(*[f"_{p}_{k.name}" for p in "fblcps" for k in KINDS])
+        df = df.withColumn(f"_s_{k.name}", F.when(F.size(found) > 0, _confirmed(k, starts, found, between)).otherwise(F.array().cast(SPAN)))
+    df = df.withColumn("spans", F.array_sort(F.concat(*[F.col(f"_s_{k.name}") for k in KINDS])))
+    return df.select("row", "text", "spans")
+
+
+def _apart(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` as (row, text): the row travels in one column, so no name of its own can meet one of the operator's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+
+
+def with_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
+    """``docs`` with an array of (start, rank, end, kind, score), sorted by start and rank (the kind's place in ``KINDS``)."""
+    return _find(_apart(docs, text)).select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != out], F.col("spans").alias(out))
 
 
 def listed(spans: Column) -> Column:
@@ -126,21 +141,42 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def scores(spans: Column) -> Column:
+    """The score of each span in hundredths, comma-joined in the order of ``listed``."""
+    return F.array_join(F.transform(spans, lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",")
+
+
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span of personal data in ``text`` replaced by its kind in brackets, ``n_chars`` kept in
     step where the column exists.  Overlapping spans become one, named by the first."""
-    # the row travels in one column, so no name of its own can meet one of these
-    found = with_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text")), "text", "spans")
-    body = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a, s):
-        gap = F.when(s["start"] >= a["at"], F.concat(F.substr(body, a["at"] + 1, s["start"] - a["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.concat(a["out"], F.coalesce(gap, F.lit(""))).alias("out"))
-
-    clean = F.aggregate("spans", start, step, lambda a: F.concat(a["out"], F.substr(body, a["at"] + 1)))
-    out = found.withColumn("clean", F.when(F.size("spans") > 0, clean).otherwise(body))
+    df = _find(_apart(docs, text))
+    some, last = F.size("spans") > 0, F.size("spans") - 1
+    # each array that a lambda reads is a column of its own and is read more than once, so it is computed once per row
+    df = df.withColumn("ends", F.when(some, F.transform("spans", lambda s: s["end"])))
+    df = df.withColumn("tops", F.when(some & (F.size("ends") > 0), F.transform(
+        F.sequence(F.lit(0), F.floor(last / _CHUNK).cast("int")), lambda j: F.array_max(F.slice("ends", j * _CHUNK + 1, _CHUNK)))))
+    df = df.withColumn("before", F.when(F.size("tops") > 0, F.transform(
+        "tops", lambda _, j: F.coalesce(F.array_max(F.slice("tops", F.lit(1), j)), F.lit(0)))))
+
+    def open_at(s, i):  # the end of what all earlier spans cover
+        j = F.floor(i / _CHUNK).cast("int")
+        here = F.coalesce(F.array_max(F.slice("ends", j * _CHUNK + 1, i - j * _CHUNK)), F.lit(0))
+        return F.struct(F.greatest(F.when(F.size("before") > 0, F.element_at("before", j + 1)).otherwise(0), here).alias("at"),
+                        s["start"].alias("start"), s["kind"].alias("kind"))
+
+    df = df.withColumn("gaps", F.when(some, F.transform("spans", open_at)))
+    df = df.withColumn("blocks", F.when(some, F.regexp_extract_all("text", F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))))
+
+    def piece(start, end):
+        first = F.floor(start / _BLOCK).cast("int")
+        held = F.array_join(F.slice("blocks", first + 1, F.floor(end / _BLOCK).cast("int") - first + 1), "")
+        return F.substr(held, start - first * _BLOCK + 1, end - start)
+
+    parts = F.transform("gaps", lambda g: F.when(g["start"] >= g["at"], F.concat(
+        piece(g["at"], g["start"]), F.lit("["), F.upper(g["kind"]), F.lit("]"))).otherwise(""))
+    clean = F.concat(F.array_join(parts, ""), piece(F.array_max("ends"), F.length("text")))
+    out = df.withColumn("clean", F.when(some & (F.size("blocks") > 0), clean).otherwise(F.coalesce("text", F.lit(""))))
     kept = {text: F.col("clean")}
     if "n_chars" in docs.columns:
-        kept["n_chars"] = F.when(F.size("spans") > 0, F.length("clean").cast("long")).otherwise(F.col("row.n_chars"))
+        kept["n_chars"] = F.when(some, F.length("clean").cast("long")).otherwise(F.col("row.n_chars"))
     return out.select(*[kept.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

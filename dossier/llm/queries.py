@@ -132,7 +132,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
     of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *[of(k) for k in pii.BASE], F.sha2(pii.listed(base).cast("binary"), 256).alias("base_sha256"),
-                        pii.listed(F.col("spans")).alias("spans"))
+                        pii.listed(F.col("spans")).alias("spans"), pii.scores(F.col("spans")).alias("scores"))
 
 
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

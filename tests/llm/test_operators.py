@@ -495,3 +495,30 @@ def test_operators_take_rows_that_stopped_them_before(spark, make):
     # one id with two texts
     both = make([(1, "a b c d e f", None, None), (1, "g h i j k l", None, None), (1, "g h i j k l", None, None), (2, "a b c d e f", None, None)])
     assert sorted(r["text"] for r in rows(neardup.without_duplicates(both)) if r["doc_id"] == 1) == ["a b c d e f", "g h i j k l"]
+
+
+def test_personal_data_context_raises_the_score(make):
+    docs = make([(1, "please call +1 (980) 555-6268 or +1 (980) 555-6269", None, None), (2, "x 10.0.0.1, the host is 10.0.0.2", None, None)])
+    got = {r.doc_id: r.s for r in pii.with_spans(docs).select("doc_id", pii.scores(F.col("spans")).alias("s")).collect()}
+    assert got == {1: "90,60", 2: "60,90"}
+
+
+def redacted(text):
+    at, out = 0, ""
+    for start, _, end, kind in sorted((int(a), pii.BASE.index(k), int(b), k) for k, a, b in (x.split(":") for x in base_spans(text).split(",") if x)):
+        if start >= at:
+            out += text[at:start] + f"[{kind.upper()}]"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_redaction_of_many_spans_and_long_texts(make):
+    many = " ".join(f"user{i}@mail{i}.org" for i in range(20_000))
+    overlaps = " ".join(f"1.2.3.4@x{i}.org 1.2.3.{i % 300}.5 4111111111111111 é😀" for i in range(900))
+    far = "é😀" * 9000 + " a@b.co " + "z" * 8191 + "\n\n 10.0.0.1"
+    texts = [*TRICKY, many, overlaps, far, "a" * 4096, "a" * 4090 + " a@b.co", ""]
+    got = {r["doc_id"]: r["text"] for r in rows(pii.redact(make([(i, t, None, None) for i, t in enumerate(texts)])))}
+    assert got == {i: redacted(t) for i, t in enumerate(texts)}
+    clash = make([(1, "a@b.co", None, None)]).withColumnRenamed("words", "_f_email").withColumnRenamed("rank", "_s_ip")
+    out = pii.with_spans(clash)
+    assert out.columns == [*clash.columns, "spans"] and out.first()["_f_email"] == ["x"]
