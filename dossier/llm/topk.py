@@ -8,8 +8,8 @@ so far: essential postings are traversed for all vectors, and the rest is probed
 competitive.  The k best of each shard are merged per query.
 
 Edge cases: vectors (or ids) that are null, and vectors with null or non-finite components, take no part;
-repeated rows of one id count once; shorter vectors count as padded with zeros; other columns are ignored.
-Scores are exact up to 2^53.
+an id that repeats counts once, with its smallest vector (compared as a list); shorter vectors count as padded with
+zeros; other columns are ignored.  Scores are exact, and ties decided, up to 2^43 (2^53 over the rows of a strip).
 """
 
 from __future__ import annotations
@@ -86,8 +86,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec
     left = rows.select("vec_id", "v", deal(1, shards).alias("shard"), all_of(blocks).alias("block"))
     right = rows.where("q").select("vec_id", "v", deal(2, blocks).alias("block"), all_of(shards).alias("shard"))
 
+    def once(d: pd.DataFrame) -> pd.DataFrame:
+        """One row for each id, ids ascending; an id's rows are all in one cell."""
+        again = d["vec_id"].duplicated(keep=False)
+        if again.any():
+            least = d[again].assign(v=d["v"][again].map(tuple)).sort_values(["vec_id", "v"]).drop_duplicates("vec_id")
+            d = pd.concat([d[~again], least])
+        return d.sort_values("vec_id")
+
     def cell(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        x, q = (d.drop_duplicates("vec_id").sort_values("vec_id") for d in (x, q))
+        x, q = (once(d) for d in (x, q))
         if not len(x) or not len(q):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
         ids, scores = max_score(matrix(q["v"]), q["vec_id"].to_numpy(), matrix(x["v"]), x["vec_id"].to_numpy(), k)
