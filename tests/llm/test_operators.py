@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -80,6 +81,43 @@ def test_quality_counts(spark, texts):
         assert not (r.base_failed and r.kept)
 
 
+def rejections(text):
+    """The names of the rules that reject a text, from their plain statements."""
+    n_words, chars, symbols, dup_lines, *_ = counts(text)
+    letters = [c for c in text if unicodedata.category(c)[0] == "L"]
+    lower = [c for c in letters if unicodedata.category(c) == "Ll"]
+    return {name for name, hit in {
+        "symbols": symbols * 5 > n_words, "word_length": not 2 * n_words <= chars <= 14 * n_words,
+        "repeated_lines": dup_lines * 2 > len(text.split("\n")), "exclamation": text.count("!") * 5 > n_words,
+        "few_lowercase": len(lower) * 2 < len(letters), "few_letters": len(letters) * 10 < 6 * chars,
+        "few_distinct_words": len(set(SPLIT.findall(text))) * 20 < n_words}.items() if hit}
+
+
+def test_quality_verdicts_and_clashing_names(spark, make, texts):
+    plain = " ".join(f"word{chr(97 + i)}" for i in range(26))
+    bad = [plain, plain + " #$%&|<" * 2, "a " + " ".join("bcdefghijklmnopqrstuvwxyz"), "\n".join(f"{plain} {i // 3}" for i in range(6)), plain + " !!!!!!!",
+           plain.upper(), " ".join(f"{i * 977}" for i in range(30)), " ".join((["aa", "bb", "cc"] * 70)), "é" * 9, ""]
+    every = [*texts.items(), *((10**6 + i, t) for i, t in enumerate(bad))]
+    clash = make([(i, t, None, None) for i, t in every]).withColumnRenamed("text", "body").withColumnRenamed("lang", "_ids").withColumn("kept", F.lit("x"))
+    out = quality.judge(clash, text="body")
+    assert set(clash.columns) <= set(out.columns) and len(set(out.columns)) == len(out.columns)
+    seen = set()
+    for r in out.collect():
+        names = rejections(r["body"] or "")
+        if counts(r["body"] or "")[5]:
+            assert r["rejected_by"] == "base" and not r["kept"]
+        else:
+            assert r["kept"] == (not names) and (r["kept"] or r["rejected_by"] in names)
+            seen |= names
+    assert {"symbols", "word_length", "exclamation", "few_lowercase", "few_letters"} <= seen
+
+
+def test_quality_cost_follows_the_work(spark):
+    sample = quality.materialize(spark.range(2000).selectExpr("repeat('some words here ', 100) AS text", "1L AS n_words"), "cost-sample")
+    cheap, dear = F.col("n_words") > 5, F.length(F.regexp_replace("text", r"[^\p{Ll}]+", "")) > F.col("again")
+    assert quality.cost_of(sample, dear) > 2 * quality.cost_of(sample, cheap)
+
+
 def test_quality_odd_rows(odd, make):
     got = rows(quality.judge(odd.select("doc_id", "text")))
     assert len(got) == 10 and all(g["base_failed"] for g in got if g["doc_id"] != 6)
@@ -414,6 +452,11 @@ def test_topk_pruning_and_odd_rows(spark, monkeypatch):
     got = sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 20 == 0).collect())
     assert got == [(20, 1, 1, 5120), (20, 2, 2, 5120), (20, 3, 7, 4096)]
     assert topk.search(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
+    # an id with several vectors counts with the smallest, in whatever order the rows come
+    several = [(20, [1.0, 1.0], 1), (1, [1.0, 0.0], 1), (1, [9.0, 0.0], 1), (1, [1.0, 2.0], 1), (2, [0.5], 1)]
+    for order in (several, several[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>, rank int")
+        assert sorted(tuple(r) for r in topk.search(df, F.col("vec_id") % 20 == 0).collect()) == [(20, 1, 1, 4096), (20, 2, 2, 2048)]
 
 
 # 10 mixing
