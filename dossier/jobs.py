@@ -1,10 +1,12 @@
-"""Spark job: raw profile pages -> keyed section tables -> run report (the reference's collect-and-store flow).
+"""Spark jobs: raw profile pages, or nested JSON responses -> keyed section tables -> run report.
 
     python -m dossier.jobs --pages <parquet of (page_id, html)> --store <root> --run-ts "2024-06-01 00:00:00"
+    python -m dossier.jobs --responses <parquet of (profile_id, kind, body)> --store <root> --run-ts "2024-06-01 00:00:00"
 
 Steps: S3 header and S4 section items from the pages, E7/E8 on the captions,
 S5 stamp, S1 conform, T1-T5 clean, K1 ids, T6-T10 normalise, S6 upsert into the
-store, S11 report.  Class names of the fields are parameters.
+store, S11 report.  Class names of the fields are parameters.  Responses are
+flattened by S2 and then take the same steps from S5 on.
 """
 
 from __future__ import annotations
@@ -61,14 +63,63 @@ def build_sections(spark: SparkSession, pages: DataFrame, store_root: str, run_t
     return ST.run_report({s: store.read(s) for s in sections}, sections)
 
 
+def response_sections(responses: DataFrame, id_col: str = "profile_id", kind_col: str = "kind",
+                      json_col: str = "body") -> tuple[dict[str, DataFrame], DataFrame]:
+    """S2 for a table of responses: raw rows of each section, and the responses that give none.
+
+    ``kind`` is profile, skills, certifications or recommendations.  A response of another kind, or whose body is null
+    or no JSON, is returned apart with its ``problem`` and never reaches a section.  Entries without a name are
+    dropped (F2); of recommendations those received are a profile's own.  Each section reads only its kind's rows.
+    """
+    known = F.col(kind_col).isin("profile", "skills", "certifications", "recommendations")
+    problem = (F.when(~F.coalesce(known, F.lit(False)), "unknown kind").when(F.col(json_col).isNull(), "no body")
+               .when(F.try_parse_json(json_col).isNull(), "malformed"))
+    apart = responses.select("*", problem.alias("problem")).where("problem is not null")
+
+    def of(kind: str) -> DataFrame:
+        return responses.where((F.col(kind_col) == kind) & F.try_parse_json(json_col).isNotNull()).withColumn(
+            id_col, F.col(id_col).cast("string"))
+
+    flat = XT.flatten_profile(of("profile"), id_col, json_col)
+    recommended = XT.flatten_recommendations(of("recommendations"), id_col, json_col)
+    rows = {
+        "profile": flat["profile"], "experience": flat["experience"], "education": flat["education"],
+        "skills": ST.drop_unnamed(XT.flatten_skills(of("skills"), id_col, json_col), "skill_name"),
+        "certifications": ST.drop_unnamed(XT.flatten_certifications(of("certifications"), id_col, json_col), "cert_name"),
+        "summary": ST.drop_unnamed(flat["profile"].select("profile_id", F.col("summary").alias("text")), "text"),
+        "recommendations": ST.drop_unnamed(recommended.where("direction = 'received'"), "recommender_name"),
+    }
+    return rows, apart
+
+
+def load_responses(spark: SparkSession, responses: DataFrame, store_root: str, run_ts: str) -> DataFrame:
+    """Responses into the section store; the report has one more row, ``apart``, for those that gave no section."""
+    store = ST.SectionStore(spark, store_root)
+    store.create_sections()
+    rows, apart = response_sections(responses)
+    for section, flat in rows.items():
+        raw = ST.stamp_batch(flat, run_ts)
+        if section == "profile":
+            store.upsert(section, raw)
+            continue
+        if section == "summary":
+            raw = raw.withColumn("last_updated", F.col("scraped_at"))
+        store.upsert(section, prepare_section(ST.conform(raw, RAW[section]), section))
+    sections = sorted(ST.STORED)
+    return ST.run_report({**{s: store.read(s) for s in sections}, "apart": apart}, [*sections, "apart"])
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--pages", required=True)
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--pages")
+    source.add_argument("--responses")
     ap.add_argument("--store", required=True)
     ap.add_argument("--run-ts", required=True)
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("dossier-build-sections").getOrCreate()
-    build_sections(spark, spark.read.parquet(a.pages), a.store, a.run_ts).show(truncate=False)
+    run = build_sections if a.pages else load_responses
+    run(spark, spark.read.parquet(a.pages or a.responses), a.store, a.run_ts).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -66,6 +66,13 @@ def clean_summary(df: DataFrame, date_formats=None) -> DataFrame:
     return df.withColumns(m)
 
 
+def clean_recommendations(df: DataFrame, date_formats=None) -> DataFrame:
+    """Texts stripped, the day parsed; a person's name is not an employer's, so it keeps its case and suffix."""
+    m = _texts(df, ("id", "recommender_name", "recommender_title", "relationship", "recommendation_text"))
+    m["recommendation_date"] = parse_date("recommendation_date", date_formats)
+    return df.withColumns(m)
+
+
 def _keys(df: DataFrame, key: str) -> list[str]:
     return (["profile_id"] if "profile_id" in df.columns and key != "profile_id" else []) + [key]
 
@@ -113,12 +120,19 @@ def normalize_summary(df: DataFrame) -> DataFrame:
     return dedup_keep(df, _keys(df, "id"), [])
 
 
+def normalize_recommendations(df: DataFrame, order: list | None = None) -> DataFrame:
+    """One row per id (the last in ``order``, default scraped_at; ties by the other columns)."""
+    order = order or [c for c in ("scraped_at",) if c in df.columns]
+    return dedup_keep(df, _keys(df, "id"), order, keep="last")
+
+
 CLEANERS = {
     "experience": clean_experience,
     "education": clean_education,
     "skills": clean_skills,
     "certifications": clean_certifications,
     "summary": clean_summary,
+    "recommendations": clean_recommendations,
 }
 NORMALIZERS = {
     "experience": normalize_experience,
@@ -126,6 +140,7 @@ NORMALIZERS = {
     "skills": normalize_skills,
     "certifications": normalize_certifications,
     "summary": normalize_summary,
+    "recommendations": normalize_recommendations,
 }
 
 

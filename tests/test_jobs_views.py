@@ -77,3 +77,43 @@ def test_cli_lists_and_runs(spark, capsys):
     main(["top_k", "/root/testdata/sf0.001", "--rows", "2"])
     out = capsys.readouterr().out
     assert "c_custkey" in out and "only showing top 2 rows" in out
+
+
+def test_load_responses_job(spark):
+    import json
+    profile = {"firstName": "Ann", "lastName": "Lee", "summary": " About me ", "connections": {"total": 12},
+               "experience": [{"companyName": "acme inc.", "title": " Eng ", "timePeriod": {"startDate": {"year": 2020, "month": 3}}}],
+               "education": [{"schoolName": "mit", "degreeName": "BSc", "timePeriod": {"startDate": {"year": 2018}, "endDate": {"year": 2014}}}]}
+    skills = [{"name": "sklearn", "endorsementCount": 3}, {"name": "scikit learn", "endorsementCount": 9}, {"name": " "}]
+    certs = [{"name": "AWS SA", "authority": "amazon", "timePeriod": {"startDate": {"year": 2022, "month": 3}}}]
+    person = {"firstName": "Bo", "lastName": "Hu", "occupation": " CTO "}
+    recs = {"receivedRecommendations": [
+        {"recommender": person, "recommendationText": "good", "creationDate": {"year": 2023, "month": 4}},
+        {"recommender": person, "recommendationText": "great", "creationDate": {"year": 2023, "month": 4}},
+        {"recommender": None, "recommendationText": "nobody", "creationDate": None}],
+        "givenRecommendations": [{"recommender": person, "recommendationText": "given"}]}
+    bodies = [(1, "profile", json.dumps(profile)), (1, "skills", json.dumps(skills)), (1, "certifications", json.dumps(certs)),
+              (1, "recommendations", json.dumps(recs)), (2, "profile", json.dumps(profile)[:-1]), (2, "skills", None),
+              (2, "likes", "[]"), (2, None, "[]"), (3, "recommendations", "{}"), (3, "skills", "[]")]
+    responses = spark.createDataFrame(bodies, "profile_id bigint, kind string, body string")
+    root = scratch_path(spark, "responses-test")
+    expected = {"certifications": 1, "education": 1, "experience": 1, "profile": 1, "recommendations": 1, "skills": 1, "summary": 1, "apart": 4}
+    for run_ts in ("2024-06-01 00:00:00", "2024-06-02 00:00:00"):  # the second load changes nothing
+        report = {r["section"]: r["n_rows"] for r in jobs.load_responses(spark, responses, root, run_ts).collect()}
+        assert report == expected
+    problems = sorted(r["problem"] for r in jobs.response_sections(responses)[1].collect())
+    assert problems == ["malformed", "no body", "unknown kind", "unknown kind"]
+    from dossier.sources.store import SectionStore
+    store = SectionStore(spark, root)
+    row = {s: store.read(s).collect()[0] for s in expected if s != "apart"}
+    assert row["experience"]["company_name"] == "Acme" and row["experience"]["start_date"] == dt.datetime(2020, 3, 1)
+    assert row["experience"]["is_current"] is True and row["experience"]["end_date"] is None
+    assert row["education"]["start_date"] == dt.datetime(2014, 1, 1)  # swapped
+    assert (row["skills"]["skill_name"], row["skills"]["endorsement_count"]) == ("Scikit-Learn", 9)
+    assert row["certifications"]["issued_date"] == dt.datetime(2022, 3, 1)
+    rec = row["recommendations"]
+    assert (rec["recommender_name"], rec["recommender_title"], rec["recommendation_text"]) == ("Bo Hu", "CTO", "great")
+    assert rec["recommendation_date"] == dt.datetime(2023, 4, 1) and row["summary"]["text"] == "About me"
+    assert row["profile"]["connection_count"] == 12
+    empty, apart = jobs.response_sections(responses.where("false"))
+    assert apart.count() == 0 and all(df.count() == 0 for df in empty.values())
