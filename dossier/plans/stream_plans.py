@@ -21,6 +21,10 @@ from .events_plans import K_SPARK, SECTION_OF_K, SESS_CTE, EV_CTE
 from .keyed_plans import CHANGES
 
 
+#: Events a flush holds at most, and buffer files that a trigger takes at most (so a million events).
+FLUSH_EVENTS, FILES_PER_TRIGGER = 1000, 1000
+
+
 def _write_event_files(spark: SparkSession, d: str, root: str, copies: int = 1,
                        max_events_per_file: int = 1000) -> str:
     """Events as a file buffer: one folder per day, files of at most ``max_events_per_file`` events."""
@@ -52,13 +56,15 @@ def q_event_ingest(spark, d):
 
 @register("micro_batch_flush", "SELECT * FROM events")
 def q_micro_batch_flush(spark, d):
-    """ST2: flushes of at most 1000 events (buffer files hold at most 1000, one file per trigger);
-    the sink equals the input.  In production the trigger is ``processingTime='60 seconds'``."""
+    """ST2: flushes of at most 1000 events: buffer files and appended files hold at most 1000, and a trigger appends
+    many at once, so a backlog drains in few triggers; the sink equals the input.  In production the trigger is
+    ``processingTime='60 seconds'``."""
     root = scratch_path(spark, "flush")
     ev = table(spark, d, "events")
     src = f"{root}/source"
-    SE.write_buffer(ev, src, max_events_per_file=1000)
-    q = SE.ingest(_read_stream(spark, src, ev, max_files=1), f"{root}/sink", f"{root}/ckpt")
+    SE.write_buffer(ev, src, max_events_per_file=FLUSH_EVENTS)
+    q = SE.ingest(_read_stream(spark, src, ev, max_files=FILES_PER_TRIGGER), f"{root}/sink", f"{root}/ckpt",
+                  max_events_per_flush=FLUSH_EVENTS)
     q.awaitTermination()
     return _events_back(spark.read.parquet(f"{root}/sink"), ev.columns)
 

@@ -31,8 +31,8 @@ def event_source(spark: SparkSession, path: str, schema: T.StructType, max_files
     """ST1/ST2: a file-buffer event stream with a declared schema; ``ts`` becomes TIMESTAMP.
 
     A micro-batch takes at most ``max_files_per_trigger`` files / ``max_bytes_per_trigger``
-    bytes; with buffer files written at most N events each (``write_buffer``), one file
-    per trigger bounds a flush to N events.  Text buffers (``fmt`` json or csv) are read permissively: a line that
+    bytes; with buffer files written at most N events each (``write_buffer``), that bounds
+    its events.  Flushes are bounded in the sink (``ingest``), so a trigger may take many files.  Text buffers (``fmt`` json or csv) are read permissively: a line that
     does not fit the schema comes as it is in ``BAD_LINE`` (see ``ingest_checked``), no line is lost.
     """
     r = spark.readStream.options(**(options or {}))
@@ -65,9 +65,14 @@ def _trigger(w, trigger: str | None):
 
 
 def ingest(stream: DataFrame, sink: str, checkpoint: str, trigger: str | None = None,
-           partition_by: list[str] | None = None) -> StreamingQuery:
-    """ST1: append typed events to a Parquet table (exactly once through the checkpoint)."""
+           partition_by: list[str] | None = None, max_events_per_flush: int | None = None) -> StreamingQuery:
+    """ST1: append typed events to a Parquet table (exactly once through the checkpoint).
+
+    ST2: with ``max_events_per_flush`` no file is appended with more events than that, however many a trigger takes.
+    """
     w = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    if max_events_per_flush:
+        w = w.option("maxRecordsPerFile", max_events_per_flush)
     if partition_by:
         w = w.partitionBy(*partition_by)
     return _trigger(w, trigger).start(sink)

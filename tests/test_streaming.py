@@ -128,3 +128,23 @@ def test_stream_slices_are_few_and_give_the_batch_sessions(spark):
     assert got == {tuple(r) for r in want.select("user_id", "session_start", "session_end", "n_events", "duration_ms").collect()}
     closed = sessions_of_slices(slices, closed_before=str(last))
     assert closed.count() < len(got) and closed.where(F.col("session_end") >= F.lit(str(last - dt.timedelta(minutes=30))).cast("timestamp_ntz")).count() == 0
+
+
+def test_micro_batch_flush_drains_a_backlog_in_few_triggers(spark, monkeypatch, tmp_path):
+    """60 buffer files: flushes keep their bound, but not one trigger is spent on each."""
+    from dossier.plans import stream_plans
+    monkeypatch.setattr(stream_plans, "FLUSH_EVENTS", 10, raising=False)
+    monkeypatch.setattr(stream_plans, "FILES_PER_TRIGGER", 25, raising=False)
+    root = scratch_path(spark, "t-backlog")
+    monkeypatch.setattr(stream_plans, "scratch_path", lambda *_: root)
+    write = SE.write_buffer
+    monkeypatch.setattr(SE, "write_buffer", lambda ev, path, max_events_per_file: write(ev, path, 10))
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(i, t0 + dt.timedelta(seconds=i % 7), i % 3, "view", 1.0, None if i % 5 else "{}") for i in range(595)]
+    spark.createDataFrame([*rows, *rows[:5]], SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    got = stream_plans.q_micro_batch_flush(spark, str(tmp_path))
+    assert sorted(r["event_id"] for r in got.collect()) == sorted([*range(595), *range(5)])
+    sizes = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 60 and max(sizes) <= 10
+    batches = spark.read.text(f"{root}/ckpt/commits").select(F.input_file_name()).distinct().count()
+    assert batches == 3
