@@ -96,13 +96,14 @@ def broadcast_if_small(df, max_bytes: int | None = None, known_rows: int | None
     return F.broadcast(df) if 0 <= planned_bytes(df) <= max_bytes else df
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, rows_per_file: int | None = None):
     """Cut lineage by writing ``df`` as a Parquet table in the shared checkpoint folder and reading it back.
+    With ``rows_per_file`` files hold at most so many rows, so a reader spreads them over its tasks.
 
     Columnar and compressed, and the read-back carries file statistics the planner
     uses (e.g. to broadcast a small result); a lost executor re-reads the files
     instead of recomputing the plan.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**({"maxRecordsPerFile": rows_per_file} if rows_per_file else {})).parquet(path)
     return df.sparkSession.read.parquet(path)

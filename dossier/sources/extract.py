@@ -266,6 +266,13 @@ def year_month_ts(ym: Column) -> Column:
     return F.try_make_timestamp_ntz(y, m, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
 
 
+def _entries(df: DataFrame, entries: str, name: str) -> DataFrame:
+    """posexplode of an array, as ``pos`` and ``name``.  An outer one, whose rows without a position go: Spark adds a filter
+    below an inner one that parses the JSON behind the array twice more."""
+    kept = [c for c in df.columns if c != entries.partition(".")[0]]
+    return df.select(*kept, F.posexplode_outer(entries).alias("pos", name)).where("pos is not null")
+
+
 def flatten_profile(raw: DataFrame, id_col: str, json_col: str) -> dict[str, DataFrame]:
     """One profile response (text) per row -> profile, experience and education rows."""
     p = raw.select(F.col(id_col).alias("profile_id"), F.from_json(json_col, PROFILE_JSON).alias("j"))
@@ -300,15 +307,16 @@ def flatten_profile(raw: DataFrame, id_col: str, json_col: str) -> dict[str, Dat
 
 def flatten_skills(raw: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """Skills response -> (profile_id, pos, skill_name, endorsement_count)."""
-    s = raw.select(F.col(id_col).alias("profile_id"), F.posexplode(F.from_json(json_col, SKILLS_JSON)).alias("pos", "s"))
+    j = raw.select(F.col(id_col).alias("profile_id"), F.from_json(json_col, SKILLS_JSON).alias("j"))
+    s = _entries(j, "j", "s")
     return s.select("profile_id", "pos", F.col("s.name").alias("skill_name"),
                     F.col("s.endorsementCount").alias("endorsement_count"))
 
 
 def flatten_certifications(raw: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """Certifications response -> section rows."""
-    s = raw.select(F.col(id_col).alias("profile_id"),
-                   F.posexplode(F.from_json(json_col, CERTIFICATIONS_JSON)).alias("pos", "c"))
+    j = raw.select(F.col(id_col).alias("profile_id"), F.from_json(json_col, CERTIFICATIONS_JSON).alias("j"))
+    s = _entries(j, "j", "c")
     return s.select("profile_id", "pos", F.col("c.name").alias("cert_name"), F.col("c.authority").alias("authority"),
                     F.col("c.licenseNumber").alias("credential_id"), F.col("c.url").alias("credential_url"),
                     year_month_ts(F.col("c.timePeriod.startDate")).alias("issued_date"),
@@ -318,10 +326,8 @@ def flatten_certifications(raw: DataFrame, id_col: str, json_col: str) -> DataFr
 def flatten_recommendations(raw: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """Recommendations response (received and given) -> section rows."""
     j = raw.select(F.col(id_col).alias("profile_id"), F.from_json(json_col, RECOMMENDATIONS_JSON).alias("j"))
-    rec = j.select("profile_id", F.lit("received").alias("direction"),
-                   F.explode("j.receivedRecommendations").alias("r")).unionByName(
-          j.select("profile_id", F.lit("given").alias("direction"),
-                   F.explode("j.givenRecommendations").alias("r")))
+    received = _entries(j, "j.receivedRecommendations", "r").withColumn("direction", F.lit("received"))
+    rec = received.unionByName(_entries(j, "j.givenRecommendations", "r").withColumn("direction", F.lit("given")))
     return rec.select(
         "profile_id", "direction",
         F.concat_ws(" ", "r.recommender.firstName", "r.recommender.lastName").alias("recommender_name"),

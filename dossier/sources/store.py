@@ -126,6 +126,11 @@ class ChangeLog:
             raise FileNotFoundError(self.path)
         return empty_frame(self.spark, self.schema)
 
+    def keys(self) -> DataFrame:
+        """The keys of ``read``, one row for each; only key columns are read, and no rows are merged."""
+        rows = self.changes()
+        return (self.read() if rows is None else rows).select(*self.key).distinct()
+
     def upsert(self, source: DataFrame, batch: int | None = None, reject_repeats: bool = False) -> dict[str, int]:
         """Append the rows of ``source``, one for each of its keys; returns what was counted on the way.
 
@@ -188,6 +193,9 @@ class SectionStore:
     def read(self, section: str) -> DataFrame:
         return self.table(section).read()
 
+    def keys(self, section: str) -> DataFrame:
+        return self.table(section).keys()
+
     def upsert(self, section: str, source: DataFrame, batch: int | None = None) -> dict[str, int]:
         """S6 persisted.  An empty source changes nothing."""
         return self.table(section).upsert(source, batch)

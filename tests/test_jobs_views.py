@@ -117,3 +117,33 @@ def test_load_responses_job(spark):
     assert row["profile"]["connection_count"] == 12
     empty, apart = jobs.response_sections(responses.where("false"))
     assert apart.count() == 0 and all(df.count() == 0 for df in empty.values())
+
+
+def test_bodies_are_checked_once_and_parsed_once_for_a_section(spark):
+    kinds = [(1, "skills", '[{"name": "a"}, null, {"name": "b"}]'), (2, "skills", "[]"), (3, "skills", "null"), (4, "skills", "{"),
+             (1, "recommendations", '{"receivedRecommendations": [{"recommender": {"firstName": "Bo"}}, null]}'), (1, "profile", '{"firstName": "Al"}'),
+             (1, "certifications", '[{"name": "c"}]')]
+    responses = spark.createDataFrame(kinds, "profile_id bigint, kind string, body string")
+    rows, apart = jobs.response_sections(responses)
+    for name, df in [*rows.items(), ("apart", apart)]:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "parse_json" not in plan and "VariantExpressionEvalUtils" not in plan
+        assert name not in ("skills", "certifications", "recommendations") or plan.count("from_json(") == 1
+    assert [(r["profile_id"], r["problem"]) for r in apart.collect()] == [(4, "malformed")]
+    assert sorted((r["profile_id"], r["pos"], r["skill_name"]) for r in rows["skills"].collect()) == [("1", 0, "a"), ("1", 2, "b")]
+    assert [(r["profile_id"], r["recommender_name"]) for r in rows["recommendations"].collect()] == [("1", "Bo")]
+    from dossier.sources import extract as XT
+    flat = XT.flatten_skills(responses.where("kind = 'skills'"), "profile_id", "body")
+    assert sorted((r["profile_id"], r["pos"], r["skill_name"] or "") for r in flat.collect()) == [(1, 0, "a"), (1, 1, ""), (1, 2, "b")]
+    flat = XT.flatten_recommendations(responses.where("kind = 'recommendations'"), "profile_id", "body")
+    assert sorted(r["recommender_name"] for r in flat.collect()) == ["", "Bo"]
+
+
+def test_report_counts_keys_not_change_rows(spark):
+    from dossier.sources.store import SectionStore
+    store = SectionStore(spark, scratch_path(spark, "keys-test"))
+    store.create_sections(["skills"])
+    assert store.keys("skills").count() == 0
+    for names in (["a", "b"], ["b", "c"]):
+        store.upsert("skills", spark.createDataFrame([(n, "p", n) for n in names], "id string, profile_id string, skill_name string"))
+    assert sorted(tuple(r) for r in store.keys("skills").collect()) == [("p", n) for n in "abc"] and store.read("skills").count() == 3
