@@ -5,10 +5,13 @@ row each.  A class's signature holds the side of each of ``bands * bits`` random
 two vectors at an angle of a agree on a plane with probability 1 - a / pi.  Classes that agree on all bits of a
 band meet in a task; buckets are packed into cells of about ``TILE`` rows, and a larger bucket is split into
 chunks of which each two meet in a task of their own, so no bucket is capped and no task holds one whole.  Pairs
-whose signatures differ on more planes than the threshold allows go; the cosine of the rest is computed from the
-vectors.  Only signatures travel once per band; vectors are joined to the few pairs that are left.
+that differ on more planes of a sketch than the threshold allows go; the cosine of the rest is computed from the
+vectors.  Only sketches, the first planes of the signatures, travel once per band; vectors are joined to the few
+pairs that are left.
 
-The number of bands follows from ``recall``, the probability that a pair just at the threshold shares a band.
+The number of bands follows from ``recall``, the probability that a pair just at the threshold shares a band.  A
+band has no more bits than it takes for buckets of about half a tile: more bits ask for more bands.  How crowded
+buckets get is judged by the angles in a sample of ``SAMPLE`` classes; it decides the cost, not the result.
 
 Edge cases: rows without an id are left out; an id that repeats keeps its smallest vector; null or empty vectors,
 those with null or non-finite components and those of length zero are classes of their own without links;
@@ -29,17 +32,39 @@ from ..session import materialize
 
 TILE = 1024
 MIN_BITS, MAX_BITS = 8, 16
+SAMPLE = 1000
 #: Standard errors by which a pair's differing planes may exceed the number expected at the threshold.
 SIGMAS = 6
 
 
-def shape(classes: int, threshold: float, recall: float) -> tuple[int, int]:
-    """(bands, bits): bits by the number of classes, bands so that a pair at the threshold meets with ``recall``."""
-    bits = min(MAX_BITS, max(MIN_BITS, math.ceil(math.log2(max(classes, 2)))))
+def shape(classes: int, threshold: float, recall: float, agree: np.ndarray | None = None) -> tuple[int, int]:
+    """(bands, bits): bits by the expected size of a class's bucket, bands so that a pair at the threshold meets with
+    ``recall``.  ``agree`` holds the probabilities with which sampled pairs agree on a plane (a half if not given)."""
+    agree = np.array([0.5]) if agree is None or not len(agree) else agree
+    fits = (b for b in range(MIN_BITS, MAX_BITS) if classes * (agree ** b).mean() <= TILE / 2)
+    bits = next(fits, MAX_BITS)
     together = (1 - math.acos(threshold) / math.pi) ** bits
     return max(1, math.ceil(math.log(1 - recall) / math.log1p(-together))), bits
 
 
+def sampled_agreement(classes: DataFrame) -> np.ndarray:
+    """For each two of ``SAMPLE`` classes, chosen by a hash of their ids, the probability to agree on a plane."""
+    rows = classes.select("v", "peak", F.xxhash64("class_id").alias("h")).orderBy("h").limit(SAMPLE).collect()
+    x = np.zeros((len(rows), max((len(r["v"]) for r in rows), default=0)))
+    for i, r in enumerate(rows):
+        x[i, :len(r["v"])] = np.array(r["v"]) / r["peak"]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return 1 - np.arccos(np.clip(x @ x.T, -1, 1)[np.triu_indices(len(x), 1)]) / math.pi
+
+
+def sketch_planes(total: int, threshold: float) -> int:
+    """Planes of a sketch, whole bytes: so many that ``SIGMAS`` on either side tell a pair at the threshold from one at
+    right angles."""
+    apart = math.acos(threshold) / math.pi
+    needed = (SIGMAS * (math.sqrt(apart * (1 - apart)) + 0.5) / (0.5 - apart)) ** 2
+    return min(total, 8 * math.ceil(needed / 8))
+
+
 def planes(width: int, count: int, seed: int) -> np.ndarray:
     """``count`` random planes; a dimension's numbers do not depend on the width."""
     return np.array([np.random.default_rng([seed, d]).standard_normal(count) for d in range(width)]).reshape(width, count)
@@ -79,40 +104,45 @@ def _signatures(classes: DataFrame, bands: int, bits: int, seed: int) -> DataFra
 
 
 def _candidates(signed: DataFrame, bands: int, bits: int, threshold: float) -> DataFrame:
-    """a, b of the classes that share a band and whose signatures are near enough, each pair once."""
-    each = signed.select("class_id", "signature", F.posexplode("keys").alias("band", "key"))
-    sizes = each.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    """a, b of the classes that share a band and whose sketches are near enough, each pair once."""
+    total = sketch_planes(bands * bits, threshold)
+    each = signed.select("class_id", F.expr(f"substring(signature, 1, {-(-total // 8)})").alias("sketch"),
+                         F.posexplode("keys").alias("band", "key"))
+    large = each.groupBy("band", "key").agg(F.count("*").alias("n")).where(F.col("n") > TILE)
+    large = materialize(large, "similar-buckets")  # few: its size is known, so ``each`` need not travel for the join
     cells = max(1, -(-signed.count() // TILE))
-    big = F.col("n") > TILE
-    chunks = F.when(big, F.ceil(F.col("n") / TILE)).otherwise(1)
-    met = (each.join(sizes, ["band", "key"])
-           .withColumn("cell", F.when(big, F.col("key")).otherwise(-1 - F.pmod(F.xxhash64("key"), F.lit(cells))))
+    chunks = F.coalesce(F.ceil(F.col("n") / TILE), F.lit(1).cast("long"))
+    cell = F.when(F.col("n").isNotNull(), F.col("key")).otherwise(-1 - F.pmod(F.xxhash64("key"), F.lit(cells)))
+    met = (each.join(large, ["band", "key"], "left")
            .withColumn("chunk", F.pmod(F.xxhash64("class_id"), chunks))
            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-           .select("band", "cell", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
-                   "chunk", "class_id", "signature"))
-    total = bands * bits
+           .select("band", cell.alias("cell"), F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
+                   "chunk", "key", "class_id", "sketch"))
     apart = math.acos(threshold) / math.pi
     limit = total * apart + SIGMAS * math.sqrt(total * apart * (1 - apart))
+    whole = total // bits  # bands that a sketch holds
 
     def compare(key: tuple, d: pd.DataFrame) -> pd.DataFrame:
         band, _, lo, hi = key
-        d = d.sort_values("class_id")
-        packed = np.frombuffer(b"".join(d["signature"]), np.uint8).reshape(len(d), -1)
-        side = np.unpackbits(packed, axis=1, count=total)
-        ids, chunk = d["class_id"].to_numpy(), d["chunk"].to_numpy()
-        signed = side.astype(np.float32) * 2 - 1
-        near = np.triu((total - signed @ signed.T) / 2 <= limit, 1)
-        i, j = np.nonzero(near & (chunk[:, None] != chunk[None, :]) if lo != hi else near)
-        found = []
-        for at in range(0, len(i), 1 << 16):  # a pair counts in the first band that it shares
-            x, y = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
-            same = (side[x] == side[y]).reshape(len(x), bands, bits).all(2)
-            first = same[:, band] & (same.argmax(1) == band)
-            found.append(pd.DataFrame({"a": ids[x[first]], "b": ids[y[first]]}))
-        return pd.concat(found) if found else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-    return met.groupBy("band", "cell", "lo", "hi").applyInPandas(compare, "a long, b long")
+        d = d.sort_values(["key", "class_id"])
+        packed = np.frombuffer(b"".join(d["sketch"]), np.uint8).reshape(len(d), -1)
+        sides = np.unpackbits(packed, axis=1, count=total)
+        cuts = np.flatnonzero(np.diff(d["key"].to_numpy())) + 1
+        found = [pd.DataFrame({"a": [], "b": []}, dtype="int64")]
+        for start, end in zip([0, *cuts], [*cuts, len(d)], strict=True):
+            side, ids, chunk = sides[start:end], d["class_id"].to_numpy()[start:end], d["chunk"].to_numpy()[start:end]
+            signed = side.astype(np.float32) * 2 - 1
+            near = np.triu((total - signed @ signed.T) / 2 <= limit, 1)
+            i, j = np.nonzero(near & (chunk[:, None] != chunk[None, :]) if lo != hi else near)
+            earlier = min(band, whole)
+            for at in range(0, len(i), 1 << 16):  # a pair that shares an earlier band of the sketch counts there
+                x, y = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+                same = side[x, :earlier * bits] == side[y, :earlier * bits]
+                first = ~same.reshape(len(x), earlier, bits).all(2).any(1)
+                found.append(pd.DataFrame({"a": ids[x[first]], "b": ids[y[first]]}))
+        return pd.concat(found)
+
+    return met.groupBy("band", "cell", "lo", "hi").applyInPandas(compare, "a long, b long").distinct()
 
 
 def cosine(x: Column, y: Column) -> Column:
@@ -137,7 +167,7 @@ def similar_pairs(classes: DataFrame, threshold: float = 0.9, recall: float = 0.
     """a, b, cosine: classes (a < b) of ``classes_of`` whose cosine is at least ``threshold`` (between 0 and 1)."""
     if not 0 < threshold < 1 or not 0 < recall < 1:
         raise ValueError("threshold and recall must lie between 0 and 1")
-    bands, bits = shape(classes.count(), threshold, recall)
+    bands, bits = shape(classes.count(), threshold, recall, sampled_agreement(classes))
     signed = materialize(_signatures(classes, bands, bits, seed), "similar-signatures")
     pairs = _candidates(signed, bands, bits, threshold)
     scaled = F.transform("v", lambda x: x / F.col("peak"))  # so that squares stay finite

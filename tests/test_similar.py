@@ -73,3 +73,19 @@ def test_bands_meet_the_recall():
         assert 1 - (1 - together) ** bands >= 0.99 > 1 - (1 - together) ** (bands - 1)
     with pytest.raises(ValueError):
         S.similar_pairs(None, 1.5)
+
+
+def test_bands_do_not_outnumber_what_buckets_need():
+    """What travels is bands times a sketch: neither may be that of narrow buckets or whole signatures."""
+    bands, bits = S.shape(1_000_000, 0.9, 0.9999)
+    planes = S.sketch_planes(bands * bits, 0.9)
+    assert bands * planes / 8 < 2000 and 1_000_000 / 2 ** bits <= S.TILE
+    crowded = S.shape(1_000_000, 0.9, 0.9999, np.array([0.5, 0.8]))  # half of the pairs are alike: more bits
+    assert crowded[1] == S.MAX_BITS
+
+
+def test_sample_of_angles_with_odd_widths(spark):
+    rows = [(1, [1, 0]), (2, [0, 1e300, 0]), (3, [-1]), (4, [2, 0, 0])]
+    _, classes = S.classes_of(frame(spark, rows))
+    assert sorted(np.round(S.sampled_agreement(classes), 6)) == [0, 0, 0.5, 0.5, 0.5, 1]
+    assert pairs_of(spark, frame(spark, rows), 0.9) == {(1, 4)} and pairs_of(spark, frame(spark, rows[:1]), 0.9) == set()
