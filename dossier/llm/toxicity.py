@@ -39,6 +39,9 @@ FALSE_WORDS = 0.05
 BANDS, MINIMA = 4, 3
 #: Standard errors by which a word's weight is less than its estimate.
 DOUBT = 0.5
+#: Least weight of a marked word.  Words of a language or a style are a little commoner in one class, surely so with
+#: many labels; they come together, and hundreds of small weights would add up to a verdict.
+LEAST_WEIGHT = 1.0
 _rng = np.random.default_rng(7)
 _MUL = _rng.integers(0, 1 << 63, BANDS * MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -369,7 +372,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
         p, q = (r["pos"] + 0.5) / (n_pos + 1), (r["neg"] + 0.5) / (n_neg + 1)
         doubt = math.sqrt(1 / (r["pos"] + 0.5) + 1 / (r["neg"] + 0.5))  # of the log odds: few documents weigh little
         weight = math.log(p / q) - math.log((1 - p) / (1 - q)) - DOUBT * doubt
-        if weight > 0:
+        if weight > LEAST_WEIGHT:
             weights[r["word"]] = weight
             prior += math.log((1 - p) / (1 - q))
     return costs, known, weights, prior

@@ -565,3 +565,25 @@ def test_redaction_of_many_spans_and_long_texts(make):
     clash = make([(1, "a@b.co", None, None)]).withColumnRenamed("words", "_f_email").withColumnRenamed("rank", "_s_ip")
     out = pii.with_spans(clash)
     assert out.columns == [*clash.columns, "spans"] and out.first()["_f_email"] == ["x"]
+
+
+def test_common_words_of_a_style_mark_no_text(spark):
+    """Twenty words that come together, a little commoner in toxic documents, do not add up to a verdict."""
+    import random
+    from dossier.llm import toxicity
+    rng = random.Random(5)
+    name = lambda n: "".join(chr(97 + n // 26 ** i % 26) + "aeiou"[n // 5 ** i % 5] for i in range(4))
+    style, other = [name(n) for n in range(20)], [name(n) for n in range(1000, 3000)]
+    rows, marks = [], []
+    for i in range(1600):
+        toxic, words = i % 2, rng.sample(other, 15)
+        if rng.random() < (0.6 if toxic else 0.4):
+            words += style
+        if toxic and rng.random() < 0.95:
+            words.append("moron")
+        rng.shuffle(words)
+        rows.append((i, " ".join(words)))
+        marks.append((i, toxic))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    found = {r["doc_id"] for r in toxicity.score(docs, labels).where("predicted = 1").collect()}
+    assert not [i for i in found if i % 2 == 0] and len(found) >= 700
